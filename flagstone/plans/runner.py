@@ -12,6 +12,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -47,23 +48,46 @@ class RunOptions:
     on_bad_date: str = "null"  # or "fail"
 
 
+class LazyFrames(Mapping):
+    """Read-only mapping whose DataFrames are built on first access.
+
+    Building a DataFrame costs driver round trips (analysis) but no data
+    work; reports nobody reads are therefore never built at all.
+    """
+
+    def __init__(self, makers: Mapping[str, Callable[[], DataFrame | None]] | None = None):
+        self._makers = dict(makers or {})
+        self._built: dict[str, DataFrame | None] = {}
+
+    def __getitem__(self, key: str) -> DataFrame | None:
+        if key not in self._built:
+            self._built[key] = self._makers[key]()
+        return self._built[key]
+
+    def __iter__(self):
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
 @dataclass
 class RuleOutput:
     tables: dict[str, DataFrame]
-    reports: dict[str, DataFrame] = field(default_factory=dict)
-    summaries: list[DataFrame] = field(default_factory=list)
+    reports: dict[str, Callable[[], DataFrame | None]] = field(default_factory=dict)
+    summaries: list[Callable[[], DataFrame]] = field(default_factory=list)
 
 
 @dataclass
 class QcResult:
     tables: dict[str, DataFrame]
-    reports: dict[str, DataFrame]
-    summaries: list[DataFrame]
+    reports: LazyFrames
+    summaries: list[Callable[[], DataFrame]]
     rules_run: list[str]
 
     def summary(self) -> DataFrame | None:
         """All summary rows ``(rule, tbl, total, count, percent)`` as one DataFrame."""
-        return union_all(self.summaries)
+        return union_all(make() for make in self.summaries)
 
 
 RuleFn = Callable[[dict[str, DataFrame], Any, RunOptions], RuleOutput]
@@ -77,8 +101,8 @@ def _duplication(dfs, cfg: Mapping[str, Sequence[str]], opts: RunOptions) -> Rul
             continue
         flagged = flag_duplicates(dfs[name], keys)
         out.tables[name] = flagged
-        out.reports[DUP_REPORT.format(name)] = report_from_flags(flagged, keys, order=opts.order_reports)
-        out.summaries.append(flag_summary(flagged, "duplication", name, DUP_FLAG))
+        out.reports[DUP_REPORT.format(name)] = partial(report_from_flags, flagged, keys, order=opts.order_reports)
+        out.summaries.append(partial(flag_summary, flagged, "duplication", name, DUP_FLAG))
     return out
 
 
@@ -89,11 +113,10 @@ def _missing(dfs, cfg: Mapping[str, Sequence[str]] | None, opts: RunOptions) ->
     for name, df in dfs.items():
         cols = cfg.get(name) or None
         out.tables[name] = flag_missing(df, cols, opts.blank_is_missing)
-        reports.append(missing_by_column(df, name, cols, opts.blank_is_missing))
-        out.summaries.append(flag_summary(out.tables[name], "missing", name, MISSING_FLAG))
-    report = union_all(reports)
-    if report is not None:
-        out.reports[MISSING_REPORT] = report
+        reports.append(partial(missing_by_column, df, name, cols, opts.blank_is_missing))
+        out.summaries.append(partial(flag_summary, out.tables[name], "missing", name, MISSING_FLAG))
+    if reports:
+        out.reports[MISSING_REPORT] = lambda: union_all(make() for make in reports)
     return out
 
 
@@ -117,11 +140,10 @@ def _string_tables(dfs, cfg, opts: RunOptions) -> RuleOutput:
         if not value_columns(df, token):
             continue
         out.tables[name] = flag_non_numeric(df, token, null_is_bad=opts.null_is_bad)
-        reports.append(offending_values(df, name, token))
-        out.summaries.append(flag_summary(out.tables[name], "string_tables", name, VALUE_FLAG))
-    report = union_all(reports)
-    if report is not None:
-        out.reports[VALUE_REPORT] = report
+        reports.append(partial(offending_values, df, name, token))
+        out.summaries.append(partial(flag_summary, out.tables[name], "string_tables", name, VALUE_FLAG))
+    if reports:
+        out.reports[VALUE_REPORT] = lambda: union_all(make() for make in reports)
     return out
 
 
@@ -131,9 +153,9 @@ def _negative(dfs, cfg, opts: RunOptions) -> RuleOutput:
     for name in tables or list(dfs):
         if name not in dfs or not value_columns(dfs[name], token):
             continue
-        out.reports[NEGATIVE_REPORT.format(name)] = negative_rows(dfs[name], token)
+        out.reports[NEGATIVE_REPORT.format(name)] = partial(negative_rows, dfs[name], token)
         out.tables[name] = flag_negative(dfs[name], token)
-        out.summaries.append(flag_summary(out.tables[name], "negative", name, NEGATIVE_FLAG))
+        out.summaries.append(partial(flag_summary, out.tables[name], "negative", name, NEGATIVE_FLAG))
     return out
 
 
@@ -145,8 +167,8 @@ def _date_rule(rule: str, flag_col: str, report_fmt: str) -> RuleFn:
         )
         out = RuleOutput(tables)
         for name, report in reports.items():
-            out.reports[report_fmt.format(name)] = report
-            out.summaries.append(flag_summary(tables[name], rule, name, flag_col))
+            out.reports[report_fmt.format(name)] = partial(lambda r: r, report)
+            out.summaries.append(partial(flag_summary, tables[name], rule, name, flag_col))
         return out
 
     return run
@@ -158,7 +180,7 @@ def _frequency(dfs, cfg: Mapping[str, Mapping[str, Sequence[str]]], opts: RunOpt
         if name not in dfs:
             continue
         for label, cols in groups.items():
-            out.reports[FREQUENCY_REPORT.format(name, label)] = frequency(dfs[name], cols, name, label)
+            out.reports[FREQUENCY_REPORT.format(name, label)] = partial(frequency, dfs[name], cols, name, label)
     return out
 
 
@@ -197,8 +219,8 @@ def run_rules(
     reg = rule_registry() if registry is None else dict(registry)
     opts = options or RunOptions()
     tables = dict(dfs)
-    reports: dict[str, DataFrame] = {}
-    summaries: list[DataFrame] = []
+    reports: dict[str, Callable[[], DataFrame | None]] = {}
+    summaries: list[Callable[[], DataFrame]] = []
     ran = []
     for rule in sequence:
         fn = reg.get(rule)
@@ -213,4 +235,4 @@ def run_rules(
         reports.update(res.reports)
         summaries.extend(res.summaries)
         ran.append(rule)
-    return QcResult(tables, reports, summaries, ran)
+    return QcResult(tables, LazyFrames(reports), summaries, ran)
