@@ -14,4 +14,4 @@ from .membership import mappable_id, unmapped_rows  # noqa: F401
 from .missing import flag_missing, flag_missing_null_only, missing_by_column  # noqa: F401
 from .numeric import flag_negative, flag_non_numeric, flag_non_numeric_spark, negative_rows, offending_values  # noqa: F401
 from .rule import MappableIdRule, Rule, UniqueKeyRule  # noqa: F401
-from .summary import flag_summary, result_events, union_all  # noqa: F401
+from .summary import flag_summary, flags_summary, result_events, union_all  # noqa: F401

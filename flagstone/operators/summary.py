@@ -8,7 +8,7 @@ one tiny merge). Events are built per failing record on the executors with
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -31,13 +31,37 @@ def flag_summary(flagged: DataFrame, rule: str, table: str, flag_col: str) -> Da
         F.lit(table).alias("tbl"),
         "total",
         "count",
-        F.when(F.col("total") == 0, F.lit(0.0))
-        .otherwise(F.round(F.col("count") * 100.0 / F.col("total"), 2))
-        .cast("double")
-        .alias("percent"),
+        _percent(F.col("count"), F.col("total")).alias("percent"),
     )
 
 
+def flags_summary(flagged: DataFrame, table: str, rule_flags: Sequence[tuple[str, str]]) -> DataFrame:
+    """Summary rows for several ``(rule, flag column)`` pairs of one table,
+    from a single aggregate (one scan, flag columns only)."""
+    sums = [
+        F.coalesce(F.sum(col(flag_col)), F.lit(0)).cast("bigint").alias(f"__dq_s{i}")
+        for i, (_, flag_col) in enumerate(rule_flags)
+    ]
+    agg = flagged.agg(F.count(F.lit(1)).cast("bigint").alias("total"), *sums)
+    per_rule = F.array(
+        *[
+            F.struct(F.lit(rule).alias("rule"), F.col(f"__dq_s{i}").alias("count"))
+            for i, (rule, _) in enumerate(rule_flags)
+        ]
+    )
+    return agg.select("total", F.inline(per_rule)).select(
+        "rule",
+        F.lit(table).alias("tbl"),
+        "total",
+        "count",
+        _percent(F.col("count"), F.col("total")).alias("percent"),
+    )
+
+
+def _percent(count, total):
+    return F.when(total == 0, F.lit(0.0)).otherwise(F.round(count * 100.0 / total, 2)).cast("double")
+
+
 def union_all(frames: Iterable[DataFrame]) -> DataFrame | None:
     frames = [f for f in frames if f is not None]
     if not frames:

@@ -23,7 +23,7 @@ from ..operators.duplicates import flag_duplicates, report_from_flags
 from ..operators.frequency import frequency
 from ..operators.missing import flag_missing, missing_by_column
 from ..operators.numeric import flag_negative, flag_non_numeric, negative_rows, offending_values, value_columns
-from ..operators.summary import flag_summary, union_all
+from ..operators.summary import flags_summary, union_all
 
 log = logging.getLogger(__name__)
 
@@ -75,19 +75,31 @@ class LazyFrames(Mapping):
 class RuleOutput:
     tables: dict[str, DataFrame]
     reports: dict[str, Callable[[], DataFrame | None]] = field(default_factory=dict)
-    summaries: list[Callable[[], DataFrame]] = field(default_factory=list)
+    # (rule, table, flag column) for every flag a rule appended
+    flags: list[tuple[str, str, str]] = field(default_factory=list)
 
 
 @dataclass
 class QcResult:
     tables: dict[str, DataFrame]
     reports: LazyFrames
-    summaries: list[Callable[[], DataFrame]]
+    flags: list[tuple[str, str, str]]
     rules_run: list[str]
 
-    def summary(self) -> DataFrame | None:
-        """All summary rows ``(rule, tbl, total, count, percent)`` as one DataFrame."""
-        return union_all(make() for make in self.summaries)
+    def summary(self, tables: Mapping[str, DataFrame] | None = None) -> DataFrame | None:
+        """Summary rows ``(rule, tbl, total, count, percent)`` for every flag.
+
+        Flags are never dropped and rules keep the row count, so each
+        table's final flagged version answers for all its rules: one
+        aggregate per table (reading only its flag columns when the table
+        is stored), not one per rule. Pass ``tables`` to summarise stored
+        copies of the flagged tables instead of recomputing them.
+        """
+        tables = self.tables if tables is None else tables
+        by_table: dict[str, list[tuple[str, str]]] = {}
+        for rule, name, flag_col in self.flags:
+            by_table.setdefault(name, []).append((rule, flag_col))
+        return union_all(flags_summary(tables[name], name, pairs) for name, pairs in by_table.items())
 
 
 RuleFn = Callable[[dict[str, DataFrame], Any, RunOptions], RuleOutput]
@@ -102,7 +114,7 @@ def _duplication(dfs, cfg: Mapping[str, Sequence[str]], opts: RunOptions) -> Rul
         flagged = flag_duplicates(dfs[name], keys)
         out.tables[name] = flagged
         out.reports[DUP_REPORT.format(name)] = partial(report_from_flags, flagged, keys, order=opts.order_reports)
-        out.summaries.append(partial(flag_summary, flagged, "duplication", name, DUP_FLAG))
+        out.flags.append(("duplication", name, DUP_FLAG))
     return out
 
 
@@ -114,7 +126,7 @@ def _missing(dfs, cfg: Mapping[str, Sequence[str]] | None, opts: RunOptions) ->
         cols = cfg.get(name) or None
         out.tables[name] = flag_missing(df, cols, opts.blank_is_missing)
         reports.append(partial(missing_by_column, df, name, cols, opts.blank_is_missing))
-        out.summaries.append(partial(flag_summary, out.tables[name], "missing", name, MISSING_FLAG))
+        out.flags.append(("missing", name, MISSING_FLAG))
     if reports:
         out.reports[MISSING_REPORT] = lambda: union_all(make() for make in reports)
     return out
@@ -141,7 +153,7 @@ def _string_tables(dfs, cfg, opts: RunOptions) -> RuleOutput:
             continue
         out.tables[name] = flag_non_numeric(df, token, null_is_bad=opts.null_is_bad)
         reports.append(partial(offending_values, df, name, token))
-        out.summaries.append(partial(flag_summary, out.tables[name], "string_tables", name, VALUE_FLAG))
+        out.flags.append(("string_tables", name, VALUE_FLAG))
     if reports:
         out.reports[VALUE_REPORT] = lambda: union_all(make() for make in reports)
     return out
@@ -155,7 +167,7 @@ def _negative(dfs, cfg, opts: RunOptions) -> RuleOutput:
             continue
         out.reports[NEGATIVE_REPORT.format(name)] = partial(negative_rows, dfs[name], token)
         out.tables[name] = flag_negative(dfs[name], token)
-        out.summaries.append(partial(flag_summary, out.tables[name], "negative", name, NEGATIVE_FLAG))
+        out.flags.append(("negative", name, NEGATIVE_FLAG))
     return out
 
 
@@ -168,7 +180,7 @@ def _date_rule(rule: str, flag_col: str, report_fmt: str) -> RuleFn:
         out = RuleOutput(tables)
         for name, report in reports.items():
             out.reports[report_fmt.format(name)] = partial(lambda r: r, report)
-            out.summaries.append(partial(flag_summary, tables[name], rule, name, flag_col))
+            out.flags.append((rule, name, flag_col))
         return out
 
     return run
@@ -220,7 +232,7 @@ def run_rules(
     opts = options or RunOptions()
     tables = dict(dfs)
     reports: dict[str, Callable[[], DataFrame | None]] = {}
-    summaries: list[Callable[[], DataFrame]] = []
+    flags: list[tuple[str, str, str]] = []
     ran = []
     for rule in sequence:
         fn = reg.get(rule)
@@ -233,6 +245,6 @@ def run_rules(
         res = fn(tables, rules[rule], opts)
         tables = res.tables
         reports.update(res.reports)
-        summaries.extend(res.summaries)
+        flags.extend(res.flags)
         ran.append(rule)
-    return QcResult(tables, LazyFrames(reports), summaries, ran)
+    return QcResult(tables, LazyFrames(reports), flags, ran)
