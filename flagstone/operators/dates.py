@@ -6,10 +6,10 @@ entity id, computed with a partially aggregated group-by. Taking the minimum
 is exactly "any anchor of this id is before the date", so several anchors per
 id flag the same rows without multiplying them. Every checked table is then
 left-joined to that per-id anchor on the id alone, and the inequality is a
-plain filter expression over the joined row. The anchor side has one row per
-id; adaptive execution broadcasts it when its measured size is under the
-broadcast threshold and otherwise sort-merge joins it, splitting skewed ids
-(an id holding a third of the rows) across tasks.
+plain expression over the joined row. The anchor side has one row per id;
+the join is salted for heavy-hitter ids (an id holding a third of the rows is
+spread over many tasks, see :mod:`flagstone.operators.skew`), and adaptive
+execution still broadcasts the anchor when its measured size is small.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import DEATH_DT_FLAG, LAST_DT_FLAG, any_of, col, flag, match_columns, to_time_value
+from .skew import key_counts, salted_join
 
 ANCHOR = "__dq_anchor"
 ANCHOR_ID = "__dq_anchor_id"
@@ -94,24 +95,41 @@ def join_anchor(
     """Rows of ``df`` with the anchor (column ``__dq_anchor``) and the flag.
 
     None when ``df`` has no compared date column or no id column: such a
-    table is left untouched. With ``keep_unmatched_anchor`` the join is a
-    full outer join, adding one row (nulls, id set, flag 0) per anchor id
-    that the table lacks.
+    table is left untouched. With ``keep_unmatched_anchor`` one row (nulls,
+    id set, flag 0) is added per anchor id that the table lacks, as a full
+    outer join would.
     """
     cols = compared_columns(df, spec)
     if not cols or spec.id_column not in df.columns:
         return None
-    values = {c: to_time_value(df, c, spec.dt_type, on_bad) for c in cols}
-    how = "full" if keep_unmatched_anchor else "left"
-    joined = df.join(anchor, col(spec.id_column) == F.col(ANCHOR_ID), how)
-    cond = any_of([F.col(ANCHOR) < v for v in values.values()])
-    out = []
-    for c in df.columns:
-        if c == spec.id_column and keep_unmatched_anchor:
-            out.append(F.coalesce(col(c), F.col(ANCHOR_ID)).alias(c))
-        elif c != flag_col:
-            out.append(col(c))
-    return joined.select(*out, F.col(ANCHOR), flag(cond).alias(flag_col))
+    values = [to_time_value(df, c, spec.dt_type, on_bad) for c in cols]
+    cond = any_of([F.col(ANCHOR) < v for v in values])
+    # Rows per id of this table: heavy-hitter statistics for the salted join
+    # and, with keep_unmatched_anchor, the table's distinct ids.
+    counts = key_counts(df, [spec.id_column], "__dq_rows")
+    joined = salted_join(
+        df, anchor, [spec.id_column], [ANCHOR_ID], "left", counts=counts, counts_keys=[spec.id_column], n_col="__dq_rows"
+    )
+    out = joined.select(*[col(c) for c in df.columns if c != flag_col], F.col(ANCHOR), flag(cond).alias(flag_col))
+    if not keep_unmatched_anchor:
+        return out
+    # Anchor ids the table lacks, as extra rows. Written as an anti-join
+    # against the table's distinct ids (pre-aggregated, so a hot id is one
+    # row per task) instead of a full outer join, whose skewed partitions
+    # adaptive execution cannot split.
+    ids = counts.select(col(spec.id_column).alias("__dq_seen"))
+    extra = anchor.join(ids, F.col(ANCHOR_ID) == F.col("__dq_seen"), "left_anti")
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    extra_rows = extra.select(
+        *[
+            (F.col(ANCHOR_ID).cast(fields[c]) if c == spec.id_column else F.lit(None).cast(fields[c])).alias(c)
+            for c in df.columns
+            if c != flag_col
+        ],
+        F.col(ANCHOR),
+        F.lit(0).cast("int").alias(flag_col),
+    )
+    return out.unionByName(extra_rows)
 
 
 def flag_date_bound(

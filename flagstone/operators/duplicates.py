@@ -1,14 +1,14 @@
 """Duplicate-key rules.
 
-Plan shape (all variants): one hash aggregation on the key columns, which
-Spark runs as a map-side partial aggregate, so a hot key (even a third of all
-rows) is pre-summed inside each input task before anything is shuffled, then
-an equi-join of the rows to the (keys, count) groups. Adaptive execution turns
-that join into a broadcast join when the *measured* size of the groups side is
-under ``spark.sql.adaptive.autoBroadcastJoinThreshold``, and otherwise splits
-skewed partitions of the row side (skew-join) so a hot key is spread over
-many tasks. There is no window over the key, so no task ever holds a whole
-key group, and the row count of the input is kept exactly.
+Plan shape (all variants): one hash aggregation on the key columns — run as
+a map-side partial aggregate, so even a key holding a third of all rows is
+pre-summed inside each input task before anything is shuffled — then a left
+join of the rows to the (keys, count) groups. That join goes through
+:func:`~flagstone.operators.skew.salted_join`, which reuses the same
+aggregate to find heavy-hitter keys and spreads their rows over several
+tasks; adaptive execution may still turn it into a broadcast join when the
+measured size of the groups side is small. There is no window over the key,
+so no task ever holds a whole key group, and the row count is kept exactly.
 """
 
 from __future__ import annotations
@@ -19,8 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import DUP_COUNT, DUP_FLAG, FLAG_DUPLICATION, RESULT, col, flag
+from .skew import key_counts, salted_join
 
 COUNTS = "counts"
+_ROWS = "__dq_rows"
+_N = "__dq_n"
 
 
 def _key_alias(i: int) -> str:
@@ -37,6 +40,13 @@ def _check_keys(df: DataFrame, keys: Sequence[str]) -> list[str]:
     return keys
 
 
+def _all_keys_present(keys: Sequence[str]):
+    cond = col(keys[0]).isNotNull()
+    for k in keys[1:]:
+        cond = cond & col(k).isNotNull()
+    return cond
+
+
 def duplicate_groups(df: DataFrame, keys: Sequence[str], count_col: str = COUNTS) -> DataFrame:
     """Keys that occur at least twice, with their row count.
 
@@ -44,55 +54,57 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str], count_col: str = COUNTS
     group-by drops them).
     """
     keys = _check_keys(df, keys)
-    not_null = [col(k).isNotNull() for k in keys]
-    cond = not_null[0]
-    for c in not_null[1:]:
-        cond = cond & c
     return (
-        df.where(cond)
+        df.where(_all_keys_present(keys))
         .groupBy(*[col(k) for k in keys])
         .agg(F.count(F.lit(1)).alias(count_col))
         .where(F.col(count_col) >= 2)
     )
 
 
-def _join_groups(df: DataFrame, groups: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
-    """Left-join ``groups`` (keys + extra columns) to every row of ``df``.
+def _join_counts(
+    df: DataFrame,
+    counts: DataFrame,
+    groups: DataFrame,
+    keys: Sequence[str],
+    value_col: str,
+    null_safe: bool = False,
+) -> DataFrame:
+    """Left-join ``groups`` (a filter of ``counts``, the per-key row counts)
+    to every row of ``df``; output = ``df``'s columns + ``value_col``.
 
-    Keys of the groups side are renamed first so that names with dots or
-    spaces cannot clash, and the output keeps the column order of ``df``.
+    Keys of the groups side are renamed so that names with dots or spaces
+    cannot clash, and ``counts`` doubles as the heavy-hitter statistics.
     """
-    g = groups.select(
-        *[col(k).alias(_key_alias(i)) for i, k in enumerate(keys)],
-        *[col(c) for c in groups.columns if c not in keys],
-    )
-    conds = [
-        (col(k).eqNullSafe(F.col(_key_alias(i))) if null_safe else col(k) == F.col(_key_alias(i)))
-        for i, k in enumerate(keys)
-    ]
-    cond = conds[0]
-    for c in conds[1:]:
-        cond = cond & c
-    joined = df.join(g, cond, "left")
-    return joined.drop(*[_key_alias(i) for i in range(len(keys))])
+    aliases = [_key_alias(i) for i in range(len(keys))]
+    side = groups.select(*[col(k).alias(a) for k, a in zip(keys, aliases)], F.col(value_col))
+    joined = salted_join(df, side, keys, aliases, "left", null_safe, counts=counts, counts_keys=keys, n_col=_ROWS)
+    return joined.select(*[col(c) for c in df.columns], F.col(value_col))
+
+
+def _dup_join(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` + ``__dq_n``: size of the row's key group when >= 2, else null."""
+    counts = key_counts(df, keys, _ROWS)
+    groups = counts.where(_all_keys_present(keys) & (F.col(_ROWS) >= 2)).withColumn(_N, F.col(_ROWS))
+    return _join_counts(df, counts, groups, keys, _N)
 
 
 def flag_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """All rows of ``df`` plus ``dup_count`` (size of the key group when it is
     at least 2, else 0, as bigint) and ``dup_flag`` (1 when duplicated)."""
     keys = _check_keys(df, keys)
-    groups = duplicate_groups(df, keys, DUP_COUNT)
-    joined = _join_groups(df, groups, keys)
+    joined = _dup_join(df, keys)
     return joined.select(
         *[col(c) for c in df.columns],
-        F.coalesce(F.col(DUP_COUNT), F.lit(0)).cast("bigint").alias(DUP_COUNT),
-        flag(F.col(DUP_COUNT).isNotNull()).alias(DUP_FLAG),
+        F.coalesce(F.col(_N), F.lit(0)).cast("bigint").alias(DUP_COUNT),
+        flag(F.col(_N).isNotNull()).alias(DUP_FLAG),
     )
 
 
 def duplicate_report(df: DataFrame, keys: Sequence[str], order: bool = True) -> DataFrame:
     """Only the duplicated rows: key columns, ``counts``, then the other
-    columns, sorted by the keys when ``order`` (a range-partitioned sort)."""
+    columns, sorted by the keys when ``order`` (a range-partitioned sort;
+    rows of one key stay in input order only within a partition)."""
     keys = _check_keys(df, keys)
     return report_from_flags(flag_duplicates(df, keys), keys, order=order)
 
@@ -105,15 +117,11 @@ def report_from_flags(flagged: DataFrame, keys: Sequence[str], order: bool = Tru
         F.col(DUP_COUNT).alias(COUNTS),
         *[col(c) for c in rest],
     )
-    return out.orderBy(*[col(k) for k in keys]) if order else out
-
-
-def duplicate_summary_counts(flagged: DataFrame) -> DataFrame:
-    """(total, count) of a flagged table in one aggregate."""
-    return flagged.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.coalesce(F.sum(F.col(DUP_FLAG)), F.lit(0)).cast("bigint").alias("count"),
-    )
+    if not order:
+        return out
+    # The unique tie-breaker only orders rows inside a key group; it lets
+    # the range partitioner cut a hot key across several sort tasks.
+    return out.orderBy(*[col(k) for k in keys], F.monotonically_increasing_id())
 
 
 def flag_duplicates_first_key(df: DataFrame, keys: Sequence[str], flag_col: str = FLAG_DUPLICATION) -> DataFrame:
@@ -123,15 +131,16 @@ def flag_duplicates_first_key(df: DataFrame, keys: Sequence[str], flag_col: str
     counts 0. Computed as aggregate + null-safe join, not as a window, so a
     hot group is partially aggregated instead of landing in one task."""
     keys = _check_keys(df, keys)
-    groups = df.groupBy(*[col(k) for k in keys]).agg(F.count(col(keys[0])).alias("__dq_n"))
-    joined = _join_groups(df, groups.where(F.col("__dq_n") > 1), keys, null_safe=True)
-    return joined.select(*[col(c) for c in df.columns], flag(F.col("__dq_n").isNotNull()).alias(flag_col))
+    counts = df.groupBy(*[col(k) for k in keys]).agg(
+        F.count(F.lit(1)).alias(_ROWS), F.count(col(keys[0])).alias(_N)
+    )
+    joined = _join_counts(df, counts, counts.where(F.col(_N) > 1), keys, _N, null_safe=True)
+    return joined.select(*[col(c) for c in df.columns], flag(F.col(_N).isNotNull()).alias(flag_col))
 
 
 def unique_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """All rows plus boolean ``result``: True when the key occurs once (rows
     with a null key pass)."""
     keys = _check_keys(df, keys)
-    groups = duplicate_groups(df, keys, "__dq_n")
-    joined = _join_groups(df, groups, keys)
-    return joined.select(*[col(c) for c in df.columns], F.col("__dq_n").isNull().alias(RESULT))
+    joined = _dup_join(df, keys)
+    return joined.select(*[col(c) for c in df.columns], F.col(_N).isNull().alias(RESULT))

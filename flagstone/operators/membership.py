@@ -2,9 +2,10 @@
 
 The superset is reduced to its distinct keys (partially aggregated, so a key
 repeated a billion times is one row per task before the shuffle) and joined
-to the subset. Adaptive execution broadcasts that key set when its measured
-size allows and otherwise runs a sort-merge join with skew splitting; no
-``NOT IN`` (which would become a broadcast nested-loop join).
+to the subset with heavy-hitter subset keys salted (see
+:mod:`flagstone.operators.skew`); adaptive execution still broadcasts the
+key set when its measured size allows. No ``NOT IN`` (which would become a
+broadcast nested-loop join).
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import RESULT, col
+from .skew import salted_join
 
 _MARK = "__dq_present"
 
@@ -23,16 +25,6 @@ def _keys(cols: str | Sequence[str]) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def _condition(subset_keys, aliases, null_safe):
-    conds = [
-        col(k).eqNullSafe(F.col(a)) if null_safe else col(k) == F.col(a) for k, a in zip(subset_keys, aliases)
-    ]
-    cond = conds[0]
-    for c in conds[1:]:
-        cond = cond & c
-    return cond
-
-
 def _key_set(superset: DataFrame, keys: list[str], aliases: list[str]) -> DataFrame:
     return superset.select(*[col(k).alias(a) for k, a in zip(keys, aliases)]).distinct()
 
@@ -53,7 +45,7 @@ def mappable_id(
         raise ValueError("subset and superset key lists differ in length")
     aliases = [f"__dq_sk{i}" for i in range(len(keys))]
     present = _key_set(superset, sup_keys, aliases).withColumn(_MARK, F.lit(True))
-    joined = subset.join(present, _condition(keys, aliases, null_safe), "left")
+    joined = salted_join(subset, present, keys, aliases, "left", null_safe)
     return joined.select(*[col(c) for c in subset.columns], F.col(_MARK).isNotNull().alias(RESULT))
 
 
@@ -68,4 +60,4 @@ def unmapped_rows(
     keys = _keys(columns)
     sup_keys = _keys(superset_columns) if superset_columns is not None else keys
     aliases = [f"__dq_sk{i}" for i in range(len(keys))]
-    return subset.join(_key_set(superset, sup_keys, aliases), _condition(keys, aliases, null_safe), "left_anti")
+    return salted_join(subset, _key_set(superset, sup_keys, aliases), keys, aliases, "left_anti", null_safe)
