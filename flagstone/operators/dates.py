@@ -106,7 +106,7 @@ def join_anchor(
     cond = any_of([F.col(ANCHOR) < v for v in values])
     # Rows per id of this table: heavy-hitter statistics for the salted join
     # and, with keep_unmatched_anchor, the table's distinct ids.
-    counts = key_counts(df, [spec.id_column], "__dq_rows")
+    counts = key_counts(df, [spec.id_column], "__dq_rows", null_keys=False)
     joined = salted_join(
         df, anchor, [spec.id_column], [ANCHOR_ID], "left", counts=counts, counts_keys=[spec.id_column], n_col="__dq_rows"
     )

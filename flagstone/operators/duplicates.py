@@ -84,8 +84,8 @@ def _join_counts(
 
 def _dup_join(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``df`` + ``__dq_n``: size of the row's key group when >= 2, else null."""
-    counts = key_counts(df, keys, _ROWS)
-    groups = counts.where(_all_keys_present(keys) & (F.col(_ROWS) >= 2)).withColumn(_N, F.col(_ROWS))
+    counts = key_counts(df, keys, _ROWS, null_keys=False)
+    groups = counts.where(F.col(_ROWS) >= 2).withColumn(_N, F.col(_ROWS))
     return _join_counts(df, counts, groups, keys, _N)
 
 

@@ -9,21 +9,25 @@ here because the side is an aggregate, not a bare shuffle.
 
 So heavy hitters are split explicitly:
 
-1. ``key_counts`` (rows per key, partially aggregated) gives the keys with
-   more than ``hot_rows`` rows; only the ``max_hot`` largest are kept, so
-   the hot list has a proven size bound (``max_hot`` rows of a 64-bit key
-   hash and a salt count) and is broadcast.
-2. A row whose key hash is hot gets a salt in ``[0, ceil(n / hot_rows))``;
-   other rows get salt 0.
-3. A side row whose key hash is hot is repeated once per salt value.
+1. ``key_counts`` (rows per key, partially aggregated — for the duplicate
+   rule it is the very aggregate the rule needs) gives the keys with more
+   than ``hot_rows`` rows; only the ``max_hot`` largest are kept, so the hot
+   list has a proven size bound and is broadcast. It holds the key values
+   themselves when every key column has a fixed width, else a 64-bit hash of
+   them, plus a salt count ``ceil(n / hot_rows)``.
+2. A row whose key is hot gets a salt in ``[0, salt count)``; other rows get
+   salt 0. In a join that is not null-safe a row with a null key can match
+   nothing, so it gets a spread-out salt for free (no side copies needed):
+   a third of the rows with a null key does not land in one task either.
+3. A side row whose key is hot is repeated once per salt value.
 4. Rows and side are joined on the keys *and* the salt.
 
 Each salt bucket of a hot key holds about ``hot_rows`` rows, so the key is
 spread over that many tasks; the side grows by at most
-``rows / hot_rows + max_hot`` copies. A hash collision only salts a cold key
-and repeats its side row as well, which keeps the join exact. Keys ranked
-below ``max_hot`` stay unsalted; each of them holds at most
-``1 / max_hot`` of the rows.
+``rows / hot_rows + max_hot`` copies. With hashed keys a collision only
+salts a cold key and repeats its side row as well, which keeps the join
+exact. Keys ranked below ``max_hot`` stay unsalted; each of them holds at
+most ``1 / max_hot`` of the rows.
 """
 
 from __future__ import annotations
@@ -32,6 +36,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import col
 
@@ -47,6 +52,11 @@ _NSALT = "__dq_nsalt"
 _SALT = "__dq_salt"
 _SIDE_SALT = "__dq_side_salt"
 _N = "__dq_key_rows"
+_HK = "__dq_hot_k"
+# Salt range for rows with a null key in joins that are not null-safe.
+NULL_SPREAD = 4096
+_FIXED = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+          T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def _settings(df: DataFrame, hot_rows: int | None, max_hot: int | None) -> tuple[int, int]:
@@ -62,20 +72,30 @@ def key_hash(cols: Sequence[Column]) -> Column:
     return F.xxhash64(*cols)
 
 
-def key_counts(rows: DataFrame, keys: Sequence[str], n_col: str = _N) -> DataFrame:
-    """Rows per key value, null keys included (partial aggregation)."""
-    return rows.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias(n_col))
+def _and(conds: Sequence[Column]) -> Column:
+    out = conds[0]
+    for c in conds[1:]:
+        out = out & c
+    return out
 
 
-def hot_keys(
-    counts: DataFrame, keys: Sequence[str], n_col: str, hot_rows: int, max_hot: int
-) -> DataFrame:
-    """``(hash, salts)`` for at most ``max_hot`` keys with more than
-    ``hot_rows`` rows — small by construction, safe to broadcast."""
-    top = counts.where(F.col(n_col) > hot_rows).orderBy(F.col(n_col).desc()).limit(max_hot)
-    return top.groupBy(key_hash([col(k) for k in keys]).alias(_H)).agg(
-        F.max(F.ceil(F.col(n_col) / F.lit(hot_rows))).cast("int").alias(_NSALT)
-    )
+def non_null_keys(keys: Sequence[str]) -> Column:
+    return _and([col(k).isNotNull() for k in keys])
+
+
+def key_counts(rows: DataFrame, keys: Sequence[str], n_col: str = _N, null_keys: bool = True) -> DataFrame:
+    """Rows per key value (partial aggregation); rows with a null key are
+    left out unless ``null_keys``."""
+    src = rows if null_keys else rows.where(non_null_keys(keys))
+    return src.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias(n_col))
+
+
+def _top(counts: DataFrame, n_col: str, hot_rows: int, max_hot: int) -> DataFrame:
+    return counts.where(F.col(n_col) > hot_rows).orderBy(F.col(n_col).desc()).limit(max_hot)
+
+
+def _salts(n_col: str, hot_rows: int) -> Column:
+    return F.ceil(F.col(n_col) / F.lit(hot_rows)).cast("int").alias(_NSALT)
 
 
 def salted_join(
@@ -92,41 +112,57 @@ def salted_join(
     max_hot: int | None = None,
 ) -> DataFrame:
     """``rows`` joined (``left`` or ``left_anti``) to ``side`` on
-    ``row_keys == side_keys``, with heavy-hitter keys salted.
+    ``row_keys == side_keys`` (null-safe equality if ``null_safe``), with
+    heavy-hitter keys salted.
 
     ``counts`` (key columns ``counts_keys`` + ``n_col``) may be passed when
-    the caller already has the row count per key; otherwise it is computed.
-    Side key columns must not share names with row columns.
+    the caller already has the row count per key — without null keys unless
+    the join is null-safe; otherwise it is computed. Side key columns must
+    not share names with row columns.
     """
     if how not in ("left", "left_anti"):
         raise ValueError("salted_join supports left and left_anti joins")
     row_keys, side_keys = list(row_keys), list(side_keys)
     hot_rows, max_hot = _settings(rows, hot_rows, max_hot)
     if counts is None:
-        counts, counts_keys, n_col = key_counts(rows, row_keys), row_keys, _N
-    hot = F.broadcast(hot_keys(counts, counts_keys or row_keys, n_col, hot_rows, max_hot))
+        counts, counts_keys, n_col = key_counts(rows, row_keys, _N, null_keys=null_safe), row_keys, _N
+    counts_keys = list(counts_keys or row_keys)
+    top = _top(counts, n_col, hot_rows, max_hot)
+
+    def eq(a: Column, b: Column) -> Column:
+        return a.eqNullSafe(b) if null_safe else a == b
 
     row_types = {f.name: f.dataType for f in rows.schema.fields}
-    side_types = {f.name: f.dataType for f in side.schema.fields}
-    side_hash_cols = [
-        col(s) if side_types[s] == row_types[r] else col(s).try_cast(row_types[r]) for r, s in zip(row_keys, side_keys)
-    ]
-
-    salted_rows = (
-        rows.join(hot, key_hash([col(k) for k in row_keys]) == F.col(_H), "left")
-        .withColumn(_SALT, F.coalesce(F.pmod(F.monotonically_increasing_id(), F.col(_NSALT)).cast("int"), F.lit(0)))
-        .drop(_H, _NSALT)
-    )
-    salts = F.when(F.col(_NSALT).isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col(_NSALT) - 1))
-    spread_side = side.join(hot, key_hash(side_hash_cols) == F.col(_H), "left").select(
-        *[col(c) for c in side.columns], F.explode(salts).alias(_SIDE_SALT)
-    )
-
-    conds = [
-        col(r).eqNullSafe(col(s)) if null_safe else col(r) == col(s) for r, s in zip(row_keys, side_keys)
-    ]
-    cond = F.col(_SALT) == F.col(_SIDE_SALT)
-    for c in conds:
-        cond = cond & c
-    joined = salted_rows.join(spread_side, cond, how)
-    return joined.drop(_SALT, _SIDE_SALT)
+    if all(isinstance(row_types[k], _FIXED) for k in row_keys):
+        # at most max_hot rows of fixed-width keys: a proven broadcast bound
+        hk = [f"{_HK}{i}" for i in range(len(row_keys))]
+        hot = F.broadcast(top.select(*[col(c).alias(h) for c, h in zip(counts_keys, hk)], _salts(n_col, hot_rows)))
+        row_match = _and([eq(col(k), F.col(h)) for k, h in zip(row_keys, hk)])
+        side_match = _and([eq(col(k), F.col(h)) for k, h in zip(side_keys, hk)])
+        hot_cols = [*hk, _NSALT]
+    else:
+        # wide keys: broadcast a 64-bit hash instead (deduplicated, as two
+        # hot keys may share a hash)
+        hot = F.broadcast(
+            top.groupBy(key_hash([col(k) for k in counts_keys]).alias(_H)).agg(F.max(_salts(n_col, hot_rows)).alias(_NSALT))
+        )
+        side_types = {f.name: f.dataType for f in side.schema.fields}
+        side_hash = [
+            col(s) if side_types[s] == row_types[r] else col(s).try_cast(row_types[r]) for r, s in zip(row_keys, side_keys)
+        ]
+        row_match = key_hash([col(k) for k in row_keys]) == F.col(_H)
+        side_match = key_hash(side_hash) == F.col(_H)
+        hot_cols = [_H, _NSALT]
+
+    spread = F.pmod(F.monotonically_increasing_id(), F.col(_NSALT)).cast("int")
+    salt = F.when(F.col(_NSALT).isNotNull(), spread)
+    if not null_safe:
+        free = F.pmod(F.monotonically_increasing_id(), F.lit(NULL_SPREAD)).cast("int")
+        salt = salt.when(~non_null_keys(row_keys), free)
+    salted_rows = rows.join(hot, row_match, "left").withColumn(_SALT, salt.otherwise(F.lit(0))).drop(*hot_cols)
+
+    copies = F.when(F.col(_NSALT).isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col(_NSALT) - 1))
+    spread_side = side.join(hot, side_match, "left").select(*[col(c) for c in side.columns], F.explode(copies).alias(_SIDE_SALT))
+
+    cond = _and([F.col(_SALT) == F.col(_SIDE_SALT), *[eq(col(r), col(s)) for r, s in zip(row_keys, side_keys)]])
+    return salted_rows.join(spread_side, cond, how).drop(_SALT, _SIDE_SALT)

@@ -76,3 +76,19 @@ def test_membership_and_dates_hot_key_is_split(spark):
         assert _max_task_rows(flagged) < N // 6
     finally:
         _restore(spark, old)
+
+
+def test_null_key_rows_are_spread(spark):
+    old = _force_shuffle_join(spark)
+    try:
+        # a third of the rows have a null key: they match nothing, but must
+        # not all be shuffled to the one partition that null hashes to
+        df = spark.range(N).select(
+            F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 1000).alias("k"), F.col("id").alias("v")
+        )
+        out = flag_duplicates(df, ["k"])
+        assert out.where("dup_flag = 1").count() == N - N // 3
+        assert out.where("k IS NULL AND dup_flag = 0").count() == N // 3
+        assert _max_task_rows(out) < N // 6
+    finally:
+        _restore(spark, old)
