@@ -91,6 +91,7 @@ def join_anchor(
     flag_col: str,
     keep_unmatched_anchor: bool = False,
     on_bad: str = "null",
+    source: DataFrame | None = None,
 ) -> DataFrame | None:
     """Rows of ``df`` with the anchor (column ``__dq_anchor``) and the flag.
 
@@ -106,7 +107,7 @@ def join_anchor(
     cond = any_of([F.col(ANCHOR) < v for v in values])
     # Rows per id of this table: heavy-hitter statistics for the salted join
     # and, with keep_unmatched_anchor, the table's distinct ids.
-    counts = key_counts(df, [spec.id_column], "__dq_rows", null_keys=False)
+    counts = key_counts(df if source is None else source, [spec.id_column], "__dq_rows", null_keys=False)
     joined = salted_join(
         df, anchor, [spec.id_column], [ANCHOR_ID], "left", counts=counts, counts_keys=[spec.id_column], n_col="__dq_rows"
     )
@@ -139,6 +140,7 @@ def flag_date_bound(
     flag_col: str = LAST_DT_FLAG,
     keep_unmatched_anchor: bool = False,
     on_bad: str = "null",
+    source: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """``(flagged, report)`` for one table.
 
@@ -146,7 +148,7 @@ def flag_date_bound(
     violating rows with the limit date under the name of the limit column
     (replacing the table's own column of that name) and the flag.
     """
-    joined = join_anchor(df, anchor, spec, flag_col, keep_unmatched_anchor, on_bad)
+    joined = join_anchor(df, anchor, spec, flag_col, keep_unmatched_anchor, on_bad, source)
     if joined is None:
         return df, None
     flagged = joined.drop(ANCHOR)
@@ -164,21 +166,27 @@ def date_bound(
     keep_unmatched_anchor: bool = False,
     on_bad: str = "null",
     tables: Sequence[str] | None = None,
+    sources: Mapping[str, DataFrame] | None = None,
 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """Apply the rule to every table of ``dfs`` (or ``tables``).
 
-    Returns the new table dict and ``{table: report}`` for tables that have
-    compared columns.
+    ``sources`` may hold, per table, a copy with the same rows and data
+    columns (the input before earlier rules added flags); the anchor and the
+    per-id statistics are then computed from it. Returns the new table dict
+    and ``{table: report}`` for tables that have compared columns.
     """
+    sources = sources or {}
     if not isinstance(spec, DateBoundSpec):
         spec = DateBoundSpec.from_dict(spec)
     if spec.table not in dfs:
         raise ValueError(f"anchor table {spec.table!r} not in the delivery")
-    anchor = anchor_dates(dfs[spec.table], spec, on_bad)
+    anchor = anchor_dates(sources.get(spec.table, dfs[spec.table]), spec, on_bad)
     out = dict(dfs)
     reports = {}
     for name in tables or list(dfs):
-        flagged, report = flag_date_bound(dfs[name], anchor, spec, flag_col, keep_unmatched_anchor, on_bad)
+        flagged, report = flag_date_bound(
+            dfs[name], anchor, spec, flag_col, keep_unmatched_anchor, on_bad, sources.get(name)
+        )
         out[name] = flagged
         if report is not None:
             reports[name] = report

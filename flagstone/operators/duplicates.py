@@ -82,18 +82,23 @@ def _join_counts(
     return joined.select(*[col(c) for c in df.columns], F.col(value_col))
 
 
-def _dup_join(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``df`` + ``__dq_n``: size of the row's key group when >= 2, else null."""
-    counts = key_counts(df, keys, _ROWS, null_keys=False)
+def _dup_join(df: DataFrame, keys: Sequence[str], source: DataFrame | None = None) -> DataFrame:
+    """``df`` + ``__dq_n``: size of the row's key group when >= 2, else null.
+
+    ``source`` — a table with the same rows and key columns as ``df`` (e.g.
+    the input before earlier rules appended flags) — is where the per-key
+    counts are computed, so earlier rules' joins are not re-run for them.
+    """
+    counts = key_counts(df if source is None else source, keys, _ROWS, null_keys=False)
     groups = counts.where(F.col(_ROWS) >= 2).withColumn(_N, F.col(_ROWS))
     return _join_counts(df, counts, groups, keys, _N)
 
 
-def flag_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def flag_duplicates(df: DataFrame, keys: Sequence[str], source: DataFrame | None = None) -> DataFrame:
     """All rows of ``df`` plus ``dup_count`` (size of the key group when it is
     at least 2, else 0, as bigint) and ``dup_flag`` (1 when duplicated)."""
     keys = _check_keys(df, keys)
-    joined = _dup_join(df, keys)
+    joined = _dup_join(df, keys, source)
     return joined.select(
         *[col(c) for c in df.columns],
         F.coalesce(F.col(_N), F.lit(0)).cast("bigint").alias(DUP_COUNT),
@@ -138,9 +143,9 @@ def flag_duplicates_first_key(df: DataFrame, keys: Sequence[str], flag_col: str
     return joined.select(*[col(c) for c in df.columns], flag(F.col(_N).isNotNull()).alias(flag_col))
 
 
-def unique_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def unique_key(df: DataFrame, keys: Sequence[str], source: DataFrame | None = None) -> DataFrame:
     """All rows plus boolean ``result``: True when the key occurs once (rows
     with a null key pass)."""
     keys = _check_keys(df, keys)
-    joined = _dup_join(df, keys)
+    joined = _dup_join(df, keys, source)
     return joined.select(*[col(c) for c in df.columns], F.col(_N).isNull().alias(RESULT))

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import partial
 from typing import Any
 
@@ -44,8 +44,16 @@ class RunOptions:
     order_reports: bool = True  # sort duplicate reports by key
     blank_is_missing: bool = True  # white-space-only text counts as missing
     null_is_bad: bool = True  # a null numeric cell fails the numeric test
-    keep_unmatched_anchor: bool = False  # date rules: full outer join
+    keep_unmatched_anchor: bool = False  # date rules: add rows for anchor-only ids
     on_bad_date: str = "null"  # or "fail"
+    # Set by run_rules: the input tables. Rules never change data columns
+    # and keep the row count, so per-key statistics, anchors and data-column
+    # reports are computed from these instead of re-running earlier rules.
+    sources: Mapping[str, DataFrame] = field(default_factory=dict)
+
+
+def _source(opts: RunOptions, name: str, current: DataFrame) -> DataFrame:
+    return opts.sources.get(name, current)
 
 
 class LazyFrames(Mapping):
@@ -111,7 +119,7 @@ def _duplication(dfs, cfg: Mapping[str, Sequence[str]], opts: RunOptions) -> Rul
         if name not in dfs:
             log.warning("duplication: table %s not in delivery, skipped", name)
             continue
-        flagged = flag_duplicates(dfs[name], keys)
+        flagged = flag_duplicates(dfs[name], keys, source=opts.sources.get(name))
         out.tables[name] = flagged
         out.reports[DUP_REPORT.format(name)] = partial(report_from_flags, flagged, keys, order=opts.order_reports)
         out.flags.append(("duplication", name, DUP_FLAG))
@@ -125,7 +133,7 @@ def _missing(dfs, cfg: Mapping[str, Sequence[str]] | None, opts: RunOptions) ->
     for name, df in dfs.items():
         cols = cfg.get(name) or None
         out.tables[name] = flag_missing(df, cols, opts.blank_is_missing)
-        reports.append(partial(missing_by_column, df, name, cols, opts.blank_is_missing))
+        reports.append(partial(missing_by_column, _source(opts, name, df), name, cols, opts.blank_is_missing))
         out.flags.append(("missing", name, MISSING_FLAG))
     if reports:
         out.reports[MISSING_REPORT] = lambda: union_all(make() for make in reports)
@@ -152,7 +160,7 @@ def _string_tables(dfs, cfg, opts: RunOptions) -> RuleOutput:
         if not value_columns(df, token):
             continue
         out.tables[name] = flag_non_numeric(df, token, null_is_bad=opts.null_is_bad)
-        reports.append(partial(offending_values, df, name, token))
+        reports.append(partial(offending_values, _source(opts, name, df), name, token))
         out.flags.append(("string_tables", name, VALUE_FLAG))
     if reports:
         out.reports[VALUE_REPORT] = lambda: union_all(make() for make in reports)
@@ -165,7 +173,7 @@ def _negative(dfs, cfg, opts: RunOptions) -> RuleOutput:
     for name in tables or list(dfs):
         if name not in dfs or not value_columns(dfs[name], token):
             continue
-        out.reports[NEGATIVE_REPORT.format(name)] = partial(negative_rows, dfs[name], token)
+        out.reports[NEGATIVE_REPORT.format(name)] = partial(negative_rows, _source(opts, name, dfs[name]), token)
         out.tables[name] = flag_negative(dfs[name], token)
         out.flags.append(("negative", name, NEGATIVE_FLAG))
     return out
@@ -175,7 +183,12 @@ def _date_rule(rule: str, flag_col: str, report_fmt: str) -> RuleFn:
     def run(dfs, cfg, opts: RunOptions) -> RuleOutput:
         spec = DateBoundSpec.from_dict(cfg)
         tables, reports = date_bound(
-            dfs, spec, flag_col, keep_unmatched_anchor=opts.keep_unmatched_anchor, on_bad=opts.on_bad_date
+            dfs,
+            spec,
+            flag_col,
+            keep_unmatched_anchor=opts.keep_unmatched_anchor,
+            on_bad=opts.on_bad_date,
+            sources=opts.sources,
         )
         out = RuleOutput(tables)
         for name, report in reports.items():
@@ -192,7 +205,7 @@ def _frequency(dfs, cfg: Mapping[str, Mapping[str, Sequence[str]]], opts: RunOpt
         if name not in dfs:
             continue
         for label, cols in groups.items():
-            out.reports[FREQUENCY_REPORT.format(name, label)] = partial(frequency, dfs[name], cols, name, label)
+            out.reports[FREQUENCY_REPORT.format(name, label)] = partial(frequency, _source(opts, name, dfs[name]), cols, name, label)
     return out
 
 
@@ -229,7 +242,10 @@ def run_rules(
 ) -> QcResult:
     """Apply ``sequence`` of rules (configs in ``rules``) to ``dfs``."""
     reg = rule_registry() if registry is None else dict(registry)
-    opts = options or RunOptions()
+    opts = replace(options or RunOptions())
+    # Unmatched anchor ids add rows, after which inputs no longer stand in
+    # for the current tables.
+    opts.sources = {} if opts.keep_unmatched_anchor else dict(dfs)
     tables = dict(dfs)
     reports: dict[str, Callable[[], DataFrame | None]] = {}
     flags: list[tuple[str, str, str]] = []
