@@ -109,9 +109,10 @@ def join_anchor(
     # and, with keep_unmatched_anchor, the table's distinct ids.
     counts = key_counts(df if source is None else source, [spec.id_column], "__dq_rows", null_keys=False)
     joined = salted_join(
-        df, anchor, [spec.id_column], [ANCHOR_ID], "left", counts=counts, counts_keys=[spec.id_column], n_col="__dq_rows"
+        df.drop(flag_col), anchor, [spec.id_column], [ANCHOR_ID], "left", counts=counts,
+        counts_keys=[spec.id_column], n_col="__dq_rows",
     )
-    out = joined.select(*[col(c) for c in df.columns if c != flag_col], F.col(ANCHOR), flag(cond).alias(flag_col))
+    out = joined.drop(ANCHOR_ID).withColumn(flag_col, flag(cond))
     if not keep_unmatched_anchor:
         return out
     # Anchor ids the table lacks, as extra rows. Written as an anti-join

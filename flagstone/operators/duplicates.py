@@ -79,7 +79,7 @@ def _join_counts(
     aliases = [_key_alias(i) for i in range(len(keys))]
     side = groups.select(*[col(k).alias(a) for k, a in zip(keys, aliases)], F.col(value_col))
     joined = salted_join(df, side, keys, aliases, "left", null_safe, counts=counts, counts_keys=keys, n_col=_ROWS)
-    return joined.select(*[col(c) for c in df.columns], F.col(value_col))
+    return joined.drop(*aliases)
 
 
 def _dup_join(df: DataFrame, keys: Sequence[str], source: DataFrame | None = None) -> DataFrame:
@@ -98,12 +98,13 @@ def flag_duplicates(df: DataFrame, keys: Sequence[str], source: DataFrame | None
     """All rows of ``df`` plus ``dup_count`` (size of the key group when it is
     at least 2, else 0, as bigint) and ``dup_flag`` (1 when duplicated)."""
     keys = _check_keys(df, keys)
-    joined = _dup_join(df, keys, source)
-    return joined.select(
-        *[col(c) for c in df.columns],
-        F.coalesce(F.col(_N), F.lit(0)).cast("bigint").alias(DUP_COUNT),
-        flag(F.col(_N).isNotNull()).alias(DUP_FLAG),
-    )
+    joined = _dup_join(df.drop(DUP_COUNT, DUP_FLAG), keys, source)
+    return joined.withColumns(
+        {
+            DUP_COUNT: F.coalesce(F.col(_N), F.lit(0)).cast("bigint"),
+            DUP_FLAG: flag(F.col(_N).isNotNull()),
+        }
+    ).drop(_N)
 
 
 def duplicate_report(df: DataFrame, keys: Sequence[str], order: bool = True) -> DataFrame:
@@ -139,13 +140,13 @@ def flag_duplicates_first_key(df: DataFrame, keys: Sequence[str], flag_col: str
     counts = df.groupBy(*[col(k) for k in keys]).agg(
         F.count(F.lit(1)).alias(_ROWS), F.count(col(keys[0])).alias(_N)
     )
-    joined = _join_counts(df, counts, counts.where(F.col(_N) > 1), keys, _N, null_safe=True)
-    return joined.select(*[col(c) for c in df.columns], flag(F.col(_N).isNotNull()).alias(flag_col))
+    joined = _join_counts(df.drop(flag_col), counts, counts.where(F.col(_N) > 1), keys, _N, null_safe=True)
+    return joined.withColumn(flag_col, flag(F.col(_N).isNotNull())).drop(_N)
 
 
 def unique_key(df: DataFrame, keys: Sequence[str], source: DataFrame | None = None) -> DataFrame:
     """All rows plus boolean ``result``: True when the key occurs once (rows
     with a null key pass)."""
     keys = _check_keys(df, keys)
-    joined = _dup_join(df, keys, source)
-    return joined.select(*[col(c) for c in df.columns], F.col(_N).isNull().alias(RESULT))
+    joined = _dup_join(df.drop(RESULT), keys, source)
+    return joined.withColumn(RESULT, F.col(_N).isNull()).drop(_N)

@@ -45,8 +45,8 @@ def mappable_id(
         raise ValueError("subset and superset key lists differ in length")
     aliases = [f"__dq_sk{i}" for i in range(len(keys))]
     present = _key_set(superset, sup_keys, aliases).withColumn(_MARK, F.lit(True))
-    joined = salted_join(subset, present, keys, aliases, "left", null_safe)
-    return joined.select(*[col(c) for c in subset.columns], F.col(_MARK).isNotNull().alias(RESULT))
+    joined = salted_join(subset.drop(RESULT), present, keys, aliases, "left", null_safe)
+    return joined.withColumn(RESULT, F.col(_MARK).isNotNull()).drop(_MARK, *aliases)
 
 
 def unmapped_rows(

@@ -35,7 +35,7 @@ def flag_missing(
     (strings) blank. ``columns`` None or empty checks every data column."""
     cols = _columns(df, columns)
     cond = any_of([is_missing(df, c, blank_is_missing) for c in cols])
-    return df.select(*[col(c) for c in df.columns if c != flag_col], flag(cond).alias(flag_col))
+    return df.withColumn(flag_col, flag(cond))
 
 
 def flag_missing_null_only(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -58,7 +58,7 @@ def flag_non_numeric(
     if not cols:
         return df
     cond = any_of([_bad(df, c, null_is_bad) for c in cols])
-    return df.select(*[col(c) for c in df.columns if c != flag_col], flag(cond).alias(flag_col))
+    return df.withColumn(flag_col, flag(cond))
 
 
 def flag_non_numeric_spark(df: DataFrame, token: str = "value", columns: Sequence[str] | None = None) -> DataFrame:
@@ -118,4 +118,4 @@ def flag_negative(
     cols = value_columns(df, token, columns)
     if not cols:
         return df
-    return df.select(*[col(c) for c in df.columns if c != flag_col], flag(_negative(df, cols)).alias(flag_col))
+    return df.withColumn(flag_col, flag(_negative(df, cols)))

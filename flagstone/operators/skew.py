@@ -162,7 +162,7 @@ def salted_join(
     salted_rows = rows.join(hot, row_match, "left").withColumn(_SALT, salt.otherwise(F.lit(0))).drop(*hot_cols)
 
     copies = F.when(F.col(_NSALT).isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col(_NSALT) - 1))
-    spread_side = side.join(hot, side_match, "left").select(*[col(c) for c in side.columns], F.explode(copies).alias(_SIDE_SALT))
+    spread_side = side.join(hot, side_match, "left").withColumn(_SIDE_SALT, F.explode(copies)).drop(*hot_cols)
 
     cond = _and([F.col(_SALT) == F.col(_SIDE_SALT), *[eq(col(r), col(s)) for r, s in zip(row_keys, side_keys)]])
     return salted_rows.join(spread_side, cond, how).drop(_SALT, _SIDE_SALT)
