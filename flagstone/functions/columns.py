@@ -173,7 +173,7 @@ def to_time_value(df: DataFrame, name: str, dt_type: str = "datetime", on_bad: s
     dt = dtype_of(df, name)
     if dt_type == "float":
         if isinstance(dt, T.StringType):
-            v = F.regexp_replace(c, UNKNOWN_DAY_TOKEN, UNKNOWN_DAY_VALUE).try_cast("double")
+            v = F.replace(c, F.lit(UNKNOWN_DAY_TOKEN), F.lit(UNKNOWN_DAY_VALUE)).try_cast("double")
             if on_bad == "fail":
                 v = F.when(
                     c.isNotNull() & ~c.rlike(BLANK_PATTERN) & v.isNull(),
@@ -189,7 +189,7 @@ def to_time_value(df: DataFrame, name: str, dt_type: str = "datetime", on_bad: s
     if isinstance(dt, (T.DateType, T.TimestampType)):
         return c.cast("timestamp_ntz")
     if isinstance(dt, T.StringType):
-        text = F.regexp_replace(c, UNKNOWN_DAY_TOKEN, UNKNOWN_DAY_VALUE)
+        text = F.replace(c, F.lit(UNKNOWN_DAY_TOKEN), F.lit(UNKNOWN_DAY_VALUE))
         parsed = F.coalesce(*[F.try_to_timestamp(text, F.lit(p)) for p in DATE_PATTERNS])
         v = parsed.cast("timestamp_ntz")
         if on_bad == "fail":

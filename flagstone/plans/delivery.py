@@ -87,7 +87,7 @@ def run_delivery(
             write_delimited(df, path, single_file=single_file)
             outputs[n] = path
     for name in res.reports:
-        report = res.reports[name]
+        report = res.report(name, flagged)
         if report is None:
             continue
         path = os.path.join(output_loc, sanitize_table_name(name) + ".csv")

@@ -85,6 +85,8 @@ class RuleOutput:
     reports: dict[str, Callable[[], DataFrame | None]] = field(default_factory=dict)
     # (rule, table, flag column) for every flag a rule appended
     flags: list[tuple[str, str, str]] = field(default_factory=list)
+    # reports that can be derived from the final flagged tables alone
+    stored_reports: dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]] = field(default_factory=dict)
 
 
 @dataclass
@@ -93,6 +95,15 @@ class QcResult:
     reports: LazyFrames
     flags: list[tuple[str, str, str]]
     rules_run: list[str]
+    stored_reports: dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]] = field(default_factory=dict)
+
+    def report(self, name: str, tables: Mapping[str, DataFrame] | None = None) -> DataFrame | None:
+        """Report ``name``; with ``tables`` (stored copies of the flagged
+        tables) reports that only need the flags read them instead of
+        recomputing the rule."""
+        if tables is not None and name in self.stored_reports:
+            return self.stored_reports[name](tables)
+        return self.reports[name]
 
     def summary(self, tables: Mapping[str, DataFrame] | None = None) -> DataFrame | None:
         """Summary rows ``(rule, tbl, total, count, percent)`` for every flag.
@@ -122,10 +133,15 @@ def _duplication(dfs, cfg: Mapping[str, Sequence[str]], opts: RunOptions) -> Rul
         flagged = flag_duplicates(dfs[name], keys, source=opts.sources.get(name))
         out.tables[name] = flagged
         out.reports[DUP_REPORT.format(name)] = partial(report_from_flags, flagged, keys, order=opts.order_reports)
+        out.stored_reports[DUP_REPORT.format(name)] = partial(_dup_report_from, name, keys, opts.order_reports)
         out.flags.append(("duplication", name, DUP_FLAG))
     return out
 
 
+def _dup_report_from(name: str, keys: Sequence[str], order: bool, tables: Mapping[str, DataFrame]) -> DataFrame:
+    return report_from_flags(tables[name], keys, order=order)
+
+
 def _missing(dfs, cfg: Mapping[str, Sequence[str]] | None, opts: RunOptions) -> RuleOutput:
     cfg = cfg or {}
     out = RuleOutput(dict(dfs))
@@ -249,6 +265,7 @@ def run_rules(
     tables = dict(dfs)
     reports: dict[str, Callable[[], DataFrame | None]] = {}
     flags: list[tuple[str, str, str]] = []
+    stored: dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]] = {}
     ran = []
     for rule in sequence:
         fn = reg.get(rule)
@@ -262,5 +279,6 @@ def run_rules(
         tables = res.tables
         reports.update(res.reports)
         flags.extend(res.flags)
+        stored.update(res.stored_reports)
         ran.append(rule)
-    return QcResult(tables, LazyFrames(reports), flags, ran)
+    return QcResult(tables, LazyFrames(reports), flags, ran, stored)
