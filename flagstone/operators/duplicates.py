@@ -18,12 +18,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
 from ..functions.columns import DUP_COUNT, DUP_FLAG, FLAG_DUPLICATION, RESULT, col, flag
-from .skew import key_counts, salted_join
+from .skew import key_counts, key_hash, salted_join
 
 COUNTS = "counts"
 _ROWS = "__dq_rows"
 _N = "__dq_n"
+_KH = "__dq_kh"
+_KH_SIDE = "__dq_kh_side"
+_CAND = "__dq_cand"
+_WIDE = (T.StringType, T.BinaryType)
 
 
 def _key_alias(i: int) -> str:
@@ -82,23 +88,61 @@ def _join_counts(
     return joined.drop(*aliases)
 
 
-def _dup_join(df: DataFrame, keys: Sequence[str], source: DataFrame | None = None) -> DataFrame:
+def _dup_join(
+    df: DataFrame, keys: Sequence[str], source: DataFrame | None = None, hash_prefilter: bool | None = None
+) -> DataFrame:
     """``df`` + ``__dq_n``: size of the row's key group when >= 2, else null.
 
     ``source`` — a table with the same rows and key columns as ``df`` (e.g.
     the input before earlier rules appended flags) — is where the per-key
     counts are computed, so earlier rules' joins are not re-run for them.
+    ``hash_prefilter`` (default: when a key column is text or binary) takes
+    the two-phase path of :func:`_dup_join_prefiltered`.
     """
-    counts = key_counts(df if source is None else source, keys, _ROWS, null_keys=False)
+    src = df if source is None else source
+    if hash_prefilter is None:
+        types = {f.name: f.dataType for f in df.schema.fields}
+        hash_prefilter = any(isinstance(types[k], _WIDE) for k in keys)
+    if hash_prefilter:
+        return _dup_join_prefiltered(df, keys, src)
+    counts = key_counts(src, keys, _ROWS, null_keys=False)
     groups = counts.where(F.col(_ROWS) >= 2).withColumn(_N, F.col(_ROWS))
     return _join_counts(df, counts, groups, keys, _N)
 
 
-def flag_duplicates(df: DataFrame, keys: Sequence[str], source: DataFrame | None = None) -> DataFrame:
+def _dup_join_prefiltered(df: DataFrame, keys: Sequence[str], src: DataFrame) -> DataFrame:
+    """Exact duplicate counts for wide keys (long text) without shuffling
+    every key twice.
+
+    1. Count a 64-bit hash of the key: 8 bytes per row are shuffled, and a
+       hash seen once proves its key unique (equal keys hash equally).
+    2. Mark the rows whose hash was seen at least twice (a salted join on
+       the hash; the candidate set is broadcast when AQE measures it small).
+    3. Only candidate rows are grouped and joined on the full key, which
+       also settles hash collisions exactly. Other rows pass straight
+       through with no group.
+    """
+    present = _all_keys_present(keys)
+    hashed = src.where(present).select(key_hash([col(k) for k in keys]).alias(_KH))
+    hash_counts = hashed.groupBy(_KH).agg(F.count(F.lit(1)).alias(_ROWS))
+    candidates = hash_counts.where(F.col(_ROWS) >= 2).select(F.col(_KH).alias(_KH_SIDE), F.lit(True).alias(_CAND))
+    keyed = df.withColumn(_KH, F.when(present, key_hash([col(k) for k in keys])))
+    marked = salted_join(keyed, candidates, [_KH], [_KH_SIDE], "left", counts=hash_counts, counts_keys=[_KH], n_col=_ROWS)
+    marked = marked.drop(_KH, _KH_SIDE)
+    cand_rows = marked.where(F.col(_CAND)).drop(_CAND)
+    rest = marked.where(F.col(_CAND).isNull()).drop(_CAND).withColumn(_N, F.lit(None).cast("bigint"))
+    counts = key_counts(cand_rows, keys, _ROWS, null_keys=False)
+    groups = counts.where(F.col(_ROWS) >= 2).withColumn(_N, F.col(_ROWS))
+    return _join_counts(cand_rows, counts, groups, keys, _N).unionByName(rest)
+
+
+def flag_duplicates(
+    df: DataFrame, keys: Sequence[str], source: DataFrame | None = None, hash_prefilter: bool | None = None
+) -> DataFrame:
     """All rows of ``df`` plus ``dup_count`` (size of the key group when it is
     at least 2, else 0, as bigint) and ``dup_flag`` (1 when duplicated)."""
     keys = _check_keys(df, keys)
-    joined = _dup_join(df.drop(DUP_COUNT, DUP_FLAG), keys, source)
+    joined = _dup_join(df.drop(DUP_COUNT, DUP_FLAG), keys, source, hash_prefilter)
     return joined.withColumns(
         {
             DUP_COUNT: F.coalesce(F.col(_N), F.lit(0)).cast("bigint"),
@@ -144,9 +188,11 @@ def flag_duplicates_first_key(df: DataFrame, keys: Sequence[str], flag_col: str
     return joined.withColumn(flag_col, flag(F.col(_N).isNotNull())).drop(_N)
 
 
-def unique_key(df: DataFrame, keys: Sequence[str], source: DataFrame | None = None) -> DataFrame:
+def unique_key(
+    df: DataFrame, keys: Sequence[str], source: DataFrame | None = None, hash_prefilter: bool | None = None
+) -> DataFrame:
     """All rows plus boolean ``result``: True when the key occurs once (rows
     with a null key pass)."""
     keys = _check_keys(df, keys)
-    joined = _dup_join(df.drop(RESULT), keys, source)
+    joined = _dup_join(df.drop(RESULT), keys, source, hash_prefilter)
     return joined.withColumn(RESULT, F.col(_N).isNull()).drop(_N)

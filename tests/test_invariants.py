@@ -78,3 +78,14 @@ def test_check_matches_oracle_sf0001(spark, name):
     dcols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(dcols)
     assert _norm([tuple(r) for r in df.collect()], df.columns) == _norm(res.fetchall(), dcols)
+
+
+def test_prefilter_matches_direct_path(spark):
+    docs = suite.load(spark, SF001, "documents")
+    a = flag_duplicates(docs, ["text"], hash_prefilter=True)
+    b = flag_duplicates(docs, ["text"], hash_prefilter=False)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    li = suite.lineitem_d(spark, SF001)
+    a = unique_key(li, KEYS, hash_prefilter=True)
+    b = unique_key(li, KEYS, hash_prefilter=False)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

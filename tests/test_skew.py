@@ -92,3 +92,19 @@ def test_null_key_rows_are_spread(spark):
         assert _max_task_rows(out) < N // 6
     finally:
         _restore(spark, old)
+
+
+def test_wide_key_prefilter_is_exact_and_skew_safe(spark):
+    old = _force_shuffle_join(spark)
+    try:
+        df = spark.range(N).select(
+            F.when(F.col("id") % 3 == 0, F.lit("hot text")).otherwise(F.concat(F.lit("t"), (F.col("id") % 50000).cast("string"))).alias("k"),
+            F.col("id").alias("v"),
+        )
+        fast = flag_duplicates(df, ["k"])  # text key: hash-prefiltered path
+        slow = flag_duplicates(df, ["k"], hash_prefilter=False)
+        assert fast.exceptAll(slow).count() == 0 and slow.exceptAll(fast).count() == 0
+        assert fast.where("k = 'hot text'").agg(F.min("dup_count")).first()[0] == N // 3
+        assert _max_task_rows(fast) < N // 6
+    finally:
+        _restore(spark, old)
