@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import DUP_COUNT, DUP_FLAG, FLAG_DUPLICATION, RESULT, col, flag
-from .skew import key_counts, key_hash, salted_join
+from .skew import key_counts, key_hash, row_fingerprint, salted_join
 
 COUNTS = "counts"
 _ROWS = "__dq_rows"
@@ -169,9 +169,10 @@ def report_from_flags(flagged: DataFrame, keys: Sequence[str], order: bool = Tru
     )
     if not order:
         return out
-    # The unique tie-breaker only orders rows inside a key group; it lets
-    # the range partitioner cut a hot key across several sort tasks.
-    return out.orderBy(*[col(k) for k in keys], F.monotonically_increasing_id())
+    # The tie-breaker only orders rows inside a key group; it lets the range
+    # partitioner cut a hot key across several sort tasks. It is a function
+    # of the row (not of its position), so a retried task sorts the same.
+    return out.orderBy(*[col(k) for k in keys], row_fingerprint(out))
 
 
 def flag_duplicates_first_key(df: DataFrame, keys: Sequence[str], flag_col: str = FLAG_DUPLICATION) -> DataFrame:

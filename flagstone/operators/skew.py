@@ -15,8 +15,9 @@ So heavy hitters are split explicitly:
    list has a proven size bound and is broadcast. It holds the key values
    themselves when every key column has a fixed width, else a 64-bit hash of
    them, plus a salt count ``ceil(n / hot_rows)``.
-2. A row whose key is hot gets a salt in ``[0, salt count)``; other rows get
-   salt 0. In a join that is not null-safe a row with a null key can match
+2. A row whose key is hot gets a salt in ``[0, salt count)`` — a hash of
+   its content and partition index, so a retried task salts every row as
+   before; other rows get salt 0. In a join that is not null-safe a row with a null key can match
    nothing, so it gets a spread-out salt for free (no side copies needed):
    a third of the rows with a null key does not land in one task either.
 3. A side row whose key is hot is repeated once per salt value.
@@ -90,6 +91,13 @@ def key_counts(rows: DataFrame, keys: Sequence[str], n_col: str = _N, null_keys:
     return src.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias(n_col))
 
 
+def row_fingerprint(rows: DataFrame) -> Column:
+    """Deterministic 64-bit value per row: hash of the partition index and
+    every hashable column (map columns cannot be hashed and are skipped)."""
+    cols = [col(f.name) for f in rows.schema.fields if not isinstance(f.dataType, T.MapType)]
+    return F.xxhash64(F.spark_partition_id(), *cols)
+
+
 def _top(counts: DataFrame, n_col: str, hot_rows: int, max_hot: int) -> DataFrame:
     return counts.where(F.col(n_col) > hot_rows).orderBy(F.col(n_col).desc()).limit(max_hot)
 
@@ -154,11 +162,15 @@ def salted_join(
         side_match = key_hash(side_hash) == F.col(_H)
         hot_cols = [_H, _NSALT]
 
-    spread = F.pmod(F.monotonically_increasing_id(), F.col(_NSALT)).cast("int")
-    salt = F.when(F.col(_NSALT).isNotNull(), spread)
+    # The salt must be a function of the row, not of its position: a retried
+    # task may see its input in another order after a shuffle, and the row
+    # must still go to the same bucket. Row content plus the index of the
+    # row's partition (also fixed on retry) spreads even byte-identical
+    # copies of a row over the buckets.
+    fingerprint = row_fingerprint(rows)
+    salt = F.when(F.col(_NSALT).isNotNull(), F.pmod(fingerprint, F.col(_NSALT)).cast("int"))
     if not null_safe:
-        free = F.pmod(F.monotonically_increasing_id(), F.lit(NULL_SPREAD)).cast("int")
-        salt = salt.when(~non_null_keys(row_keys), free)
+        salt = salt.when(~non_null_keys(row_keys), F.pmod(fingerprint, F.lit(NULL_SPREAD)).cast("int"))
     salted_rows = rows.join(hot, row_match, "left").withColumn(_SALT, salt.otherwise(F.lit(0))).drop(*hot_cols)
 
     copies = F.when(F.col(_NSALT).isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col(_NSALT) - 1))

@@ -108,3 +108,18 @@ def test_wide_key_prefilter_is_exact_and_skew_safe(spark):
         assert _max_task_rows(fast) < N // 6
     finally:
         _restore(spark, old)
+
+
+def test_identical_copies_are_spread(spark):
+    old = _force_shuffle_join(spark)
+    try:
+        # a third of the rows are byte-identical copies of one row
+        df = spark.range(0, N, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("v"),
+        )
+        out = flag_duplicates(df, ["k", "v"])
+        assert out.where("k = -1").agg(F.min("dup_count")).first()[0] == N // 3
+        assert _max_task_rows(out) < N // 6
+    finally:
+        _restore(spark, old)
