@@ -48,8 +48,13 @@ def read_delivery_stream(
     return r.csv(folder)
 
 
-def flag_stream(stream: DataFrame, rules: Mapping, sequence: Sequence[str], options: RunOptions | None = None) -> DataFrame:
-    """Apply the row-local rules of ``sequence`` to a streaming DataFrame."""
+def flag_stream(
+    stream: DataFrame, table: str, rules: Mapping, sequence: Sequence[str], options: RunOptions | None = None
+) -> DataFrame:
+    """Apply the row-local rules of ``sequence`` to a streaming DataFrame
+    that carries table ``table``, with the same configuration shapes as a
+    batch run (per-table missing columns, ``string_tables`` / ``negative``
+    token and optional table list)."""
     opts = options or RunOptions()
     out = stream
     for rule in sequence:
@@ -57,13 +62,18 @@ def flag_stream(stream: DataFrame, rules: Mapping, sequence: Sequence[str], opti
         if rule not in ROW_RULES or cfg is None:
             continue
         if rule == "missing":
-            out = flag_missing(out, (cfg or {}).get("stream") or None, opts.blank_is_missing)
+            out = flag_missing(out, (cfg or {}).get(table) or None, opts.blank_is_missing)
+            continue
+        if isinstance(cfg, Mapping):
+            token, tables = cfg.get("value", "value"), cfg.get("tables")
+        else:
+            token, tables = "value", list(cfg)
+        if tables and table not in tables:
+            continue
+        if rule == "string_tables":
+            out = flag_non_numeric(out, token, null_is_bad=opts.null_is_bad)
         else:
-            token = cfg.get("value", "value") if isinstance(cfg, Mapping) else "value"
-            if rule == "string_tables":
-                out = flag_non_numeric(out, token, null_is_bad=opts.null_is_bad)
-            else:
-                out = flag_negative(out, token)
+            out = flag_negative(out, token)
     return out
 
 

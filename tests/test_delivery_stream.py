@@ -87,8 +87,12 @@ def test_stream_row_rules_and_batches(spark):
     inp = os.path.join(base, "in")
     _write_delivery(inp)
     stream = read_delivery_stream(spark, inp, SCHEMA, pattern="labs*")
-    flagged = flag_stream(stream, VENDOR["rules"], VENDOR["rule_sequence"])
+    flagged = flag_stream(stream, "labs", VENDOR["rules"], VENDOR["rule_sequence"])
     assert flagged.isStreaming and "value_flag" in flagged.columns and "missing_flag" in flagged.columns
+    mem = flagged.writeStream.format("memory").queryName("labs_flags").trigger(availableNow=True).start()
+    mem.awaitTermination(120)
+    got = sorted((r.LBORR, r.value_flag, r.missing_flag) for r in spark.table("labs_flags").collect())
+    assert got == [("-1", 1, 0), ("34", 0, 0), ("34", 0, 0), ("N/A", 1, 0)]
     out = os.path.join(base, "out")
     q = start_delivery_checks(stream, "labs", {"duplication": {"labs": ["PATCOD", "LBDAT"]}}, ["duplication"], out)
     q.awaitTermination(120)
