@@ -201,6 +201,13 @@ def to_time_value(df: DataFrame, name: str, dt_type: str = "datetime", on_bad: s
     return F.lit(None).cast("timestamp_ntz")
 
 
+def with_row_id(df: DataFrame, name: str = "columnindex") -> DataFrame:
+    """Append a unique (not consecutive) 64-bit row id, computed inside each
+    task with no shuffle. Ids depend on the input partitioning, so they are
+    stable for a given file layout, not across differently split reads."""
+    return df.withColumn(name, F.monotonically_increasing_id())
+
+
 def any_of(conditions: Sequence[Column]) -> Column:
     """Row-wise OR; a null condition counts as False. Empty list → False."""
     if not conditions:

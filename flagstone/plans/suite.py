@@ -27,7 +27,7 @@ from ..operators.duplicates import (
 from ..operators.frequency import frequency
 from ..operators.membership import mappable_id, unmapped_rows
 from ..operators.missing import flag_missing, flag_missing_null_only, missing_by_column
-from ..operators.numeric import flag_negative, flag_non_numeric, negative_rows, offending_values
+from ..operators.numeric import flag_negative, flag_non_numeric, flag_non_numeric_spark, negative_rows, offending_values
 from ..operators.rule import UniqueKeyRule
 from ..operators.summary import flag_summary, union_all
 from ..session import scratch_path
@@ -316,6 +316,10 @@ def q_nonnumeric_flags(spark, d):
     return flag_non_numeric(events_d(spark, d), "value")
 
 
+def q_nonnumeric_flags_spark(spark, d):
+    return flag_non_numeric_spark(events_d(spark, d), "value")
+
+
 def q_nonnumeric_values(spark, d):
     return union_all(
         [
@@ -436,6 +440,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "missing_by_column": q_missing_by_column,
     "missing_null_only": q_missing_null_only,
     "nonnumeric_flags": q_nonnumeric_flags,
+    "nonnumeric_flags_spark": q_nonnumeric_flags_spark,
     "nonnumeric_values": q_nonnumeric_values,
     "negative_rows": q_negative_rows,
     "negative_flags": q_negative_flags,
@@ -586,6 +591,7 @@ def oracle_sql() -> dict[str, str]:
         "missing_null_only": _with("customer_d") + f"SELECT *, {_flag(cust_null_only, 'flag_missing')} FROM customer_d",
         "nonnumeric_flags": _with("events_d")
         + f"SELECT *, {_flag(_value_bad_sql(), 'value_flag')} FROM events_d",
+        "nonnumeric_flags_spark": _with("events_d") + f"SELECT *, {_flag(_value_bad_sql(), 'flag_values')} FROM events_d",
         "nonnumeric_values": _with("events_d", "customer_d")
         + f"""SELECT DISTINCT 'events_d' AS tbl, 'value' AS column, CAST(value AS VARCHAR) AS value FROM events_d
           WHERE value IS NOT NULL AND NOT isnan(value) AND {_bad_double("value")}

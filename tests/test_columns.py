@@ -51,3 +51,10 @@ def test_blank_is_unicode_aware(spark):
 def test_match_columns(contains, not_contains, exclude, expected):
     cols = ["id", "LASTDAT", "VISDAT", "value_flag", "dup_flag"]
     assert match_columns(cols, contains, not_contains, exclude) == expected
+
+
+def test_with_row_id_unique(spark):
+    from flagstone.functions.columns import with_row_id
+
+    df = with_row_id(spark.range(1000).repartition(7))
+    assert df.select("columnindex").distinct().count() == 1000
