@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import FLAG_MISSING, MISSING_FLAG, any_of, col, data_columns, flag, is_missing
+from ..functions.columns import FLAG_MISSING, MISSING_FLAG, any_of, data_columns, flag, is_missing
 
 
 def _columns(df: DataFrame, columns: Sequence[str] | None) -> list[str]:

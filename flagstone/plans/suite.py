@@ -4,7 +4,7 @@ The driver's tables are clean (no nulls, blanks or non-numbers), so a few
 deterministic *dirty views* put values the rules must catch into whole
 tables. Dirt is injected by a rule on the row key (``% n``); no row is ever
 filtered out, so every check runs over every row. The same views are written
-once for Spark (``_spark_views``) and once as SQL (``VIEWS_SQL``).
+once for Spark (the view functions below) and once as SQL (``VIEWS_SQL``).
 """
 
 from __future__ import annotations

@@ -55,8 +55,11 @@ def read_delimited(
     schema: StructType | None = None,
     encoding: str | None = None,
     infer_schema: bool = True,
+    sampling_ratio: float | None = None,
 ) -> DataFrame:
-    """One delimited file (or folder / glob) as a DataFrame."""
+    """One delimited file (or folder / glob) as a DataFrame. Without a
+    schema, types are inferred — an extra pass over the file, limited to a
+    sample when ``sampling_ratio`` is given."""
     r = spark.read.option("header", header).option("sep", sep)
     if encoding:
         r = r.option("encoding", encoding)
@@ -64,6 +67,8 @@ def read_delimited(
         r = r.schema(schema)
     else:
         r = r.option("inferSchema", infer_schema)
+        if infer_schema and sampling_ratio:
+            r = r.option("samplingRatio", sampling_ratio)
     return r.csv(path)
 
 
@@ -75,13 +80,14 @@ def read_delivery(
     encoding: str | None = DELIVERY_ENCODING,
     schemas: Mapping[str, StructType] | None = None,
     infer_schema: bool = True,
+    sampling_ratio: float | None = None,
 ) -> dict[str, DataFrame]:
     """``{table name: DataFrame}`` for every matching file of ``folder``."""
     out = {}
     for path in list_files(spark, folder, pattern):
         name = table_name(path)
         schema = (schemas or {}).get(name)
-        out[name] = read_delimited(spark, path, sep, True, schema, encoding, infer_schema)
+        out[name] = read_delimited(spark, path, sep, True, schema, encoding, infer_schema, sampling_ratio)
     return out
 
 

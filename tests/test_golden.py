@@ -1,6 +1,5 @@
 """Golden cases: the reference's test inputs with hand-derived results."""
 
-import math
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T

@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from flagstone.plans.runner import RunOptions, register_rule, rule_registry, run_rules
+from flagstone.plans.runner import RunOptions, rule_registry, run_rules
 from flagstone.session import scratch_path
 from flagstone.sinks.writers import ensure_database, replace_table, sanitize_table_name, write_delimited
 from flagstone.sources.delivery import delivery_paths, list_files, load_config, read_delivery, table_name
