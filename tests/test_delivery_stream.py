@@ -99,3 +99,19 @@ def test_stream_row_rules_and_batches(spark):
     res = spark.read.parquet(out)
     assert res.count() == 4
     assert sorted(r.dup_flag for r in res.collect()) == [0, 0, 1, 1]
+
+
+def test_command_line(spark, capsys, tmp_path):
+    import json
+
+    from flagstone.__main__ import main
+
+    base = scratch_path(spark, "cli")
+    inp, out = os.path.join(base, "in"), os.path.join(base, "out")
+    _write_delivery(inp)
+    cfg = tmp_path / "config.json"
+    cfg.write_text(json.dumps({"spec_year": 2019, "ACME": VENDOR}))
+    assert main(["-c", str(cfg), "-v", "acme", "-y", "2019", "--input", inp, "--output", out], spark=spark) == 0
+    printed = capsys.readouterr().out
+    assert "ACME\tqc_summary\t" in printed and "ACME\tlabs\t" in printed
+    assert main(["-c", str(cfg), "-v", "nobody", "--input", inp, "--output", out], spark=spark) == 1

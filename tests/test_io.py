@@ -107,3 +107,10 @@ def test_strict_date_option_fails_on_bad_text(spark):
     strict = run_rules({"anchor": anchor, "rows": rows}, {"last_dt": cfg}, ["last_dt"], options=RunOptions(on_bad_date="fail"))
     with pytest.raises(Exception):
         strict.tables["rows"].collect()
+
+
+def test_read_table_any_uri(spark):
+    from flagstone.sources.delivery import read_table
+
+    df = read_table(spark, "file:///root/testdata/sf0.001/region.parquet", "parquet")
+    assert df.count() == 5
