@@ -42,14 +42,21 @@ def shared_dir(spark: SparkSession) -> str:
     registered as the checkpoint directory; on a cluster an unset value is
     an error, because a machine-local folder is not visible to executors.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext
+        sc = None
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if d:
         return d
-    master = spark.sparkContext.master or ""
+    master = (sc.master if sc is not None else spark.conf.get("spark.master", "")) or ""
     if not master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     d = tempfile.mkdtemp(prefix="flagstone-")
-    spark.sparkContext.setCheckpointDir(d)
+    if sc is not None:
+        sc.setCheckpointDir(d)
     return d
 
 
