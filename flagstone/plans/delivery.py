@@ -13,7 +13,8 @@ from __future__ import annotations
 
 import logging
 import os
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +49,17 @@ def store(spark: SparkSession, df: DataFrame, name: str, suffix: str, database:
     return spark.read.parquet(path)
 
 
+def _run_all(jobs: Mapping[str, Callable[[], object]], parallel_jobs: int) -> dict[str, object]:
+    """Run independent Spark actions, ``parallel_jobs`` at a time (Spark
+    schedules jobs submitted from several driver threads side by side, so
+    many small tables keep the cluster busy); results keyed like ``jobs``."""
+    if parallel_jobs <= 1 or len(jobs) <= 1:
+        return {k: fn() for k, fn in jobs.items()}
+    with ThreadPoolExecutor(max_workers=parallel_jobs) as pool:
+        futures = {k: pool.submit(fn) for k, fn in jobs.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
 def run_delivery(
     spark: SparkSession,
     vendor: Mapping,
@@ -59,9 +71,11 @@ def run_delivery(
     registry: Mapping[str, RuleFn] | None = None,
     csv_output: bool = True,
     single_file: bool = False,
+    parallel_jobs: int = 4,
 ) -> DeliveryResult:
     """Run one vendor configuration (``refresh_dt``, ``folder``,
-    ``project``/``database``, ``rules``, ``rule_sequence``)."""
+    ``project``/``database``, ``rules``, ``rule_sequence``); independent
+    table writes run ``parallel_jobs`` at a time."""
     for k in ("rules", "rule_sequence"):
         if k not in vendor:
             raise ValueError(f"vendor configuration needs '{k}'")
@@ -76,28 +90,33 @@ def run_delivery(
     if database:
         ensure_database(spark, database)
 
-    raw = {n: store(spark, df, n, RAW_SUFFIX, database, output_loc) for n, df in read_delivery(spark, input_loc, schemas=schemas).items()}
+    inputs = read_delivery(spark, input_loc, schemas=schemas)
+    raw = _run_all(
+        {n: (lambda n=n, df=df: store(spark, df, n, RAW_SUFFIX, database, output_loc)) for n, df in inputs.items()},
+        parallel_jobs,
+    )
     res = run_rules(raw, vendor["rules"], vendor["rule_sequence"], registry=registry or rule_registry(), options=options)
-    flagged = {n: store(spark, df, n, QC_SUFFIX, database, output_loc) for n, df in res.tables.items()}
+    flagged = _run_all(
+        {n: (lambda n=n, df=df: store(spark, df, n, QC_SUFFIX, database, output_loc)) for n, df in res.tables.items()},
+        parallel_jobs,
+    )
 
-    outputs = {}
+    writes: dict[str, tuple[DataFrame, str, bool]] = {}
     if csv_output:
         for n, df in flagged.items():
-            path = os.path.join(output_loc, sanitize_table_name(n) + ".csv")
-            write_delimited(df, path, single_file=single_file)
-            outputs[n] = path
+            writes[n] = (df, os.path.join(output_loc, sanitize_table_name(n) + ".csv"), single_file)
     for name in res.reports:
         report = res.report(name, flagged)
-        if report is None:
-            continue
-        path = os.path.join(output_loc, sanitize_table_name(name) + ".csv")
-        write_delimited(report, path, single_file=single_file)
-        outputs[name] = path
+        if report is not None:
+            writes[name] = (report, os.path.join(output_loc, sanitize_table_name(name) + ".csv"), single_file)
     summary = res.summary(flagged)
     if summary is not None:
-        path = os.path.join(output_loc, SUMMARY_NAME + ".csv")
-        write_delimited(summary, path, single_file=True)
-        outputs[SUMMARY_NAME] = path
+        writes[SUMMARY_NAME] = (summary, os.path.join(output_loc, SUMMARY_NAME + ".csv"), True)
+    _run_all(
+        {k: (lambda df=df, path=path, one=one: write_delimited(df, path, single_file=one)) for k, (df, path, one) in writes.items()},
+        parallel_jobs,
+    )
+    outputs = {k: path for k, (_, path, _) in writes.items()}
     return DeliveryResult(raw, flagged, summary, outputs, res.rules_run)
 
 
