@@ -551,6 +551,25 @@ def _sql_rule_summary() -> str:
     return _with("lineitem_d", "orders_a", "events_d") + "\nUNION ALL\n".join(parts)
 
 
+def _sql_rule_events() -> str:
+    """Events of the unique-key rule: one JSON record per failing row, in the
+    layout Spark's ``to_json`` writes (failing rows have no null fields)."""
+    num = lambda c: f"CAST(t.{c} AS VARCHAR)"
+    txt = lambda c: f"'\"' || t.{c} || '\"'"
+    parts = [
+        ("l_orderkey", num), ("l_partkey", num), ("l_suppkey", num), ("l_linenumber", num),
+        ("l_quantity", num), ("l_extendedprice", num), ("l_discount", num), ("l_tax", num),
+        ("l_returnflag", txt), ("l_linestatus", txt),
+    ]
+    body = " || ',' || ".join(f"'\"{c}\":' || {fmt(c)}" for c, fmt in parts)
+    ship = "'\"l_shipdate\":\"' || strftime(t.l_shipdate, '%Y-%m-%dT%H:%M:%S.000') || '\"'"
+    on = " AND ".join(f"t.{k} = g.{k}" for k in LINE_KEYS)
+    return f"""{_with("lineitem_d")}
+    SELECT 'qc_engine' AS dag_name, '001' AS dag_run_id, 'Unique PK' AS event_type,
+      '{{' || {body} || ',' || {ship} || '}}' AS event_data
+    FROM lineitem_d t JOIN ({_dup_groups_sql("lineitem_d", LINE_KEYS)}) g ON {on}"""
+
+
 def oracle_sql() -> dict[str, str]:
     li_rest = [c for c in LINEITEM_COLS if c not in LINE_KEYS]
     dup_on = " AND ".join(f"t.{k} = g.{k}" for k in LINE_KEYS)
@@ -636,6 +655,7 @@ def oracle_sql() -> dict[str, str]:
         "rule_sequence_flags": _sql_sequence_lineitem(),
         "rule_sequence_events": _sql_sequence_events(),
         "rule_summary": _sql_rule_summary(),
+        "rule_events": _sql_rule_events(),
         "delivery_roundtrip_dups": _dup_flags_sql("lineitem", LINE_KEYS),
         "table_replace": _with("customer_d")
         + f"""SELECT *, {_flag(_missing_str("c_mktsegment") + " OR " + _missing_dbl("c_acctbal"), "missing_flag")}
