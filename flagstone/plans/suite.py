@@ -389,6 +389,14 @@ def q_mappable_id_violations(spark, d):
     return unmapped_rows(load(spark, d, "lineitem"), orders_f(spark, d), "l_orderkey", "o_orderkey")
 
 
+def q_labels_reference_documents(spark, d):
+    return mappable_id(load(spark, d, "labels"), load(spark, d, "documents"), "doc_id")
+
+
+def q_conversation_turns_unique(spark, d):
+    return unique_key(load(spark, d, "conversations"), ["conv_id", "turn"])
+
+
 def q_rule_sequence_flags(spark, d):
     return run_sequence(spark, d).tables["lineitem_d"]
 
@@ -453,6 +461,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unique_key_result": q_unique_key_result,
     "mappable_id_result": q_mappable_id_result,
     "mappable_id_violations": q_mappable_id_violations,
+    "labels_reference_documents": q_labels_reference_documents,
+    "conversation_turns_unique": q_conversation_turns_unique,
     "rule_sequence_flags": q_rule_sequence_flags,
     "rule_sequence_events": q_rule_sequence_events,
     "rule_summary": q_rule_summary,
@@ -652,6 +662,11 @@ def oracle_sql() -> dict[str, str]:
           AND o.o_orderkey IS NOT DISTINCT FROM t.l_orderkey) AS result FROM lineitem t""",
         "mappable_id_violations": """SELECT t.* FROM lineitem t WHERE NOT EXISTS (SELECT 1 FROM orders o
           WHERE o.o_orderstatus = 'F' AND o.o_orderkey IS NOT DISTINCT FROM t.l_orderkey)""",
+        "labels_reference_documents": """SELECT t.*, EXISTS (SELECT 1 FROM documents d
+          WHERE d.doc_id IS NOT DISTINCT FROM t.doc_id) AS result FROM labels t""",
+        "conversation_turns_unique": f"""SELECT t.*, g.n IS NULL AS result FROM conversations t
+        LEFT JOIN ({_dup_groups_sql("conversations", ["conv_id", "turn"])}) g
+        ON t.conv_id = g.conv_id AND t.turn = g.turn""",
         "rule_sequence_flags": _sql_sequence_lineitem(),
         "rule_sequence_events": _sql_sequence_events(),
         "rule_summary": _sql_rule_summary(),
