@@ -168,6 +168,7 @@ def date_bound(
     on_bad: str = "null",
     tables: Sequence[str] | None = None,
     sources: Mapping[str, DataFrame] | None = None,
+    stage=None,
 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """Apply the rule to every table of ``dfs`` (or ``tables``).
 
@@ -182,6 +183,8 @@ def date_bound(
     if spec.table not in dfs:
         raise ValueError(f"anchor table {spec.table!r} not in the delivery")
     anchor = anchor_dates(sources.get(spec.table, dfs[spec.table]), spec, on_bad)
+    if stage is not None:
+        anchor = stage(anchor)
     out = dict(dfs)
     reports = {}
     for name in tables or list(dfs):

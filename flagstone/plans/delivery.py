@@ -15,7 +15,7 @@ import logging
 import os
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -95,7 +95,9 @@ def run_delivery(
         {n: (lambda n=n, df=df: store(spark, df, n, RAW_SUFFIX, database, output_loc)) for n, df in inputs.items()},
         parallel_jobs,
     )
-    res = run_rules(raw, vendor["rules"], vendor["rule_sequence"], registry=registry or rule_registry(), options=options)
+    stage_dir = os.path.join(output_loc, "_stage")
+    opts = replace(options or RunOptions(), stage=lambda name, df: store(spark, df, name, "", None, stage_dir))
+    res = run_rules(raw, vendor["rules"], vendor["rule_sequence"], registry=registry or rule_registry(), options=opts)
     flagged = _run_all(
         {n: (lambda n=n, df=df: store(spark, df, n, QC_SUFFIX, database, output_loc)) for n, df in res.tables.items()},
         parallel_jobs,

@@ -50,6 +50,10 @@ class RunOptions:
     # and keep the row count, so per-key statistics, anchors and data-column
     # reports are computed from these instead of re-running earlier rules.
     sources: Mapping[str, DataFrame] = field(default_factory=dict)
+    # Optional: store an intermediate every table of a rule reuses (the date
+    # rules' per-id anchor) and return the stored copy, so it is computed
+    # once instead of once per table. Set by run_delivery.
+    stage: Callable[[str, DataFrame], DataFrame] | None = None
 
 
 def _source(opts: RunOptions, name: str, current: DataFrame) -> DataFrame:
@@ -205,6 +209,7 @@ def _date_rule(rule: str, flag_col: str, report_fmt: str) -> RuleFn:
             keep_unmatched_anchor=opts.keep_unmatched_anchor,
             on_bad=opts.on_bad_date,
             sources=opts.sources,
+            stage=(lambda df: opts.stage(f"anchor_{rule}", df)) if opts.stage else None,
         )
         out = RuleOutput(tables)
         for name, report in reports.items():

@@ -69,6 +69,9 @@ def test_run_delivery(spark):
         assert name in res.outputs, name
     rep = spark.read.option("header", True).csv(res.outputs["qc_dup_labs"])
     assert rep.count() == 2
+    # each date rule's anchor was stored once and reused by every table
+    anchors = spark.read.parquet(os.path.join(out, "_stage", "anchor_death_dt"))
+    assert anchors.count() == 2
 
 
 def test_run_vendors_skips_unknown(spark):
