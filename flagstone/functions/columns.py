@@ -98,107 +98,161 @@ def data_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in ENGINE_COLUMNS]
 
 
-def nan_to_null(df: DataFrame, name: str) -> Column:
-    """For float columns NaN becomes null; other types pass through."""
-    c = col(name)
+# Each test is built as SQL text and turned into a Column with one
+# ``F.expr`` call: building it from ``F.col``/``&``/``cast`` pieces would
+# cost one driver-to-JVM round trip per piece, which adds up to seconds of
+# plan-building time for wide tables and rule sequences.
+
+
+def ident(name: str) -> str:
+    """A column name quoted for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_str(text: str) -> str:
+    """A Python string as a SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def nan_to_null_sql(df: DataFrame, name: str) -> str:
+    c = ident(name)
     if isinstance(dtype_of(df, name), _FLOATS):
-        return F.when(F.isnan(c), F.lit(None).cast(dtype_of(df, name))).otherwise(c)
+        return f"CASE WHEN isnan({c}) THEN NULL ELSE {c} END"
     return c
 
 
-def is_nan(df: DataFrame, name: str) -> Column:
-    """NaN test that is valid for every type (False for non-floats)."""
+def is_nan_sql(df: DataFrame, name: str) -> str:
     if isinstance(dtype_of(df, name), _FLOATS):
-        return F.coalesce(F.isnan(col(name)), F.lit(False))
-    return F.lit(False)
+        return f"coalesce(isnan({ident(name)}), false)"
+    return "false"
 
 
-def is_missing(df: DataFrame, name: str, blank_is_missing: bool = True) -> Column:
-    """True when the cell is null, NaN (floats) or, for strings and if
-    ``blank_is_missing``, only white space. Never null itself."""
-    c = col(name)
+def is_missing_sql(df: DataFrame, name: str, blank_is_missing: bool = True) -> str:
+    c = ident(name)
     dt = dtype_of(df, name)
-    cond = c.isNull()
+    cond = f"{c} IS NULL"
     if isinstance(dt, _FLOATS):
-        cond = cond | F.isnan(c)
+        cond += f" OR isnan({c})"
     elif isinstance(dt, T.StringType) and blank_is_missing:
-        cond = cond | c.rlike(BLANK_PATTERN)
-    return F.coalesce(cond, F.lit(True))
+        cond += f" OR {c} RLIKE {sql_str(BLANK_PATTERN)}"
+    return f"coalesce({cond}, true)"
 
 
-def is_nonneg_decimal(df: DataFrame, name: str) -> Column:
-    """The non-negative decimal test, never null (a null cell is False).
-
-    Strings must be digits with at most one dot and no sign, exponent or
-    blanks. Numbers pass when they are >= 0, finite and not NaN; other types
-    fail because their text form is not a plain number.
-    """
-    c = col(name)
+def is_nonneg_decimal_sql(df: DataFrame, name: str) -> str:
+    c = ident(name)
     dt = dtype_of(df, name)
     if isinstance(dt, T.StringType):
-        test = c.rlike(NONNEG_DECIMAL_PATTERN)
+        test = f"{c} RLIKE {sql_str(NONNEG_DECIMAL_PATTERN)}"
     elif isinstance(dt, _FLOATS):
-        test = (c >= 0) & ~F.isnan(c) & (c != F.lit(float("inf")))
+        test = f"{c} >= 0 AND NOT isnan({c}) AND {c} != CAST('Infinity' AS DOUBLE)"
     elif isinstance(dt, _NUMBERS):
-        test = c >= 0
+        test = f"{c} >= 0"
     else:
-        test = F.lit(False)
-    return F.coalesce(test, F.lit(False))
+        test = "false"
+    return f"coalesce({test}, false)"
 
 
-def to_number(df: DataFrame, name: str) -> Column:
-    """Coercing parse to double: text that is not a number becomes null,
-    and so does NaN (it compares above every number in Spark)."""
-    c = col(name)
+def to_number_sql(df: DataFrame, name: str) -> str:
+    c = ident(name)
     dt = dtype_of(df, name)
     if isinstance(dt, T.StringType):
-        v = c.try_cast("double")
+        v = f"try_cast({c} AS DOUBLE)"
     elif isinstance(dt, _NUMBERS):
-        v = c.cast("double")
+        v = f"CAST({c} AS DOUBLE)"
     else:
-        return F.lit(None).cast("double")
-    return F.when(F.isnan(v), F.lit(None).cast("double")).otherwise(v)
+        return "CAST(NULL AS DOUBLE)"
+    return f"nanvl({v}, CAST(NULL AS DOUBLE))"
 
 
-def to_time_value(df: DataFrame, name: str, dt_type: str = "datetime", on_bad: str = "null") -> Column:
-    """Bring a date-like column to one comparable type.
+def _fail_if_unparsed(c: str, v: str, what: str, name: str) -> str:
+    msg = sql_str(f"bad {what} in {name}: ")
+    return (
+        f"CASE WHEN {c} IS NOT NULL AND NOT {c} RLIKE {sql_str(BLANK_PATTERN)} AND ({v}) IS NULL "
+        f"THEN raise_error(concat({msg}, CAST({c} AS STRING))) ELSE {v} END"
+    )
 
-    ``dt_type='datetime'`` gives ``timestamp_ntz`` (text is read with the
-    unknown day ``UK`` set to 15, trying :data:`DATE_PATTERNS`);
-    ``dt_type='float'`` gives double (relative days), NaN as null.
-    ``on_bad='fail'`` raises on text that does not parse instead of
-    returning null.
-    """
-    c = col(name)
+
+def to_time_value_sql(df: DataFrame, name: str, dt_type: str = "datetime", on_bad: str = "null") -> str:
+    c = ident(name)
     dt = dtype_of(df, name)
+    text = f"replace({c}, {sql_str(UNKNOWN_DAY_TOKEN)}, {sql_str(UNKNOWN_DAY_VALUE)})"
     if dt_type == "float":
         if isinstance(dt, T.StringType):
-            v = F.replace(c, F.lit(UNKNOWN_DAY_TOKEN), F.lit(UNKNOWN_DAY_VALUE)).try_cast("double")
+            v = f"try_cast({text} AS DOUBLE)"
             if on_bad == "fail":
-                v = F.when(
-                    c.isNotNull() & ~c.rlike(BLANK_PATTERN) & v.isNull(),
-                    F.raise_error(F.concat(F.lit("bad number in " + name + ": "), c)),
-                ).otherwise(v)
+                v = _fail_if_unparsed(c, v, "number", name)
         elif isinstance(dt, _NUMBERS):
-            v = c.cast("double")
+            v = f"CAST({c} AS DOUBLE)"
         else:
-            v = F.lit(None).cast("double")
-        return F.when(F.isnan(v), F.lit(None).cast("double")).otherwise(v)
+            v = "CAST(NULL AS DOUBLE)"
+        return f"nanvl({v}, CAST(NULL AS DOUBLE))"
     if isinstance(dt, T.TimestampNTZType):
         return c
     if isinstance(dt, (T.DateType, T.TimestampType)):
-        return c.cast("timestamp_ntz")
+        return f"CAST({c} AS TIMESTAMP_NTZ)"
     if isinstance(dt, T.StringType):
-        text = F.replace(c, F.lit(UNKNOWN_DAY_TOKEN), F.lit(UNKNOWN_DAY_VALUE))
-        parsed = F.coalesce(*[F.try_to_timestamp(text, F.lit(p)) for p in DATE_PATTERNS])
-        v = parsed.cast("timestamp_ntz")
+        parsed = ", ".join(f"try_to_timestamp({text}, {sql_str(p)})" for p in DATE_PATTERNS)
+        v = f"CAST(coalesce({parsed}) AS TIMESTAMP_NTZ)"
         if on_bad == "fail":
-            v = F.when(
-                c.isNotNull() & ~c.rlike(BLANK_PATTERN) & v.isNull(),
-                F.raise_error(F.concat(F.lit("bad date in " + name + ": "), c)),
-            ).otherwise(v)
+            v = _fail_if_unparsed(c, v, "date", name)
         return v
-    return F.lit(None).cast("timestamp_ntz")
+    return "CAST(NULL AS TIMESTAMP_NTZ)"
+
+
+def any_sql(conditions: Sequence[str]) -> str:
+    """Row-wise OR of SQL conditions; null counts as false; empty → false."""
+    if not conditions:
+        return "false"
+    return " OR ".join(f"coalesce({c}, false)" for c in conditions)
+
+
+def flag_sql(condition: str) -> str:
+    """0/1 integer flag from a SQL condition (null → 0)."""
+    return f"CAST(CASE WHEN coalesce({condition}, false) THEN 1 ELSE 0 END AS INT)"
+
+
+def nan_to_null(df: DataFrame, name: str) -> Column:
+    """For float columns NaN becomes null; other types pass through."""
+    return F.expr(nan_to_null_sql(df, name))
+
+
+def is_nan(df: DataFrame, name: str) -> Column:
+    """NaN test that is valid for every type (False for non-floats)."""
+    return F.expr(is_nan_sql(df, name))
+
+
+def is_missing(df: DataFrame, name: str, blank_is_missing: bool = True) -> Column:
+    """True when the cell is null, NaN (floats) or, for strings and if
+    ``blank_is_missing``, only white space. Never null itself."""
+    return F.expr(is_missing_sql(df, name, blank_is_missing))
+
+
+def is_nonneg_decimal(df: DataFrame, name: str) -> Column:
+    """The non-negative decimal test, never null (a null cell is False).
+
+    Strings must be digits with at most one dot and no sign, exponent or
+    blanks. Numbers pass when they are >= 0, finite and not NaN; other types
+    fail because their text form is not a plain number.
+    """
+    return F.expr(is_nonneg_decimal_sql(df, name))
+
+
+def to_number(df: DataFrame, name: str) -> Column:
+    """Coercing parse to double: text that is not a number becomes null,
+    and so does NaN (it compares above every number in Spark)."""
+    return F.expr(to_number_sql(df, name))
+
+
+def to_time_value(df: DataFrame, name: str, dt_type: str = "datetime", on_bad: str = "null") -> Column:
+    """Bring a date-like column to one comparable type.
+
+    ``dt_type='datetime'`` gives ``timestamp_ntz`` (text is read with the
+    unknown day ``UK`` set to 15, trying :data:`DATE_PATTERNS`);
+    ``dt_type='float'`` gives double (relative days), NaN as null.
+    ``on_bad='fail'`` raises on text that does not parse instead of
+    returning null.
+    """
+    return F.expr(to_time_value_sql(df, name, dt_type, on_bad))
 
 
 def with_row_id(df: DataFrame, name: str = "columnindex") -> DataFrame:

@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import DEATH_DT_FLAG, LAST_DT_FLAG, any_of, col, flag, match_columns, to_time_value
+from ..functions.columns import DEATH_DT_FLAG, LAST_DT_FLAG, any_sql, flag_sql, ident, match_columns, to_time_value_sql
 from .skew import key_counts, salted_join
 
 ANCHOR = "__dq_anchor"
@@ -76,11 +76,11 @@ def anchor_dates(anchor_table: DataFrame, spec: DateBoundSpec, on_bad: str = "nu
     for c in (spec.id_column, spec.dt_column):
         if c not in anchor_table.columns:
             raise ValueError(f"anchor table {spec.table!r} has no column {c!r}")
-    value = to_time_value(anchor_table, spec.dt_column, spec.dt_type, on_bad)
+    value = to_time_value_sql(anchor_table, spec.dt_column, spec.dt_type, on_bad)
     return (
-        anchor_table.select(col(spec.id_column).alias(ANCHOR_ID), value.alias(ANCHOR))
+        anchor_table.selectExpr(f"{ident(spec.id_column)} AS {ANCHOR_ID}", f"{value} AS {ANCHOR}")
         .groupBy(ANCHOR_ID)
-        .agg(F.min(ANCHOR).alias(ANCHOR))
+        .agg(F.expr(f"min({ANCHOR}) AS {ANCHOR}"))
     )
 
 
@@ -103,8 +103,8 @@ def join_anchor(
     cols = compared_columns(df, spec)
     if not cols or spec.id_column not in df.columns:
         return None
-    values = [to_time_value(df, c, spec.dt_type, on_bad) for c in cols]
-    cond = any_of([F.col(ANCHOR) < v for v in values])
+    values = [to_time_value_sql(df, c, spec.dt_type, on_bad) for c in cols]
+    cond = any_sql([f"{ANCHOR} < ({v})" for v in values])
     # Rows per id of this table: heavy-hitter statistics for the salted join
     # and, with keep_unmatched_anchor, the table's distinct ids.
     counts = key_counts(df if source is None else source, [spec.id_column], "__dq_rows", null_keys=False)
@@ -112,24 +112,24 @@ def join_anchor(
         df.drop(flag_col), anchor, [spec.id_column], [ANCHOR_ID], "left", counts=counts,
         counts_keys=[spec.id_column], n_col="__dq_rows",
     )
-    out = joined.drop(ANCHOR_ID).withColumn(flag_col, flag(cond))
+    out = joined.drop(ANCHOR_ID).withColumn(flag_col, F.expr(flag_sql(cond)))
     if not keep_unmatched_anchor:
         return out
     # Anchor ids the table lacks, as extra rows. Written as an anti-join
     # against the table's distinct ids (pre-aggregated, so a hot id is one
     # row per task) instead of a full outer join, whose skewed partitions
     # adaptive execution cannot split.
-    ids = counts.select(col(spec.id_column).alias("__dq_seen"))
+    ids = counts.selectExpr(f"{ident(spec.id_column)} AS __dq_seen")
     extra = anchor.join(ids, F.col(ANCHOR_ID) == F.col("__dq_seen"), "left_anti")
-    fields = {f.name: f.dataType for f in df.schema.fields}
-    extra_rows = extra.select(
+    fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    extra_rows = extra.selectExpr(
         *[
-            (F.col(ANCHOR_ID).cast(fields[c]) if c == spec.id_column else F.lit(None).cast(fields[c])).alias(c)
+            f"CAST({ANCHOR_ID if c == spec.id_column else 'NULL'} AS {fields[c]}) AS {ident(c)}"
             for c in df.columns
             if c != flag_col
         ],
-        F.col(ANCHOR),
-        F.lit(0).cast("int").alias(flag_col),
+        ANCHOR,
+        f"CAST(0 AS INT) AS {ident(flag_col)}",
     )
     return out.unionByName(extra_rows)
 
@@ -154,8 +154,8 @@ def flag_date_bound(
         return df, None
     flagged = joined.drop(ANCHOR)
     own = [c for c in df.columns if c not in (spec.dt_column, flag_col)]
-    report = joined.where(F.col(flag_col) == 1).select(
-        *[col(c) for c in own], F.col(ANCHOR).alias(spec.dt_column), F.col(flag_col)
+    report = joined.where(f"{ident(flag_col)} = 1").selectExpr(
+        *[ident(c) for c in own], f"{ANCHOR} AS {ident(spec.dt_column)}", ident(flag_col)
     )
     return flagged, report
 

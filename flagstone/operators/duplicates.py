@@ -17,11 +17,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
 from pyspark.sql import types as T
 
-from ..functions.columns import DUP_COUNT, DUP_FLAG, FLAG_DUPLICATION, RESULT, col, flag
-from .skew import key_counts, key_hash, row_fingerprint, salted_join
+from ..functions.columns import DUP_COUNT, DUP_FLAG, FLAG_DUPLICATION, RESULT, ident
+from .skew import key_counts, non_null_keys_sql, row_fingerprint_sql, salted_join
 
 COUNTS = "counts"
 _ROWS = "__dq_rows"
@@ -46,13 +45,6 @@ def _check_keys(df: DataFrame, keys: Sequence[str]) -> list[str]:
     return keys
 
 
-def _all_keys_present(keys: Sequence[str]):
-    cond = col(keys[0]).isNotNull()
-    for k in keys[1:]:
-        cond = cond & col(k).isNotNull()
-    return cond
-
-
 def duplicate_groups(df: DataFrame, keys: Sequence[str], count_col: str = COUNTS) -> DataFrame:
     """Keys that occur at least twice, with their row count.
 
@@ -60,12 +52,7 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str], count_col: str = COUNTS
     group-by drops them).
     """
     keys = _check_keys(df, keys)
-    return (
-        df.where(_all_keys_present(keys))
-        .groupBy(*[col(k) for k in keys])
-        .agg(F.count(F.lit(1)).alias(count_col))
-        .where(F.col(count_col) >= 2)
-    )
+    return key_counts(df, keys, count_col, null_keys=False).where(f"{ident(count_col)} >= 2")
 
 
 def _join_counts(
@@ -83,7 +70,7 @@ def _join_counts(
     cannot clash, and ``counts`` doubles as the heavy-hitter statistics.
     """
     aliases = [_key_alias(i) for i in range(len(keys))]
-    side = groups.select(*[col(k).alias(a) for k, a in zip(keys, aliases)], F.col(value_col))
+    side = groups.selectExpr(*[f"{ident(k)} AS {a}" for k, a in zip(keys, aliases)], ident(value_col))
     joined = salted_join(df, side, keys, aliases, "left", null_safe, counts=counts, counts_keys=keys, n_col=_ROWS)
     return joined.drop(*aliases)
 
@@ -106,7 +93,7 @@ def _dup_join(
     if hash_prefilter:
         return _dup_join_prefiltered(df, keys, src)
     counts = key_counts(src, keys, _ROWS, null_keys=False)
-    groups = counts.where(F.col(_ROWS) >= 2).withColumn(_N, F.col(_ROWS))
+    groups = counts.where(f"{_ROWS} >= 2").selectExpr("*", f"{_ROWS} AS {_N}")
     return _join_counts(df, counts, groups, keys, _N)
 
 
@@ -122,17 +109,18 @@ def _dup_join_prefiltered(df: DataFrame, keys: Sequence[str], src: DataFrame) ->
        also settles hash collisions exactly. Other rows pass straight
        through with no group.
     """
-    present = _all_keys_present(keys)
-    hashed = src.where(present).select(key_hash([col(k) for k in keys]).alias(_KH))
-    hash_counts = hashed.groupBy(_KH).agg(F.count(F.lit(1)).alias(_ROWS))
-    candidates = hash_counts.where(F.col(_ROWS) >= 2).select(F.col(_KH).alias(_KH_SIDE), F.lit(True).alias(_CAND))
-    keyed = df.withColumn(_KH, F.when(present, key_hash([col(k) for k in keys])))
+    present = non_null_keys_sql(keys)
+    key_hash = f"xxhash64({', '.join(ident(k) for k in keys)})"
+    hashed = src.where(present).selectExpr(f"{key_hash} AS {_KH}")
+    hash_counts = hashed.groupBy(_KH).agg(F.expr(f"count(1) AS {_ROWS}"))
+    candidates = hash_counts.where(f"{_ROWS} >= 2").selectExpr(f"{_KH} AS {_KH_SIDE}", f"true AS {_CAND}")
+    keyed = df.withColumn(_KH, F.expr(f"CASE WHEN {present} THEN {key_hash} END"))
     marked = salted_join(keyed, candidates, [_KH], [_KH_SIDE], "left", counts=hash_counts, counts_keys=[_KH], n_col=_ROWS)
     marked = marked.drop(_KH, _KH_SIDE)
-    cand_rows = marked.where(F.col(_CAND)).drop(_CAND)
-    rest = marked.where(F.col(_CAND).isNull()).drop(_CAND).withColumn(_N, F.lit(None).cast("bigint"))
+    cand_rows = marked.where(_CAND).drop(_CAND)
+    rest = marked.where(f"{_CAND} IS NULL").drop(_CAND).withColumn(_N, F.expr("CAST(NULL AS BIGINT)"))
     counts = key_counts(cand_rows, keys, _ROWS, null_keys=False)
-    groups = counts.where(F.col(_ROWS) >= 2).withColumn(_N, F.col(_ROWS))
+    groups = counts.where(f"{_ROWS} >= 2").selectExpr("*", f"{_ROWS} AS {_N}")
     return _join_counts(cand_rows, counts, groups, keys, _N).unionByName(rest)
 
 
@@ -145,8 +133,8 @@ def flag_duplicates(
     joined = _dup_join(df.drop(DUP_COUNT, DUP_FLAG), keys, source, hash_prefilter)
     return joined.withColumns(
         {
-            DUP_COUNT: F.coalesce(F.col(_N), F.lit(0)).cast("bigint"),
-            DUP_FLAG: flag(F.col(_N).isNotNull()),
+            DUP_COUNT: F.expr(f"CAST(coalesce({_N}, 0) AS BIGINT)"),
+            DUP_FLAG: F.expr(f"CAST(CASE WHEN {_N} IS NULL THEN 0 ELSE 1 END AS INT)"),
         }
     ).drop(_N)
 
@@ -162,17 +150,15 @@ def duplicate_report(df: DataFrame, keys: Sequence[str], order: bool = True) ->
 def report_from_flags(flagged: DataFrame, keys: Sequence[str], order: bool = True) -> DataFrame:
     """Duplicate report derived from an already flagged table (no new join)."""
     rest = [c for c in flagged.columns if c not in keys and c not in (DUP_COUNT, DUP_FLAG)]
-    out = flagged.where(F.col(DUP_FLAG) == 1).select(
-        *[col(k) for k in keys],
-        F.col(DUP_COUNT).alias(COUNTS),
-        *[col(c) for c in rest],
+    out = flagged.where(f"{DUP_FLAG} = 1").selectExpr(
+        *[ident(k) for k in keys], f"{DUP_COUNT} AS {COUNTS}", *[ident(c) for c in rest]
     )
     if not order:
         return out
     # The tie-breaker only orders rows inside a key group; it lets the range
     # partitioner cut a hot key across several sort tasks. It is a function
     # of the row (not of its position), so a retried task sorts the same.
-    return out.orderBy(*[col(k) for k in keys], row_fingerprint(out))
+    return out.orderBy(*[F.expr(ident(k)) for k in keys], F.expr(row_fingerprint_sql(out)))
 
 
 def flag_duplicates_first_key(df: DataFrame, keys: Sequence[str], flag_col: str = FLAG_DUPLICATION) -> DataFrame:
@@ -182,11 +168,11 @@ def flag_duplicates_first_key(df: DataFrame, keys: Sequence[str], flag_col: str
     counts 0. Computed as aggregate + null-safe join, not as a window, so a
     hot group is partially aggregated instead of landing in one task."""
     keys = _check_keys(df, keys)
-    counts = df.groupBy(*[col(k) for k in keys]).agg(
-        F.count(F.lit(1)).alias(_ROWS), F.count(col(keys[0])).alias(_N)
+    counts = df.groupBy(*[ident(k) for k in keys]).agg(
+        F.expr(f"count(1) AS {_ROWS}"), F.expr(f"count({ident(keys[0])}) AS {_N}")
     )
-    joined = _join_counts(df.drop(flag_col), counts, counts.where(F.col(_N) > 1), keys, _N, null_safe=True)
-    return joined.withColumn(flag_col, flag(F.col(_N).isNotNull())).drop(_N)
+    joined = _join_counts(df.drop(flag_col), counts, counts.where(f"{_N} > 1"), keys, _N, null_safe=True)
+    return joined.withColumn(flag_col, F.expr(f"CAST(CASE WHEN {_N} IS NULL THEN 0 ELSE 1 END AS INT)")).drop(_N)
 
 
 def unique_key(
@@ -196,4 +182,4 @@ def unique_key(
     with a null key pass)."""
     keys = _check_keys(df, keys)
     joined = _dup_join(df.drop(RESULT), keys, source, hash_prefilter)
-    return joined.withColumn(RESULT, F.col(_N).isNull()).drop(_N)
+    return joined.withColumn(RESULT, F.expr(f"{_N} IS NULL")).drop(_N)

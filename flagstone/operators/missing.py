@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import FLAG_MISSING, MISSING_FLAG, any_of, data_columns, flag, is_missing
+from ..functions.columns import FLAG_MISSING, MISSING_FLAG, any_sql, data_columns, flag_sql, is_missing_sql, sql_str
 
 
 def _columns(df: DataFrame, columns: Sequence[str] | None) -> list[str]:
@@ -34,8 +34,8 @@ def flag_missing(
     """Append ``missing_flag`` = 1 when any checked column is null, NaN or
     (strings) blank. ``columns`` None or empty checks every data column."""
     cols = _columns(df, columns)
-    cond = any_of([is_missing(df, c, blank_is_missing) for c in cols])
-    return df.withColumn(flag_col, flag(cond))
+    cond = any_sql([is_missing_sql(df, c, blank_is_missing) for c in cols])
+    return df.withColumn(flag_col, F.expr(flag_sql(cond)))
 
 
 def flag_missing_null_only(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -54,14 +54,12 @@ def missing_by_column(
     cols = _columns(df, columns)
     counts = df.agg(
         *[
-            F.count(F.when(is_missing(df, c, blank_is_missing), F.lit(1))).alias(f"__dq_m{i}")
+            F.expr(f"count(CASE WHEN {is_missing_sql(df, c, blank_is_missing)} THEN 1 END) AS __dq_m{i}")
             for i, c in enumerate(cols)
         ]
     )
-    pairs = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), F.col(f"__dq_m{i}").cast("bigint").alias("missing"))
-            for i, c in enumerate(cols)
-        ]
+    rows = ", ".join(
+        f"struct({sql_str(c)} AS column, CAST(__dq_m{i} AS BIGINT) AS missing, {sql_str(table)} AS tbl)"
+        for i, c in enumerate(cols)
     )
-    return counts.select(F.inline(pairs)).select("column", "missing", F.lit(table).alias("tbl"))
+    return counts.selectExpr(f"inline(array({rows}))")

@@ -20,13 +20,14 @@ from ..functions.columns import (
     FLAG_VALUES,
     NEGATIVE_FLAG,
     VALUE_FLAG,
-    any_of,
-    col,
-    flag,
-    is_nan,
-    is_nonneg_decimal,
+    any_sql,
+    flag_sql,
+    ident,
+    is_nan_sql,
+    is_nonneg_decimal_sql,
     match_columns,
-    to_number,
+    sql_str,
+    to_number_sql,
 )
 
 
@@ -37,11 +38,11 @@ def value_columns(df: DataFrame, token: str = "value", columns: Sequence[str] |
     return match_columns(df.columns, contains=token)
 
 
-def _bad(df: DataFrame, name: str, null_is_bad: bool):
-    ok = is_nonneg_decimal(df, name)
+def _bad(df: DataFrame, name: str, null_is_bad: bool) -> str:
+    bad = f"NOT {is_nonneg_decimal_sql(df, name)}"
     if null_is_bad:
-        return ~ok
-    return ~ok & col(name).isNotNull()
+        return bad
+    return f"{bad} AND {ident(name)} IS NOT NULL"
 
 
 def flag_non_numeric(
@@ -57,8 +58,8 @@ def flag_non_numeric(
     cols = value_columns(df, token, columns)
     if not cols:
         return df
-    cond = any_of([_bad(df, c, null_is_bad) for c in cols])
-    return df.withColumn(flag_col, flag(cond))
+    cond = any_sql([_bad(df, c, null_is_bad) for c in cols])
+    return df.withColumn(flag_col, F.expr(flag_sql(cond)))
 
 
 def flag_non_numeric_spark(df: DataFrame, token: str = "value", columns: Sequence[str] | None = None) -> DataFrame:
@@ -78,25 +79,21 @@ def offending_values(
     cols = value_columns(df, token, columns)
     if not cols:
         return None
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.when(_bad(df, c, null_is_bad=False) & ~is_nan(df, c), col(c).cast("string")).alias("value"),
-            )
-            for c in cols
-        ]
+    cells = ", ".join(
+        f"struct({sql_str(c)} AS column, CASE WHEN {_bad(df, c, null_is_bad=False)} AND NOT {is_nan_sql(df, c)} "
+        f"THEN CAST({ident(c)} AS STRING) END AS value)"
+        for c in cols
     )
     return (
-        df.select(F.inline(cells))
-        .where(F.col("value").isNotNull())
-        .select(F.lit(table).alias("tbl"), "column", "value")
+        df.selectExpr(f"inline(array({cells}))")
+        .where("value IS NOT NULL")
+        .selectExpr(f"{sql_str(table)} AS tbl", "column", "value")
         .distinct()
     )
 
 
-def _negative(df: DataFrame, cols: Sequence[str]):
-    return any_of([to_number(df, c) < 0 for c in cols])
+def _negative(df: DataFrame, cols: Sequence[str]) -> str:
+    return any_sql([f"{to_number_sql(df, c)} < 0" for c in cols])
 
 
 def negative_rows(df: DataFrame, token: str = "value", columns: Sequence[str] | None = None) -> DataFrame | None:
@@ -105,7 +102,7 @@ def negative_rows(df: DataFrame, token: str = "value", columns: Sequence[str] |
     cols = value_columns(df, token, columns)
     if not cols:
         return None
-    return df.where(_negative(df, cols))
+    return df.where(F.expr(_negative(df, cols)))
 
 
 def flag_negative(
@@ -118,4 +115,4 @@ def flag_negative(
     cols = value_columns(df, token, columns)
     if not cols:
         return df
-    return df.withColumn(flag_col, flag(_negative(df, cols)))
+    return df.withColumn(flag_col, F.expr(flag_sql(_negative(df, cols))))

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import col
+from ..functions.columns import ident
 
 # Rows one task should take for one key before the key is split.
 DEFAULT_HOT_ROWS = 1_000_000
@@ -73,37 +73,34 @@ def key_hash(cols: Sequence[Column]) -> Column:
     return F.xxhash64(*cols)
 
 
-def _and(conds: Sequence[Column]) -> Column:
-    out = conds[0]
-    for c in conds[1:]:
-        out = out & c
-    return out
-
-
-def non_null_keys(keys: Sequence[str]) -> Column:
-    return _and([col(k).isNotNull() for k in keys])
+def non_null_keys_sql(keys: Sequence[str]) -> str:
+    return " AND ".join(f"{ident(k)} IS NOT NULL" for k in keys)
 
 
 def key_counts(rows: DataFrame, keys: Sequence[str], n_col: str = _N, null_keys: bool = True) -> DataFrame:
     """Rows per key value (partial aggregation); rows with a null key are
     left out unless ``null_keys``."""
-    src = rows if null_keys else rows.where(non_null_keys(keys))
-    return src.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias(n_col))
+    src = rows if null_keys else rows.where(non_null_keys_sql(keys))
+    return src.groupBy(*[ident(k) for k in keys]).agg(F.expr(f"count(1) AS {ident(n_col)}"))
 
 
-def row_fingerprint(rows: DataFrame) -> Column:
+def row_fingerprint_sql(rows: DataFrame) -> str:
     """Deterministic 64-bit value per row: hash of the partition index and
     every hashable column (map columns cannot be hashed and are skipped)."""
-    cols = [col(f.name) for f in rows.schema.fields if not isinstance(f.dataType, T.MapType)]
-    return F.xxhash64(F.spark_partition_id(), *cols)
+    cols = [ident(f.name) for f in rows.schema.fields if not isinstance(f.dataType, T.MapType)]
+    return f"xxhash64(spark_partition_id(), {', '.join(cols)})"
+
+
+def row_fingerprint(rows: DataFrame) -> Column:
+    return F.expr(row_fingerprint_sql(rows))
 
 
 def _top(counts: DataFrame, n_col: str, hot_rows: int, max_hot: int) -> DataFrame:
-    return counts.where(F.col(n_col) > hot_rows).orderBy(F.col(n_col).desc()).limit(max_hot)
+    return counts.where(f"{ident(n_col)} > {int(hot_rows)}").orderBy(F.expr(f"{ident(n_col)} DESC")).limit(max_hot)
 
 
-def _salts(n_col: str, hot_rows: int) -> Column:
-    return F.ceil(F.col(n_col) / F.lit(hot_rows)).cast("int").alias(_NSALT)
+def _salts_sql(n_col: str, hot_rows: int) -> str:
+    return f"CAST(ceil({ident(n_col)} / {int(hot_rows)}) AS INT)"
 
 
 def salted_join(
@@ -136,30 +133,36 @@ def salted_join(
         counts, counts_keys, n_col = key_counts(rows, row_keys, _N, null_keys=null_safe), row_keys, _N
     counts_keys = list(counts_keys or row_keys)
     top = _top(counts, n_col, hot_rows, max_hot)
+    op = "<=>" if null_safe else "="
 
-    def eq(a: Column, b: Column) -> Column:
-        return a.eqNullSafe(b) if null_safe else a == b
+    def same(left: Sequence[str], right: Sequence[str]) -> str:
+        return " AND ".join(f"{a} {op} {b}" for a, b in zip(left, right))
 
     row_types = {f.name: f.dataType for f in rows.schema.fields}
     if all(isinstance(row_types[k], _FIXED) for k in row_keys):
         # at most max_hot rows of fixed-width keys: a proven broadcast bound
         hk = [f"{_HK}{i}" for i in range(len(row_keys))]
-        hot = F.broadcast(top.select(*[col(c).alias(h) for c, h in zip(counts_keys, hk)], _salts(n_col, hot_rows)))
-        row_match = _and([eq(col(k), F.col(h)) for k, h in zip(row_keys, hk)])
-        side_match = _and([eq(col(k), F.col(h)) for k, h in zip(side_keys, hk)])
+        hot = F.broadcast(
+            top.selectExpr(*[f"{ident(c)} AS {h}" for c, h in zip(counts_keys, hk)], f"{_salts_sql(n_col, hot_rows)} AS {_NSALT}")
+        )
+        row_match = same([ident(k) for k in row_keys], hk)
+        side_match = same([ident(k) for k in side_keys], hk)
         hot_cols = [*hk, _NSALT]
     else:
         # wide keys: broadcast a 64-bit hash instead (deduplicated, as two
         # hot keys may share a hash)
         hot = F.broadcast(
-            top.groupBy(key_hash([col(k) for k in counts_keys]).alias(_H)).agg(F.max(_salts(n_col, hot_rows)).alias(_NSALT))
+            top.groupBy(F.expr(f"xxhash64({', '.join(ident(k) for k in counts_keys)}) AS {_H}")).agg(
+                F.expr(f"max({_salts_sql(n_col, hot_rows)}) AS {_NSALT}")
+            )
         )
         side_types = {f.name: f.dataType for f in side.schema.fields}
         side_hash = [
-            col(s) if side_types[s] == row_types[r] else col(s).try_cast(row_types[r]) for r, s in zip(row_keys, side_keys)
+            ident(s) if side_types[s] == row_types[r] else f"try_cast({ident(s)} AS {row_types[r].simpleString()})"
+            for r, s in zip(row_keys, side_keys)
         ]
-        row_match = key_hash([col(k) for k in row_keys]) == F.col(_H)
-        side_match = key_hash(side_hash) == F.col(_H)
+        row_match = f"xxhash64({', '.join(ident(k) for k in row_keys)}) = {_H}"
+        side_match = f"xxhash64({', '.join(side_hash)}) = {_H}"
         hot_cols = [_H, _NSALT]
 
     # The salt must be a function of the row, not of its position: a retried
@@ -167,14 +170,17 @@ def salted_join(
     # must still go to the same bucket. Row content plus the index of the
     # row's partition (also fixed on retry) spreads even byte-identical
     # copies of a row over the buckets.
-    fingerprint = row_fingerprint(rows)
-    salt = F.when(F.col(_NSALT).isNotNull(), F.pmod(fingerprint, F.col(_NSALT)).cast("int"))
+    fingerprint = row_fingerprint_sql(rows)
+    salt = f"WHEN {_NSALT} IS NOT NULL THEN CAST(pmod({fingerprint}, {_NSALT}) AS INT)"
     if not null_safe:
-        salt = salt.when(~non_null_keys(row_keys), F.pmod(fingerprint, F.lit(NULL_SPREAD)).cast("int"))
-    salted_rows = rows.join(hot, row_match, "left").withColumn(_SALT, salt.otherwise(F.lit(0))).drop(*hot_cols)
-
-    copies = F.when(F.col(_NSALT).isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col(_NSALT) - 1))
-    spread_side = side.join(hot, side_match, "left").withColumn(_SIDE_SALT, F.explode(copies)).drop(*hot_cols)
-
-    cond = _and([F.col(_SALT) == F.col(_SIDE_SALT), *[eq(col(r), col(s)) for r, s in zip(row_keys, side_keys)]])
-    return salted_rows.join(spread_side, cond, how).drop(_SALT, _SIDE_SALT)
+        salt += f" WHEN NOT ({non_null_keys_sql(row_keys)}) THEN CAST(pmod({fingerprint}, {NULL_SPREAD}) AS INT)"
+    salted_rows = (
+        rows.join(hot, F.expr(row_match), "left")
+        .withColumn(_SALT, F.expr(f"CASE {salt} ELSE 0 END"))
+        .drop(*hot_cols)
+    )
+    copies = f"explode(CASE WHEN {_NSALT} IS NULL THEN array(0) ELSE sequence(0, {_NSALT} - 1) END)"
+    spread_side = side.join(hot, F.expr(side_match), "left").withColumn(_SIDE_SALT, F.expr(copies)).drop(*hot_cols)
+
+    cond = f"{_SALT} = {_SIDE_SALT} AND " + same([ident(r) for r in row_keys], [ident(s) for s in side_keys])
+    return salted_rows.join(spread_side, F.expr(cond), how).drop(_SALT, _SIDE_SALT)

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import RESULT, col
+from ..functions.columns import RESULT, ident, sql_str
 
 SUMMARY_COLUMNS = ("rule", "tbl", "total", "count", "percent")
 
@@ -22,46 +22,31 @@ SUMMARY_COLUMNS = ("rule", "tbl", "total", "count", "percent")
 def flag_summary(flagged: DataFrame, rule: str, table: str, flag_col: str) -> DataFrame:
     """One row: rows, flagged rows, and their percentage rounded to 2
     decimals (0.0 for an empty table)."""
-    agg = flagged.agg(
-        F.count(F.lit(1)).cast("bigint").alias("total"),
-        F.coalesce(F.sum(col(flag_col)), F.lit(0)).cast("bigint").alias("count"),
-    )
-    return agg.select(
-        F.lit(rule).alias("rule"),
-        F.lit(table).alias("tbl"),
-        "total",
-        "count",
-        _percent(F.col("count"), F.col("total")).alias("percent"),
-    )
+    return flags_summary(flagged, table, [(rule, flag_col)])
 
 
 def flags_summary(flagged: DataFrame, table: str, rule_flags: Sequence[tuple[str, str]]) -> DataFrame:
     """Summary rows for several ``(rule, flag column)`` pairs of one table,
     from a single aggregate (one scan, flag columns only)."""
-    sums = [
-        F.coalesce(F.sum(col(flag_col)), F.lit(0)).cast("bigint").alias(f"__dq_s{i}")
-        for i, (_, flag_col) in enumerate(rule_flags)
-    ]
-    agg = flagged.agg(F.count(F.lit(1)).cast("bigint").alias("total"), *sums)
-    per_rule = F.array(
+    agg = flagged.agg(
+        F.expr("CAST(count(1) AS BIGINT) AS total"),
         *[
-            F.struct(F.lit(rule).alias("rule"), F.col(f"__dq_s{i}").alias("count"))
-            for i, (rule, _) in enumerate(rule_flags)
-        ]
+            F.expr(f"CAST(coalesce(sum({ident(flag_col)}), 0) AS BIGINT) AS __dq_s{i}")
+            for i, (_, flag_col) in enumerate(rule_flags)
+        ],
+    )
+    per_rule = ", ".join(
+        f"struct({sql_str(rule)} AS rule, __dq_s{i} AS `count`)" for i, (rule, _) in enumerate(rule_flags)
     )
-    return agg.select("total", F.inline(per_rule)).select(
+    return agg.selectExpr("total", f"inline(array({per_rule}))").selectExpr(
         "rule",
-        F.lit(table).alias("tbl"),
+        f"{sql_str(table)} AS tbl",
         "total",
-        "count",
-        _percent(F.col("count"), F.col("total")).alias("percent"),
+        "`count`",
+        "CAST(CASE WHEN total = 0 THEN 0.0D ELSE round(`count` * 100.0D / total, 2) END AS DOUBLE) AS percent",
     )
 
 
-def _percent(count, total):
-    return F.when(total == 0, F.lit(0.0)).otherwise(F.round(count * 100.0 / total, 2)).cast("double")
-
-
 def union_all(frames: Iterable[DataFrame]) -> DataFrame | None:
     frames = [f for f in frames if f is not None]
     if not frames:
@@ -72,10 +57,10 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame | None:
 def result_events(result: DataFrame, event_type: str, dag_name: str, dag_run_id: str) -> DataFrame:
     """One event per failing record of a rule result (``result`` False): the
     record itself, as JSON, is the event data."""
-    data = [col(c) for c in result.columns if c != RESULT]
-    return result.where(~F.col(RESULT)).select(
-        F.lit(dag_name).alias("dag_name"),
-        F.lit(dag_run_id).alias("dag_run_id"),
-        F.lit(event_type).alias("event_type"),
-        F.to_json(F.struct(*data)).alias("event_data"),
+    data = ", ".join(ident(c) for c in result.columns if c != RESULT)
+    return result.where(f"NOT {ident(RESULT)}").selectExpr(
+        f"{sql_str(dag_name)} AS dag_name",
+        f"{sql_str(dag_run_id)} AS dag_run_id",
+        f"{sql_str(event_type)} AS event_type",
+        f"to_json(struct({data})) AS event_data",
     )
