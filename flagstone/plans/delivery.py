@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ..sinks.writers import QC_SUFFIX, RAW_SUFFIX, ensure_database, replace_table, sanitize_table_name, write_delimited
-from ..sources.delivery import delivery_paths, read_delivery
+from ..sources.delivery import delivery_paths, read_delimited, read_delivery
 from .runner import RuleFn, RunOptions, rule_registry, run_rules
 
 log = logging.getLogger(__name__)
@@ -122,6 +122,22 @@ def run_delivery(
     return DeliveryResult(raw, flagged, summary, outputs, res.rules_run)
 
 
+def upload_file(
+    spark: SparkSession,
+    path: str,
+    database: str,
+    table: str,
+    sep: str = ",",
+    schema: StructType | None = None,
+    encoding: str | None = None,
+) -> DataFrame:
+    """One delimited file into catalog table ``database.table`` (replaced),
+    returned as the stored table."""
+    ensure_database(spark, database)
+    df = read_delimited(spark, path, sep=sep, schema=schema, encoding=encoding)
+    return spark.table(replace_table(df, database, table))
+
+
 def run_vendors(spark: SparkSession, config: Mapping, vendors: str | Sequence[str], **kw) -> dict[str, DeliveryResult]:
     """Run several vendors (comma-separated or a list); names are matched
     upper-cased, an unknown vendor is reported and skipped."""

@@ -114,3 +114,12 @@ def test_read_table_any_uri(spark):
 
     df = read_table(spark, "file:///root/testdata/sf0.001/region.parquet", "parquet")
     assert df.count() == 5
+
+
+def test_upload_file(spark, tmp_path):
+    from flagstone.plans.delivery import upload_file
+
+    f = tmp_path / "rx.txt"
+    f.write_text("PATCOD|LBORR\nP1|3.5\nP2|N/A\n")
+    t = upload_file(spark, str(f), "up_qc", "10_-_Lab-rx", sep="|")
+    assert t.count() == 2 and set(t.columns) == {"PATCOD", "LBORR"}
