@@ -76,3 +76,52 @@ def test_mappable_id_matches_brute_force(spark, rows, sup, hot):
         assert _by_rid(mappable_id(df, superset, "k1", null_safe=False), "result") == strict
     finally:
         spark.conf.unset("flagstone.hotKeyRows")
+
+
+DATE_TEXT = st.one_of(
+    st.none(),
+    st.just("garbage"),
+    st.builds(
+        lambda y, m, d: f"{y}/{m:02d}/{d}",
+        st.integers(2017, 2019),
+        st.integers(1, 12),
+        st.one_of(st.just("UK"), st.integers(1, 28).map(lambda d: f"{d:02d}")),
+    ),
+)
+
+
+def _parse(text):
+    import datetime
+
+    if text is None or text == "garbage":
+        return None
+    return datetime.datetime.strptime(text.replace("UK", "15"), "%Y/%m/%d")
+
+
+@SETTINGS
+@given(
+    anchors=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), DATE_TEXT), max_size=8),
+    rows=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), DATE_TEXT, DATE_TEXT), max_size=20),
+    hot=st.sampled_from([1, 1_000_000]),
+)
+def test_date_bound_matches_brute_force(spark, anchors, rows, hot):
+    from flagstone.operators.dates import DateBoundSpec, last_date
+
+    _forced(spark, hot)
+    try:
+        a = spark.createDataFrame(anchors, "pid int, LASTDAT string")
+        r = spark.createDataFrame([(i, *x) for i, x in enumerate(rows)], "rid int, pid int, VISDAT string, LABDAT string")
+        tables, _ = last_date({"a": a, "r": r}, DateBoundSpec("a", "LASTDAT", "pid", "DAT"))
+        limit = {}
+        for pid, text in anchors:
+            d = _parse(text)
+            if pid is not None and d is not None:
+                limit[pid] = min(limit.get(pid, d), d)
+        want = {}
+        for i, (pid, v1, v2) in enumerate(rows):
+            lim = limit.get(pid) if pid is not None else None
+            dates = [d for d in (_parse(v1), _parse(v2)) if d is not None]
+            want[i] = (1 if lim is not None and any(lim < d for d in dates) else 0,)
+        assert _by_rid(tables["r"], "last_dt_flag") == want
+    finally:
+        spark.conf.unset("flagstone.hotKeyRows")
