@@ -1,8 +1,6 @@
 """Golden cases: the reference's test inputs with hand-derived results."""
 
 
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from flagstone.operators import (
     DateBoundSpec,

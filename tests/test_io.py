@@ -1,7 +1,6 @@
 """Sources, sinks, configuration and the rule runner."""
 
 import json
-import os
 
 import pytest
 from pyspark.sql import functions as F
