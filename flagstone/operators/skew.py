@@ -69,10 +69,6 @@ def _settings(df: DataFrame, hot_rows: int | None, max_hot: int | None) -> tuple
     return max(int(hot_rows), 1), max(int(max_hot), 1)
 
 
-def key_hash(cols: Sequence[Column]) -> Column:
-    return F.xxhash64(*cols)
-
-
 def non_null_keys_sql(keys: Sequence[str]) -> str:
     return " AND ".join(f"{ident(k)} IS NOT NULL" for k in keys)
 
