@@ -105,13 +105,9 @@ def join_anchor(
         return None
     values = [to_time_value_sql(df, c, spec.dt_type, on_bad) for c in cols]
     cond = any_sql([f"{ANCHOR} < ({v})" for v in values])
-    # Rows per id of this table: heavy-hitter statistics for the salted join
-    # and, with keep_unmatched_anchor, the table's distinct ids.
-    counts = key_counts(df if source is None else source, [spec.id_column], "__dq_rows", null_keys=False)
-    joined = salted_join(
-        df.drop(flag_col), anchor, [spec.id_column], [ANCHOR_ID], "left", counts=counts,
-        counts_keys=[spec.id_column], n_col="__dq_rows",
-    )
+    # Heavy-hitter ids are estimated on a sample of the input table.
+    stats = df if source is None else source
+    joined = salted_join(df.drop(flag_col), anchor, [spec.id_column], [ANCHOR_ID], "left", stats_rows=stats)
     out = joined.drop(ANCHOR_ID).withColumn(flag_col, F.expr(flag_sql(cond)))
     if not keep_unmatched_anchor:
         return out
@@ -119,7 +115,9 @@ def join_anchor(
     # against the table's distinct ids (pre-aggregated, so a hot id is one
     # row per task) instead of a full outer join, whose skewed partitions
     # adaptive execution cannot split.
-    ids = counts.selectExpr(f"{ident(spec.id_column)} AS __dq_seen")
+    ids = key_counts(stats, [spec.id_column], "__dq_rows", null_keys=False).selectExpr(
+        f"{ident(spec.id_column)} AS __dq_seen"
+    )
     extra = anchor.join(ids, F.col(ANCHOR_ID) == F.col("__dq_seen"), "left_anti")
     fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     extra_rows = extra.selectExpr(

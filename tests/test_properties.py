@@ -23,6 +23,7 @@ def _by_rid(df, *cols):
 
 def _forced(spark, hot_rows):
     spark.conf.set("flagstone.hotKeyRows", str(hot_rows))
+    spark.conf.set("flagstone.hotKeySample", "1.0")  # exact counts on tiny tables
 
 
 @SETTINGS
@@ -46,6 +47,7 @@ def test_duplicates_match_brute_force(spark, rows, hot):
         }
     finally:
         spark.conf.unset("flagstone.hotKeyRows")
+        spark.conf.unset("flagstone.hotKeySample")
 
 
 @SETTINGS
@@ -60,6 +62,7 @@ def test_first_key_variant_matches_brute_force(spark, rows, hot):
         assert _by_rid(flag_duplicates_first_key(df, ["k1", "k2"]), "flag_duplication") == want
     finally:
         spark.conf.unset("flagstone.hotKeyRows")
+        spark.conf.unset("flagstone.hotKeySample")
 
 
 @SETTINGS
@@ -76,6 +79,7 @@ def test_mappable_id_matches_brute_force(spark, rows, sup, hot):
         assert _by_rid(mappable_id(df, superset, "k1", null_safe=False), "result") == strict
     finally:
         spark.conf.unset("flagstone.hotKeyRows")
+        spark.conf.unset("flagstone.hotKeySample")
 
 
 DATE_TEXT = st.one_of(
@@ -125,3 +129,4 @@ def test_date_bound_matches_brute_force(spark, anchors, rows, hot):
         assert _by_rid(tables["r"], "last_dt_flag") == want
     finally:
         spark.conf.unset("flagstone.hotKeyRows")
+        spark.conf.unset("flagstone.hotKeySample")
