@@ -4,8 +4,8 @@ Plan shape (all variants): one hash aggregation on the key columns — run as
 a map-side partial aggregate, so even a key holding a third of all rows is
 pre-summed inside each input task before anything is shuffled — then a left
 join of the rows to the (keys, count) groups. That join goes through
-:func:`~flagstone.operators.skew.salted_join`, which reuses the same
-aggregate to find heavy-hitter keys and spreads their rows over several
+:func:`~flagstone.operators.skew.salted_join`, which finds heavy-hitter keys
+on a seeded sample of the same input and spreads their rows over several
 tasks; adaptive execution may still turn it into a broadcast join when the
 measured size of the groups side is small. There is no window over the key,
 so no task ever holds a whole key group, and the row count is kept exactly.
@@ -57,21 +57,23 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str], count_col: str = COUNTS
 
 def _join_counts(
     df: DataFrame,
-    counts: DataFrame,
     groups: DataFrame,
     keys: Sequence[str],
     value_col: str,
     null_safe: bool = False,
+    stats_rows: DataFrame | None = None,
 ) -> DataFrame:
-    """Left-join ``groups`` (a filter of ``counts``, the per-key row counts)
-    to every row of ``df``; output = ``df``'s columns + ``value_col``.
+    """Left-join ``groups`` (keys + ``value_col``) to every row of ``df``;
+    output = ``df``'s columns + ``value_col``.
 
     Keys of the groups side are renamed so that names with dots or spaces
-    cannot clash, and ``counts`` doubles as the heavy-hitter statistics.
+    cannot clash. Heavy hitters are estimated on a sample of ``stats_rows``
+    (default ``df``), so the exact aggregate behind ``groups`` has a single
+    consumer and is not evaluated a second time for the hot-key list.
     """
     aliases = [_key_alias(i) for i in range(len(keys))]
     side = groups.selectExpr(*[f"{ident(k)} AS {a}" for k, a in zip(keys, aliases)], ident(value_col))
-    joined = salted_join(df, side, keys, aliases, "left", null_safe, counts=counts, counts_keys=keys, n_col=_ROWS)
+    joined = salted_join(df, side, keys, aliases, "left", null_safe, stats_rows=stats_rows)
     return joined.drop(*aliases)
 
 
@@ -94,7 +96,7 @@ def _dup_join(
         return _dup_join_prefiltered(df, keys, src)
     counts = key_counts(src, keys, _ROWS, null_keys=False)
     groups = counts.where(f"{_ROWS} >= 2").selectExpr("*", f"{_ROWS} AS {_N}")
-    return _join_counts(df, counts, groups, keys, _N)
+    return _join_counts(df, groups, keys, _N, stats_rows=src)
 
 
 def _dup_join_prefiltered(df: DataFrame, keys: Sequence[str], src: DataFrame) -> DataFrame:
@@ -115,13 +117,14 @@ def _dup_join_prefiltered(df: DataFrame, keys: Sequence[str], src: DataFrame) ->
     hash_counts = hashed.groupBy(_KH).agg(F.expr(f"count(1) AS {_ROWS}"))
     candidates = hash_counts.where(f"{_ROWS} >= 2").selectExpr(f"{_KH} AS {_KH_SIDE}", f"true AS {_CAND}")
     keyed = df.withColumn(_KH, F.expr(f"CASE WHEN {present} THEN {key_hash} END"))
-    marked = salted_join(keyed, candidates, [_KH], [_KH_SIDE], "left", counts=hash_counts, counts_keys=[_KH], n_col=_ROWS)
+    src_keyed = src.withColumn(_KH, F.expr(f"CASE WHEN {present} THEN {key_hash} END"))
+    marked = salted_join(keyed, candidates, [_KH], [_KH_SIDE], "left", stats_rows=src_keyed)
     marked = marked.drop(_KH, _KH_SIDE)
     cand_rows = marked.where(_CAND).drop(_CAND)
     rest = marked.where(f"{_CAND} IS NULL").drop(_CAND).withColumn(_N, F.expr("CAST(NULL AS BIGINT)"))
     counts = key_counts(cand_rows, keys, _ROWS, null_keys=False)
     groups = counts.where(f"{_ROWS} >= 2").selectExpr("*", f"{_ROWS} AS {_N}")
-    return _join_counts(cand_rows, counts, groups, keys, _N).unionByName(rest)
+    return _join_counts(cand_rows, groups, keys, _N).unionByName(rest)
 
 
 def flag_duplicates(
@@ -171,7 +174,7 @@ def flag_duplicates_first_key(df: DataFrame, keys: Sequence[str], flag_col: str
     counts = df.groupBy(*[ident(k) for k in keys]).agg(
         F.expr(f"count(1) AS {_ROWS}"), F.expr(f"count({ident(keys[0])}) AS {_N}")
     )
-    joined = _join_counts(df.drop(flag_col), counts, counts.where(f"{_N} > 1"), keys, _N, null_safe=True)
+    joined = _join_counts(df.drop(flag_col), counts.where(f"{_N} > 1"), keys, _N, null_safe=True)
     return joined.withColumn(flag_col, F.expr(f"CAST(CASE WHEN {_N} IS NULL THEN 0 ELSE 1 END AS INT)")).drop(_N)
 
 
