@@ -124,7 +124,9 @@ def _dup_join_prefiltered(df: DataFrame, keys: Sequence[str], src: DataFrame) ->
     rest = marked.where(f"{_CAND} IS NULL").drop(_CAND).withColumn(_N, F.expr("CAST(NULL AS BIGINT)"))
     counts = key_counts(cand_rows, keys, _ROWS, null_keys=False)
     groups = counts.where(f"{_ROWS} >= 2").selectExpr("*", f"{_ROWS} AS {_N}")
-    return _join_counts(cand_rows, groups, keys, _N).unionByName(rest)
+    # heavy hitters among candidates are heavy hitters of the input: sample
+    # the input scan (stable row order), not the join output
+    return _join_counts(cand_rows, groups, keys, _N, stats_rows=src).unionByName(rest)
 
 
 def flag_duplicates(

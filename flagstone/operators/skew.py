@@ -98,7 +98,9 @@ def row_fingerprint(rows: DataFrame) -> Column:
 
 def sampled_key_counts(rows: DataFrame, keys: Sequence[str], n_col: str = _N, null_keys: bool = True) -> DataFrame:
     """Estimated rows per key from a seeded Bernoulli sample (the estimate
-    only decides which keys get salted, never a result)."""
+    only decides which keys get salted, never a result). Both sides of the
+    salted join read the one broadcast hot list built from it, so they
+    always agree; callers pass an input scan, whose row order is stable."""
     fraction = float(rows.sparkSession.conf.get(SAMPLE_CONF, str(DEFAULT_SAMPLE)))
     src = rows if null_keys else rows.where(non_null_keys_sql(keys))
     if fraction >= 1.0:
