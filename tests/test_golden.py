@@ -199,3 +199,26 @@ def test_f7_mappable_id(spark):
     rule = MappableIdRule({"subset": sub, "superset": sup}, "id")
     assert not rule.passed()
     assert rule.fail_message("t") == "Fail: t does not have mappable primary keys"
+
+
+def test_awkward_column_names(spark):
+    """Names with dots, spaces, hyphens, quotes and back-ticks survive every rule."""
+    from flagstone.operators.dates import DateBoundSpec
+
+    cols = ["pat.id", "value Age", "LB-ORR`x", "it's DAT"]
+    df = spark.createDataFrame(
+        [("p1", "34", "N/A", "2019/01/01"), ("p1", "34", "7", None), ("p2", "-1", "", "2018/01/01")],
+        ", ".join(f"`{c.replace('`', '``')}` string" for c in cols),
+    )
+    dup = flag_duplicates(df, ["pat.id", "value Age"])
+    assert [r["dup_count"] for r in dup.orderBy("dup_count").collect()] == [0, 2, 2]
+    vf = flag_non_numeric(df, "value")
+    assert sorted(r["value_flag"] for r in vf.collect()) == [0, 0, 1]
+    rep = {(r.column, r.value) for r in offending_values(df, "t-1", "ORR").collect()}
+    assert rep == {("LB-ORR`x", "N/A"), ("LB-ORR`x", "")}
+    mf = flag_missing(df)
+    assert sorted(r["missing_flag"] for r in mf.collect()) == [0, 1, 1]
+    assert {r.column for r in missing_by_column(df, "t'1").collect()} == set(cols)
+    anchor = spark.createDataFrame([("p1", "2018/06/01")], "`pat.id` string, `LAST DAT` string")
+    tables, _ = last_date({"a": anchor, "r": df}, DateBoundSpec("a", "LAST DAT", "pat.id", "DAT"))
+    assert sorted(r["last_dt_flag"] for r in tables["r"].collect()) == [0, 0, 1]
