@@ -194,13 +194,13 @@ def salted_join(
     salt = f"WHEN {_NSALT} IS NOT NULL THEN CAST(pmod({fingerprint}, {_NSALT}) AS INT)"
     if not null_safe:
         salt += f" WHEN NOT ({non_null_keys_sql(row_keys)}) THEN CAST(pmod({fingerprint}, {NULL_SPREAD}) AS INT)"
-    salted_rows = (
-        rows.join(hot, F.expr(row_match), "left")
-        .withColumn(_SALT, F.expr(f"CASE {salt} ELSE 0 END"))
-        .drop(*hot_cols)
+    salted_rows = rows.join(hot, F.expr(row_match), "left").selectExpr(
+        *[ident(c) for c in rows.columns], f"CASE {salt} ELSE 0 END AS {_SALT}"
     )
     copies = f"explode(CASE WHEN {_NSALT} IS NULL THEN array(0) ELSE sequence(0, {_NSALT} - 1) END)"
-    spread_side = side.join(hot, F.expr(side_match), "left").withColumn(_SIDE_SALT, F.expr(copies)).drop(*hot_cols)
+    spread_side = side.join(hot, F.expr(side_match), "left").selectExpr(
+        *[ident(c) for c in side.columns], f"{copies} AS {_SIDE_SALT}"
+    )
 
     cond = f"{_SALT} = {_SIDE_SALT} AND " + same([ident(r) for r in row_keys], [ident(s) for s in side_keys])
     return salted_rows.join(spread_side, F.expr(cond), how).drop(_SALT, _SIDE_SALT)
