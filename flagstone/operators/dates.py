@@ -107,8 +107,11 @@ def join_anchor(
     cond = any_sql([f"{ANCHOR} < ({v})" for v in values])
     # Heavy-hitter ids are estimated on a sample of the input table.
     stats = df if source is None else source
-    joined = salted_join(df.drop(flag_col), anchor, [spec.id_column], [ANCHOR_ID], "left", stats_rows=stats)
-    out = joined.drop(ANCHOR_ID).withColumn(flag_col, F.expr(flag_sql(cond)))
+    base = [c for c in df.columns if c != flag_col]
+    joined = salted_join(
+        df.drop(flag_col), anchor, [spec.id_column], [ANCHOR_ID], "left", stats_rows=stats, side_out=[ANCHOR]
+    )
+    out = joined.selectExpr(*[ident(c) for c in base], ANCHOR, f"{flag_sql(cond)} AS {ident(flag_col)}")
     if not keep_unmatched_anchor:
         return out
     # Anchor ids the table lacks, as extra rows. Written as an anti-join

@@ -73,8 +73,7 @@ def _join_counts(
     """
     aliases = [_key_alias(i) for i in range(len(keys))]
     side = groups.selectExpr(*[f"{ident(k)} AS {a}" for k, a in zip(keys, aliases)], ident(value_col))
-    joined = salted_join(df, side, keys, aliases, "left", null_safe, stats_rows=stats_rows)
-    return joined.drop(*aliases)
+    return salted_join(df, side, keys, aliases, "left", null_safe, stats_rows=stats_rows, side_out=[value_col])
 
 
 def _dup_join(
@@ -135,13 +134,13 @@ def flag_duplicates(
     """All rows of ``df`` plus ``dup_count`` (size of the key group when it is
     at least 2, else 0, as bigint) and ``dup_flag`` (1 when duplicated)."""
     keys = _check_keys(df, keys)
-    joined = _dup_join(df.drop(DUP_COUNT, DUP_FLAG), keys, source, hash_prefilter)
-    return joined.withColumns(
-        {
-            DUP_COUNT: F.expr(f"CAST(coalesce({_N}, 0) AS BIGINT)"),
-            DUP_FLAG: F.expr(f"CAST(CASE WHEN {_N} IS NULL THEN 0 ELSE 1 END AS INT)"),
-        }
-    ).drop(_N)
+    base = [c for c in df.columns if c not in (DUP_COUNT, DUP_FLAG)]
+    joined = _dup_join(df.select(*[ident(c) for c in base]) if len(base) < len(df.columns) else df, keys, source, hash_prefilter)
+    return joined.selectExpr(
+        *[ident(c) for c in base],
+        f"CAST(coalesce({_N}, 0) AS BIGINT) AS {DUP_COUNT}",
+        f"CAST(CASE WHEN {_N} IS NULL THEN 0 ELSE 1 END AS INT) AS {DUP_FLAG}",
+    )
 
 
 def duplicate_report(df: DataFrame, keys: Sequence[str], order: bool = True) -> DataFrame:
@@ -176,8 +175,11 @@ def flag_duplicates_first_key(df: DataFrame, keys: Sequence[str], flag_col: str
     counts = df.groupBy(*[ident(k) for k in keys]).agg(
         F.expr(f"count(1) AS {_ROWS}"), F.expr(f"count({ident(keys[0])}) AS {_N}")
     )
+    base = [c for c in df.columns if c != flag_col]
     joined = _join_counts(df.drop(flag_col), counts.where(f"{_N} > 1"), keys, _N, null_safe=True)
-    return joined.withColumn(flag_col, F.expr(f"CAST(CASE WHEN {_N} IS NULL THEN 0 ELSE 1 END AS INT)")).drop(_N)
+    return joined.selectExpr(
+        *[ident(c) for c in base], f"CAST(CASE WHEN {_N} IS NULL THEN 0 ELSE 1 END AS INT) AS {ident(flag_col)}"
+    )
 
 
 def unique_key(
@@ -186,5 +188,6 @@ def unique_key(
     """All rows plus boolean ``result``: True when the key occurs once (rows
     with a null key pass)."""
     keys = _check_keys(df, keys)
+    base = [c for c in df.columns if c != RESULT]
     joined = _dup_join(df.drop(RESULT), keys, source, hash_prefilter)
-    return joined.withColumn(RESULT, F.expr(f"{_N} IS NULL")).drop(_N)
+    return joined.selectExpr(*[ident(c) for c in base], f"{_N} IS NULL AS {RESULT}")

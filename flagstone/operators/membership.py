@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import RESULT, col
+from ..functions.columns import RESULT, col, ident
 from .skew import salted_join
 
 _MARK = "__dq_present"
@@ -45,8 +45,9 @@ def mappable_id(
         raise ValueError("subset and superset key lists differ in length")
     aliases = [f"__dq_sk{i}" for i in range(len(keys))]
     present = _key_set(superset, sup_keys, aliases).withColumn(_MARK, F.lit(True))
-    joined = salted_join(subset.drop(RESULT), present, keys, aliases, "left", null_safe)
-    return joined.withColumn(RESULT, F.col(_MARK).isNotNull()).drop(_MARK, *aliases)
+    base = [c for c in subset.columns if c != RESULT]
+    joined = salted_join(subset.drop(RESULT), present, keys, aliases, "left", null_safe, side_out=[_MARK])
+    return joined.selectExpr(*[ident(c) for c in base], f"{_MARK} IS NOT NULL AS {RESULT}")
 
 
 def unmapped_rows(

@@ -132,6 +132,7 @@ def salted_join(
     hot_rows: int | None = None,
     max_hot: int | None = None,
     stats_rows: DataFrame | None = None,
+    side_out: Sequence[str] | None = None,
 ) -> DataFrame:
     """``rows`` joined (``left`` or ``left_anti``) to ``side`` on
     ``row_keys == side_keys`` (null-safe equality if ``null_safe``), with
@@ -142,7 +143,8 @@ def salted_join(
     the join is null-safe; otherwise the counts are estimated on a sample of
     ``stats_rows`` (default ``rows``; pass a cheaper table with the same
     keys, e.g. the input before earlier rules). Side key columns must not
-    share names with row columns.
+    share names with row columns. The output holds the row columns plus
+    ``side_out`` (default: every side column) for a left join.
     """
     if how not in ("left", "left_anti"):
         raise ValueError("salted_join supports left and left_anti joins")
@@ -203,4 +205,7 @@ def salted_join(
     )
 
     cond = f"{_SALT} = {_SIDE_SALT} AND " + same([ident(r) for r in row_keys], [ident(s) for s in side_keys])
-    return salted_rows.join(spread_side, F.expr(cond), how).drop(_SALT, _SIDE_SALT)
+    keep = [ident(c) for c in rows.columns]
+    if how == "left":
+        keep += [ident(c) for c in (side.columns if side_out is None else side_out)]
+    return salted_rows.join(spread_side, F.expr(cond), how).selectExpr(*keep)
