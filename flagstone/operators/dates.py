@@ -135,6 +135,21 @@ def join_anchor(
     return out.unionByName(extra_rows)
 
 
+def _flag_and_report(df, anchor, spec, flag_col, keep_unmatched_anchor, on_bad, source):
+    """``(flagged, make_report)``; the report is only built when asked for."""
+    joined = join_anchor(df, anchor, spec, flag_col, keep_unmatched_anchor, on_bad, source)
+    if joined is None:
+        return df, None
+    own = [c for c in df.columns if c not in (spec.dt_column, flag_col)]
+
+    def make_report() -> DataFrame:
+        return joined.where(f"{ident(flag_col)} = 1").selectExpr(
+            *[ident(c) for c in own], f"{ANCHOR} AS {ident(spec.dt_column)}", ident(flag_col)
+        )
+
+    return joined.drop(ANCHOR), make_report
+
+
 def flag_date_bound(
     df: DataFrame,
     anchor: DataFrame,
@@ -150,15 +165,26 @@ def flag_date_bound(
     violating rows with the limit date under the name of the limit column
     (replacing the table's own column of that name) and the flag.
     """
-    joined = join_anchor(df, anchor, spec, flag_col, keep_unmatched_anchor, on_bad, source)
-    if joined is None:
-        return df, None
-    flagged = joined.drop(ANCHOR)
-    own = [c for c in df.columns if c not in (spec.dt_column, flag_col)]
-    report = joined.where(f"{ident(flag_col)} = 1").selectExpr(
-        *[ident(c) for c in own], f"{ANCHOR} AS {ident(spec.dt_column)}", ident(flag_col)
-    )
-    return flagged, report
+    flagged, make_report = _flag_and_report(df, anchor, spec, flag_col, keep_unmatched_anchor, on_bad, source)
+    return flagged, (make_report() if make_report else None)
+
+
+class _LazyReports(Mapping):
+    """``{table: report}`` whose DataFrames are built on first access."""
+
+    def __init__(self, makers):
+        self._makers, self._built = makers, {}
+
+    def __getitem__(self, key):
+        if key not in self._built:
+            self._built[key] = self._makers[key]()
+        return self._built[key]
+
+    def __iter__(self):
+        return iter(self._makers)
+
+    def __len__(self):
+        return len(self._makers)
 
 
 def date_bound(
@@ -187,15 +213,15 @@ def date_bound(
     if stage is not None:
         anchor = stage(anchor)
     out = dict(dfs)
-    reports = {}
+    makers = {}
     for name in tables or list(dfs):
-        flagged, report = flag_date_bound(
+        flagged, make_report = _flag_and_report(
             dfs[name], anchor, spec, flag_col, keep_unmatched_anchor, on_bad, sources.get(name)
         )
         out[name] = flagged
-        if report is not None:
-            reports[name] = report
-    return out, reports
+        if make_report is not None:
+            makers[name] = make_report
+    return out, _LazyReports(makers)
 
 
 def last_date(dfs, spec, **kw):

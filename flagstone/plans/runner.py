@@ -212,8 +212,8 @@ def _date_rule(rule: str, flag_col: str, report_fmt: str) -> RuleFn:
             stage=(lambda df: opts.stage(f"anchor_{rule}", df)) if opts.stage else None,
         )
         out = RuleOutput(tables)
-        for name, report in reports.items():
-            out.reports[report_fmt.format(name)] = partial(lambda r: r, report)
+        for name in reports:
+            out.reports[report_fmt.format(name)] = partial(reports.__getitem__, name)
             out.flags.append((rule, name, flag_col))
         return out
 
