@@ -7,9 +7,13 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontam import contamination, with_verdict
+from .html import extract_main_text
+from .license import license_scan
 from .linededup import line_dedup
 from .mixing import mix
 from .simhash import simhash_classes
+from .substring import substring_dedup
 
 
 def _load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,10 +37,47 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), digest.alias("kept_sha256"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup(_load(spark, sf_dir, "documents").select("doc_id", "text"), window=35)
+    return kept.select("doc_id", F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"), F.col("_sha256").alias("kept_sha256"))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan(_load(spark, sf_dir, "documents"), threshold=0.8)
+    return found.select(
+        "doc_id",
+        F.get("licenses", F.lit(0)).alias("license"),
+        F.get("scores", F.lit(0)).alias("dice"),
+        F.get("lines", F.lit(0)).alias("line"),
+        F.size("licenses").cast("long").alias("n_licenses"),
+    )
+
+
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract_main_text(_load(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(_load(spark, sf_dir, "documents"), _load(spark, sf_dir, "benchmark"), window=13)
+    return with_verdict(found, share=20).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.sort_array("items"), ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_mixing": op3_mixing,
     "op4_line_dedup": op4_line_dedup,
+    "op7_substring_dedup": op7_substring_dedup,
+    "op8_license_scan": op8_license_scan,
+    "op9_html_extraction": op9_html_extraction,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE_SQL = {
