@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from .decontam import contamination, with_verdict
 from .html import extract_main_text
+from .langid import identify, train
 from .license import license_scan
 from .linededup import line_dedup
 from .mixing import mix
+from .quality import quality_scores
 from .simhash import simhash_classes
 from .substring import substring_dedup
 
@@ -25,6 +27,14 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _load(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = train(docs.where(~F.coalesce(held_out, F.lit(False))))
+    found = identify(docs, model, keep=[F.coalesce(held_out, F.lit(False)).alias("held_out")])
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(_load(spark, sf_dir, "documents"), cycle=(5, 2, 1), max_epochs=3)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -37,6 +47,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), digest.alias("kept_sha256"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_load(spark, sf_dir, "documents"), _load(spark, sf_dir, "labels"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring_dedup(_load(spark, sf_dir, "documents").select("doc_id", "text"), window=35)
     return kept.select("doc_id", F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"), F.col("_sha256").alias("kept_sha256"))
@@ -72,8 +86,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_language_id": op2_language_id,
     "op3_mixing": op3_mixing,
     "op4_line_dedup": op4_line_dedup,
+    "op6_quality": op6_quality,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_license_scan": op8_license_scan,
     "op9_html_extraction": op9_html_extraction,
