@@ -71,6 +71,54 @@ def partitions_for(spark: SparkSession, rows: int, per_partition: int) -> int:
     return max(spark.sparkContext.defaultParallelism, -(-rows // per_partition))
 
 
+def whole_groups(batches: Iterable[pa.RecordBatch], keys: tuple[str, ...], rows: int) -> Iterator[pa.Table]:
+    """Tables of about ``rows`` rows that end where the ``keys`` change (input sorted by
+    them); a group is never cut, so a table may hold one larger group."""
+    held, n = [], 0
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        held.append(batch)
+        n += batch.num_rows
+        if n < rows:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        same = np.ones(len(table), dtype=bool)
+        for k in keys:
+            same &= np.asarray(table.column(k)) == table.column(k)[-1].as_py()
+        cut = int(np.flatnonzero(same)[0])
+        if cut:
+            yield table.slice(0, cut)
+        held, n = table.slice(cut).to_batches(), len(table) - cut
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def group_bounds(table: pa.Table, keys: tuple[str, ...]) -> np.ndarray:
+    """Row numbers where the groups of a sorted table begin, and its length."""
+    change = np.zeros(len(table), dtype=bool)
+    for k in keys:
+        x = np.asarray(table.column(k))
+        change[1:] |= x[1:] != x[:-1]
+    return np.r_[0, np.flatnonzero(change), len(table)]
+
+
+def merge_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Point the groups of ``a`` and ``b`` at their smallest member (``label`` starts as arange)."""
+    while True:
+        x, y = label[a], label[b]
+        apart = x != y
+        if not apart.any():
+            return label
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while True:
+            up = label[label]
+            if (up == label).all():
+                break
+            label = up
+
+
 def mix64(h: np.ndarray) -> np.ndarray:
     """Finaliser that spreads every input bit over 64 output bits (wrapping uint64)."""
     h = h ^ (h >> np.uint64(33))

@@ -16,6 +16,7 @@ from .mixing import mix
 from .quality import quality_scores
 from .simhash import simhash_classes
 from .substring import substring_dedup
+from .vectors import near_vectors
 
 
 def _load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +48,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), digest.alias("kept_sha256"))
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_load(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_load(spark, sf_dir, "documents"), _load(spark, sf_dir, "labels"))
 
@@ -89,6 +94,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_mixing": op3_mixing,
     "op4_line_dedup": op4_line_dedup,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op6_quality": op6_quality,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_license_scan": op8_license_scan,

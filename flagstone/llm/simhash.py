@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import raw_texts, save, steps
+from .common import group_bounds, merge_labels, raw_texts, save, steps, whole_groups
 from .components import components
 
 SEED = 42
@@ -121,22 +121,6 @@ class Forest:
             node = self.nodes[np.repeat(high - np.cumsum(width), width) + np.arange(len(query))]
 
 
-def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Point the groups of ``a`` and ``b`` at their smallest member."""
-    while True:
-        x, y = label[a], label[b]
-        apart = x != y
-        if not apart.any():
-            return label
-        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
-        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
-        while True:
-            up = label[label]
-            if (up == label).all():
-                break
-            label = up
-
-
 def link_blocks(block: np.ndarray, piece: np.ndarray, prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Stars (row, centre) of the rows linked inside each run of equal ``block``.
 
@@ -160,44 +144,25 @@ def link_blocks(block: np.ndarray, piece: np.ndarray, prints: np.ndarray, radius
         part = queries[at:stop]
         roots = np.array([forest.root_of[n] for n in number[part].tolist()], dtype=np.int64)
         for q, n in forest.search(prints[part], roots, radius):
-            label = _merge(label, part[q], rows[n])
+            label = merge_labels(label, part[q], rows[n])
         at = stop
     moved = np.flatnonzero(label != np.arange(len(block)))
     return moved, label[moved]
 
 
-def _links(radius: int, rows_at_once: int = 1 << 16):
-    """Task over rows sorted by block: cut at block borders, link, return stars."""
+BLOCK = ("c", "v", "low", "high")
 
-    def flush(table: pa.Table):
-        cols = {n: np.asarray(table.column(n)) for n in ("c", "v", "low", "high", "piece", "fp", "rep")}
-        change = np.zeros(len(table), dtype=bool)
-        for n in ("c", "v", "low", "high"):
-            change[1:] |= cols[n][1:] != cols[n][:-1]
-        a, b = link_blocks(np.cumsum(change), cols["piece"], cols["fp"].view(np.uint64), radius)
-        reps = cols["rep"]
-        return pa.RecordBatch.from_arrays([pa.array(reps[a]), pa.array(reps[b])], ["a", "b"])
+
+def _links(radius: int, rows_at_once: int = 1 << 16):
+    """Task over rows sorted by block: whole blocks are linked and return stars."""
 
     def run(batches):
-        held, held_rows = [], 0
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            held.append(batch)
-            held_rows += batch.num_rows
-            if held_rows < rows_at_once:
-                continue
-            table = pa.Table.from_batches(held).combine_chunks()
-            last = [table.column(n)[-1].as_py() for n in ("c", "v", "low", "high")]
-            same = np.ones(len(table), dtype=bool)
-            for n, x in zip(("c", "v", "low", "high"), last, strict=True):
-                same &= np.asarray(table.column(n)) == x
-            cut = int(np.flatnonzero(same)[0])
-            if cut:
-                yield flush(table.slice(0, cut))
-            held, held_rows = table.slice(cut).to_batches(), len(table) - cut
-        if held_rows:
-            yield flush(pa.Table.from_batches(held).combine_chunks())
+        for table in whole_groups(batches, BLOCK, rows_at_once):
+            start = group_bounds(table, BLOCK)
+            block = np.repeat(np.arange(len(start) - 1), np.diff(start))
+            prints, reps = np.asarray(table.column("fp")).view(np.uint64), np.asarray(table.column("rep"))
+            a, b = link_blocks(block, np.asarray(table.column("piece")), prints, radius)
+            yield pa.RecordBatch.from_arrays([pa.array(reps[a]), pa.array(reps[b])], ["a", "b"])
 
     return run
 
@@ -228,8 +193,7 @@ def near_links(prints: DataFrame, radius: int = 3, blocks: int = 5, tree_size: i
     paired = placed.select("*", other.alias("other")).select(
         "c", "v", F.least("piece", "other").alias("low"), F.greatest("piece", "other").alias("high"), "piece", "fp", "rep"
     )
-    block = ["c", "v", "low", "high"]
-    dealt = paired.repartition(*block).sortWithinPartitions(*block, "rep")
+    dealt = paired.repartition(*BLOCK).sortWithinPartitions(*BLOCK, "rep")
     return dealt.mapInArrow(_links(radius), "a long, b long")
 
 
