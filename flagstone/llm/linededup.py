@@ -104,3 +104,12 @@ def line_dedup(docs: DataFrame, window: int = 3, id_col: str = "doc_id", text_co
     fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names]
     schema = ", ".join([*fields, f"`{text_col}` string", "_n_lines long", "_n_removed long"])
     return joined.mapInArrow(_without(window, text_col), schema).select(*[f"`{c}`" for c in docs.columns], "_n_lines", "_n_removed")
+
+
+def drop_repeated_lines(docs: DataFrame, window: int = 3) -> DataFrame:
+    """``docs`` (doc_id, text, n_chars and more) with shortened texts and their new lengths; every row stays."""
+    out = line_dedup(docs, window)
+    if "n_chars" in docs.columns:
+        length = F.when(F.col("_n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+        out = out.withColumn("n_chars", length)
+    return out.select(*[f"`{c}`" for c in docs.columns])

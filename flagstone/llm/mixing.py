@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, partitions_for, save
+from .common import broadcast_if_small, partitions_for, save, text_key
 
 WORDS = r"[^\x20\x09-\x0D]+"
 # Sources are broadcast up to this many rows (about 10 MB), else joined by shuffle.
@@ -68,6 +68,7 @@ def _queue(docs: DataFrame, id_col: str, source_col: str, text_col: str, seed: s
     return docs.select(
         F.col(id_col).alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
+        text_key(F.col(text_col).cast("string")).alias("text_key"),
         word_count(text_col).alias("size"),
         digest.alias("place"),
     )
@@ -131,7 +132,7 @@ def mix(
     seed: str = "mix",
     slice_rows: int = 2000,
 ) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, epochs, taken.
+    """One row per document: doc_id, text_key, source, size, source_size, target, epochs, taken.
 
     ``epochs`` is how often the mix takes the document (0 to ``max_epochs``) and
     ``taken`` the words that makes. The same input and seed give the same mix."""
@@ -148,5 +149,16 @@ def mix(
             within = (f < F.lit(cut[0])) | ((f == F.lit(cut[0])) & (F.col("sid") < F.lit(cut[1])))
             epochs = epochs + F.when((F.col("size") > 0) & (F.col("target") > 0) & within, 1).otherwise(0)
     return queued.select(
-        "doc_id", "source", "size", "source_size", "target", epochs.alias("epochs"), (F.col("size") * epochs).alias("taken")
+        "doc_id", "text_key", "source", "size", "source_size", "target", epochs.alias("epochs"), (F.col("size") * epochs).alias("taken")
     )
+
+
+def mixed_documents(docs: DataFrame, cycle: tuple[float, ...] = (5, 2, 1), max_epochs: int = 3) -> DataFrame:
+    """``docs`` (doc_id, text, source and more) that the mix takes, with ``epochs``.
+
+    Rows equal in id and text get the largest number of epochs among them."""
+    taken = mix(docs, cycle=cycle, max_epochs=max_epochs).where("epochs > 0")
+    taken = taken.groupBy("doc_id", "text_key").agg(F.max("epochs").alias("epochs"))
+    taken = taken.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), "epochs")
+    same = docs["doc_id"].eqNullSafe(taken["_doc"]) & (text_key(docs["text"].cast("string")) == taken["_key"])
+    return docs.join(taken, same).drop("_doc", "_key")

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import group_bounds, merge_labels, raw_texts, save, steps, whole_groups
+from .common import group_bounds, merge_labels, raw_texts, save, steps, text_key, whole_groups
 from .components import components
 
 SEED = 42
@@ -63,15 +63,17 @@ def _fingerprints(shingle: int):
         for whole in batches:
             for batch in steps([whole], "text"):
                 prints = np.array([fingerprint(t, shingle) for t in raw_texts(batch, "text")], dtype=np.uint64)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints.view(np.int64))], ["doc_id", "fp"])
+                columns = [batch.column("doc_id"), batch.column("text_key"), pa.array(prints.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "fp"])
 
     return run
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): one row per document, ``fp`` as a signed long."""
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(_fingerprints(shingle), "doc_id long, fp long")
+    """(doc_id, text_key, fp): one row per document, ``fp`` as a signed long."""
+    text = F.col(text_col).cast("string").alias("text")
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(F.col(text_col).cast("string")).alias("text_key"), text)
+    return source.mapInArrow(_fingerprints(shingle), "doc_id long, text_key int, fp long")
 
 
 # --- BK-trees ---------------------------------------------------------------
@@ -206,7 +208,7 @@ def simhash_classes(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """(doc_id, fp, component_id) for every row; ``component_id`` is the smallest
+    """(doc_id, text_key, fp, component_id) for every row; ``component_id`` is the smallest
     doc_id reachable over links of at most ``radius`` differing bits.
 
     Defined cases: a null, empty or blank text has fingerprint 0 and links like
@@ -221,4 +223,22 @@ def simhash_classes(
         F.col("fp").alias("_fp"), F.coalesce("component", "rep").alias("component_id")
     )
     classes = save(classes, "sim-classes")
-    return prints.join(classes, prints["fp"] == classes["_fp"]).select("doc_id", "fp", "component_id")
+    return prints.join(classes, prints["fp"] == classes["_fp"]).select("doc_id", "text_key", "fp", "component_id")
+
+
+def drop_near_copies(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
+    """``docs`` (doc_id, text and more) with one document of each group of linked
+    fingerprints, the one with the smallest id.
+
+    Rows that share an id are versions of one document: if the id stays, the
+    version with the smallest text hash does. Rows with a null id go if their
+    fingerprint group has an id, else one per fingerprint stays."""
+    classes = save(simhash_classes(docs, shingle, radius), "sim-found")
+    firsts = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    version = F.when(F.col("doc_id").isNull(), F.col("fp"))
+    keep = firsts.groupBy("doc_id", "text_key", version.alias("version")).count()
+    keep = keep.groupBy("doc_id", "version").agg(F.min(F.struct("text_key", "count")).alias("k"))
+    keep = save(keep.select(F.col("doc_id").alias("_doc"), F.col("k.text_key").alias("_key"), F.col("k.count").alias("_rows")), "sim-keep")
+    same = docs["doc_id"].cast("long").eqNullSafe(keep["_doc"]) & (text_key(docs["text"].cast("string")) == keep["_key"])
+    out = docs.join(keep, same, "left_semi")
+    return out.dropDuplicates(["doc_id", "text"]) if keep.where("_rows > 1").take(1) else out
