@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..session import scratch_path
 
@@ -31,6 +32,24 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def set_aside(docs: DataFrame, *roles: str) -> DataFrame:
+    """``docs`` with every column but ``roles`` under a neutral name, so that no
+    column of the caller meets a column of the operator."""
+    return docs.select(*[docs[f"`{c}`"].alias(c if c in roles else f"extra__{i}") for i, c in enumerate(docs.columns)])
+
+
+def put_back(result: DataFrame, docs: DataFrame, *roles: str, added: tuple[str, ...] = ()) -> DataFrame:
+    """The columns of ``docs`` under their own names again, then ``added`` (which
+    replace columns of ``docs`` of that name)."""
+    kept = [F.col(c if c in roles else f"extra__{i}").alias(c) for i, c in enumerate(docs.columns) if c not in added]
+    return result.select(*kept, *added)
+
+
+def arrow_schema(fields: list[StructField], added: str) -> StructType:
+    """Fields that pass through a task, and the ``added`` ones as DDL."""
+    return StructType([*(StructField(f.name, f.dataType) for f in fields), *StructType.fromDDL(added).fields])
+
+
 def text_key(text: str | Column) -> Column:
     """32-bit hash that tells apart rows with one ``doc_id`` (null text: its own value)."""
     return F.hash(text)
@@ -66,6 +85,12 @@ def broadcast_if_small(df: DataFrame, rows: int, limit: int) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """Mark a join side that grows with the corpus: the join sorts and merges at any size,
+    and adaptive execution can split its skewed partitions."""
+    return df.hint("merge")
+
+
 def partitions_for(spark: SparkSession, rows: int, per_partition: int) -> int:
     """Partitions that hold about ``per_partition`` rows each, at least one per core."""
     return max(spark.sparkContext.defaultParallelism, -(-rows // per_partition))

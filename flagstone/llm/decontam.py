@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, raw_texts, save, steps, text_key
+from .common import mix64, put_back, raw_texts, save, set_aside, steps, text_key
 
 # ASCII letters in lower case, digits and every byte from 0x80 on stay; the rest parts words.
 _KEEP = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256)).lower()
@@ -284,4 +284,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, share
     """``docs`` without the contaminated rows."""
     verdict = with_verdict(contamination(docs, benchmark, window), share).where("contaminated")
     out = save(verdict.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")), "contaminated")
-    return docs.join(out, docs["doc_id"].cast("long").eqNullSafe(out["_doc"]) & (text_key(docs["text"]) == out["_key"]), "left_anti")
+    plain = set_aside(docs, "doc_id", "text")
+    same = plain["doc_id"].cast("long").eqNullSafe(F.col("_doc")) & (text_key("text") == F.col("_key"))
+    return put_back(plain.join(out, same, "left_anti"), docs, "doc_id", "text")

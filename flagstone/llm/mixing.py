@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, partitions_for, save, text_key
+from .common import broadcast_if_small, partitions_for, put_back, save, set_aside, text_key
 
 WORDS = r"[^\x20\x09-\x0D]+"
 # Sources are broadcast up to this many rows (about 10 MB), else joined by shuffle.
@@ -160,5 +160,6 @@ def mixed_documents(docs: DataFrame, cycle: tuple[float, ...] = (5, 2, 1), max_e
     taken = mix(docs, cycle=cycle, max_epochs=max_epochs).where("epochs > 0")
     taken = taken.groupBy("doc_id", "text_key").agg(F.max("epochs").alias("epochs"))
     taken = taken.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), "epochs")
-    same = docs["doc_id"].eqNullSafe(taken["_doc"]) & (text_key(docs["text"].cast("string")) == taken["_key"])
-    return docs.join(taken, same).drop("_doc", "_key")
+    plain = set_aside(docs, "doc_id", "text")
+    same = plain["doc_id"].eqNullSafe(F.col("_doc")) & (text_key(plain["text"].cast("string")) == F.col("_key"))
+    return put_back(plain.join(taken, same), docs, "doc_id", "text", added=("epochs",))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, raw_texts, save, steps
+from .common import arrow_schema, broadcast_if_small, put_back, raw_texts, save, set_aside, steps
 
 MAX_BROADCAST_SITES = 100_000
 N_FEATURES = 13
@@ -135,9 +135,8 @@ def _log_odds(model: Classifier, text_col: str, keep_text: bool):
 
 
 def with_log_odds(docs: DataFrame, model: Classifier, text_col: str = "text", keep_text: bool = True) -> DataFrame:
-    names = [c for c in docs.columns if keep_text or c != text_col]
-    fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names]
-    return docs.mapInArrow(_log_odds(model, text_col, keep_text), ", ".join([*fields, "_log_odds double"]))
+    passed = [f for f in docs.schema.fields if keep_text or f.name != text_col]
+    return docs.mapInArrow(_log_odds(model, text_col, keep_text), arrow_schema(passed, "_log_odds double"))
 
 
 def host_of(source: Column) -> Column:
@@ -226,10 +225,11 @@ def quality_scores(docs: DataFrame, labels: DataFrame, max_labels: int = 20_000,
 def keep_good(docs: DataFrame, labels: DataFrame, max_labels: int = 20_000) -> DataFrame:
     """``docs`` (doc_id, text, source and more) without the documents the classifier rejects."""
     model = fit(docs, labels, max_labels)
+    plain = set_aside(docs, "text", "source")
     source = F.col("source").cast("string")
-    sited = docs.select("*", host_of(source).alias("_h"), path_of(source).alias("_p"))
+    sited = plain.select("*", host_of(source).alias("_h"), path_of(source).alias("_p"))
     evidence = (1 / (1 + F.exp(-F.col("_log_odds")))).alias("p")
     scored = with_log_odds(sited.select("_h", "_p", F.col("text").cast("string").alias("text")), model, keep_text=False)
     sites, mean = site_posteriors(scored.select(F.col("_h").alias("host"), F.col("_p").alias("path"), evidence))
     out = _combined(with_log_odds(sited, model), sites, mean)
-    return out.where("probability >= 0.5").select(*[f"`{c}`" for c in docs.columns])
+    return put_back(out.where("probability >= 0.5"), docs, "text", "source")

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import group_bounds, merge_labels, raw_texts, save, steps, text_key, whole_groups
+from .common import group_bounds, merge_labels, put_back, raw_texts, save, set_aside, steps, text_key, whole_groups
 from .components import components
 
 SEED = 42
@@ -239,6 +239,8 @@ def drop_near_copies(docs: DataFrame, shingle: int = 3, radius: int = 3) -> Data
     keep = firsts.groupBy("doc_id", "text_key", version.alias("version")).count()
     keep = keep.groupBy("doc_id", "version").agg(F.min(F.struct("text_key", "count")).alias("k"))
     keep = save(keep.select(F.col("doc_id").alias("_doc"), F.col("k.text_key").alias("_key"), F.col("k.count").alias("_rows")), "sim-keep")
-    same = docs["doc_id"].cast("long").eqNullSafe(keep["_doc"]) & (text_key(docs["text"].cast("string")) == keep["_key"])
-    out = docs.join(keep, same, "left_semi")
-    return out.dropDuplicates(["doc_id", "text"]) if keep.where("_rows > 1").take(1) else out
+    plain = set_aside(docs, "doc_id", "text")
+    same = plain["doc_id"].cast("long").eqNullSafe(F.col("_doc")) & (text_key(plain["text"].cast("string")) == F.col("_key"))
+    out = plain.join(keep, same, "left_semi")
+    out = out.dropDuplicates(["doc_id", "text"]) if keep.where("_rows > 1").take(1) else out
+    return put_back(out, docs, "doc_id", "text")

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, raw_texts, save, steps, text_key
+from .common import arrow_schema, mix64, put_back, raw_texts, save, set_aside, steps, text_key
 
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _INVERSE = tuple(pow(m, -1, 1 << 64) for m in _ODD)
@@ -233,13 +233,14 @@ def substring_dedup(docs: DataFrame, window: int = 35, seed: int = 9, id_col: st
     window keep all; rows equal in id and text count as different places, so
     both lose their repeated windows; rows with one id and different texts are
     told apart by a hash of the text; extra columns are kept."""
-    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    spans = save(repeated_spans(keyed, window, seed), "sub-spans").select(
-        F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), F.col("found").alias("_found")
-    )
-    same = docs[id_col].cast("long").eqNullSafe(spans["_doc"]) & (text_key(docs[text_col].cast("string")) == spans["_key"])
-    joined = docs.join(spans, same, "left").drop("_doc", "_key").withColumn(text_col, F.col(f"`{text_col}`").cast("string"))
-    names = [c for c in docs.columns if c != text_col]
-    fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names]
-    schema = ", ".join([*fields, f"`{text_col}` string", "_n_words long", "_n_removed long", "_sha256 string"])
-    return joined.mapInArrow(_keep(window, text_col), schema)
+    plain = set_aside(docs, id_col, text_col)
+    text = F.col(text_col).cast("string")
+    keyed = plain.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
+    spans = save(repeated_spans(keyed, window, seed), "sub-spans")
+    spans = spans.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), F.col("found").alias("_found"))
+    same = plain[id_col].cast("long").eqNullSafe(F.col("_doc")) & (text_key(plain[text_col].cast("string")) == F.col("_key"))
+    joined = plain.join(spans, same, "left").drop("_doc", "_key").withColumn(text_col, text)
+    passed = [f for f in plain.schema.fields if f.name != text_col]
+    schema = arrow_schema(passed, f"`{text_col}` string, _n_words long, _n_removed long, _sha256 string")
+    out = joined.mapInArrow(_keep(window, text_col), schema)
+    return put_back(out, docs, id_col, text_col, added=("_n_words", "_n_removed", "_sha256"))

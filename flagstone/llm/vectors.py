@@ -91,7 +91,9 @@ def _centres(wanted: int, least: int):
                 nearest = np.maximum(nearest, x @ x[i])
         if len(chosen) < least:
             chosen = []
-        return pd.DataFrame({"cell": sample["cell"].iloc[0], "child": range(len(chosen)), "vec": [x[i].tolist() for i in chosen]})
+        found = pd.DataFrame({"child": range(len(chosen)), "vec": pd.Series([x[i].tolist() for i in chosen], dtype=object)})
+        found.insert(0, "cell", sample["cell"].iloc[0])
+        return found
 
     return run
 
