@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import raw_texts, save, steps, text_key
+from .common import arrow_schema, by_shuffle, put_back, raw_texts, save, set_aside, steps, text_key
 
 FIRST, LATER = "_first", "_later"
 
@@ -93,17 +93,15 @@ def later_windows(docs: DataFrame, window: int = 3) -> DataFrame:
 
 def line_dedup(docs: DataFrame, window: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the text cut to the kept lines, and the columns ``_n_lines`` and ``_n_removed``."""
-    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    found = save(later_windows(keyed, window), "line-later").select(
-        F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), F.col("starts").alias(LATER)
-    )
-    joined = docs.join(
-        found, docs[id_col].cast("long").eqNullSafe(F.col("_doc")) & (text_key(docs[text_col]) == F.col("_key")), "left"
-    ).drop("_doc", "_key")
-    names = [c for c in docs.columns if c != text_col]
-    fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names]
-    schema = ", ".join([*fields, f"`{text_col}` string", "_n_lines long", "_n_removed long"])
-    return joined.mapInArrow(_without(window, text_col), schema).select(*[f"`{c}`" for c in docs.columns], "_n_lines", "_n_removed")
+    plain = set_aside(docs, id_col, text_col)
+    text = F.col(text_col).cast("string")
+    found = save(later_windows(plain.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")), window), "line-later")
+    found = by_shuffle(found.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), F.col("starts").alias(LATER)))
+    same = plain[id_col].cast("long").eqNullSafe(F.col("_doc")) & (text_key(plain[text_col].cast("string")) == F.col("_key"))
+    joined = plain.join(found, same, "left").drop("_doc", "_key").withColumn(text_col, text)
+    passed = [f for f in plain.schema.fields if f.name != text_col]
+    out = joined.mapInArrow(_without(window, text_col), arrow_schema(passed, f"`{text_col}` string, _n_lines long, _n_removed long"))
+    return put_back(out, docs, id_col, text_col, added=("_n_lines", "_n_removed"))
 
 
 def drop_repeated_lines(docs: DataFrame, window: int = 3) -> DataFrame:
