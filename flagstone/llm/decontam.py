@@ -21,6 +21,7 @@ benchmark or table gives zero hits or no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import chain, repeat
 
 import numpy as np
@@ -28,11 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, put_back, raw_texts, save, set_aside, steps, text_key
+from .common import arrow_schema, by_shuffle, mix64, put_back, raw_texts, save, set_aside, steps, text_key
 
 # ASCII letters in lower case, digits and every byte from 0x80 on stay; the rest parts words.
 _KEEP = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256)).lower()
-RESULT = "doc_id long, text_key int, n_words long, starts array<int>, ends array<int>, items array<string>"
+SPANS = "n_words long, starts array<int>, ends array<int>, items array<string>"
+RESULT = f"doc_id long, text_key int, {SPANS}"
 
 
 def item_words(text: bytes | None) -> list[bytes]:
@@ -160,7 +162,9 @@ def spans(mask: np.ndarray) -> tuple[list[int], list[int]]:
     return np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()
 
 
-def _find(index):
+def _find(index, passed: tuple[str, ...] = ("doc_id", "text_key")):
+    """Task: the ``passed`` columns of every document with its covered spans and items."""
+
     def run(batches):
         block = index.value
         for whole in batches:
@@ -182,14 +186,13 @@ def _find(index):
                 names = [[block.names[x] for x in sorted(items.get(t, ()))] for t in range(len(counts))]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id"),
-                        batch.column("text_key"),
+                        *[batch.column(c) for c in passed],
                         pa.array(counts),
                         pa.array(starts, pa.list_(pa.int32())),
                         pa.array(ends, pa.list_(pa.int32())),
                         pa.array(names, pa.list_(pa.string())),
                     ],
-                    ["doc_id", "text_key", "n_words", "starts", "ends", "items"],
+                    [*passed, "n_words", "starts", "ends", "items"],
                 )
 
     return run
@@ -234,44 +237,53 @@ def _blocks(benchmark: DataFrame, block_bytes: int):
         yield held
 
 
-def contamination(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    window: int = 13,
-    shingle: int = 3,
-    block_bytes: int = 8 << 20,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> DataFrame:
-    """One row per document: doc_id, text_key, n_words, starts and ends (word spans
-    covered by occurring windows, merged) and items (ids whose windows occur)."""
-    sc = docs.sparkSession.sparkContext
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(text_col).alias("text_key"), F.col(text_col).alias("text"))
-    found, n_blocks = None, 0
+def _indexes(source: DataFrame, benchmark: DataFrame, window: int, shingle: int, block_bytes: int) -> list:
+    """Broadcast index of every benchmark block, with prefixes by the counts over ``source``."""
+    sc, out = source.sparkSession.sparkContext, []
     for items in _blocks(benchmark, block_bytes):
         index = WindowIndex(items, window, shingle)
-        keys = sc.broadcast(set(index.shingles()))
-        block = sc.broadcast(index)
-        counted = source.mapInArrow(_count_shingles(block, keys), "shingle long, n long")
-        counts = counted.groupBy("shingle").agg(F.sum("n").alias("n")).collect()
+        counted = source.mapInArrow(_count_shingles(sc.broadcast(index), sc.broadcast(set(index.shingles()))), "shingle long, n long")
+        counts = counted.groupBy("shingle").agg(F.sum("n").alias("n")).collect()  # no more rows than the block has shingles
         index.choose_prefixes({r["shingle"] % (1 << 64): r["n"] for r in counts})
-        part = source.mapInArrow(_find(sc.broadcast(index)), RESULT)
-        found, n_blocks = part if found is None else found.union(part), n_blocks + 1
-    if found is None:
-        return source.mapInArrow(_find(sc.broadcast(WindowIndex([], window, shingle))), RESULT)
-    if n_blocks == 1:
-        return found
+        out.append(sc.broadcast(index))
+    return out or [sc.broadcast(WindowIndex([], window, shingle))]
+
+
+def _spans_by_block(source: DataFrame, indexes: list) -> DataFrame:
+    if len(indexes) == 1:
+        return source.mapInArrow(_find(indexes[0]), RESULT)
+    found = reduce(DataFrame.union, (source.mapInArrow(_find(i), RESULT) for i in indexes))
     merged = found.groupBy("doc_id", "text_key").agg(
         F.max("n_words").alias("n_words"),
         F.flatten(F.collect_list("starts")).alias("starts"),
         F.flatten(F.collect_list("ends")).alias("ends"),
         F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
-        (F.count(F.lit(1)) / n_blocks).cast("int").alias("rows"),
+        (F.count(F.lit(1)) / len(indexes)).cast("int").alias("rows"),
     )
     merged = merged.select("*", F.explode(F.array_repeat(F.lit(1), F.col("rows")))).drop("rows", "col")
     return merged.mapInArrow(_union_spans, RESULT)
 
 
+def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(text).alias("text_key"), text.alias("text"))
+
+
+def contamination(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    window: int = 13,
+    shingle: int = 3,
+    block_bytes: int = 8 << 20,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """One row per document: doc_id, text_key, n_words, starts and ends (word spans
+    covered by occurring windows, merged) and items (ids whose windows occur)."""
+    source = _source(docs, id_col, text_col)
+    return _spans_by_block(source, _indexes(source, benchmark, window, shingle, block_bytes))
+
+
 def with_verdict(found: DataFrame, share: int = 20) -> DataFrame:
     """Add n_hit and contaminated: at least one word in ``share`` is covered."""
     lengths = F.zip_with("ends", "starts", lambda e, s: (e - s).cast("long"))
@@ -280,10 +292,18 @@ def with_verdict(found: DataFrame, share: int = 20) -> DataFrame:
     return found.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words")))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int = 20) -> DataFrame:
-    """``docs`` without the contaminated rows."""
-    verdict = with_verdict(contamination(docs, benchmark, window), share).where("contaminated")
-    out = save(verdict.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")), "contaminated")
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int = 20, shingle: int = 3, block_bytes: int = 8 << 20) -> DataFrame:
+    """``docs`` (doc_id, text and more) without the contaminated rows.
+
+    With a benchmark of one block the rows are judged where they are read; with
+    more, the contaminated ids are joined."""
+    source = _source(docs, "doc_id", "text")
+    indexes = _indexes(source, benchmark, window, shingle, block_bytes)
     plain = set_aside(docs, "doc_id", "text")
-    same = plain["doc_id"].cast("long").eqNullSafe(F.col("_doc")) & (text_key("text") == F.col("_key"))
+    if len(indexes) == 1:
+        found = plain.mapInArrow(_find(indexes[0], tuple(plain.columns)), arrow_schema(plain.schema.fields, SPANS))
+        return put_back(with_verdict(found, share).where("NOT contaminated"), docs, "doc_id", "text")
+    verdict = with_verdict(_spans_by_block(source, indexes), share).where("contaminated")
+    out = by_shuffle(save(verdict.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")), "contaminated"))
+    same = plain["doc_id"].cast("long").eqNullSafe(F.col("_doc")) & (text_key(plain["text"].cast("string")) == F.col("_key"))
     return put_back(plain.join(out, same, "left_anti"), docs, "doc_id", "text")

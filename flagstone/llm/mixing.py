@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, partitions_for, put_back, save, set_aside, text_key
+from .common import broadcast_if_small, by_shuffle, partitions_for, put_back, save, set_aside, text_key
 
 WORDS = r"[^\x20\x09-\x0D]+"
 # Sources are broadcast up to this many rows (about 10 MB), else joined by shuffle.
@@ -162,4 +162,4 @@ def mixed_documents(docs: DataFrame, cycle: tuple[float, ...] = (5, 2, 1), max_e
     taken = taken.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), "epochs")
     plain = set_aside(docs, "doc_id", "text")
     same = plain["doc_id"].eqNullSafe(F.col("_doc")) & (text_key(plain["text"].cast("string")) == F.col("_key"))
-    return put_back(plain.join(taken, same), docs, "doc_id", "text", added=("epochs",))
+    return put_back(plain.join(by_shuffle(taken), same), docs, "doc_id", "text", added=("epochs",))

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import group_bounds, merge_labels, put_back, raw_texts, save, set_aside, steps, text_key, whole_groups
+from .common import by_shuffle, group_bounds, merge_labels, put_back, raw_texts, save, set_aside, steps, text_key, whole_groups
 from .components import components
 
 SEED = 42
@@ -223,7 +223,7 @@ def simhash_classes(
         F.col("fp").alias("_fp"), F.coalesce("component", "rep").alias("component_id")
     )
     classes = save(classes, "sim-classes")
-    return prints.join(classes, prints["fp"] == classes["_fp"]).select("doc_id", "text_key", "fp", "component_id")
+    return prints.join(by_shuffle(classes), prints["fp"] == classes["_fp"]).select("doc_id", "text_key", "fp", "component_id")
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
@@ -241,6 +241,6 @@ def drop_near_copies(docs: DataFrame, shingle: int = 3, radius: int = 3) -> Data
     keep = save(keep.select(F.col("doc_id").alias("_doc"), F.col("k.text_key").alias("_key"), F.col("k.count").alias("_rows")), "sim-keep")
     plain = set_aside(docs, "doc_id", "text")
     same = plain["doc_id"].cast("long").eqNullSafe(F.col("_doc")) & (text_key(plain["text"].cast("string")) == F.col("_key"))
-    out = plain.join(keep, same, "left_semi")
+    out = plain.join(by_shuffle(keep), same, "left_semi")
     out = out.dropDuplicates(["doc_id", "text"]) if keep.where("_rows > 1").take(1) else out
     return put_back(out, docs, "doc_id", "text")

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, mix64, put_back, raw_texts, save, set_aside, steps, text_key
+from .common import arrow_schema, by_shuffle, mix64, put_back, raw_texts, save, set_aside, steps, text_key
 
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _INVERSE = tuple(pow(m, -1, 1 << 64) for m in _ODD)
@@ -172,23 +172,23 @@ def repeated_spans(docs: DataFrame, window: int = 35, seed: int = 9) -> DataFram
     schema = "h long, kind long, doc_id long, text_key int, first int, more int"
     level1 = save(source.mapInArrow(_seeds(window, seed), schema), "sub-seeds")
     repeated = save(level1.groupBy("h").count().where("count > 1").select("h"), "sub-repeated")
-    level2 = save(level1.join(repeated, "h"), "sub-stretches")
+    level2 = save(level1.join(by_shuffle(repeated), "h"), "sub-stretches")
 
     one = F.min(F.struct("doc_id", "text_key", "first", "more")).alias("one")
     kinds = save(level2.groupBy("h", "kind").agg(F.count(F.lit(1)).alias("times"), one), "sub-kinds")
     twice = kinds.where("times > 1").select("h", "kind")
-    whole = level2.join(twice, ["h", "kind"]).select("doc_id", "text_key", "first", "more")
+    whole = level2.join(by_shuffle(twice), ["h", "kind"]).select("doc_id", "text_key", "first", "more")
 
     several = save(kinds.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "sub-open")
-    open_ = kinds.join(several, "h").select("one.doc_id", "one.text_key", F.struct("one.first", "one.more", "times").alias("s"))
+    open_ = kinds.join(by_shuffle(several), "h").select("one.doc_id", "one.text_key", F.struct("one.first", "one.more", "times").alias("s"))
     open_ = save(open_.groupBy("doc_id", "text_key").agg(F.collect_list("s").alias("open")), "sub-open-docs")
     texts = open_.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), "open")
     same = source["doc_id"].eqNullSafe(texts["_doc"]) & (source["text_key"] == texts["_key"])
-    cut = source.join(texts, same).select("doc_id", "text_key", "text", "open")
+    cut = source.join(by_shuffle(texts), same).select("doc_id", "text_key", "text", "open")
     schema = "a long, b long, times long, doc_id long, text_key int, first int"
     windows = save(cut.mapInArrow(_windows(window), schema), "sub-windows")
     counted = save(windows.groupBy("a", "b").agg(F.sum("times").alias("n")).where("n > 1").select("a", "b"), "sub-counted")
-    single = windows.join(counted, ["a", "b"]).where("times = 1").select("doc_id", "text_key", "first", F.lit(0).alias("more"))
+    single = windows.join(by_shuffle(counted), ["a", "b"]).where("times = 1").select("doc_id", "text_key", "first", F.lit(0).alias("more"))
     return whole.union(single).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("first", "more")).alias("found"))
 
 
@@ -239,7 +239,7 @@ def substring_dedup(docs: DataFrame, window: int = 35, seed: int = 9, id_col: st
     spans = save(repeated_spans(keyed, window, seed), "sub-spans")
     spans = spans.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), F.col("found").alias("_found"))
     same = plain[id_col].cast("long").eqNullSafe(F.col("_doc")) & (text_key(plain[text_col].cast("string")) == F.col("_key"))
-    joined = plain.join(spans, same, "left").drop("_doc", "_key").withColumn(text_col, text)
+    joined = plain.join(by_shuffle(spans), same, "left").drop("_doc", "_key").withColumn(text_col, text)
     passed = [f for f in plain.schema.fields if f.name != text_col]
     schema = arrow_schema(passed, f"`{text_col}` string, _n_words long, _n_removed long, _sha256 string")
     out = joined.mapInArrow(_keep(window, text_col), schema)
