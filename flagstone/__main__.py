@@ -1,7 +1,7 @@
 """Command line: run the configured vendors' deliveries.
 
-    spark-submit -m flagstone -c config.json -v iqvia_mm,cota [-y 2019]
-    python -m flagstone -c config.json -v grn_dlbcl --input ... --output ...
+    spark-submit -m flagstone -c config.json -v first,second [-y 2019]
+    python -m flagstone -c config.json -v first --input ... --output ...
 
 The session comes from ``spark-submit`` / the environment
 (``SparkSession.builder.getOrCreate()``); cluster settings stay there.
@@ -16,6 +16,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from .plans.delivery import run_vendors
+from .session import SESSION_CONF
 from .sources.delivery import load_config
 
 
@@ -26,8 +27,9 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("-y", "--year", help="specification year (accepted, not used)")
     p.add_argument("--input", help="delivery folder (default: from the configuration)")
     p.add_argument("--output", help="output folder (default: from the configuration)")
-    p.add_argument("--database", help="catalog database for _RAW / _QC tables (default: Parquet files)")
-    p.add_argument("--single-file", action="store_true", help="write each CSV output as one file")
+    p.add_argument("--database", help="catalog database for _RAW / _QC tables (default: from the configuration, else Parquet files)")
+    p.add_argument("--single-file", action="store_true", help="write each CSV output as one file (everything passes through one task; meant for small tables)")
+    p.add_argument("--multi-line", action="store_true", help="cells may hold quoted line breaks (a file is then one task)")
     return p.parse_args(argv)
 
 
@@ -35,7 +37,7 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
     args = parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(levelname)s %(name)s: %(message)s")
     cfg = load_config(args.config)
-    spark = spark or SparkSession.builder.appName("flagstone").getOrCreate()
+    spark = spark or SparkSession.builder.appName("flagstone").config(map=SESSION_CONF).getOrCreate()
     results = run_vendors(
         spark,
         cfg,
@@ -44,6 +46,7 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
         output_loc=args.output,
         database=args.database,
         single_file=args.single_file,
+        multi_line=args.multi_line,
     )
     for vendor, res in results.items():
         for name, path in sorted(res.outputs.items()):

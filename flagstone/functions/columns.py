@@ -8,7 +8,6 @@ and nothing is pulled to the driver except column names.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,24 +37,14 @@ NONNEG_DECIMAL_PATTERN = r"^(\p{Nd}+\.?\p{Nd}*|\.\p{Nd}+)$"
 # Partial dates write an unknown day as UK; it is read as the 15th.
 UNKNOWN_DAY_TOKEN = "UK"
 UNKNOWN_DAY_VALUE = "15"
-# Text date layouts tried in order when a date column is a string.
-DATE_PATTERNS = ("yyyy/MM/dd", "yyyy-MM-dd", "yyyy/MM/dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss")
-
-ENGINE_COLUMNS = frozenset(
-    {
-        DUP_COUNT,
-        DUP_FLAG,
-        MISSING_FLAG,
-        VALUE_FLAG,
-        NEGATIVE_FLAG,
-        LAST_DT_FLAG,
-        DEATH_DT_FLAG,
-        FLAG_DUPLICATION,
-        FLAG_MISSING,
-        FLAG_VALUES,
-        RESULT,
-    }
-)
+# Month names (three letters) in order, for dates such as 15-Feb-2018.
+MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+
+# Metadata key of the columns the engine itself appended. Names do not tell: a
+# data column may well be called ``result`` or ``dup_count``.
+ADDED = "flagstone_added"
+# Suffix of an appended column whose name the data already uses.
+CLASH_SUFFIX = "_qc"
 
 _FLOATS = (T.FloatType, T.DoubleType)
 _NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -70,32 +59,51 @@ def dtype_of(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 
 
+def is_added(field: T.StructField) -> bool:
+    """Whether the engine appended this column."""
+    return bool((field.metadata or {}).get(ADDED))
+
+
+def mark_added(df: DataFrame, *names: str) -> DataFrame:
+    """Mark columns as appended by the engine (kept through later rules and in
+    stored tables)."""
+    for name in names:
+        df = df.withMetadata(name, {ADDED: name})
+    return df
+
+
+def added_name(df: DataFrame, name: str) -> str:
+    """Name under which the engine appends ``name`` to ``df``: an own earlier
+    column is replaced, a data column is left and ``_qc`` put behind."""
+    fields = {f.name: f for f in df.schema.fields}
+    while name in fields and not is_added(fields[name]):
+        name += CLASH_SUFFIX
+    return name
+
+
 def match_columns(
-    columns: Iterable[str],
+    df: DataFrame,
     contains: str | None = None,
     not_contains: str | None = None,
     exclude: Iterable[str] = (),
-    skip_engine_columns: bool = True,
 ) -> list[str]:
-    """Names holding ``contains`` (case-sensitive), minus names holding
-    ``not_contains``, minus ``exclude``; flag columns of earlier rules are
-    skipped so that e.g. ``value_flag`` is not checked as a value column."""
+    """Data columns whose name holds ``contains`` (case-sensitive), minus names
+    holding ``not_contains``, minus ``exclude``; columns appended by earlier
+    rules are skipped so that ``value_flag`` is not checked as a value."""
     drop = set(exclude or ())
     out = []
-    for c in columns:
+    for c in data_columns(df):
         if contains is not None and contains not in c:
             continue
-        if not_contains and not_contains in c:
-            continue
-        if c in drop or (skip_engine_columns and c in ENGINE_COLUMNS):
+        if (not_contains and not_contains in c) or c in drop:
             continue
         out.append(c)
     return out
 
 
 def data_columns(df: DataFrame) -> list[str]:
-    """All columns except the flag columns written by the rules."""
-    return [c for c in df.columns if c not in ENGINE_COLUMNS]
+    """All columns except those the engine appended."""
+    return [f.name for f in df.schema.fields if not is_added(f)]
 
 
 # Each test is built as SQL text and turned into a Column with one
@@ -114,13 +122,6 @@ def sql_str(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def nan_to_null_sql(df: DataFrame, name: str) -> str:
-    c = ident(name)
-    if isinstance(dtype_of(df, name), _FLOATS):
-        return f"CASE WHEN isnan({c}) THEN NULL ELSE {c} END"
-    return c
-
-
 def is_nan_sql(df: DataFrame, name: str) -> str:
     if isinstance(dtype_of(df, name), _FLOATS):
         return f"coalesce(isnan({ident(name)}), false)"
@@ -167,36 +168,70 @@ def to_number_sql(df: DataFrame, name: str) -> str:
 def _fail_if_unparsed(c: str, v: str, what: str, name: str) -> str:
     msg = sql_str(f"bad {what} in {name}: ")
     return (
-        f"CASE WHEN {c} IS NOT NULL AND NOT {c} RLIKE {sql_str(BLANK_PATTERN)} AND ({v}) IS NULL "
+        f"CASE WHEN {c} IS NOT NULL AND NOT CAST({c} AS STRING) RLIKE {sql_str(BLANK_PATTERN)} AND ({v}) IS NULL "
         f"THEN raise_error(concat({msg}, CAST({c} AS STRING))) ELSE {v} END"
     )
 
 
+def date_text_sql(text: str) -> str:
+    """Text of a date, in any of the layouts a general date parser takes, as a
+    timestamp without zone; null when it is none.
+
+    Year first (``2018/2/5``, ``2018.02.05``, ``20180205``, ``20180205101500``),
+    ISO with ``T``, fraction and zone (the wall clock counts, the zone is
+    dropped), month first (``02/15/2018``; day first where the month would be
+    above 12), and month names (``15-Feb-2018``, ``Feb 15, 2018``). Two digits
+    are no year."""
+
+    def swap(value: str, pattern: str, to: str) -> str:
+        return f"regexp_replace({value}, {sql_str(pattern)}, {sql_str(to)})"
+
+    t = f"trim({text})"
+    t = swap(t, r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})(\d{2})$", "$1-$2-$3 $4:$5:$6")
+    t = swap(t, r"^(\d{4})(\d{2})(\d{2})(?=\D|$)", "$1-$2-$3")
+    t = swap(t, r"^(\d{4})[/.](\d{1,2})[/.](\d{1,2})(?=\D|$)", "$1-$2-$3")
+    month_first = swap(t, r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})(?=\D|$)", "$3-$1-$2")
+    day_first = swap(t, r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})(?=\D|$)", "$3-$2-$1")
+    named = swap(t, r"^(\d{1,2})[- ]?([A-Za-z]{3})[A-Za-z]*\.?[-, ]*(\d{4})(?=\D|$)", "$3-@$2-$1")
+    named = swap(named, r"^([A-Za-z]{3})[A-Za-z]*\.? (\d{1,2}),? (\d{4})(?=\D|$)", "$3-@$1-$2")
+    letters = f"lower(regexp_extract({named}, '@([A-Za-z]+)', 1))"
+    place = f"locate({letters}, {sql_str(MONTHS)})"
+    number = f"CAST((({place}) + 2) DIV 3 AS STRING)"
+    named = f"CASE WHEN {named} LIKE '%@%' AND ({place}) % 3 = 1 THEN regexp_replace({named}, '@[A-Za-z]+', {number}) END"
+    return f"coalesce({', '.join(f'try_cast({v} AS TIMESTAMP_NTZ)' for v in (month_first, day_first, named))})"
+
+
 def to_time_value_sql(df: DataFrame, name: str, dt_type: str = "datetime", on_bad: str = "null") -> str:
     c = ident(name)
     dt = dtype_of(df, name)
     text = f"replace({c}, {sql_str(UNKNOWN_DAY_TOKEN)}, {sql_str(UNKNOWN_DAY_VALUE)})"
+    what, v = "date", "CAST(NULL AS TIMESTAMP_NTZ)"
     if dt_type == "float":
+        what, v = "number", "CAST(NULL AS DOUBLE)"
         if isinstance(dt, T.StringType):
             v = f"try_cast({text} AS DOUBLE)"
-            if on_bad == "fail":
-                v = _fail_if_unparsed(c, v, "number", name)
         elif isinstance(dt, _NUMBERS):
-            v = f"CAST({c} AS DOUBLE)"
-        else:
-            v = "CAST(NULL AS DOUBLE)"
-        return f"nanvl({v}, CAST(NULL AS DOUBLE))"
-    if isinstance(dt, T.TimestampNTZType):
+            return f"nanvl(CAST({c} AS DOUBLE), CAST(NULL AS DOUBLE))"
+    elif isinstance(dt, T.TimestampNTZType):
         return c
-    if isinstance(dt, (T.DateType, T.TimestampType)):
+    elif isinstance(dt, (T.DateType, T.TimestampType)):
         return f"CAST({c} AS TIMESTAMP_NTZ)"
-    if isinstance(dt, T.StringType):
-        parsed = ", ".join(f"try_to_timestamp({text}, {sql_str(p)})" for p in DATE_PATTERNS)
-        v = f"CAST(coalesce({parsed}) AS TIMESTAMP_NTZ)"
-        if on_bad == "fail":
-            v = _fail_if_unparsed(c, v, "date", name)
-        return v
-    return "CAST(NULL AS TIMESTAMP_NTZ)"
+    elif isinstance(dt, T.StringType):
+        v = date_text_sql(text)
+    elif isinstance(dt, (T.IntegerType, T.LongType, T.DecimalType)):
+        # what schema inference makes of yyyyMMdd
+        v = date_text_sql(f"CAST({c} AS STRING)")
+        v = f"CASE WHEN {c} BETWEEN 10000101 AND 99991231 THEN {v} END"
+    if on_bad == "fail":
+        v = _fail_if_unparsed(c, v, what, name)
+    return f"nanvl({v}, CAST(NULL AS DOUBLE))" if dt_type == "float" else v
+
+
+def unparsed_sql(df: DataFrame, name: str, dt_type: str = "datetime") -> str:
+    """True where the cell holds something that does not read as a date (or number)."""
+    c = ident(name)
+    blank = f"CAST({c} AS STRING) RLIKE {sql_str(BLANK_PATTERN)}"
+    return f"({c} IS NOT NULL AND NOT {is_nan_sql(df, name)} AND NOT {blank} AND ({to_time_value_sql(df, name, dt_type)}) IS NULL)"
 
 
 def any_sql(conditions: Sequence[str]) -> str:
@@ -211,16 +246,6 @@ def flag_sql(condition: str) -> str:
     return f"CAST(CASE WHEN coalesce({condition}, false) THEN 1 ELSE 0 END AS INT)"
 
 
-def nan_to_null(df: DataFrame, name: str) -> Column:
-    """For float columns NaN becomes null; other types pass through."""
-    return F.expr(nan_to_null_sql(df, name))
-
-
-def is_nan(df: DataFrame, name: str) -> Column:
-    """NaN test that is valid for every type (False for non-floats)."""
-    return F.expr(is_nan_sql(df, name))
-
-
 def is_missing(df: DataFrame, name: str, blank_is_missing: bool = True) -> Column:
     """True when the cell is null, NaN (floats) or, for strings and if
     ``blank_is_missing``, only white space. Never null itself."""
@@ -237,38 +262,8 @@ def is_nonneg_decimal(df: DataFrame, name: str) -> Column:
     return F.expr(is_nonneg_decimal_sql(df, name))
 
 
-def to_number(df: DataFrame, name: str) -> Column:
-    """Coercing parse to double: text that is not a number becomes null,
-    and so does NaN (it compares above every number in Spark)."""
-    return F.expr(to_number_sql(df, name))
-
-
-def to_time_value(df: DataFrame, name: str, dt_type: str = "datetime", on_bad: str = "null") -> Column:
-    """Bring a date-like column to one comparable type.
-
-    ``dt_type='datetime'`` gives ``timestamp_ntz`` (text is read with the
-    unknown day ``UK`` set to 15, trying :data:`DATE_PATTERNS`);
-    ``dt_type='float'`` gives double (relative days), NaN as null.
-    ``on_bad='fail'`` raises on text that does not parse instead of
-    returning null.
-    """
-    return F.expr(to_time_value_sql(df, name, dt_type, on_bad))
-
-
 def with_row_id(df: DataFrame, name: str = "columnindex") -> DataFrame:
     """Append a unique (not consecutive) 64-bit row id, computed inside each
     task with no shuffle. Ids depend on the input partitioning, so they are
     stable for a given file layout, not across differently split reads."""
     return df.withColumn(name, F.monotonically_increasing_id())
-
-
-def any_of(conditions: Sequence[Column]) -> Column:
-    """Row-wise OR; a null condition counts as False. Empty list → False."""
-    if not conditions:
-        return F.lit(False)
-    return reduce(lambda a, b: a | b, [F.coalesce(x, F.lit(False)) for x in conditions])
-
-
-def flag(condition: Column) -> Column:
-    """0/1 integer flag from a boolean condition (null → 0)."""
-    return F.when(F.coalesce(condition, F.lit(False)), F.lit(1)).otherwise(F.lit(0)).cast("int")

@@ -9,7 +9,7 @@ from .duplicates import (  # noqa: F401
     report_from_flags,
     unique_key,
 )
-from .frequency import frequencies, frequency  # noqa: F401
+from .frequency import frequency  # noqa: F401
 from .membership import mappable_id, unmapped_rows  # noqa: F401
 from .missing import flag_missing, flag_missing_null_only, missing_by_column  # noqa: F401
 from .numeric import flag_negative, flag_non_numeric, flag_non_numeric_spark, negative_rows, offending_values  # noqa: F401

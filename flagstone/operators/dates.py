@@ -7,21 +7,38 @@ is exactly "any anchor of this id is before the date", so several anchors per
 id flag the same rows without multiplying them. Every checked table is then
 left-joined to that per-id anchor on the id alone, and the inequality is a
 plain expression over the joined row. The anchor side has one row per id;
-the join is salted for heavy-hitter ids (an id holding a third of the rows is
-spread over many tasks, see :mod:`flagstone.operators.skew`), and adaptive
-execution still broadcasts the anchor when its measured size is small.
+adaptive execution can split the partition of an id that holds a third of the
+rows (see :mod:`flagstone.operators.skew`) and still broadcasts the anchor
+when its measured size is small.
+
+Text that reads as no date makes no flag; :func:`unparsed_dates` lists it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import logging
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import DEATH_DT_FLAG, LAST_DT_FLAG, any_sql, flag_sql, ident, match_columns, to_time_value_sql
-from .skew import key_counts, salted_join
+from ..functions.columns import (
+    DEATH_DT_FLAG,
+    LAST_DT_FLAG,
+    added_name,
+    any_sql,
+    flag_sql,
+    ident,
+    mark_added,
+    match_columns,
+    sql_str,
+    to_time_value_sql,
+    unparsed_sql,
+)
+from .skew import key_counts, keyed_join
+
+log = logging.getLogger(__name__)
 
 ANCHOR = "__dq_anchor"
 ANCHOR_ID = "__dq_anchor_id"
@@ -64,7 +81,7 @@ class DateBoundSpec:
 def compared_columns(df: DataFrame, spec: DateBoundSpec) -> list[str]:
     """Date columns of ``df`` compared with the anchor (schema only)."""
     return match_columns(
-        df.columns,
+        df,
         contains=spec.dt_value,
         not_contains=spec.ignore_value,
         exclude=[spec.dt_column, *spec.ignorecols],
@@ -84,6 +101,16 @@ def anchor_dates(anchor_table: DataFrame, spec: DateBoundSpec, on_bad: str = "nu
     )
 
 
+def _untouched(df: DataFrame, spec: DateBoundSpec, name: str) -> bool:
+    """Whether the rule does not apply to ``df``; date columns without the id
+    column are worth a warning."""
+    cols = compared_columns(df, spec)
+    if cols and spec.id_column not in df.columns:
+        log.warning("table %s has date columns %s but no id column %r: not checked", name, cols, spec.id_column)
+        return True
+    return not cols
+
+
 def join_anchor(
     df: DataFrame,
     anchor: DataFrame,
@@ -92,6 +119,7 @@ def join_anchor(
     keep_unmatched_anchor: bool = False,
     on_bad: str = "null",
     source: DataFrame | None = None,
+    name: str = "",
 ) -> DataFrame | None:
     """Rows of ``df`` with the anchor (column ``__dq_anchor``) and the flag.
 
@@ -100,54 +128,61 @@ def join_anchor(
     id set, flag 0) is added per anchor id that the table lacks, as a full
     outer join would.
     """
-    cols = compared_columns(df, spec)
-    if not cols or spec.id_column not in df.columns:
+    if _untouched(df, spec, name):
         return None
-    values = [to_time_value_sql(df, c, spec.dt_type, on_bad) for c in cols]
+    values = [to_time_value_sql(df, c, spec.dt_type, on_bad) for c in compared_columns(df, spec)]
     cond = any_sql([f"{ANCHOR} < ({v})" for v in values])
-    # Heavy-hitter ids are estimated on a sample of the input table.
-    stats = df if source is None else source
-    base = [c for c in df.columns if c != flag_col]
-    joined = salted_join(
-        df.drop(flag_col), anchor, [spec.id_column], [ANCHOR_ID], "left", stats_rows=stats, side_out=[ANCHOR]
-    )
-    out = joined.selectExpr(*[ident(c) for c in base], ANCHOR, f"{flag_sql(cond)} AS {ident(flag_col)}")
+    flag = added_name(df, flag_col)
+    base = [c for c in df.columns if c != flag]
+    joined = keyed_join(df.select(*[ident(c) for c in base]), anchor, [spec.id_column], [ANCHOR_ID], "left", side_out=[ANCHOR])
+    out = mark_added(joined.selectExpr(*[ident(c) for c in base], ANCHOR, f"{flag_sql(cond)} AS {ident(flag)}"), flag)
     if not keep_unmatched_anchor:
         return out
     # Anchor ids the table lacks, as extra rows. Written as an anti-join
     # against the table's distinct ids (pre-aggregated, so a hot id is one
     # row per task) instead of a full outer join, whose skewed partitions
     # adaptive execution cannot split.
+    stats = df if source is None else source
     ids = key_counts(stats, [spec.id_column], "__dq_rows", null_keys=False).selectExpr(
         f"{ident(spec.id_column)} AS __dq_seen"
     )
-    extra = anchor.join(ids, F.col(ANCHOR_ID) == F.col("__dq_seen"), "left_anti")
+    extra = keyed_join(anchor, ids, [ANCHOR_ID], ["__dq_seen"], "left_anti")
     fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     extra_rows = extra.selectExpr(
-        *[
-            f"CAST({ANCHOR_ID if c == spec.id_column else 'NULL'} AS {fields[c]}) AS {ident(c)}"
-            for c in df.columns
-            if c != flag_col
-        ],
+        *[f"CAST({ANCHOR_ID if c == spec.id_column else 'NULL'} AS {fields[c]}) AS {ident(c)}" for c in base],
         ANCHOR,
-        f"CAST(0 AS INT) AS {ident(flag_col)}",
+        f"CAST(0 AS INT) AS {ident(flag)}",
     )
-    return out.unionByName(extra_rows)
+    return mark_added(out.unionByName(extra_rows), flag)
 
 
-def _flag_and_report(df, anchor, spec, flag_col, keep_unmatched_anchor, on_bad, source):
-    """``(flagged, make_report)``; the report is only built when asked for."""
-    joined = join_anchor(df, anchor, spec, flag_col, keep_unmatched_anchor, on_bad, source)
-    if joined is None:
-        return df, None
-    own = [c for c in df.columns if c not in (spec.dt_column, flag_col)]
+def anchored_report(flagged: DataFrame, anchor: DataFrame, spec: DateBoundSpec, flag_col: str) -> DataFrame:
+    """The violating rows of a flagged table with the limit date under the name
+    of the limit column (replacing the table's own column of that name) and the
+    flag. Only rows with flag 1 are joined; on a stored table nothing else is
+    computed again."""
+    flag = added_name(flagged, flag_col)
+    own = [c for c in flagged.columns if c not in (spec.dt_column, flag)]
+    rows = flagged.where(f"{ident(flag)} = 1")
+    joined = keyed_join(rows, anchor, [spec.id_column], [ANCHOR_ID], "left", side_out=[ANCHOR])
+    return joined.selectExpr(*[ident(c) for c in own], f"{ANCHOR} AS {ident(spec.dt_column)}", ident(flag))
 
-    def make_report() -> DataFrame:
-        return joined.where(f"{ident(flag_col)} = 1").selectExpr(
-            *[ident(c) for c in own], f"{ANCHOR} AS {ident(spec.dt_column)}", ident(flag_col)
-        )
 
-    return joined.drop(ANCHOR), make_report
+def unparsed_dates(df: DataFrame, spec: DateBoundSpec, table: str) -> DataFrame | None:
+    """Report ``(tbl, column, value)``: the distinct cells of compared columns
+    (and of the limit column) that hold something but read as no date, as
+    text. None when the table has no such column."""
+    cols = compared_columns(df, spec)
+    if table == spec.table and spec.dt_column in df.columns:
+        cols = [*cols, spec.dt_column]
+    if not cols:
+        return None
+    cells = ", ".join(
+        f"struct({sql_str(c)} AS column, CASE WHEN {unparsed_sql(df, c, spec.dt_type)} THEN CAST({ident(c)} AS STRING) END AS value)"
+        for c in cols
+    )
+    found = df.selectExpr(f"inline(array({cells}))").where("value IS NOT NULL")
+    return found.selectExpr(f"{sql_str(table)} AS tbl", "column", "value").distinct()
 
 
 def flag_date_bound(
@@ -159,32 +194,18 @@ def flag_date_bound(
     on_bad: str = "null",
     source: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
-    """``(flagged, report)`` for one table.
-
-    ``flagged`` = all columns of ``df`` (unchanged) + flag. ``report`` = the
-    violating rows with the limit date under the name of the limit column
-    (replacing the table's own column of that name) and the flag.
-    """
-    flagged, make_report = _flag_and_report(df, anchor, spec, flag_col, keep_unmatched_anchor, on_bad, source)
-    return flagged, (make_report() if make_report else None)
-
-
-class _LazyReports(Mapping):
-    """``{table: report}`` whose DataFrames are built on first access."""
-
-    def __init__(self, makers):
-        self._makers, self._built = makers, {}
-
-    def __getitem__(self, key):
-        if key not in self._built:
-            self._built[key] = self._makers[key]()
-        return self._built[key]
+    """``(flagged, report)`` for one table: all columns of ``df`` (unchanged) +
+    flag, and the rows of :func:`anchored_report`."""
+    joined = join_anchor(df, anchor, spec, flag_col, keep_unmatched_anchor, on_bad, source)
+    if joined is None:
+        return df, None
+    return joined.drop(ANCHOR), _report_of(joined, spec, flag_col)
 
-    def __iter__(self):
-        return iter(self._makers)
 
-    def __len__(self):
-        return len(self._makers)
+def _report_of(joined: DataFrame, spec: DateBoundSpec, flag_col: str) -> DataFrame:
+    flag = added_name(joined, flag_col)
+    own = [c for c in joined.columns if c not in (spec.dt_column, flag, ANCHOR)]
+    return joined.where(f"{ident(flag)} = 1").selectExpr(*[ident(c) for c in own], f"{ANCHOR} AS {ident(spec.dt_column)}", ident(flag))
 
 
 def date_bound(
@@ -195,14 +216,15 @@ def date_bound(
     on_bad: str = "null",
     tables: Sequence[str] | None = None,
     sources: Mapping[str, DataFrame] | None = None,
-    stage=None,
-) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    stage: Callable[[DataFrame], DataFrame] | None = None,
+) -> tuple[dict[str, DataFrame], dict[str, Callable[..., DataFrame]]]:
     """Apply the rule to every table of ``dfs`` (or ``tables``).
 
     ``sources`` may hold, per table, a copy with the same rows and data
-    columns (the input before earlier rules added flags); the anchor and the
-    per-id statistics are then computed from it. Returns the new table dict
-    and ``{table: report}`` for tables that have compared columns.
+    columns (the input before earlier rules added flags); the anchor is then
+    computed from it. Returns the new table dict and ``{table: make_report}``
+    for tables that have compared columns; ``make_report(stored)`` reads a
+    stored copy of the flagged table instead of joining the whole table again.
     """
     sources = sources or {}
     if not isinstance(spec, DateBoundSpec):
@@ -214,14 +236,19 @@ def date_bound(
         anchor = stage(anchor)
     out = dict(dfs)
     makers = {}
+
+    def maker(joined: DataFrame) -> Callable[..., DataFrame]:
+        def make(stored: DataFrame | None = None) -> DataFrame:
+            return _report_of(joined, spec, flag_col) if stored is None else anchored_report(stored, anchor, spec, flag_col)
+
+        return make
+
     for name in tables or list(dfs):
-        flagged, make_report = _flag_and_report(
-            dfs[name], anchor, spec, flag_col, keep_unmatched_anchor, on_bad, sources.get(name)
-        )
-        out[name] = flagged
-        if make_report is not None:
-            makers[name] = make_report
-    return out, _LazyReports(makers)
+        joined = join_anchor(dfs[name], anchor, spec, flag_col, keep_unmatched_anchor, on_bad, sources.get(name), name)
+        if joined is not None:
+            out[name] = joined.drop(ANCHOR)
+            makers[name] = maker(joined)
+    return out, makers
 
 
 def last_date(dfs, spec, **kw):

@@ -2,10 +2,11 @@
 
 The superset is reduced to its distinct keys (partially aggregated, so a key
 repeated a billion times is one row per task before the shuffle) and joined
-to the subset with heavy-hitter subset keys salted (see
-:mod:`flagstone.operators.skew`); adaptive execution still broadcasts the
-key set when its measured size allows. No ``NOT IN`` (which would become a
-broadcast nested-loop join).
+to the subset so that adaptive execution can split a hot subset key (see
+:mod:`flagstone.operators.skew`), and still broadcasts the key set when its
+measured size allows. Ids of two types are compared in one declared type: a
+number and a text meet as text. No ``NOT IN`` (which would become a broadcast
+nested-loop join).
 """
 
 from __future__ import annotations
@@ -15,8 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import RESULT, col, ident
-from .skew import salted_join
+from ..functions.columns import RESULT, added_name, col, ident, mark_added
+from .skew import keyed_join
 
 _MARK = "__dq_present"
 
@@ -36,8 +37,8 @@ def mappable_id(
     superset_columns: str | Sequence[str] | None = None,
     null_safe: bool = True,
 ) -> DataFrame:
-    """All rows of ``subset`` plus boolean ``result``: True when the key is
-    found in ``superset``. With ``null_safe`` a null key matches a null key
+    """All rows of ``subset`` plus boolean ``result`` (``result_qc`` if the data
+    has a ``result``): True when the key is found in ``superset``. With ``null_safe`` a null key matches a null key
     of the superset (as a pandas ``isin`` matches NaN with NaN)."""
     keys = _keys(columns)
     sup_keys = _keys(superset_columns) if superset_columns is not None else keys
@@ -45,9 +46,11 @@ def mappable_id(
         raise ValueError("subset and superset key lists differ in length")
     aliases = [f"__dq_sk{i}" for i in range(len(keys))]
     present = _key_set(superset, sup_keys, aliases).withColumn(_MARK, F.lit(True))
-    base = [c for c in subset.columns if c != RESULT]
-    joined = salted_join(subset.drop(RESULT), present, keys, aliases, "left", null_safe, side_out=[_MARK])
-    return joined.selectExpr(*[ident(c) for c in base], f"{_MARK} IS NOT NULL AS {RESULT}")
+    result = added_name(subset, RESULT)
+    base = [c for c in subset.columns if c != result]
+    rows = subset.select(*[ident(c) for c in base])
+    joined = keyed_join(rows, present, keys, aliases, "left", null_safe, side_out=[_MARK])
+    return mark_added(joined.selectExpr(*[ident(c) for c in base], f"{_MARK} IS NOT NULL AS {ident(result)}"), result)
 
 
 def unmapped_rows(
@@ -61,4 +64,4 @@ def unmapped_rows(
     keys = _keys(columns)
     sup_keys = _keys(superset_columns) if superset_columns is not None else keys
     aliases = [f"__dq_sk{i}" for i in range(len(keys))]
-    return salted_join(subset, _key_set(superset, sup_keys, aliases), keys, aliases, "left_anti", null_safe)
+    return keyed_join(subset, _key_set(superset, sup_keys, aliases), keys, aliases, "left_anti", null_safe)

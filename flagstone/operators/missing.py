@@ -13,7 +13,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import FLAG_MISSING, MISSING_FLAG, any_sql, data_columns, flag_sql, is_missing_sql, sql_str
+from ..functions.columns import (
+    FLAG_MISSING,
+    MISSING_FLAG,
+    added_name,
+    any_sql,
+    data_columns,
+    flag_sql,
+    is_missing_sql,
+    mark_added,
+    sql_str,
+)
 
 
 def _columns(df: DataFrame, columns: Sequence[str] | None) -> list[str]:
@@ -35,7 +45,8 @@ def flag_missing(
     (strings) blank. ``columns`` None or empty checks every data column."""
     cols = _columns(df, columns)
     cond = any_sql([is_missing_sql(df, c, blank_is_missing) for c in cols])
-    return df.withColumn(flag_col, F.expr(flag_sql(cond)))
+    flag = added_name(df, flag_col)
+    return mark_added(df.withColumn(flag, F.expr(flag_sql(cond))), flag)
 
 
 def flag_missing_null_only(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -20,11 +20,13 @@ from ..functions.columns import (
     FLAG_VALUES,
     NEGATIVE_FLAG,
     VALUE_FLAG,
+    added_name,
     any_sql,
     flag_sql,
     ident,
     is_nan_sql,
     is_nonneg_decimal_sql,
+    mark_added,
     match_columns,
     sql_str,
     to_number_sql,
@@ -34,8 +36,11 @@ from ..functions.columns import (
 def value_columns(df: DataFrame, token: str = "value", columns: Sequence[str] | None = None) -> list[str]:
     """Explicit ``columns`` win; else every column whose name holds ``token``."""
     if columns:
-        return [c for c in columns if c in df.columns]
-    return match_columns(df.columns, contains=token)
+        absent = [c for c in columns if c not in df.columns]
+        if absent:
+            raise ValueError(f"columns not in table: {absent}")
+        return list(columns)
+    return match_columns(df, contains=token)
 
 
 def _bad(df: DataFrame, name: str, null_is_bad: bool) -> str:
@@ -59,7 +64,8 @@ def flag_non_numeric(
     if not cols:
         return df
     cond = any_sql([_bad(df, c, null_is_bad) for c in cols])
-    return df.withColumn(flag_col, F.expr(flag_sql(cond)))
+    flag = added_name(df, flag_col)
+    return mark_added(df.withColumn(flag, F.expr(flag_sql(cond))), flag)
 
 
 def flag_non_numeric_spark(df: DataFrame, token: str = "value", columns: Sequence[str] | None = None) -> DataFrame:
@@ -115,4 +121,5 @@ def flag_negative(
     cols = value_columns(df, token, columns)
     if not cols:
         return df
-    return df.withColumn(flag_col, F.expr(flag_sql(_negative(df, cols))))
+    flag = added_name(df, flag_col)
+    return mark_added(df.withColumn(flag, F.expr(flag_sql(_negative(df, cols)))), flag)

@@ -11,12 +11,11 @@ from abc import ABC, abstractmethod
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..functions.columns import RESULT
+from ..functions.columns import ident
 from .duplicates import unique_key
 from .membership import mappable_id
-from .summary import result_events
+from .summary import result_column, result_events
 
 
 class Rule(ABC):
@@ -35,13 +34,13 @@ class Rule(ABC):
         """Input rows plus boolean ``result``."""
 
     def success_message(self, record_name: str) -> str:
-        return f"Success: {record_name} passes {self.rule_name}"
+        return f"{record_name}: {self.rule_name} holds"
 
     def fail_message(self, record_name: str) -> str:
-        return f"Fail: {record_name} does not pass {self.rule_name}"
+        return f"{record_name}: {self.rule_name} is violated"
 
     def failures(self) -> DataFrame:
-        return self.validation_result.where(~F.col(RESULT))
+        return self.validation_result.where(f"NOT {ident(result_column(self.validation_result))}")
 
     def passed(self) -> bool:
         """True when no record fails (one short job)."""
@@ -68,10 +67,10 @@ class UniqueKeyRule(Rule):
         return unique_key(self.data, keys)
 
     def success_message(self, record_name: str) -> str:
-        return f"Success: {record_name} has a unique PK"
+        return f"{record_name}: every key occurs once"
 
     def fail_message(self, record_name: str) -> str:
-        return f"Fail: {record_name} does not have a unique PK"
+        return f"{record_name}: some keys occur more than once"
 
 
 class MappableIdRule(Rule):
@@ -89,7 +88,7 @@ class MappableIdRule(Rule):
         return mappable_id(self.data["subset"], self.data["superset"], self.config, null_safe=self.null_safe)
 
     def success_message(self, record_name: str) -> str:
-        return f"Success: {record_name} has mappable primary keys"
+        return f"{record_name}: every id is known"
 
     def fail_message(self, record_name: str) -> str:
-        return f"Fail: {record_name} does not have mappable primary keys"
+        return f"{record_name}: some ids are unknown"

@@ -1,77 +1,40 @@
-"""Skew-safe equi-joins of rows to a per-key side table.
+"""Equi-joins of rows to a per-key side table that survive skewed keys.
 
 Every rule that brings per-key facts back to the rows (duplicate counts,
 limit dates per id, membership of ids) joins the full table to a side with
-one row per key. If one key holds a large share of the rows (a third of a
-100 TB table, or a third of the rows with a null key), a plain shuffle join
-sends that whole key to one task, and adaptive execution cannot split it
-here because the side is an aggregate, not a bare shuffle.
-
-So heavy hitters are split explicitly:
-
-1. ``key_counts`` (rows per key, partially aggregated — for the duplicate
-   rule it is the very aggregate the rule needs) gives the keys with more
-   than ``hot_rows`` rows; only the ``max_hot`` largest are kept, so the hot
-   list has a proven size bound and is broadcast. It holds the key values
-   themselves when every key column has a fixed width, else a 64-bit hash of
-   them, plus a salt count ``ceil(n / hot_rows)``.
-2. A row whose key is hot gets a salt in ``[0, salt count)`` — a hash of
-   its content and partition index, so a retried task salts every row as
-   before; other rows get salt 0. In a join that is not null-safe a row with a null key can match
-   nothing, so it gets a spread-out salt for free (no side copies needed):
-   a third of the rows with a null key does not land in one task either.
-3. A side row whose key is hot is repeated once per salt value.
-4. Rows and side are joined on the keys *and* the salt.
-
-Each salt bucket of a hot key holds about ``hot_rows`` rows, so the key is
-spread over that many tasks; the side grows by at most
-``rows / hot_rows + max_hot`` copies. With hashed keys a collision only
-salts a cold key and repeats its side row as well, which keeps the join
-exact. Keys ranked below ``max_hot`` stay unsalted; each of them holds at
-most ``1 / max_hot`` of the rows.
+one row per key. The side is an aggregate, so a plain join would reuse the
+aggregate's partitioning and adaptive execution could not split a partition
+that one key (or the null key) fills: all its rows would meet in one task.
+
+The side is therefore rebalanced once more after its aggregate (one narrow row
+per key). Both inputs of the join are then bare shuffles, and adaptive
+execution measures each partition in bytes: a partition above
+``spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes`` is cut along
+its map outputs into tasks of the advisory size, each of which reads the one
+side partition it needs. Rows are never salted, sampled or ranked, so no
+setting changes a result, and a side that is measured to be small is still
+broadcast.
+
+Keys of two types are brought to one declared type before anything else
+(:func:`common_key_type`): the same expression is shuffled, compared and
+matched.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import ident
 
-# Rows one task should take for one key before the key is split.
-DEFAULT_HOT_ROWS = 1_000_000
-# At most this many heavy-hitter keys are salted (size bound of the broadcast).
-DEFAULT_MAX_HOT = 1000
-HOT_ROWS_CONF = "flagstone.hotKeyRows"
-MAX_HOT_CONF = "flagstone.maxHotKeys"
-# Without exact per-key counts at hand, heavy hitters are found on a sample
-# of this fraction of the rows (a key of 1,000,000 rows shows ~10,000 times).
-DEFAULT_SAMPLE = 0.01
-SAMPLE_CONF = "flagstone.hotKeySample"
-SAMPLE_SEED = 17
-
-_H = "__dq_hot_h"
-_NSALT = "__dq_nsalt"
-_SALT = "__dq_salt"
-_SIDE_SALT = "__dq_side_salt"
 _N = "__dq_key_rows"
-_HK = "__dq_hot_k"
-# Salt range for rows with a null key in joins that are not null-safe.
-NULL_SPREAD = 4096
-_FIXED = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
-          T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
-
-
-def _settings(df: DataFrame, hot_rows: int | None, max_hot: int | None) -> tuple[int, int]:
-    conf = df.sparkSession.conf
-    if hot_rows is None:
-        hot_rows = int(conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
-    if max_hot is None:
-        max_hot = int(conf.get(MAX_HOT_CONF, str(DEFAULT_MAX_HOT)))
-    return max(int(hot_rows), 1), max(int(max_hot), 1)
+_KEY = "__dq_join_key"
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_FLOATS = (T.FloatType, T.DoubleType)
+_TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def non_null_keys_sql(keys: Sequence[str]) -> str:
@@ -85,127 +48,75 @@ def key_counts(rows: DataFrame, keys: Sequence[str], n_col: str = _N, null_keys:
     return src.groupBy(*[ident(k) for k in keys]).agg(F.expr(f"count(1) AS {ident(n_col)}"))
 
 
-def row_fingerprint_sql(rows: DataFrame) -> str:
-    """Deterministic 64-bit value per row: hash of the partition index and
-    every hashable column (map columns cannot be hashed and are skipped)."""
-    cols = [ident(f.name) for f in rows.schema.fields if not isinstance(f.dataType, T.MapType)]
-    return f"xxhash64(spark_partition_id(), {', '.join(cols)})"
-
-
-def row_fingerprint(rows: DataFrame) -> Column:
-    return F.expr(row_fingerprint_sql(rows))
-
-
-def sampled_key_counts(rows: DataFrame, keys: Sequence[str], n_col: str = _N, null_keys: bool = True) -> DataFrame:
-    """Estimated rows per key from a seeded Bernoulli sample (the estimate
-    only decides which keys get salted, never a result). Both sides of the
-    salted join read the one broadcast hot list built from it, so they
-    always agree; callers pass an input scan, whose row order is stable."""
-    fraction = float(rows.sparkSession.conf.get(SAMPLE_CONF, str(DEFAULT_SAMPLE)))
-    src = rows if null_keys else rows.where(non_null_keys_sql(keys))
-    if fraction >= 1.0:
-        return key_counts(src, keys, n_col)
-    sample = src.sample(withReplacement=False, fraction=fraction, seed=SAMPLE_SEED)
-    return sample.groupBy(*[ident(k) for k in keys]).agg(
-        F.expr(f"CAST(count(1) / {fraction!r}D AS BIGINT) AS {ident(n_col)}")
-    )
-
+def hashable(dt: T.DataType) -> bool:
+    """Spark can hash every type but those that hold a map at any depth."""
+    if isinstance(dt, T.ArrayType):
+        return hashable(dt.elementType)
+    if isinstance(dt, T.StructType):
+        return all(hashable(f.dataType) for f in dt.fields)
+    return not isinstance(dt, (T.MapType, T.VariantType))
 
-def _top(counts: DataFrame, n_col: str, hot_rows: int, max_hot: int) -> DataFrame:
-    return counts.where(f"{ident(n_col)} > {int(hot_rows)}").orderBy(F.expr(f"{ident(n_col)} DESC")).limit(max_hot)
 
-
-def _salts_sql(n_col: str, hot_rows: int) -> str:
-    return f"CAST(ceil({ident(n_col)} / {int(hot_rows)}) AS INT)"
-
-
-def salted_join(
+def row_fingerprint_sql(rows: DataFrame) -> str:
+    """Deterministic 64-bit value per row: hash of the partition index and
+    every hashable column."""
+    cols = [ident(f.name) for f in rows.schema.fields if hashable(f.dataType)]
+    return f"xxhash64({', '.join(['spark_partition_id()', *cols])})"
+
+
+def common_key_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type in which keys of types ``a`` and ``b`` are compared.
+
+    Numbers meet as bigint, decimal or double; dates and timestamps as
+    timestamps without zone; any other pair (text against a number, say) as
+    text, so that ``'7'`` matches 7 and ``'007'`` does not."""
+    if a == b:
+        return a
+    pair = (a, b)
+    if all(isinstance(t, _INTEGRAL) for t in pair):
+        return T.LongType()
+    if all(isinstance(t, (*_INTEGRAL, *_FLOATS, T.DecimalType)) for t in pair):
+        decimals = [t for t in pair if isinstance(t, T.DecimalType)]
+        if any(isinstance(t, _FLOATS) for t in pair) or not decimals:
+            return T.DoubleType()
+        scale = max(t.scale for t in decimals)
+        whole = max([t.precision - t.scale for t in decimals] + [19 for t in pair if isinstance(t, _INTEGRAL)])
+        return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else T.DoubleType()
+    if all(isinstance(t, _TIMES) for t in pair):
+        return T.TimestampNTZType()
+    return T.StringType()
+
+
+def _in_type(name: str, own: T.DataType, common: T.DataType) -> str:
+    return ident(name) if own == common else f"CAST({ident(name)} AS {common.simpleString()})"
+
+
+def keyed_join(
     rows: DataFrame,
     side: DataFrame,
     row_keys: Sequence[str],
     side_keys: Sequence[str],
     how: str = "left",
     null_safe: bool = False,
-    counts: DataFrame | None = None,
-    counts_keys: Sequence[str] | None = None,
-    n_col: str = _N,
-    hot_rows: int | None = None,
-    max_hot: int | None = None,
-    stats_rows: DataFrame | None = None,
     side_out: Sequence[str] | None = None,
 ) -> DataFrame:
-    """``rows`` joined (``left`` or ``left_anti``) to ``side`` on
-    ``row_keys == side_keys`` (null-safe equality if ``null_safe``), with
-    heavy-hitter keys salted.
-
-    ``counts`` (key columns ``counts_keys`` + ``n_col``) may be passed when
-    the caller already has the row count per key — without null keys unless
-    the join is null-safe; otherwise the counts are estimated on a sample of
-    ``stats_rows`` (default ``rows``; pass a cheaper table with the same
-    keys, e.g. the input before earlier rules). Side key columns must not
-    share names with row columns. The output holds the row columns plus
-    ``side_out`` (default: every side column) for a left join.
-    """
-    if how not in ("left", "left_anti"):
-        raise ValueError("salted_join supports left and left_anti joins")
-    row_keys, side_keys = list(row_keys), list(side_keys)
-    hot_rows, max_hot = _settings(rows, hot_rows, max_hot)
-    if counts is None:
-        src = rows if stats_rows is None else stats_rows
-        counts, counts_keys, n_col = sampled_key_counts(src, row_keys, _N, null_keys=null_safe), row_keys, _N
-    counts_keys = list(counts_keys or row_keys)
-    top = _top(counts, n_col, hot_rows, max_hot)
-    op = "<=>" if null_safe else "="
-
-    def same(left: Sequence[str], right: Sequence[str]) -> str:
-        return " AND ".join(f"{a} {op} {b}" for a, b in zip(left, right))
-
+    """``rows`` joined (``left``, ``inner`` or ``left_anti``) to ``side`` on
+    ``row_keys == side_keys`` (null-safe equality if ``null_safe``).
+
+    ``side`` has one row per key. Side columns must not share names with row
+    columns. The output holds the row columns plus, unless ``left_anti``,
+    ``side_out`` (default: every side column)."""
+    if how not in ("left", "inner", "left_anti"):
+        raise ValueError("keyed_join supports left, inner and left_anti joins")
     row_types = {f.name: f.dataType for f in rows.schema.fields}
-    if all(isinstance(row_types[k], _FIXED) for k in row_keys):
-        # at most max_hot rows of fixed-width keys: a proven broadcast bound
-        hk = [f"{_HK}{i}" for i in range(len(row_keys))]
-        hot = F.broadcast(
-            top.selectExpr(*[f"{ident(c)} AS {h}" for c, h in zip(counts_keys, hk)], f"{_salts_sql(n_col, hot_rows)} AS {_NSALT}")
-        )
-        row_match = same([ident(k) for k in row_keys], hk)
-        side_match = same([ident(k) for k in side_keys], hk)
-        hot_cols = [*hk, _NSALT]
-    else:
-        # wide keys: broadcast a 64-bit hash instead (deduplicated, as two
-        # hot keys may share a hash)
-        hot = F.broadcast(
-            top.groupBy(F.expr(f"xxhash64({', '.join(ident(k) for k in counts_keys)}) AS {_H}")).agg(
-                F.expr(f"max({_salts_sql(n_col, hot_rows)}) AS {_NSALT}")
-            )
-        )
-        side_types = {f.name: f.dataType for f in side.schema.fields}
-        side_hash = [
-            ident(s) if side_types[s] == row_types[r] else f"try_cast({ident(s)} AS {row_types[r].simpleString()})"
-            for r, s in zip(row_keys, side_keys)
-        ]
-        row_match = f"xxhash64({', '.join(ident(k) for k in row_keys)}) = {_H}"
-        side_match = f"xxhash64({', '.join(side_hash)}) = {_H}"
-        hot_cols = [_H, _NSALT]
-
-    # The salt must be a function of the row, not of its position: a retried
-    # task may see its input in another order after a shuffle, and the row
-    # must still go to the same bucket. Row content plus the index of the
-    # row's partition (also fixed on retry) spreads even byte-identical
-    # copies of a row over the buckets.
-    fingerprint = row_fingerprint_sql(rows)
-    salt = f"WHEN {_NSALT} IS NOT NULL THEN CAST(pmod({fingerprint}, {_NSALT}) AS INT)"
-    if not null_safe:
-        salt += f" WHEN NOT ({non_null_keys_sql(row_keys)}) THEN CAST(pmod({fingerprint}, {NULL_SPREAD}) AS INT)"
-    salted_rows = rows.join(hot, F.expr(row_match), "left").selectExpr(
-        *[ident(c) for c in rows.columns], f"CASE {salt} ELSE 0 END AS {_SALT}"
-    )
-    copies = f"explode(CASE WHEN {_NSALT} IS NULL THEN array(0) ELSE sequence(0, {_NSALT} - 1) END)"
-    spread_side = side.join(hot, F.expr(side_match), "left").selectExpr(
-        *[ident(c) for c in side.columns], f"{copies} AS {_SIDE_SALT}"
-    )
-
-    cond = f"{_SALT} = {_SIDE_SALT} AND " + same([ident(r) for r in row_keys], [ident(s) for s in side_keys])
-    keep = [ident(c) for c in rows.columns]
-    if how == "left":
-        keep += [ident(c) for c in (side.columns if side_out is None else side_out)]
-    return salted_rows.join(spread_side, F.expr(cond), how).selectExpr(*keep)
+    side_types = {f.name: f.dataType for f in side.schema.fields}
+    types = [common_key_type(row_types[r], side_types[s]) for r, s in zip(row_keys, side_keys, strict=True)]
+    op = "<=>" if null_safe else "="
+    keys = [f"{_KEY}{i}" for i in range(len(types))]
+    row_sql = [_in_type(r, row_types[r], t) for r, t in zip(row_keys, types, strict=True)]
+    side_sql = [f"{_in_type(s, side_types[s], t)} AS {k}" for s, t, k in zip(side_keys, types, keys, strict=True)]
+    out = [] if how == "left_anti" else [c for c in (side.columns if side_out is None else side_out)]
+    keyed = side.selectExpr(*side_sql, *[ident(c) for c in out])
+    condition = " AND ".join(f"{r} {op} {k}" for r, k in zip(row_sql, keys, strict=True))
+    joined = rows.join(keyed.hint("rebalance"), F.expr(condition), how)
+    return joined.selectExpr(*[ident(c) for c in rows.columns], *[ident(c) for c in out])

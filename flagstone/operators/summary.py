@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import RESULT, ident, sql_str
+from ..functions.columns import RESULT, ident, is_added, sql_str
 
 SUMMARY_COLUMNS = ("rule", "tbl", "total", "count", "percent")
 
@@ -54,13 +54,21 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame | None:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def result_column(result: DataFrame) -> str:
+    """Name of the pass/fail column of a rule result (``result``, or the name it
+    was given beside a data column ``result``)."""
+    added = [f.name for f in result.schema.fields if is_added(f) and f.name.startswith(RESULT)]
+    return added[-1] if added else RESULT
+
+
 def result_events(result: DataFrame, event_type: str, dag_name: str, dag_run_id: str) -> DataFrame:
     """One event per failing record of a rule result (``result`` False): the
-    record itself, as JSON, is the event data."""
-    data = ", ".join(ident(c) for c in result.columns if c != RESULT)
-    return result.where(f"NOT {ident(RESULT)}").selectExpr(
+    record itself, as JSON with its null cells, is the event data."""
+    verdict = result_column(result)
+    data = ", ".join(ident(c) for c in result.columns if c != verdict)
+    return result.where(f"NOT {ident(verdict)}").selectExpr(
         f"{sql_str(dag_name)} AS dag_name",
         f"{sql_str(dag_run_id)} AS dag_run_id",
         f"{sql_str(event_type)} AS event_type",
-        f"to_json(struct({data})) AS event_data",
+        f"to_json(struct({data}), map('ignoreNullFields', 'false')) AS event_data",
     )

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import logging
 import os
+import time
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
@@ -22,7 +23,7 @@ from pyspark.sql.types import StructType
 
 from ..sinks.writers import QC_SUFFIX, RAW_SUFFIX, ensure_database, replace_table, sanitize_table_name, write_delimited
 from ..sources.delivery import delivery_paths, read_delimited, read_delivery
-from .runner import RuleFn, RunOptions, rule_registry, run_rules
+from .runner import RuleFn, RunOptions, run_rules, vendor_registry
 
 log = logging.getLogger(__name__)
 
@@ -60,6 +61,16 @@ def _run_all(jobs: Mapping[str, Callable[[], object]], parallel_jobs: int) -> di
         return {k: f.result() for k, f in futures.items()}
 
 
+def _check_names(names) -> None:
+    """Tables and reports must differ in the names they are stored under."""
+    stored: dict[str, str] = {}
+    for name in names:
+        key = sanitize_table_name(name).lower()
+        if key in stored:
+            raise ValueError(f"{stored[key]!r} and {name!r} would be stored under one name")
+        stored[key] = name
+
+
 def run_delivery(
     spark: SparkSession,
     vendor: Mapping,
@@ -72,10 +83,16 @@ def run_delivery(
     csv_output: bool = True,
     single_file: bool = False,
     parallel_jobs: int = 4,
+    multi_line: bool = False,
 ) -> DeliveryResult:
-    """Run one vendor configuration (``refresh_dt``, ``folder``,
-    ``project``/``database``, ``rules``, ``rule_sequence``); independent
-    table writes run ``parallel_jobs`` at a time."""
+    """Run one vendor configuration; independent table writes run
+    ``parallel_jobs`` at a time.
+
+    Keys: ``rules``, ``rule_sequence``; ``refresh_dt``, ``folder`` and
+    ``project`` locate the delivery (without ``project``: the older layout);
+    ``database`` holds the ``_RAW`` and ``_QC`` tables (argument ``database``
+    goes first; ``""`` stores Parquet below the output folder); ``flavour``
+    chooses the rule set; ``stamp`` true puts the UTC time behind output names."""
     for k in ("rules", "rule_sequence"):
         if k not in vendor:
             raise ValueError(f"vendor configuration needs '{k}'")
@@ -83,21 +100,23 @@ def run_delivery(
         for k in ("refresh_dt", "folder"):
             if k not in vendor:
                 raise ValueError(f"vendor configuration needs '{k}' to locate the delivery")
-        project = vendor.get("project") or vendor.get("database") or "."
-        default_in, default_out = delivery_paths(project, vendor["folder"], vendor["refresh_dt"])
+        default_in, default_out = delivery_paths(vendor.get("project"), vendor["folder"], vendor["refresh_dt"])
         input_loc = input_loc or default_in
         output_loc = output_loc or default_out
+    database = vendor.get("database") if database is None else database
+    stamp = time.strftime("_%Y%m%d%H%M%S", time.gmtime()) if vendor.get("stamp") else ""
+    inputs = read_delivery(spark, input_loc, schemas=schemas, multi_line=multi_line)
+    _check_names(inputs)
     if database:
         ensure_database(spark, database)
-
-    inputs = read_delivery(spark, input_loc, schemas=schemas)
     raw = _run_all(
         {n: (lambda n=n, df=df: store(spark, df, n, RAW_SUFFIX, database, output_loc)) for n, df in inputs.items()},
         parallel_jobs,
     )
     stage_dir = os.path.join(output_loc, "_stage")
     opts = replace(options or RunOptions(), stage=lambda name, df: store(spark, df, name, "", None, stage_dir))
-    res = run_rules(raw, vendor["rules"], vendor["rule_sequence"], registry=registry or rule_registry(), options=opts)
+    res = run_rules(raw, vendor["rules"], vendor["rule_sequence"], registry=registry or vendor_registry(vendor), options=opts)
+    _check_names([*inputs, *res.reports, SUMMARY_NAME])
     flagged = _run_all(
         {n: (lambda n=n, df=df: store(spark, df, n, QC_SUFFIX, database, output_loc)) for n, df in res.tables.items()},
         parallel_jobs,
@@ -106,14 +125,14 @@ def run_delivery(
     writes: dict[str, tuple[DataFrame, str, bool]] = {}
     if csv_output:
         for n, df in flagged.items():
-            writes[n] = (df, os.path.join(output_loc, sanitize_table_name(n) + ".csv"), single_file)
+            writes[n] = (df, os.path.join(output_loc, sanitize_table_name(n) + stamp + ".csv"), single_file)
     for name in res.reports:
         report = res.report(name, flagged)
         if report is not None:
-            writes[name] = (report, os.path.join(output_loc, sanitize_table_name(name) + ".csv"), single_file)
+            writes[name] = (report, os.path.join(output_loc, sanitize_table_name(name) + stamp + ".csv"), single_file)
     summary = res.summary(flagged)
     if summary is not None:
-        writes[SUMMARY_NAME] = (summary, os.path.join(output_loc, SUMMARY_NAME + ".csv"), True)
+        writes[SUMMARY_NAME] = (summary, os.path.join(output_loc, SUMMARY_NAME + stamp + ".csv"), True)
     _run_all(
         {k: (lambda df=df, path=path, one=one: write_delimited(df, path, single_file=one)) for k, (df, path, one) in writes.items()},
         parallel_jobs,
@@ -140,13 +159,25 @@ def upload_file(
 
 def run_vendors(spark: SparkSession, config: Mapping, vendors: str | Sequence[str], **kw) -> dict[str, DeliveryResult]:
     """Run several vendors (comma-separated or a list); names are matched
-    upper-cased, an unknown vendor is reported and skipped."""
+    upper-cased, an unknown vendor is reported and skipped. Explicit locations
+    and a database are those of a single vendor; of several, each gets a
+    sub-folder and a database of its own below them."""
     names = [v.strip() for v in vendors.split(",")] if isinstance(vendors, str) else list(vendors)
-    out = {}
+    known = {}
     for name in filter(None, names):
         key = name.upper()
         if key not in config or not isinstance(config[key], Mapping):
             log.warning("vendor %s not in configuration, skipped", name)
             continue
-        out[key] = run_delivery(spark, config[key], **kw)
+        known[key] = config[key]
+    apart = len(known) > 1
+    out = {}
+    for key, vendor in known.items():
+        own = dict(kw)
+        for loc in ("input_loc", "output_loc"):
+            if apart and own.get(loc):
+                own[loc] = os.path.join(own[loc], key)
+        if apart and own.get("database"):
+            own["database"] = f"{own['database']}_{sanitize_table_name(key).lower()}"
+        out[key] = run_delivery(spark, vendor, **own)
     return out

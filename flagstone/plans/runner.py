@@ -17,12 +17,30 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 
-from ..functions.columns import DEATH_DT_FLAG, DUP_FLAG, LAST_DT_FLAG, MISSING_FLAG, NEGATIVE_FLAG, VALUE_FLAG
-from ..operators.dates import DateBoundSpec, date_bound
-from ..operators.duplicates import flag_duplicates, report_from_flags
+from ..functions.columns import (
+    DEATH_DT_FLAG,
+    DUP_FLAG,
+    FLAG_DUPLICATION,
+    FLAG_MISSING,
+    FLAG_VALUES,
+    LAST_DT_FLAG,
+    MISSING_FLAG,
+    NEGATIVE_FLAG,
+    VALUE_FLAG,
+    added_name,
+)
+from ..operators.dates import DateBoundSpec, date_bound, unparsed_dates
+from ..operators.duplicates import flag_duplicates, flag_duplicates_first_key, report_from_flags
 from ..operators.frequency import frequency
-from ..operators.missing import flag_missing, missing_by_column
-from ..operators.numeric import flag_negative, flag_non_numeric, negative_rows, offending_values, value_columns
+from ..operators.missing import flag_missing, flag_missing_null_only, missing_by_column
+from ..operators.numeric import (
+    flag_negative,
+    flag_non_numeric,
+    flag_non_numeric_spark,
+    negative_rows,
+    offending_values,
+    value_columns,
+)
 from ..operators.summary import flags_summary, union_all
 
 log = logging.getLogger(__name__)
@@ -34,6 +52,7 @@ VALUE_REPORT = "qc_value"
 NEGATIVE_REPORT = "qc_negative_{}"
 LAST_DT_REPORT = "qc_lastdt_{}"
 DEATH_DT_REPORT = "qc_deathdt_{}"
+UNPARSED_REPORT = "qc_unparsed_{}"
 FREQUENCY_REPORT = "qc_freq_{}_{}"
 
 
@@ -138,7 +157,7 @@ def _duplication(dfs, cfg: Mapping[str, Sequence[str]], opts: RunOptions) -> Rul
         out.tables[name] = flagged
         out.reports[DUP_REPORT.format(name)] = partial(report_from_flags, flagged, keys, order=opts.order_reports)
         out.stored_reports[DUP_REPORT.format(name)] = partial(_dup_report_from, name, keys, opts.order_reports)
-        out.flags.append(("duplication", name, DUP_FLAG))
+        out.flags.append(("duplication", name, added_name(flagged, DUP_FLAG)))
     return out
 
 
@@ -154,7 +173,7 @@ def _missing(dfs, cfg: Mapping[str, Sequence[str]] | None, opts: RunOptions) ->
         cols = cfg.get(name) or None
         out.tables[name] = flag_missing(df, cols, opts.blank_is_missing)
         reports.append(partial(missing_by_column, _source(opts, name, df), name, cols, opts.blank_is_missing))
-        out.flags.append(("missing", name, MISSING_FLAG))
+        out.flags.append(("missing", name, added_name(out.tables[name], MISSING_FLAG)))
     if reports:
         out.reports[MISSING_REPORT] = lambda: union_all(make() for make in reports)
     return out
@@ -181,7 +200,7 @@ def _string_tables(dfs, cfg, opts: RunOptions) -> RuleOutput:
             continue
         out.tables[name] = flag_non_numeric(df, token, null_is_bad=opts.null_is_bad)
         reports.append(partial(offending_values, _source(opts, name, df), name, token))
-        out.flags.append(("string_tables", name, VALUE_FLAG))
+        out.flags.append(("string_tables", name, added_name(out.tables[name], VALUE_FLAG)))
     if reports:
         out.reports[VALUE_REPORT] = lambda: union_all(make() for make in reports)
     return out
@@ -195,7 +214,7 @@ def _negative(dfs, cfg, opts: RunOptions) -> RuleOutput:
             continue
         out.reports[NEGATIVE_REPORT.format(name)] = partial(negative_rows, _source(opts, name, dfs[name]), token)
         out.tables[name] = flag_negative(dfs[name], token)
-        out.flags.append(("negative", name, NEGATIVE_FLAG))
+        out.flags.append(("negative", name, added_name(out.tables[name], NEGATIVE_FLAG)))
     return out
 
 
@@ -212,14 +231,21 @@ def _date_rule(rule: str, flag_col: str, report_fmt: str) -> RuleFn:
             stage=(lambda df: opts.stage(f"anchor_{rule}", df)) if opts.stage else None,
         )
         out = RuleOutput(tables)
-        for name in reports:
-            out.reports[report_fmt.format(name)] = partial(reports.__getitem__, name)
-            out.flags.append((rule, name, flag_col))
+        for name, make in reports.items():
+            out.reports[report_fmt.format(name)] = make
+            out.stored_reports[report_fmt.format(name)] = partial(_date_report_from, name, make)
+            out.flags.append((rule, name, added_name(tables[name], flag_col)))
+        unparsed = {n: _source(opts, n, dfs[n]) for n in dict.fromkeys([*reports, spec.table])}
+        out.reports[UNPARSED_REPORT.format(rule)] = lambda: union_all(unparsed_dates(df, spec, n) for n, df in unparsed.items())
         return out
 
     return run
 
 
+def _date_report_from(name: str, make: Callable[..., DataFrame], tables: Mapping[str, DataFrame]) -> DataFrame:
+    return make(tables[name])
+
+
 def _frequency(dfs, cfg: Mapping[str, Mapping[str, Sequence[str]]], opts: RunOptions) -> RuleOutput:
     out = RuleOutput(dict(dfs))
     for name, groups in cfg.items():
@@ -241,6 +267,49 @@ DEFAULT_RULES: dict[str, RuleFn] = {
 }
 
 
+def _spark_duplication(dfs, cfg: Mapping[str, Sequence[str]], opts: RunOptions) -> RuleOutput:
+    out = RuleOutput(dict(dfs))
+    for name, keys in cfg.items():
+        if name in dfs:
+            out.tables[name] = flag_duplicates_first_key(dfs[name], keys)
+            out.flags.append(("duplication", name, added_name(out.tables[name], FLAG_DUPLICATION)))
+    return out
+
+
+def _spark_missing(dfs, cfg: Mapping[str, Sequence[str]] | None, opts: RunOptions) -> RuleOutput:
+    out = RuleOutput(dict(dfs))
+    for name, df in dfs.items():
+        out.tables[name] = flag_missing_null_only(df, (cfg or {}).get(name) or None)
+        out.flags.append(("missing", name, added_name(out.tables[name], FLAG_MISSING)))
+    return out
+
+
+def _spark_string_tables(dfs, cfg, opts: RunOptions) -> RuleOutput:
+    token, tables = _value_config(cfg)
+    out = RuleOutput(dict(dfs))
+    for name in tables or list(dfs):
+        if name in dfs and value_columns(dfs[name], token):
+            out.tables[name] = flag_non_numeric_spark(dfs[name], token)
+            out.flags.append(("string_tables", name, added_name(out.tables[name], FLAG_VALUES)))
+    return out
+
+
+# The older flavour of three rules; a vendor chooses it by ``"flavour": "spark"``.
+SPARK_RULES: dict[str, RuleFn] = {
+    "duplication": _spark_duplication,
+    "missing": _spark_missing,
+    "string_tables": _spark_string_tables,
+}
+
+
+def vendor_registry(vendor: Mapping[str, Any]) -> dict[str, RuleFn]:
+    """The rules a vendor's configuration chooses (``flavour``: absent or ``spark``)."""
+    flavour = vendor.get("flavour")
+    if flavour not in (None, "", "default", "spark"):
+        raise ValueError(f"unknown rule flavour {flavour!r}")
+    return rule_registry(SPARK_RULES if flavour == "spark" else None)
+
+
 def rule_registry(overrides: Mapping[str, RuleFn] | None = None) -> dict[str, RuleFn]:
     """The default rules, with per-run additions or replacements (the
     extension point for vendor-specific behaviour)."""

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import DUP_FLAG, LAST_DT_FLAG
-from ..operators.dates import DateBoundSpec, date_bound, death_date, last_date
+from ..operators.dates import DateBoundSpec, date_bound, death_date, last_date, unparsed_dates
 from ..operators.duplicates import (
     duplicate_groups,
     duplicate_report,
@@ -28,11 +28,12 @@ from ..operators.frequency import frequency
 from ..operators.membership import mappable_id, unmapped_rows
 from ..operators.missing import flag_missing, flag_missing_null_only, missing_by_column
 from ..operators.numeric import flag_negative, flag_non_numeric, flag_non_numeric_spark, negative_rows, offending_values
-from ..operators.rule import UniqueKeyRule
+from ..operators.rule import MappableIdRule, UniqueKeyRule
 from ..operators.summary import flag_summary, union_all
 from ..session import scratch_path
 from ..sinks.writers import ensure_database, replace_table, write_delimited
-from ..sources.delivery import read_delivery
+from ..sources.delivery import read_delimited, read_delivery
+from .delivery import run_delivery
 from .runner import run_rules
 
 TABLES = (
@@ -110,8 +111,9 @@ def events_rel(spark, d):
 
 
 def signup_rel(spark, d):
-    e = events_rel(spark, d)
-    return e.where(F.col("event_type") == "signup").select("user_id", F.col("day_time").alias("signup_time"))
+    """Every event as an anchor row; only sign-ups hold a limit."""
+    limit = F.when(F.col("event_type") == "signup", F.col("day_time")).otherwise(F.lit(float("nan")))
+    return events_rel(spark, d).select("user_id", limit.alias("signup_time"))
 
 
 def cust_limit(spark, d):
@@ -126,8 +128,41 @@ def cust_anchor(spark, d):
     )
 
 
-def orders_f(spark, d):
-    return load(spark, d, "orders").where(F.col("o_orderstatus") == "F")
+def orders_s(spark, d):
+    """Orders with every fifth key moved out of reach."""
+    k = F.col("o_orderkey")
+    return load(spark, d, "orders").withColumn("o_orderkey", F.when(k % 5 == 0, k + 1_000_000_000).otherwise(k))
+
+
+def lineitem_t(spark, d):
+    """Line items whose order key is text, zero-padded for every third."""
+    li, text = load(spark, d, "lineitem"), F.col("l_orderkey").cast("string")
+    return li.withColumn("l_orderkey", F.when(F.col("l_orderkey") % 3 == 0, F.concat(F.lit("0"), text)).otherwise(text))
+
+
+def labs_x(spark, d):
+    """Ship dates in many layouts; every tenth order has none that reads as a date."""
+    li, t, m = load(spark, d, "lineitem"), F.col("l_shipdate"), F.col("l_orderkey") % 10
+    layouts = [
+        "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd HH:mm:ss.SSS", "yyyy/M/d", "yyyyMMdd", "MM/dd/yyyy",
+        "dd-MMM-yyyy", "MMM d, yyyy", "yyyy-MM-dd",
+    ]
+    text = F.when(F.col("l_linenumber") == 1, F.lit("unknown")).otherwise(F.date_format(t, "yyyy-13-dd"))
+    for i, layout in enumerate(layouts):
+        text = F.when(m == i, F.date_format(t, layout)).otherwise(text)
+    return li.select("l_orderkey", "l_linenumber", text.alias("ship_date_txt"), F.date_format(t, "yyyyMMdd").cast("int").alias("ship_date_int"))
+
+
+def events_r(spark, d):
+    """Events with data columns that have names the rules use themselves."""
+    e = load(spark, d, "events")
+    kind = F.when(F.col("event_id") % 7 == 0, F.lit(None).cast("string")).otherwise(F.col("event_type"))
+    return e.select("event_id", "user_id", kind.alias("result"), F.col("value").alias("dup_count"))
+
+
+def labels_n(spark, d):
+    x = load(spark, d, "labels")
+    return x.withColumn("doc_id", F.when(F.col("doc_id") % 5 == 0, F.lit(None).cast("long")).otherwise(F.col("doc_id")))
 
 
 VIEWS_SQL = {
@@ -149,10 +184,25 @@ VIEWS_SQL = {
     "events_rel": """SELECT *, CAST(CASE WHEN event_id % 17 = 0 THEN CAST('NaN' AS DOUBLE)
         ELSE date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) + hour(ts) / 24.0 END AS DOUBLE) AS day_time
         FROM events""",
-    "signup_rel": """SELECT user_id, day_time AS signup_time FROM events_rel WHERE event_type = 'signup'""",
+    "signup_rel": """SELECT user_id, CASE WHEN event_type = 'signup' THEN day_time ELSE CAST('NaN' AS DOUBLE) END
+        AS signup_time FROM events_rel""",
     "cust_limit": """SELECT o_custkey, max(o_orderdate) - INTERVAL 365 DAY AS death_date FROM orders GROUP BY o_custkey""",
     "cust_anchor": """SELECT c_custkey AS user_id, TIMESTAMP '2024-01-15 00:00:00' AS cutoff_ts FROM customer""",
-    "orders_f": """SELECT * FROM orders WHERE o_orderstatus = 'F'""",
+    "orders_s": """SELECT * REPLACE (CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey + 1000000000 ELSE o_orderkey END AS o_orderkey)
+        FROM orders""",
+    "lineitem_t": """SELECT * REPLACE (CASE WHEN l_orderkey % 3 = 0 THEN '0' || l_orderkey ELSE CAST(l_orderkey AS VARCHAR) END
+        AS l_orderkey) FROM lineitem""",
+    "labs_x": """SELECT l_orderkey, l_linenumber, l_shipdate, CASE l_orderkey % 10
+        WHEN 0 THEN strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S') WHEN 1 THEN strftime(l_shipdate, '%Y-%m-%dT%H:%M:%SZ')
+        WHEN 2 THEN strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') || '.000' WHEN 3 THEN strftime(l_shipdate, '%Y/%-m/%-d')
+        WHEN 4 THEN strftime(l_shipdate, '%Y%m%d') WHEN 5 THEN strftime(l_shipdate, '%m/%d/%Y')
+        WHEN 6 THEN strftime(l_shipdate, '%d-%b-%Y') WHEN 7 THEN strftime(l_shipdate, '%b %-d, %Y')
+        WHEN 8 THEN strftime(l_shipdate, '%Y-%m-%d')
+        ELSE CASE WHEN l_linenumber = 1 THEN 'unknown' ELSE strftime(l_shipdate, '%Y-13-%d') END END AS ship_date_txt,
+        CAST(strftime(l_shipdate, '%Y%m%d') AS INTEGER) AS ship_date_int FROM lineitem""",
+    "events_r": """SELECT event_id, user_id, CASE WHEN event_id % 7 = 0 THEN NULL ELSE event_type END AS result,
+        value AS dup_count FROM events""",
+    "labels_n": """SELECT * REPLACE (CASE WHEN doc_id % 5 = 0 THEN NULL ELSE doc_id END AS doc_id) FROM labels""",
 }
 
 
@@ -284,7 +334,11 @@ def q_dup_groups(spark, d):
 
 
 def q_dup_exact_documents(spark, d):
-    return flag_duplicates(load(spark, d, "documents"), ["text"])
+    return flag_duplicates(load(spark, d, "documents"), ["text"], long_text=True)
+
+
+def q_dup_text_keys(spark, d):
+    return flag_duplicates(lineitem_t(spark, d), LINE_KEYS)
 
 
 def q_dup_summary(spark, d):
@@ -346,7 +400,7 @@ def q_last_dt_flags(spark, d):
 
 
 def q_last_dt_report(spark, d):
-    return _last_dt(spark, d)[1]["lineitem"]
+    return _last_dt(spark, d)[1]["lineitem"]()
 
 
 def q_last_dt_partial_dates(spark, d):
@@ -366,6 +420,35 @@ def q_death_dt_flags(spark, d):
     return tables["orders"]
 
 
+def q_death_dt_report(spark, d):
+    spec = DateBoundSpec("cust_limit", "death_date", "o_custkey", "date")
+    flagged, reports = death_date({"orders": load(spark, d, "orders"), "cust_limit": cust_limit(spark, d)}, spec)
+    return reports["orders"](flagged["orders"])
+
+
+def q_last_dt_layouts(spark, d):
+    tables, _ = last_date({"labs_x": labs_x(spark, d).drop("ship_date_int"), "orders_a": orders_a(spark, d)}, LAST_SPEC)
+    return tables["labs_x"]
+
+
+def q_last_dt_integer_dates(spark, d):
+    spec = DateBoundSpec("orders_a", "o_orderdate", "l_orderkey", "date", ignore_value="txt")
+    tables, _ = last_date({"labs_x": labs_x(spark, d), "orders_a": orders_a(spark, d)}, spec)
+    return tables["labs_x"].select("l_orderkey", "l_linenumber", "ship_date_int", "last_dt_flag")
+
+
+def q_last_dt_ignored_columns(spark, d):
+    spec = DateBoundSpec("orders_a", "o_orderdate", "l_orderkey", "date", ignore_value="commit", ignorecols=("receiptdate",))
+    li = load(spark, d, "lineitem")
+    late = F.expr("l_shipdate + INTERVAL 9000 DAYS")
+    rows = li.select("l_orderkey", "l_linenumber", F.expr("l_shipdate - INTERVAL 80 DAYS AS ship_date"), late.alias("commit_date"), late.alias("receiptdate"))
+    return last_date({"rows": rows, "orders_a": orders_a(spark, d)}, spec)[0]["rows"]
+
+
+def q_last_dt_unparsed(spark, d):
+    return unparsed_dates(labs_x(spark, d), LAST_SPEC, "labs_x")
+
+
 def q_date_outer_anchor(spark, d):
     spec = DateBoundSpec("cust_anchor", "cutoff_ts", "user_id", "ts")
     tables, _ = date_bound(
@@ -382,11 +465,11 @@ def q_unique_key_result(spark, d):
 
 
 def q_mappable_id_result(spark, d):
-    return mappable_id(load(spark, d, "lineitem"), orders_f(spark, d), "l_orderkey", "o_orderkey")
+    return mappable_id(load(spark, d, "lineitem"), orders_s(spark, d), "l_orderkey", "o_orderkey")
 
 
 def q_mappable_id_violations(spark, d):
-    return unmapped_rows(load(spark, d, "lineitem"), orders_f(spark, d), "l_orderkey", "o_orderkey")
+    return unmapped_rows(load(spark, d, "lineitem"), orders_s(spark, d), "l_orderkey", "o_orderkey")
 
 
 def q_labels_reference_documents(spark, d):
@@ -397,6 +480,41 @@ def q_conversation_turns_unique(spark, d):
     return unique_key(load(spark, d, "conversations"), ["conv_id", "turn"])
 
 
+def q_mappable_id_mixed_types(spark, d):
+    return mappable_id(lineitem_t(spark, d), orders_s(spark, d), "l_orderkey", "o_orderkey")
+
+
+def q_mappable_id_nulls_apart(spark, d):
+    return mappable_id(labels_n(spark, d), labels_n(spark, d), "doc_id", null_safe=False)
+
+
+def q_mappable_id_composite(spark, d):
+    few = lineitem_d(spark, d).select("l_orderkey", (F.col("l_linenumber") + 1).alias("l_linenumber"))
+    return mappable_id(lineitem_d(spark, d), few, LINE_KEYS)
+
+
+def q_mapping_events_null_id(spark, d):
+    rule = MappableIdRule({"subset": labels_n(spark, d), "superset": load(spark, d, "documents")}, "doc_id")
+    return rule.result_to_events("qc_engine", "002")
+
+
+def q_missing_result_column(spark, d):
+    return flag_missing(events_r(spark, d))
+
+
+def q_dup_reserved_names(spark, d):
+    return flag_duplicates(events_r(spark, d), ["result", "user_id"])
+
+
+def q_nonnumeric_null_ok(spark, d):
+    return flag_non_numeric(events_d(spark, d), "value", null_is_bad=False)
+
+
+def q_negative_in_sequence(spark, d):
+    rules = {"negative": {"value": "value", "tables": ["events_d"]}, "string_tables": ["events_d"]}
+    return run_rules({"events_d": events_d(spark, d)}, rules, ["negative", "string_tables"]).tables["events_d"]
+
+
 def q_rule_sequence_flags(spark, d):
     return run_sequence(spark, d).tables["lineitem_d"]
 
@@ -423,6 +541,72 @@ def q_delivery_roundtrip_dups(spark, d):
     return flag_duplicates(tables["lineitem"], LINE_KEYS)
 
 
+def q_delivery_text_roundtrip(spark, d):
+    """Texts with line breaks, quotes, blanks and padding, written and read back;
+    the texts that changed, none."""
+    docs = load(spark, d, "documents").select("doc_id", "text")
+    events = events_d(spark, d).selectExpr("event_id AS doc_id", "concat('  ', value_txt, ' \"q\" ') AS text")
+    rows = docs.union(events.where("text IS NOT NULL"))
+    folder = scratch_path(spark, "texts")
+    write_delimited(rows, folder + "/texts.txt", sep="|", encoding="UTF-8")
+    back = read_delivery(spark, folder, encoding="UTF-8", schemas={"texts": rows.schema}, multi_line=True)["texts"]
+    return back.groupBy(F.md5("text").alias("digest")).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"))
+
+
+def q_table_append(spark, d):
+    """Line item counts of a delimited output written, then appended to."""
+    path = scratch_path(spark, "append")
+    rows = load(spark, d, "lineitem").select("l_orderkey", "l_returnflag")
+    write_delimited(rows, path)
+    write_delimited(rows, path, mode="append")
+    return spark.read.option("header", True).csv(path).groupBy("l_returnflag").count().withColumnRenamed("count", "n")
+
+
+def _delivery_run(spark, d):
+    """Line items, orders and events as pipe files, checked as a delivery."""
+    base = scratch_path(spark, "run")
+    tables = {"lines": lineitem_d(spark, d), "orders": orders_a(spark, d), "events": events_d(spark, d)}
+    for name, df in tables.items():
+        write_delimited(df, f"{base}/in/{name}.txt", sep="|", encoding="ISO-8859-1")
+    vendor = {
+        "rules": {
+            **sequence_rules(),
+            "last_dt": {**sequence_rules()["last_dt"], "table": "orders"},
+            "death_dt": {**sequence_rules()["last_dt"], "table": "orders"},
+            "duplication": {"lines": LINE_KEYS},
+            "string_tables": {"value": "value", "tables": ["events"]},
+            "missing": {"lines": ["l_linenumber", "l_shipdate"]},
+        },
+        "rule_sequence": ["last_dt", "death_dt", "duplication", "string_tables", "missing"],
+    }
+    schemas = {name: df.schema for name, df in tables.items()}
+    return run_delivery(spark, vendor, base + "/in", base + "/out", database="", schemas=schemas)
+
+
+def q_delivery_run_flags(spark, d):
+    return _delivery_run(spark, d).flagged["lines"]
+
+
+def q_delivery_run_summary(spark, d):
+    return _delivery_run(spark, d).summary
+
+
+def q_delivery_run_reports(spark, d):
+    """The written report files of one run: offending values, missing counts and
+    rows after the limit date."""
+    out = _delivery_run(spark, d).outputs
+    read = lambda name: read_delimited(spark, out[name], sep=",", infer_schema=False)
+    return union_all(
+        [
+            read("qc_value").selectExpr("'qc_value' AS report", "tbl", "column", "value"),
+            read("qc_missing").selectExpr("'qc_missing' AS report", "tbl", "column", "missing AS value"),
+            read("qc_deathdt_lines").groupBy().agg(F.count(F.lit(1)).cast("string").alias("value")).selectExpr(
+                "'qc_deathdt' AS report", "'lines' AS tbl", "'rows' AS column", "value"
+            ),
+        ]
+    )
+
+
 def q_table_replace(spark, d):
     """Flagged customers saved as ``<db>.customer_d_QC`` and read back."""
     db = "flagstone_qc"
@@ -470,10 +654,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delivery_roundtrip_dups": q_delivery_roundtrip_dups,
     "table_replace": q_table_replace,
     "frequency": q_frequency,
+    "dup_text_keys": q_dup_text_keys,
+    "dup_reserved_names": q_dup_reserved_names,
+    "missing_result_column": q_missing_result_column,
+    "nonnumeric_null_ok": q_nonnumeric_null_ok,
+    "last_dt_layouts": q_last_dt_layouts,
+    "last_dt_integer_dates": q_last_dt_integer_dates,
+    "last_dt_ignored_columns": q_last_dt_ignored_columns,
+    "last_dt_unparsed": q_last_dt_unparsed,
+    "death_dt_report": q_death_dt_report,
+    "mappable_id_mixed_types": q_mappable_id_mixed_types,
+    "mappable_id_nulls_apart": q_mappable_id_nulls_apart,
+    "mappable_id_composite": q_mappable_id_composite,
+    "mapping_events_null_id": q_mapping_events_null_id,
+    "negative_in_sequence": q_negative_in_sequence,
+    "delivery_text_roundtrip": q_delivery_text_roundtrip,
+    "table_append": q_table_append,
+    "delivery_run_flags": q_delivery_run_flags,
+    "delivery_run_summary": q_delivery_run_summary,
+    "delivery_run_reports": q_delivery_run_reports,
 }
 
 # Checks that write files or tables as part of building their DataFrame.
-SIDE_EFFECTS = frozenset({"delivery_roundtrip_dups", "table_replace"})
+SIDE_EFFECTS = frozenset(
+    "delivery_roundtrip_dups table_replace delivery_text_roundtrip table_append "
+    "delivery_run_flags delivery_run_summary delivery_run_reports".split()
+)
 
 
 # ---------------------------------------------------------------------------
@@ -580,6 +786,59 @@ def _sql_rule_events() -> str:
     FROM lineitem_d t JOIN ({_dup_groups_sql("lineitem_d", LINE_KEYS)}) g ON {on}"""
 
 
+def _run_views() -> str:
+    """The delivery as it is read: marker cells are null."""
+    return f"""{_with("lineitem_d", "orders_a", "events_d")},
+    ev AS (SELECT * REPLACE (CASE WHEN value_txt IN ('N/A', '') THEN NULL ELSE value_txt END AS value_txt) FROM events_d),
+    a AS (SELECT l_orderkey AS aid, min(o_orderdate) AS anchor FROM orders_a GROUP BY 1),
+    g AS ({_dup_groups_sql("lineitem_d", LINE_KEYS)}),
+    fl AS (SELECT t.*, {_flag("a.anchor < t.l_shipdate", "last_dt_flag")}, {_flag("a.anchor < t.l_shipdate", "death_dt_flag")},
+      CAST(COALESCE(g.n, 0) AS BIGINT) AS dup_count, CAST(CASE WHEN g.n IS NULL THEN 0 ELSE 1 END AS INTEGER) AS dup_flag,
+      {_flag("t.l_linenumber IS NULL OR t.l_shipdate IS NULL", "missing_flag")}
+      FROM lineitem_d t LEFT JOIN a ON t.l_orderkey = a.aid LEFT JOIN g ON {" AND ".join(f"t.{k} = g.{k}" for k in LINE_KEYS)})
+    """
+
+
+def _sql_run_lines() -> str:
+    return _run_views() + "SELECT * FROM fl"
+
+
+_EVENT_CELLS = {"event_id": False, "ts": False, "user_id": False, "event_type": True, "value": None, "props": True, "value_txt": True}
+_ORDER_CELLS = {"l_orderkey": False, "o_custkey": False, "o_orderstatus": True, "o_totalprice": None, "o_orderdate": False, "o_orderpriority": True}
+
+
+def _cell_missing(c: str, text: bool | None) -> str:
+    return _missing_str(c) if text else _missing_dbl(c) if text is None else f"{c} IS NULL"
+
+
+def _sql_run_summary() -> str:
+    any_missing = lambda cells: " OR ".join(_cell_missing(c, t) for c, t in cells.items())
+    parts = [
+        _summary_sql("last_dt", "lines", "SELECT last_dt_flag AS f FROM fl", "f"),
+        _summary_sql("death_dt", "lines", "SELECT death_dt_flag AS f FROM fl", "f"),
+        _summary_sql("duplication", "lines", "SELECT dup_flag AS f FROM fl", "f"),
+        _summary_sql("string_tables", "events", f"SELECT CASE WHEN {_value_bad_sql()} THEN 1 ELSE 0 END AS f FROM ev", "f"),
+        _summary_sql("missing", "lines", "SELECT missing_flag AS f FROM fl", "f"),
+        _summary_sql("missing", "orders", f"SELECT CASE WHEN {any_missing(_ORDER_CELLS)} THEN 1 ELSE 0 END AS f FROM orders_a", "f"),
+        _summary_sql("missing", "events", f"SELECT CASE WHEN {any_missing(_EVENT_CELLS)} THEN 1 ELSE 0 END AS f FROM ev", "f"),
+    ]
+    return _run_views() + "\nUNION ALL\n".join(parts)
+
+
+def _sql_run_reports() -> str:
+    missing = [
+        f"SELECT 'qc_missing' AS report, '{tbl}' AS tbl, '{c}' AS column, CAST(COUNT(*) FILTER (WHERE {_cell_missing(c, t)}) AS VARCHAR) AS value FROM {src}"
+        for tbl, src, cells in (("events", "ev", _EVENT_CELLS), ("orders", "orders_a", _ORDER_CELLS), ("lines", "lineitem_d", {"l_linenumber": False, "l_shipdate": False}))
+        for c, t in cells.items()
+    ]
+    values = f"""SELECT DISTINCT 'qc_value' AS report, 'events' AS tbl, 'value_txt' AS column, value_txt AS value FROM ev
+      WHERE value_txt IS NOT NULL AND {_bad_text("value_txt")}
+    UNION ALL SELECT DISTINCT 'qc_value', 'events', 'value', CAST(value AS VARCHAR) FROM ev
+      WHERE value IS NOT NULL AND NOT isnan(value) AND {_bad_double("value")}"""
+    death = "SELECT 'qc_deathdt' AS report, 'lines' AS tbl, 'rows' AS column, CAST(count(*) AS VARCHAR) AS value FROM fl WHERE death_dt_flag = 1"
+    return _run_views() + "\nUNION ALL\n".join([values, *missing, death])
+
+
 def oracle_sql() -> dict[str, str]:
     li_rest = [c for c in LINEITEM_COLS if c not in LINE_KEYS]
     dup_on = " AND ".join(f"t.{k} = g.{k}" for k in LINE_KEYS)
@@ -658,10 +917,10 @@ def oracle_sql() -> dict[str, str]:
         "unique_key_result": _with("lineitem_d")
         + f"""SELECT t.*, g.n IS NULL AS result FROM lineitem_d t
         LEFT JOIN ({_dup_groups_sql("lineitem_d", LINE_KEYS)}) g ON {dup_on}""",
-        "mappable_id_result": """SELECT t.*, EXISTS (SELECT 1 FROM orders o WHERE o.o_orderstatus = 'F'
-          AND o.o_orderkey IS NOT DISTINCT FROM t.l_orderkey) AS result FROM lineitem t""",
-        "mappable_id_violations": """SELECT t.* FROM lineitem t WHERE NOT EXISTS (SELECT 1 FROM orders o
-          WHERE o.o_orderstatus = 'F' AND o.o_orderkey IS NOT DISTINCT FROM t.l_orderkey)""",
+        "mappable_id_result": _with("orders_s") + """SELECT t.*, EXISTS (SELECT 1 FROM orders_s o
+          WHERE o.o_orderkey IS NOT DISTINCT FROM t.l_orderkey) AS result FROM lineitem t""",
+        "mappable_id_violations": _with("orders_s") + """SELECT t.* FROM lineitem t WHERE NOT EXISTS (SELECT 1 FROM orders_s o
+          WHERE o.o_orderkey IS NOT DISTINCT FROM t.l_orderkey)""",
         "labels_reference_documents": """SELECT t.*, EXISTS (SELECT 1 FROM documents d
           WHERE d.doc_id IS NOT DISTINCT FROM t.doc_id) AS result FROM labels t""",
         "conversation_turns_unique": f"""SELECT t.*, g.n IS NULL AS result FROM conversations t
@@ -675,6 +934,49 @@ def oracle_sql() -> dict[str, str]:
         "table_replace": _with("customer_d")
         + f"""SELECT *, {_flag(_missing_str("c_mktsegment") + " OR " + _missing_dbl("c_acctbal"), "missing_flag")}
         FROM customer_d""",
+        "dup_text_keys": _with("lineitem_t") + _dup_flags_sql("lineitem_t", LINE_KEYS),
+        "dup_reserved_names": _with("events_r")
+        + f"""SELECT t.*, CAST(COALESCE(g.n, 0) AS BIGINT) AS dup_count_qc, CAST(CASE WHEN g.n IS NULL THEN 0 ELSE 1 END AS INTEGER) AS dup_flag
+        FROM events_r t LEFT JOIN ({_dup_groups_sql("events_r", ["result", "user_id"])}) g ON t.result = g.result AND t.user_id = g.user_id""",
+        "missing_result_column": _with("events_r")
+        + f"""SELECT *, {_flag("event_id IS NULL OR user_id IS NULL OR " + _missing_str("result") + " OR " + _missing_dbl("dup_count"), "missing_flag")}
+        FROM events_r""",
+        "nonnumeric_null_ok": _with("events_d")
+        + f"""SELECT *, {_flag("(value IS NOT NULL AND " + _bad_double("value") + ") OR (value_txt IS NOT NULL AND " + _bad_text("value_txt") + ")", "value_flag")}
+        FROM events_d""",
+        "last_dt_layouts": f"""{_with("orders_a", "labs_x")}, a AS (SELECT l_orderkey AS aid, min(o_orderdate) AS anchor FROM orders_a GROUP BY 1)
+        SELECT t.l_orderkey, t.l_linenumber, t.ship_date_txt, {_flag("t.l_orderkey % 10 <> 9 AND a.anchor < t.l_shipdate", "last_dt_flag")}
+        FROM labs_x t LEFT JOIN a ON t.l_orderkey = a.aid""",
+        "last_dt_integer_dates": f"""{_with("orders_a", "labs_x")}, a AS (SELECT l_orderkey AS aid, min(o_orderdate) AS anchor FROM orders_a GROUP BY 1)
+        SELECT t.l_orderkey, t.l_linenumber, t.ship_date_int, {_flag("a.anchor < t.l_shipdate", "last_dt_flag")}
+        FROM labs_x t LEFT JOIN a ON t.l_orderkey = a.aid""",
+        "last_dt_ignored_columns": f"""{_with("orders_a")}, a AS (SELECT l_orderkey AS aid, min(o_orderdate) AS anchor FROM orders_a GROUP BY 1),
+        t AS (SELECT l_orderkey, l_linenumber, l_shipdate - INTERVAL 80 DAY AS ship_date, l_shipdate + INTERVAL 9000 DAY AS commit_date,
+              l_shipdate + INTERVAL 9000 DAY AS receiptdate FROM lineitem)
+        SELECT t.*, {_flag("a.anchor < t.ship_date", "last_dt_flag")} FROM t LEFT JOIN a ON t.l_orderkey = a.aid""",
+        "last_dt_unparsed": f"""{_with("labs_x")} SELECT DISTINCT 'labs_x' AS tbl, 'ship_date_txt' AS column, ship_date_txt AS value
+        FROM labs_x WHERE l_orderkey % 10 = 9""",
+        "death_dt_report": f"""{_with("cust_limit")}, a AS (SELECT o_custkey AS aid, min(death_date) AS anchor FROM cust_limit GROUP BY 1)
+        SELECT t.*, a.anchor AS death_date, CAST(1 AS INTEGER) AS death_dt_flag
+        FROM orders t JOIN a ON t.o_custkey = a.aid WHERE a.anchor < t.o_orderdate""",
+        "mappable_id_mixed_types": _with("orders_s", "lineitem_t") + """SELECT t.*, EXISTS (SELECT 1 FROM orders_s o
+          WHERE CAST(o.o_orderkey AS VARCHAR) = t.l_orderkey) AS result FROM lineitem_t t""",
+        "mappable_id_nulls_apart": _with("labels_n") + "SELECT *, doc_id IS NOT NULL AS result FROM labels_n",
+        "mappable_id_composite": _with("lineitem_d") + """SELECT t.*, EXISTS (SELECT 1 FROM lineitem_d o WHERE o.l_orderkey = t.l_orderkey
+          AND o.l_linenumber + 1 IS NOT DISTINCT FROM t.l_linenumber) AS result FROM lineitem_d t""",
+        "mapping_events_null_id": _with("labels_n") + """SELECT 'qc_engine' AS dag_name, '002' AS dag_run_id, 'Mapping ID' AS event_type,
+          '{"doc_id":' || coalesce(CAST(t.doc_id AS VARCHAR), 'null') || ',"quality":' || t.quality || ',"toxic":' || t.toxic || '}' AS event_data
+          FROM labels_n t WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.doc_id IS NOT DISTINCT FROM t.doc_id)""",
+        "negative_in_sequence": _with("events_d")
+        + f"""SELECT *, {_flag("(value < 0 AND NOT isnan(value)) OR TRY_CAST(value_txt AS DOUBLE) < 0", "negative_flag")},
+        {_flag(_value_bad_sql(), "value_flag")} FROM events_d""",
+        "delivery_text_roundtrip": _with("events_d") + """SELECT md5(text) AS digest, CAST(count(*) AS BIGINT) AS n, min(doc_id) AS first FROM (
+          SELECT doc_id, text FROM documents UNION ALL
+          SELECT event_id, '  ' || value_txt || ' "q" ' FROM events_d WHERE value_txt IS NOT NULL) GROUP BY 1""",
+        "table_append": "SELECT l_returnflag, CAST(2 * count(*) AS BIGINT) AS n FROM lineitem GROUP BY 1",
+        "delivery_run_flags": _sql_run_lines(),
+        "delivery_run_summary": _sql_run_summary(),
+        "delivery_run_reports": _sql_run_reports(),
         "frequency": """SELECT l_returnflag, l_linestatus, CAST(COUNT(*) AS BIGINT) AS count, '1' AS label, 'lineitem' AS tbl
         FROM lineitem GROUP BY l_returnflag, l_linestatus""",
     }

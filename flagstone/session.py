@@ -15,15 +15,17 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Session settings the engine relies on. Adaptive execution sizes shuffle
-# partitions at run time, converts joins to broadcast joins only from the
-# measured size of a side, and splits skewed join partitions.
-ENGINE_CONF = {
+# partitions at run time, broadcasts a side that it measures (or the planner
+# estimates) to be below the broadcast threshold, and splits skewed join
+# partitions, also where a later join on the same key then needs a shuffle.
+SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.ui.enabled": "false",
 }
+ENGINE_CONF = {**SESSION_CONF, "spark.ui.enabled": "false"}
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "flagstone", extra=None) -> SparkSession:

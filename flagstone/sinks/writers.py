@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import ident, sql_str
+
 RAW_SUFFIX = "_RAW"
 QC_SUFFIX = "_QC"
 
@@ -43,11 +45,25 @@ def write_delimited(
     single_file: bool = False,
     encoding: str | None = None,
 ) -> None:
-    """Delimited text output (``mode`` overwrite or append)."""
+    """Delimited text output (``mode`` overwrite or append). White space is kept
+    and quotes are doubled, so that :func:`read_delimited` reads the same text;
+    text that ``encoding`` cannot hold is an error. ``single_file`` passes
+    everything through one task: meant for reports."""
     out = flatten_arrays(df)
+    if encoding and encoding.upper() not in ("UTF-8", "UTF8"):
+        # encode() fails on characters outside the charset
+        out = out.selectExpr(
+            *[
+                f"CASE WHEN encode({ident(f.name)}, {sql_str(encoding)}) IS NOT NULL THEN {ident(f.name)} END AS {ident(f.name)}"
+                if isinstance(f.dataType, T.StringType)
+                else ident(f.name)
+                for f in out.schema.fields
+            ]
+        )
     if single_file:
         out = out.coalesce(1)
-    w = out.write.mode(mode).option("header", header).option("sep", sep)
+    w = out.write.mode(mode).option("header", header).option("sep", sep).option("escape", '"')
+    w = w.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     if encoding:
         w = w.option("encoding", encoding)
     w.csv(path)

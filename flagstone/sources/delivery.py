@@ -11,10 +11,13 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from ..functions.columns import ident, sql_str
 
 # Delivery layout.
 DELIVERY_GLOB = "*txt"
@@ -22,11 +25,23 @@ DELIVERY_SEP = "|"
 DELIVERY_ENCODING = "ISO-8859-1"
 
 
-def delivery_paths(project: str, folder: str, refresh_dt: str) -> tuple[str, str]:
+# Cells that a delivery reader takes for missing.
+NA_MARKERS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN",
+    "None", "n/a", "nan", "null",
+)
+_INTEGER = r"^[+-]?\d{1,18}$"
+_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+
+def delivery_paths(project: str | None, folder: str, refresh_dt: str) -> tuple[str, str]:
     """``(input, output)`` folders: ``{project}/input/{folder}_{date}/`` and
     ``{project}/raw_qc/{folder}_{date}/`` with ``-`` and ``/`` removed from
-    the refresh date."""
+    the refresh date; without a project the older ``{folder}_{date}/input/``
+    and ``{folder}_{date}/output/``."""
     stamp = re.sub(r"[-/]", "", refresh_dt)
+    if not project:
+        return (f"{folder}_{stamp}/input/", f"{folder}_{stamp}/output/")
     return (f"{project}/input/{folder}_{stamp}/", f"{project}/raw_qc/{folder}_{stamp}/")
 
 
@@ -47,6 +62,24 @@ def list_files(spark: SparkSession, folder: str, pattern: str = DELIVERY_GLOB) -
     return sorted(str(st.getPath().toString()) for st in found)
 
 
+def _typed(text: DataFrame, schema: StructType | None, sampling_ratio: float | None) -> DataFrame:
+    """Text columns in the types of ``schema``, or in the narrowest of bigint,
+    double and text that holds every cell (one aggregate)."""
+    names = text.columns
+    quoted = [ident(c) for c in names]
+    if schema is None:
+        seen = text.sample(sampling_ratio, seed=1) if sampling_ratio else text
+        tests = []
+        for i, c in enumerate(quoted):
+            tests.append(F.expr(f"coalesce(min({c} RLIKE {sql_str(_INTEGER)}), false) AS i{i}"))
+            tests.append(F.expr(f"coalesce(min({c} RLIKE {sql_str(_NUMBER)}), false) AS n{i}"))
+        found = seen.agg(*tests).first()
+        types = ["bigint" if found[f"i{i}"] else "double" if found[f"n{i}"] else "string" for i in range(len(names))]
+    else:
+        types = [schema[c].dataType.simpleString() for c in names]
+    return text.selectExpr(*[c if t == "string" else f"try_cast({c} AS {t}) AS {c}" for c, t in zip(quoted, types, strict=True)])
+
+
 def read_delimited(
     spark: SparkSession,
     path: str,
@@ -56,13 +89,27 @@ def read_delimited(
     encoding: str | None = None,
     infer_schema: bool = True,
     sampling_ratio: float | None = None,
+    na_values: Sequence[str] = (),
+    multi_line: bool = False,
 ) -> DataFrame:
-    """One delimited file (or folder / glob) as a DataFrame. Without a
-    schema, types are inferred — an extra pass over the file, limited to a
-    sample when ``sampling_ratio`` is given."""
-    r = spark.read.option("header", header).option("sep", sep)
+    """One delimited file (or folder / glob) as a DataFrame.
+
+    A quote inside a quoted cell is doubled; white space is kept. Cells equal
+    to one of ``na_values`` are null, before types are found. Without a schema,
+    types are inferred — an extra pass over the file, limited to a sample when
+    ``sampling_ratio`` is given. ``multi_line`` allows line breaks inside quoted
+    cells; a file is then read by one task, so leave it off otherwise."""
+    r = spark.read.option("header", header).option("sep", sep).option("escape", '"').option("multiLine", multi_line)
+    r = r.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     if encoding:
         r = r.option("encoding", encoding)
+    if na_values:
+        if schema is not None:
+            r = r.schema(StructType([StructField(f.name, StringType()) for f in schema.fields]))
+        text = r.csv(path)
+        absent = ", ".join(sql_str(v) for v in na_values)
+        text = text.selectExpr(*[f"CASE WHEN {ident(c)} NOT IN ({absent}) THEN {ident(c)} END AS {ident(c)}" for c in text.columns])
+        return _typed(text, schema, sampling_ratio) if schema is not None or infer_schema else text
     if schema is not None:
         r = r.schema(schema)
     else:
@@ -81,14 +128,26 @@ def read_delivery(
     schemas: Mapping[str, StructType] | None = None,
     infer_schema: bool = True,
     sampling_ratio: float | None = None,
+    na_values: Sequence[str] = NA_MARKERS,
+    multi_line: bool = False,
 ) -> dict[str, DataFrame]:
-    """``{table name: DataFrame}`` for every matching file of ``folder``."""
-    out = {}
+    """``{table name: DataFrame}`` for every matching file of ``folder``.
+
+    An empty delivery and two files with one table name are errors."""
+    paths: dict[str, str] = {}
     for path in list_files(spark, folder, pattern):
         name = table_name(path)
-        schema = (schemas or {}).get(name)
-        out[name] = read_delimited(spark, path, sep, True, schema, encoding, infer_schema, sampling_ratio)
-    return out
+        if name in paths:
+            raise ValueError(f"two files for table {name!r}: {paths[name]} and {path}")
+        paths[name] = path
+    if not paths:
+        raise FileNotFoundError(f"no files {pattern} in {folder}")
+    return {
+        name: read_delimited(
+            spark, path, sep, True, (schemas or {}).get(name), encoding, infer_schema, sampling_ratio, na_values, multi_line
+        )
+        for name, path in paths.items()
+    }
 
 
 def read_table(spark: SparkSession, uri: str, fmt: str = "csv", **options) -> DataFrame:

@@ -5,9 +5,11 @@ projections, so they run unchanged on a streaming DataFrame
 (:func:`flag_stream`). Rules that need a whole table (duplicates, date
 bounds, membership) run per micro-batch through ``foreachBatch``
 (:func:`start_delivery_checks`): each batch is the set of rows that arrived
-together, which is what a delivery is. Progress is kept in a checkpoint
-location below the shared folder, so a restarted query resumes where it
-stopped and each batch's output is replaced, not duplicated, on retry.
+together, which is what a delivery is. A key that occurs once in each of two
+batches is therefore not a duplicate here; check stored tables for that.
+Progress is kept in the checkpoint location that the caller names: started
+again with the same one, a query resumes where it stopped, and the output of a
+batch that is retried is replaced, not duplicated.
 """
 
 from __future__ import annotations
@@ -23,7 +25,6 @@ from pyspark.sql.types import StructType
 from ..operators.missing import flag_missing
 from ..operators.numeric import flag_negative, flag_non_numeric
 from ..plans.runner import RunOptions, run_rules
-from ..session import scratch_path
 from ..sources.delivery import DELIVERY_ENCODING, DELIVERY_GLOB, DELIVERY_SEP
 
 # Rules that look at one row at a time and so need no state.
@@ -83,7 +84,7 @@ def start_delivery_checks(
     rules: Mapping,
     sequence: Sequence[str],
     output: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     reference_tables: Mapping[str, DataFrame] | None = None,
     options: RunOptions | None = None,
     available_now: bool = True,
@@ -94,9 +95,6 @@ def start_delivery_checks(
     anchor table for the date rules) are added to each run. Flagged rows
     go to ``output/batch=<id>`` (Parquet), replaced if a batch is retried.
     """
-    spark = stream.sparkSession
-    checkpoint = checkpoint or scratch_path(spark, "stream-checkpoint")
-
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         tables = {table: batch, **(reference_tables or {})}
         res = run_rules(tables, rules, sequence, options=options)

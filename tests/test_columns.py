@@ -2,7 +2,16 @@
 
 import pytest
 
-from flagstone.functions.columns import is_missing, is_nonneg_decimal, match_columns
+from flagstone.functions.columns import (
+    added_name,
+    data_columns,
+    is_missing,
+    is_nonneg_decimal,
+    mark_added,
+    match_columns,
+    to_time_value_sql,
+    unparsed_sql,
+)
 
 CASES = [
     ("34", True),
@@ -48,9 +57,64 @@ def test_blank_is_unicode_aware(spark):
         ("flag", None, [], []),
     ],
 )
-def test_match_columns(contains, not_contains, exclude, expected):
-    cols = ["id", "LASTDAT", "VISDAT", "value_flag", "dup_flag"]
-    assert match_columns(cols, contains, not_contains, exclude) == expected
+def test_match_columns(spark, contains, not_contains, exclude, expected):
+    df = spark.createDataFrame([], "id int, LASTDAT int, VISDAT int, value_flag int, dup_flag int")
+    df = mark_added(df, "value_flag", "dup_flag")
+    assert match_columns(df, contains, not_contains, exclude) == expected
+
+
+def test_names_of_added_columns(spark):
+    df = spark.createDataFrame([], "result string, dup_count int")
+    assert data_columns(df) == ["result", "dup_count"]
+    assert added_name(df, "result") == "result_qc" and added_name(df, "dup_flag") == "dup_flag"
+    own = mark_added(df, "dup_count")
+    assert added_name(own, "dup_count") == "dup_count" and data_columns(own) == ["result"]
+
+
+DATES = [
+    ("2018-02-15T10:00:00", "2018-02-15 10:00:00"),
+    ("2018-02-15T10:00:00Z", "2018-02-15 10:00:00"),
+    ("2018-02-15 10:00:00.123", "2018-02-15 10:00:00.123"),
+    ("2018/2/5", "2018-02-05 00:00:00"),
+    ("2018/02/UK", "2018-02-15 00:00:00"),
+    ("20180215", "2018-02-15 00:00:00"),
+    ("20180215103000", "2018-02-15 10:30:00"),
+    ("02/15/2018", "2018-02-15 00:00:00"),
+    ("15/02/2018", "2018-02-15 00:00:00"),
+    ("15-Feb-2018", "2018-02-15 00:00:00"),
+    ("15 February 2018", "2018-02-15 00:00:00"),
+    ("Dec 5, 2018", "2018-12-05 00:00:00"),
+    ("2018.02.05", "2018-02-05 00:00:00"),
+    (" 2018-02-15 ", "2018-02-15 00:00:00"),
+    ("2018/11/04", "2018-11-04 00:00:00"),
+    ("2018-02-30", None),
+    ("15-Foo-2018", None),
+    ("not a date", None),
+    ("", None),
+    (None, None),
+]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo"])
+def test_dates_in_any_layout_and_zone(spark, zone):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(DATES)], "rid int, t string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = df.selectExpr("rid", f"CAST({to_time_value_sql(df, 't')} AS STRING) AS v", f"{unparsed_sql(df, 't')} AS bad").orderBy("rid").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert [r.v for r in got] == [v for _, v in DATES]
+    assert [r.bad for r in got] == [v is None and bool((t or "").strip()) for t, v in DATES]
+
+
+def test_integer_dates(spark):
+    df = spark.createDataFrame([(0, 20190101), (1, 20191345), (2, 7), (3, None)], "rid int, t int")
+    got = [r.v for r in df.selectExpr("rid", f"CAST({to_time_value_sql(df, 't')} AS STRING) AS v").orderBy("rid").collect()]
+    assert got == ["2019-01-01 00:00:00", None, None, None]
+    strict = df.where("rid = 2").selectExpr(to_time_value_sql(df, "t", on_bad="fail"))
+    with pytest.raises(Exception, match="bad date"):
+        strict.collect()
 
 
 def test_with_row_id_unique(spark):

@@ -80,12 +80,21 @@ def test_check_matches_oracle_sf0001(spark, name):
     assert _norm([tuple(r) for r in df.collect()], df.columns) == _norm(res.fetchall(), dcols)
 
 
-def test_prefilter_matches_direct_path(spark):
+def test_long_text_matches_direct_path(spark):
     docs = suite.load(spark, SF001, "documents")
-    a = flag_duplicates(docs, ["text"], hash_prefilter=True)
-    b = flag_duplicates(docs, ["text"], hash_prefilter=False)
+    a = flag_duplicates(docs, ["text"], long_text=True)
+    b = flag_duplicates(docs, ["text"])
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    li = suite.lineitem_d(spark, SF001)
-    a = unique_key(li, KEYS, hash_prefilter=True)
-    b = unique_key(li, KEYS, hash_prefilter=False)
+    li = suite.lineitem_t(spark, SF001)
+    a = unique_key(li, KEYS, long_text=True)
+    b = unique_key(li, KEYS)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_one_join_for_text_keys(spark):
+    def joins(df):
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        return plan.count("SortMergeJoin") + plan.count("BroadcastHashJoin")
+
+    assert joins(suite.q_dup_text_keys(spark, SF001)) == 1
+    assert joins(suite.q_dup_exact_documents(spark, SF001)) == 1

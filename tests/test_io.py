@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from flagstone.plans.runner import RunOptions, rule_registry, run_rules
 from flagstone.session import scratch_path
 from flagstone.sinks.writers import ensure_database, replace_table, sanitize_table_name, write_delimited
-from flagstone.sources.delivery import delivery_paths, list_files, load_config, read_delivery, table_name
+from flagstone.sources.delivery import NA_MARKERS, delivery_paths, list_files, load_config, read_delimited, read_delivery, table_name
 from flagstone.sources.jdbc import parse_db_url
 
 
 def test_delivery_paths_and_names():
-    assert delivery_paths("bb", "iqvia/x", "2019-11-13") == ("bb/input/iqvia/x_20191113/", "bb/raw_qc/iqvia/x_20191113/")
-    assert table_name("/a/b.c/10_-_Lab.Tests.txt") == "10_-_Lab"
-    assert sanitize_table_name("10_-_Lab_Tests_-_Serum_M-Protein") == "10___Lab_Tests___Serum_M_Protein"
+    assert delivery_paths("p", "in/x", "2022/07-04") == ("p/input/in/x_20220704/", "p/raw_qc/in/x_20220704/")
+    assert delivery_paths(None, "in/x", "2022-07-04") == ("in/x_20220704/input/", "in/x_20220704/output/")
+    assert table_name("/a/b.c/3 - Tank.levels.txt") == "3 - Tank"
+    assert sanitize_table_name("3 - Tank-level") == "3___Tank_level"
 
 
 def test_parse_db_url():
@@ -36,13 +37,15 @@ def test_load_config(tmp_path):
 def test_pipe_latin1_delivery_roundtrip(spark, tmp_path):
     folder = tmp_path / "delivery"
     folder.mkdir()
-    (folder / "students.txt").write_bytes("Name|value_Age|City\nJosé|34|Sydeny\nRiti|N/A|\n".encode("latin-1"))
-    (folder / "labs.v2.txt").write_bytes("Name|LBDAT\nJosé|2018/02/UK\n".encode("latin-1"))
+    (folder / "boats.txt").write_bytes("Skipper|value_Crew|Port\nRené|6|Brest\nOlaf|N/A|\n".encode("latin-1"))
+    (folder / "log.v2.txt").write_bytes("Skipper|DAY\nRené|2021/04/UK\n".encode("latin-1"))
     (folder / "notes.csv").write_text("x\n1\n")
     tables = read_delivery(spark, str(folder))
-    assert sorted(tables) == ["labs", "students"]
-    st = tables["students"].collect()
-    assert st[0].Name == "José" and st[1].City is None
+    assert sorted(tables) == ["boats", "log"]
+    boats = tables["boats"].collect()
+    assert boats[0].Skipper == "René" and boats[1].Port is None
+    # the marker cell is missing and does not turn the number column into text
+    assert dict(tables["boats"].dtypes)["value_Crew"] == "bigint" and boats[1].value_Crew is None
     assert len(list_files(spark, str(folder), "*csv")) == 1
 
 
@@ -60,26 +63,26 @@ def test_write_and_replace_table(spark):
 
 
 def test_runner_sequence_and_reports(spark):
-    students = spark.createDataFrame(
-        [("Jack", "34"), ("Riti", "N/A"), ("Riti", "N/A"), ("Aadi", None)], "Name string, value_Age string"
+    boats = spark.createDataFrame(
+        [("zoe", "6"), ("mona", "few"), ("mona", "few"), ("ann", None)], "Boat string, value_Crew string"
     )
     rules = {
-        "duplication": {"students": ["Name", "value_Age"]},
+        "duplication": {"boats": ["Boat", "value_Crew"]},
         "missing": {},
-        "string_tables": {"value": "value", "tables": ["students"]},
-        "frequency": {"students": {"1": ["Name"]}},
+        "string_tables": {"value": "value", "tables": ["boats"]},
+        "frequency": {"boats": {"1": ["Boat"]}},
     }
-    res = run_rules({"students": students}, rules, ["duplication", "nosuchrule", "string_tables", "missing", "frequency"])
+    res = run_rules({"boats": boats}, rules, ["duplication", "nosuchrule", "string_tables", "missing", "frequency"])
     assert res.rules_run == ["duplication", "string_tables", "missing", "frequency"]
-    t = res.tables["students"]
-    assert t.columns == ["Name", "value_Age", "dup_count", "dup_flag", "value_flag", "missing_flag"]
-    assert [r.missing_flag for r in t.orderBy("Name").collect()] == [1, 0, 0, 0]
-    assert set(res.reports) == {"qc_dup_students", "qc_value", "qc_missing", "qc_freq_students_1"}
-    assert res.reports["qc_dup_students"].count() == 2
+    t = res.tables["boats"]
+    assert t.columns == ["Boat", "value_Crew", "dup_count", "dup_flag", "value_flag", "missing_flag"]
+    assert [r.missing_flag for r in t.orderBy("Boat").collect()] == [1, 0, 0, 0]
+    assert set(res.reports) == {"qc_dup_boats", "qc_value", "qc_missing", "qc_freq_boats_1"}
+    assert res.reports["qc_dup_boats"].count() == 2
     summ = {(r.rule, r.tbl): (r.total, r["count"], r.percent) for r in res.summary().collect()}
-    assert summ[("duplication", "students")] == (4, 2, 50.0)
-    assert summ[("string_tables", "students")] == (4, 3, 75.0)
-    assert summ[("missing", "students")] == (4, 1, 25.0)
+    assert summ[("duplication", "boats")] == (4, 2, 50.0)
+    assert summ[("string_tables", "boats")] == (4, 3, 75.0)
+    assert summ[("missing", "boats")] == (4, 1, 25.0)
 
 
 def test_runner_old_list_form_and_custom_rule(spark):
@@ -98,9 +101,9 @@ def test_runner_old_list_form_and_custom_rule(spark):
 
 
 def test_strict_date_option_fails_on_bad_text(spark):
-    anchor = spark.createDataFrame([("a", "2020/01/01")], "id string, LASTDAT string")
-    rows = spark.createDataFrame([("a", "not a date")], "id string, VISDAT string")
-    cfg = {"table": "anchor", "dt_column": "LASTDAT", "id_column": "id", "dt_value": "DAT"}
+    anchor = spark.createDataFrame([("a", "2020/01/01")], "id string, LAST_DAY string")
+    rows = spark.createDataFrame([("a", "not a date")], "id string, VISIT_DAY string")
+    cfg = {"table": "anchor", "dt_column": "LAST_DAY", "id_column": "id", "dt_value": "DAY"}
     ok = run_rules({"anchor": anchor, "rows": rows}, {"last_dt": cfg}, ["last_dt"])
     assert ok.tables["rows"].first().last_dt_flag == 0
     strict = run_rules({"anchor": anchor, "rows": rows}, {"last_dt": cfg}, ["last_dt"], options=RunOptions(on_bad_date="fail"))
@@ -118,7 +121,34 @@ def test_read_table_any_uri(spark):
 def test_upload_file(spark, tmp_path):
     from flagstone.plans.delivery import upload_file
 
-    f = tmp_path / "rx.txt"
-    f.write_text("PATCOD|LBORR\nP1|3.5\nP2|N/A\n")
-    t = upload_file(spark, str(f), "up_qc", "10_-_Lab-rx", sep="|")
-    assert t.count() == 2 and set(t.columns) == {"PATCOD", "LBORR"}
+    f = tmp_path / "tank.txt"
+    f.write_text("tank|level\nt1|3.5\nt2|N/A\n")
+    t = upload_file(spark, str(f), "up_qc", "3 - Tank-level", sep="|")
+    assert t.count() == 2 and set(t.columns) == {"tank", "level"}
+
+
+CELLS = [" 7", "ok ", "   ", 'say "hi" now', "two\nlines", "a|b", "café", "x,y", '"', None]
+
+
+def test_csv_keeps_every_cell(spark):
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(CELLS)], "rid int, c string")
+    for sep, encoding in ((",", None), ("|", "ISO-8859-1")):
+        out = scratch_path(spark, "cells")
+        write_delimited(df, out, sep=sep, encoding=encoding)
+        back = read_delimited(spark, out, sep=sep, encoding=encoding, schema=df.schema, multi_line=True)
+        assert [r.c for r in back.orderBy("rid").collect()] == CELLS
+
+
+def test_csv_refuses_text_the_encoding_cannot_hold(spark):
+    df = spark.createDataFrame([("Łódź",)], "c string")
+    with pytest.raises(Exception, match="(?i)malformed|encod"):
+        write_delimited(df, scratch_path(spark, "enc"), encoding="ISO-8859-1")
+
+
+def test_quotes_and_markers_as_read(spark, tmp_path):
+    f = tmp_path / "q.txt"
+    f.write_text('id|a|n\n1|"a ""q"" b"|1\n2|"two\nlines"|NA\n3||2.5\n4|null|-1e3\n')
+    df = read_delimited(spark, str(f), na_values=NA_MARKERS, multi_line=True)
+    assert df.dtypes == [("id", "bigint"), ("a", "string"), ("n", "double")]
+    got = [tuple(r) for r in df.orderBy("id").collect()]
+    assert got == [(1, 'a "q" b', 1.0), (2, "two\nlines", None), (3, None, 2.5), (4, None, -1000.0)]

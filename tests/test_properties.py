@@ -1,4 +1,4 @@
-"""Random small tables vs. brute force, with the salted join path forced."""
+"""Random small tables vs. brute force, with broadcast and with shuffled, split joins."""
 
 from collections import Counter
 
@@ -21,9 +21,25 @@ def _by_rid(df, *cols):
     return {r.rid: tuple(r[c] for c in cols) for r in df.collect()}
 
 
-def _forced(spark, hot_rows):
-    spark.conf.set("flagstone.hotKeyRows", str(hot_rows))
-    spark.conf.set("flagstone.hotKeySample", "1.0")  # exact counts on tiny tables
+FORCED = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1",
+}
+
+
+def _forced(spark, hot):
+    """Shuffle joins with every partition split, unless ``hot`` is large."""
+    if hot < 1_000_000:
+        for k, v in FORCED.items():
+            spark.conf.set(k, v)
+
+
+def _restore(spark):
+    for k in FORCED:
+        spark.conf.unset(k)
 
 
 @SETTINGS
@@ -39,15 +55,14 @@ def test_duplicates_match_brute_force(spark, rows, hot):
             want[i] = (n, 1 if n else 0)
         assert _by_rid(flag_duplicates(df, ["k1", "k2"]), "dup_count", "dup_flag") == want
         assert _by_rid(unique_key(df, ["k1", "k2"]), "result") == {i: (w[1] == 0,) for i, w in want.items()}
-        # text key: the hash-prefiltered path
+        # text key
         text = flag_duplicates(df, ["k2"])
         tsizes = Counter(r[1] for r in rows if r[1] is not None)
         assert _by_rid(text, "dup_count") == {
             i: (tsizes[r[1]] if r[1] is not None and tsizes[r[1]] >= 2 else 0,) for i, r in enumerate(rows)
         }
     finally:
-        spark.conf.unset("flagstone.hotKeyRows")
-        spark.conf.unset("flagstone.hotKeySample")
+        _restore(spark)
 
 
 @SETTINGS
@@ -61,8 +76,7 @@ def test_first_key_variant_matches_brute_force(spark, rows, hot):
         want = {i: (1 if r[0] is not None and nonnull_first[r] > 1 else 0,) for i, r in enumerate(rows)}
         assert _by_rid(flag_duplicates_first_key(df, ["k1", "k2"]), "flag_duplication") == want
     finally:
-        spark.conf.unset("flagstone.hotKeyRows")
-        spark.conf.unset("flagstone.hotKeySample")
+        _restore(spark)
 
 
 @SETTINGS
@@ -78,8 +92,7 @@ def test_mappable_id_matches_brute_force(spark, rows, sup, hot):
         strict = {i: (r[0] is not None and r[0] in keys,) for i, r in enumerate(rows)}
         assert _by_rid(mappable_id(df, superset, "k1", null_safe=False), "result") == strict
     finally:
-        spark.conf.unset("flagstone.hotKeyRows")
-        spark.conf.unset("flagstone.hotKeySample")
+        _restore(spark)
 
 
 DATE_TEXT = st.one_of(
@@ -128,5 +141,4 @@ def test_date_bound_matches_brute_force(spark, anchors, rows, hot):
             want[i] = (1 if lim is not None and any(lim < d for d in dates) else 0,)
         assert _by_rid(tables["r"], "last_dt_flag") == want
     finally:
-        spark.conf.unset("flagstone.hotKeyRows")
-        spark.conf.unset("flagstone.hotKeySample")
+        _restore(spark)

@@ -1,8 +1,9 @@
 """Hot keys: a key holding a third of the rows must not land in one task."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from flagstone.operators import flag_duplicates, mappable_id
+from flagstone.operators import duplicate_report, flag_duplicates, mappable_id
 from flagstone.operators.dates import DateBoundSpec, last_date
 
 N = 300_000
@@ -10,7 +11,7 @@ N = 300_000
 
 def _hot_table(spark):
     # key 7 holds a third of all rows; the rest are unique
-    return spark.range(N).select(
+    return spark.range(0, N, 1, 16).select(
         F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"),
         F.col("id").alias("v"),
     )
@@ -19,7 +20,8 @@ def _hot_table(spark):
 def _max_task_rows(df):
     """Largest number of rows in one partition of the join output (each
     partition of a sort-merge join is one reduce task)."""
-    return df.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+    rows = df.select(F.spark_partition_id().alias("p"), F.xxhash64(*df.columns).alias("h"))  # needs every column
+    return rows.groupBy("p").agg(F.count("h").alias("n"), F.max("h").alias("h")).agg(F.max("n"), F.max("h")).first()[0]
 
 
 def _force_shuffle_join(spark):
@@ -27,7 +29,9 @@ def _force_shuffle_join(spark):
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
-        "flagstone.hotKeyRows": "10000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
         "spark.sql.shuffle.partitions": "16",
     }
     old = {k: spark.conf.get(k, None) for k in conf}
@@ -52,9 +56,10 @@ def test_duplicates_hot_key_is_split(spark):
         assert tuple(stats) == (N, N // 3 + 1, N // 3 + 1)  # id 7 also has key 7
         assert _max_task_rows(out) < N // 6
         # control: with the split switched off the hot key is one task
-        spark.conf.set("flagstone.hotKeyRows", str(10**12))
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
         assert _max_task_rows(flag_duplicates(_hot_table(spark), ["k"])) > N // 3
     finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
         _restore(spark, old)
 
 
@@ -83,7 +88,7 @@ def test_null_key_rows_are_spread(spark):
     try:
         # a third of the rows have a null key: they match nothing, but must
         # not all be shuffled to the one partition that null hashes to
-        df = spark.range(N).select(
+        df = spark.range(0, N, 1, 16).select(
             F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 1000).alias("k"), F.col("id").alias("v")
         )
         out = flag_duplicates(df, ["k"])
@@ -94,15 +99,15 @@ def test_null_key_rows_are_spread(spark):
         _restore(spark, old)
 
 
-def test_wide_key_prefilter_is_exact_and_skew_safe(spark):
+def test_text_key_is_exact_and_skew_safe(spark):
     old = _force_shuffle_join(spark)
     try:
-        df = spark.range(N).select(
+        df = spark.range(0, N, 1, 16).select(
             F.when(F.col("id") % 3 == 0, F.lit("hot text")).otherwise(F.concat(F.lit("t"), (F.col("id") % 50000).cast("string"))).alias("k"),
             F.col("id").alias("v"),
         )
-        fast = flag_duplicates(df, ["k"])  # text key: hash-prefiltered path
-        slow = flag_duplicates(df, ["k"], hash_prefilter=False)
+        fast = flag_duplicates(df, ["k"])
+        slow = flag_duplicates(df, ["k"], long_text=True)
         assert fast.exceptAll(slow).count() == 0 and slow.exceptAll(fast).count() == 0
         assert fast.where("k = 'hot text'").agg(F.min("dup_count")).first()[0] == N // 3
         assert _max_task_rows(fast) < N // 6
@@ -112,9 +117,11 @@ def test_wide_key_prefilter_is_exact_and_skew_safe(spark):
 
 def test_identical_copies_are_spread(spark):
     old = _force_shuffle_join(spark)
+    for k in ("skewJoin.skewedPartitionThresholdInBytes", "advisoryPartitionSizeInBytes"):
+        spark.conf.set("spark.sql.adaptive." + k, "1k")  # copies compress to almost nothing
     try:
         # a third of the rows are byte-identical copies of one row
-        df = spark.range(0, N, 1, 8).select(
+        df = spark.range(0, N, 1, 16).select(
             F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
             F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("v"),
         )
@@ -123,3 +130,42 @@ def test_identical_copies_are_spread(spark):
         assert _max_task_rows(out) < N // 6
     finally:
         _restore(spark, old)
+
+
+KEY_PAIRS = [
+    ("string", "bigint", [("7", 7, True), ("007", 7, False), ("A1", 7, False), (None, None, True)]),
+    ("int", "double", [(7, 7.0, True), (7, 7.5, False), (None, None, True)]),
+    ("decimal(10,2)", "int", [("7.00", 7, True), ("7.10", 7, False)]),
+    ("double", "string", [(7.0, "7.0", True), (7.0, "7", False)]),
+    ("date", "timestamp_ntz", [("2020-01-02", "2020-01-02 00:00:00", True), ("2020-01-02", "2020-01-02 01:00:00", False)]),
+]
+
+
+@pytest.mark.parametrize("rows_type, side_type, cases", KEY_PAIRS)
+def test_keys_of_two_types(spark, rows_type, side_type, cases):
+    """One meaning whatever the size of the key, shuffled or broadcast."""
+    for copies in (1, 3000):
+        for shuffled in (False, True):
+            old = _force_shuffle_join(spark) if shuffled else {}
+            try:
+                for row, side, want in cases:
+                    lit = lambda v: "NULL" if v is None else f"'{v}'"
+                    rows = spark.range(copies).selectExpr(f"CAST({lit(row)} AS {rows_type}) AS k")
+                    sup = spark.range(2).selectExpr(f"CAST({lit(side)} AS {side_type}) AS k")
+                    got = mappable_id(rows, sup, "k").groupBy("result").count().collect()
+                    assert [tuple(r) for r in got] == [(want, copies)]
+            finally:
+                _restore(spark, old)
+
+
+def test_date_bound_with_text_ids(spark):
+    anchor = spark.createDataFrame([(7, 1.0)], "id bigint, end_time double")
+    rel = spark.range(40).selectExpr("'7' AS id", "2.0D AS obs_time")
+    tables, _ = last_date({"a": anchor, "r": rel}, DateBoundSpec("a", "end_time", "id", "time", dt_type="float"))
+    assert tables["r"].where("last_dt_flag = 1").count() == 40
+
+
+def test_nested_map_columns_pass(spark):
+    df = spark.sql("SELECT id % 3 AS k, array(map('a', id)) AS m FROM range(9)")
+    assert flag_duplicates(df, ["k"]).where("dup_count = 3").count() == 9
+    assert duplicate_report(df, ["k"]).count() == 9
