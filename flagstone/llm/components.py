@@ -3,8 +3,9 @@
 Alternating large-star and small-star rounds: every round replaces the edges
 by edges to the smallest neighbour, until each node points at the smallest id
 of its component. Only counts and one checksum reach the driver. Each round is
-written to the shared folder, so the plan does not grow; joins read written
-tables, which lets adaptive execution split the partitions of a hub node.
+written to the shared folder, so the plan does not grow. The minima are
+rebalanced after their aggregate: both sides of a join are then bare shuffles,
+and adaptive execution can split the partition of a hub node.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from .common import save
 
 def _minima(edges: DataFrame) -> DataFrame:
     """Smallest neighbour (or the node itself) of every left end."""
-    return edges.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), F.least("u", "m").alias("m"))
+    return edges.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), F.least("u", "m").alias("m")).hint("rebalance")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -92,7 +92,7 @@ def _finish(epoch: Column) -> Column:
     return F.try_divide((epoch - 1) * F.col("source_size") + F.col("upto"), F.col("target"))
 
 
-def _cut(queued: DataFrame, max_epochs: int, per_partition: int = 50_000):
+def _cut(queued: DataFrame, max_epochs: int, per_partition: int = 2_000_000):
     """Finish time and source of the last copy within the budget, or None.
 
     The copies are range-sorted once and written; the budget is followed over
