@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import DUP_FLAG, LAST_DT_FLAG
+from ..functions.columns import DUP_FLAG, LAST_DT_FLAG, with_row_id
 from ..operators.dates import DateBoundSpec, date_bound, death_date, last_date, unparsed_dates
 from ..operators.duplicates import (
     duplicate_groups,
@@ -33,8 +33,8 @@ from ..operators.summary import flag_summary, union_all
 from ..session import scratch_path
 from ..sinks.writers import ensure_database, replace_table, write_delimited
 from ..sources.delivery import read_delimited, read_delivery
-from .delivery import run_delivery
-from .runner import run_rules
+from .delivery import run_delivery, upload_file
+from .runner import run_rules, vendor_registry
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -562,6 +562,34 @@ def q_table_append(spark, d):
     return spark.read.option("header", True).csv(path).groupBy("l_returnflag").count().withColumnRenamed("count", "n")
 
 
+def q_table_upload(spark, d):
+    """Events as one comma-separated file, uploaded into a catalog table."""
+    folder = scratch_path(spark, "upload")
+    write_delimited(events_d(spark, d).select("event_id", "user_id", "event_type"), folder)
+    ensure_database(spark, "flagstone_up", scratch_path(spark, "warehouse-up"))
+    stored = upload_file(spark, folder, "flagstone_up", "events of the day")
+    return stored.selectExpr("CAST(event_id AS BIGINT) AS event_id", "CAST(user_id AS BIGINT) AS user_id", "event_type")
+
+
+def q_rule_sequence_spark_flavour(spark, d):
+    """The older rule set, chosen by the vendor configuration."""
+    rules = {"duplication": {"lineitem_d": LINE_KEYS}, "missing": {"lineitem_d": ["l_linenumber"]}, "string_tables": ["lineitem_d"]}
+    tables = {"lineitem_d": lineitem_d(spark, d).withColumnRenamed("l_quantity", "value_quantity")}
+    res = run_rules(tables, rules, list(rules), registry=vendor_registry({"flavour": "spark"}))
+    return res.tables["lineitem_d"].select("l_orderkey", "l_linenumber", "value_quantity", "flag_duplication", "flag_missing", "flag_values")
+
+
+def q_last_dt_strict(spark, d):
+    """Text dates that all read as dates, under the strict option."""
+    tables = {"labs_d": labs_d(spark, d), "orders_a": orders_a(spark, d)}
+    return last_date(tables, LAST_SPEC, on_bad="fail")[0]["labs_d"]
+
+
+def q_row_ids(spark, d):
+    ids = with_row_id(load(spark, d, "lineitem").select("l_orderkey"))
+    return ids.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("columnindex").alias("n_ids"))
+
+
 def _delivery_run(spark, d):
     """Line items, orders and events as pipe files, checked as a delivery."""
     base = scratch_path(spark, "run")
@@ -670,6 +698,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "negative_in_sequence": q_negative_in_sequence,
     "delivery_text_roundtrip": q_delivery_text_roundtrip,
     "table_append": q_table_append,
+    "table_upload": q_table_upload,
+    "rule_sequence_spark_flavour": q_rule_sequence_spark_flavour,
+    "last_dt_strict": q_last_dt_strict,
+    "row_ids": q_row_ids,
     "delivery_run_flags": q_delivery_run_flags,
     "delivery_run_summary": q_delivery_run_summary,
     "delivery_run_reports": q_delivery_run_reports,
@@ -677,7 +709,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 # Checks that write files or tables as part of building their DataFrame.
 SIDE_EFFECTS = frozenset(
-    "delivery_roundtrip_dups table_replace delivery_text_roundtrip table_append "
+    "delivery_roundtrip_dups table_replace table_upload delivery_text_roundtrip table_append "
     "delivery_run_flags delivery_run_summary delivery_run_reports".split()
 )
 
@@ -849,7 +881,7 @@ def oracle_sql() -> dict[str, str]:
         ["c_custkey IS NULL", "c_name IS NULL", "c_nationkey IS NULL", _missing_dbl("c_acctbal"), "c_mktsegment IS NULL"]
     )
     miss_col = lambda tbl, c, cond: f"SELECT '{c}' AS column, CAST(COUNT(*) FILTER (WHERE {cond}) AS BIGINT) AS missing, '{tbl}' AS tbl FROM {tbl}"
-    return {
+    sql = {
         "dup_flags": _dup_flags_sql("lineitem", LINE_KEYS),
         "dup_null_keys": _with("lineitem_d") + _dup_flags_sql("lineitem_d", LINE_KEYS),
         "dup_first_key_variant": _with("lineitem_d")
@@ -974,9 +1006,17 @@ def oracle_sql() -> dict[str, str]:
           SELECT doc_id, text FROM documents UNION ALL
           SELECT event_id, '  ' || value_txt || ' "q" ' FROM events_d WHERE value_txt IS NOT NULL) GROUP BY 1""",
         "table_append": "SELECT l_returnflag, CAST(2 * count(*) AS BIGINT) AS n FROM lineitem GROUP BY 1",
+        "table_upload": "SELECT event_id, user_id, event_type FROM events",
+        "rule_sequence_spark_flavour": _with("lineitem_d")
+        + f"""SELECT l_orderkey, l_linenumber, l_quantity AS value_quantity,
+        {_flag("l_orderkey IS NOT NULL AND COUNT(l_orderkey) OVER (PARTITION BY l_orderkey, l_linenumber) > 1", "flag_duplication")},
+        {_flag("l_linenumber IS NULL", "flag_missing")}, {_flag(_bad_double("l_quantity"), "flag_values")} FROM lineitem_d""",
+        "row_ids": "SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) AS BIGINT) AS n_ids FROM lineitem",
         "delivery_run_flags": _sql_run_lines(),
         "delivery_run_summary": _sql_run_summary(),
         "delivery_run_reports": _sql_run_reports(),
         "frequency": """SELECT l_returnflag, l_linestatus, CAST(COUNT(*) AS BIGINT) AS count, '1' AS label, 'lineitem' AS tbl
         FROM lineitem GROUP BY l_returnflag, l_linestatus""",
     }
+    sql["last_dt_strict"] = sql["last_dt_partial_dates"]
+    return sql
