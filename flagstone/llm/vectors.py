@@ -239,6 +239,18 @@ def range_search(x: np.ndarray, near: np.ndarray, queries: np.ndarray, threshold
             r, c = rows[at : at + (1 << 16)], cols[at : at + (1 << 16)]
             score[r, c] = np.einsum("ij,ij->i", queries[r], x[c])
 
+    def neighbours(r: np.ndarray, c: np.ndarray, rows: int) -> np.ndarray:
+        """Points next to the expanded ones, for every query."""
+        if len(r) * near.shape[1] > rows * n:  # dense groups: many expansions share their neighbours
+            step, go = np.zeros((n, n + 1), dtype=np.float32), np.zeros((rows, n), dtype=np.float32)
+            step[np.arange(n)[:, None], near] = 1  # -1 lands in the last column
+            go[r, c] = 1
+            return (go @ step)[:, :n] > 0
+        out = np.zeros((rows, n + 1), dtype=bool)
+        for k in range(near.shape[1]):
+            out[r, near[c, k]] = True
+        return out[:, :n]
+
     everyone = np.arange(q)
     visit(everyone, np.full(q, medoid(x)))
     if own is not None:
@@ -259,12 +271,12 @@ def range_search(x: np.ndarray, near: np.ndarray, queries: np.ndarray, threshold
             break
         rows = active[r]
         spent[rows, c] = True
-        fresh = np.zeros((len(active), n + 1), dtype=bool)
-        for k in range(near.shape[1]):
-            fresh[r, near[c, k]] = True  # -1 lands in the last column
-        fresh[:, :n] &= np.isneginf(s)
-        a, b = np.nonzero(fresh[:, :n])
-        visit(active[a], b)
+        fresh = neighbours(r, c, len(active)) & np.isneginf(s)
+        if 4 * fresh.sum() > fresh.size:
+            score[active] = np.where(fresh, queries[active] @ x.T, s)
+        else:
+            a, b = np.nonzero(fresh)
+            visit(active[a], b)
         active = active[go.any(axis=1)]
     return score
 
