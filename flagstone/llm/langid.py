@@ -82,6 +82,17 @@ class Model:
         n = np.array([counts[x] for x in self.languages], dtype=float).reshape(len(self.languages), buckets) + smoothing
         self.log_p = np.log(n / n.sum(axis=1, keepdims=True)).astype(np.float32).T.copy()
 
+    @staticmethod
+    def _fit(like, start, owner, size, mask, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+        """Proportions by expectation-maximisation among the languages of ``mask``, and the log-likelihood."""
+        share = mask / mask.sum(axis=1, keepdims=True)
+        for _ in range(rounds):
+            joint = like * share[owner]
+            joint /= joint.sum(axis=1, keepdims=True) + 1e-300
+            share = np.add.reduceat(joint, start, axis=0) / size[:, None]
+        fitted = np.log((like * share[owner]).sum(axis=1) + 1e-300)
+        return share, np.add.reduceat(fitted, start)
+
     def infer(self, texts: list[str | None], penalty: float = 2.0, rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
         """Proportions of the languages in each text (0 outside the chosen set), and words per text."""
         grams, first, text = word_trigrams(texts, self.buckets)
@@ -95,29 +106,28 @@ class Model:
         start = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
         owner, size = np.repeat(np.arange(len(start)), np.diff(np.r_[start, len(text)])), n_words[text[start]]
 
-        def fit(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            share = mask / mask.sum(axis=1, keepdims=True)
-            for _ in range(rounds):
-                joint = like * share[owner]
-                joint /= joint.sum(axis=1, keepdims=True) + 1e-300
-                share = np.add.reduceat(joint, start, axis=0) / size[:, None]
-            fitted = np.log((like * share[owner]).sum(axis=1) + 1e-300)
-            return share, np.add.reduceat(fitted, start)
-
-        order = np.argsort(-fit(np.ones((len(start), len(self.languages))))[0], axis=1, kind="stable")
-        mask = np.zeros((len(start), len(self.languages)))
+        order, every = self._fit(like, start, owner, size, np.ones((len(start), len(self.languages))), rounds)
+        order = np.argsort(-order, axis=1, kind="stable")
         rows = np.arange(len(start))
-        mask[rows, order[:, 0]] = 1
-        best, value = fit(mask)
-        growing = np.ones(len(start), dtype=bool)
+        best = np.zeros((len(start), len(self.languages)))
+        best[rows, order[:, 0]] = 1
+        value = np.add.reduceat(np.log(like[np.arange(len(owner)), order[owner, 0]] + 1e-300), start)
+        # no set gains more than all languages together
+        bar = penalty * np.log(size + 1)
+        growing = np.flatnonzero(every - value > bar)
         for k in range(1, len(self.languages)):
-            mask[rows[growing], order[growing, k]] = 1
-            share, gained = fit(mask)
-            growing &= gained - value > penalty * np.log(size + 1)
-            if not growing.any():
+            if not len(growing):
                 break
-            best[growing], value[growing] = share[growing], gained[growing]
-            mask[~growing] = best[~growing] > 0
+            at = np.zeros(len(start), dtype=np.int64)
+            at[growing] = np.arange(len(growing))
+            chosen = np.isin(owner, growing)
+            mask = (best[growing] > 0).astype(float)
+            mask[np.arange(len(growing)), order[growing, k]] = 1
+            first_word = np.r_[0, np.cumsum(size[growing])[:-1]]
+            share, gained = self._fit(like[chosen], first_word, at[owner[chosen]], size[growing], mask, rounds)
+            better = gained - value[growing] > bar[growing]
+            growing = growing[better]
+            best[growing], value[growing] = share[better], gained[better]
         shares[text[start]] = best
         return shares, n_words
 
