@@ -83,7 +83,7 @@ def _running_sums(queue: DataFrame, sources: DataFrame, slice_rows: int) -> Data
     sums = save(sliced.groupBy("sid", "slice").agg(F.sum("size").alias("slice_size")), "mix-slices")
     ahead = Window.partitionBy("sid").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("sid", "slice", F.coalesce(F.sum("slice_size").over(ahead), F.lit(0)).alias("ahead"))
-    inside = Window.partitionBy("sid", "slice").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("sid", "slice").orderBy("place", "doc_id", "size", "text_key").rowsBetween(Window.unboundedPreceding, 0)
     sliced = sliced.withColumn("inside", F.sum("size").over(inside))
     return sliced.join(sums, ["sid", "slice"]).withColumn("upto", F.col("ahead") + F.col("inside")).drop("inside", "ahead", "slice")
 
