@@ -1,23 +1,36 @@
 """Licence scan: Dice coefficient over word bigrams against licence templates.
 
-Passages of a document (every line, every paragraph between blank lines, the
-whole text) and the templates are normalised to lower-case words without
-punctuation and copyright lines. With a bigrams in a passage and t in a
-template, Dice = 2 * shared / (a + t); it can reach the threshold d only if
-t * d / (2 - d) <= a <= t * (2 - d) / d. Templates outside these bounds are
-pruned, then those that share no bigram; the rest are counted exactly.
+Texts and templates are normalised to lower-case words without punctuation and
+copyright lines. With a bigrams in a passage and t in a template, Dice =
+2 * shared / (a + t); it can reach the threshold d only if
+t * d / (2 - d) <= a <= t * (2 - d) / d.
+
+With ``inside`` (as op8_license_scan has it) every run of consecutive words is
+a passage, whatever lines, paragraphs or prose it lies in. The run with the
+highest Dice of all runs and templates is taken, and the words before it and
+after it are searched in the same way, so a word belongs to one licence at
+most. A best run begins and ends with a bigram of its template, and the lower
+bound must be met by shared bigrams: only such starts are tried, with every end
+within the upper bound.
+
+Without it the passages are every line, every paragraph between blank lines and
+the whole text.
 
 Defined cases: null, empty and word-less texts match nothing; a passage of one
-word is compared by that word; of equal scores the template first by name wins,
-of equal passages the first; repeated rows get repeated results; a null id
-stays; extra columns are ignored.
+word is compared by that word; of equal scores the template first by name wins
+(with ``inside`` the longer template, then the one first by name), of equal
+passages the first (then the shortest); repeated rows get repeated results; a
+null id stays; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, insort
 from collections import Counter
+from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -102,6 +115,16 @@ def normalise(text: str) -> list[str]:
     return _WORD.findall(_COPYRIGHT.sub(" ", text).lower())
 
 
+def placed_words(text: str) -> tuple[list[str], list[int]]:
+    """Normalised words, and for each line the number of words before it."""
+    words: list[str] = []
+    before = []
+    for line in _COPYRIGHT.sub(lambda m: "\n" * m[0].count("\n"), text).lower().split("\n"):
+        before.append(len(words))
+        words += _WORD.findall(line)
+    return words, before
+
+
 def bigrams(words: list[str]) -> list[tuple[str, ...]]:
     return list(zip(words, words[1:], strict=False)) if len(words) > 1 else [tuple(words)] if words else []
 
@@ -128,10 +151,11 @@ class Templates:
         for t, c in enumerate(self.counts):
             for g in c:
                 self.with_gram.setdefault(g, []).append(t)
+        self.pairs, self.singles = (any(len(g) == n for g in self.with_gram) for n in (2, 1))
 
     def best(self, text: str) -> tuple[str, float] | None:
         """Best template of a passage at or above the threshold."""
-        grams = bigrams(normalise(text)) if self.least <= text.count(" ") + text.count("\n") + 1 else []
+        grams = bigrams(normalise(text))
         size = len(grams)
         if not size or not self.least <= size <= self.most:
             return None
@@ -146,6 +170,82 @@ class Templates:
         return found
 
 
+    def runs(self, words: list[str]) -> list[tuple[int, int, int, float]]:
+        """(template, first word, end, Dice) of the best runs of words that do not overlap."""
+        grams = list(zip(words, words[1:], strict=False)) if self.pairs else []
+        found: dict[int, dict[tuple[str, ...], list[int]]] = {}
+        places: dict[tuple[str, ...], list[int]] = {}
+        for i, g in enumerate(grams):
+            if g in self.with_gram:
+                places.setdefault(g, []).append(i)
+        for i, w in enumerate(words) if self.singles else ():
+            if (w,) in self.with_gram:
+                places.setdefault((w,), []).append(i)
+        shared: dict[int, int] = {}
+        for g, at in places.items():
+            for t in self.with_gram[g]:
+                shared[t] = shared.get(t, 0) + min(len(at), self.counts[t][g])
+        for t, n in shared.items():
+            if n >= self.bounds[t][0] - 1e-9:
+                found[t] = {g: places[g] for g in self.counts[t] if g in places}
+        hits = {t: _Hits(by_gram, self.counts[t], self.sizes[t], self.bounds[t], self.threshold) for t, by_gram in found.items()}
+        width = {t: 1 if len(next(iter(by_gram))) == 1 else 2 for t, by_gram in found.items()}
+
+        def entry(t, k, limit):
+            best = hits[t].best_end(k, limit)
+            at = hits[t].at
+            return best and (-best[0], -self.sizes[t], self.names[t], int(at[k]), int(at[best[1]]) + width[t], t, k)
+
+        heap = [e for t in hits for k in hits[t].starts() if (e := entry(t, int(k), len(words) - width[t]))]
+        heapify(heap)
+        taken: list[tuple[int, int]] = []
+        out = []
+        while heap:
+            score, _, _, start, end, t, k = heappop(heap)
+            i = bisect_left(taken, (start + 1,))
+            if i and taken[i - 1][1] > start:
+                continue
+            if i < len(taken) and taken[i][0] < end:  # words were taken since: the best end before them
+                if e := entry(t, k, taken[i][0] - width[t]):
+                    heappush(heap, e)
+                continue
+            insort(taken, (start, end))
+            out.append((t, start, end, -score))
+        return out
+
+
+class _Hits:
+    """Places of a template's bigrams in a text, in order."""
+
+    def __init__(self, by_gram: dict[tuple[str, ...], list[int]], counts: Counter, size: int, bounds: tuple[float, float], threshold: float):
+        at = np.concatenate([np.array(p) for p in by_gram.values()])
+        gram = np.repeat(np.arange(len(by_gram)), [len(p) for p in by_gram.values()])
+        nth = np.concatenate([np.arange(len(p)) for p in by_gram.values()])
+        cap = np.array([counts[g] for g in by_gram])
+        order = np.argsort(at, kind="stable")
+        self.at, self.gram, self.nth, self.cap = at[order], gram[order], nth[order], cap
+        self.size, self.low, self.high, self.threshold = size, bounds[0], bounds[1] + 1e-9, threshold
+
+    def starts(self) -> np.ndarray:
+        """Places with enough of the bigrams in reach."""
+        reach = np.searchsorted(self.at, self.at + self.high, side="right")
+        return np.flatnonzero(reach - np.arange(len(self.at)) >= self.low - 1e-9)
+
+    def best_end(self, k: int, limit: int) -> tuple[float, int] | None:
+        """(Dice, last place) of the best run from place ``k`` whose last place lies up to ``limit``."""
+        stop = min(self.at[k] + self.high - 1, limit)
+        end = int(np.searchsorted(self.at, stop, side="right"))
+        if end - k < self.low - 1e-9:
+            return None
+        gram, nth = self.gram[k:end], self.nth[k:end]
+        first = np.full(len(self.cap), -1)
+        first[gram[::-1]] = nth[::-1]
+        shared = np.cumsum(nth - first[gram] < self.cap[gram])
+        score = 2 * shared / (self.at[k:end] - self.at[k] + 1 + self.size)
+        j = int(np.argmax(score))
+        return (float(score[j]), k + j) if score[j] >= self.threshold else None
+
+
 def passages(text: str):
     """(first line, passage): lines, then paragraphs of several lines, then the whole text."""
     lines = text.split("\n")
@@ -162,7 +262,19 @@ def passages(text: str):
         yield 0, text
 
 
-def _scan(templates: dict[str, list[str]], threshold: float):
+def found_in(text: str, index: Templates, inside: bool):
+    """(licence, Dice, line) of the passages that reach the threshold."""
+    if not inside:
+        for at, passage in passages(text):
+            if hit := index.best(passage):
+                yield *hit, at
+        return
+    words, before = placed_words(text)
+    for t, start, _, score in sorted(index.runs(words), key=lambda r: r[1]):
+        yield index.names[t], score, bisect_left(before, start + 1) - 1
+
+
+def _scan(templates: dict[str, list[str]], threshold: float, inside: bool):
     def run(batches):
         index = Templates(templates, threshold)
         for whole in batches:
@@ -170,10 +282,9 @@ def _scan(templates: dict[str, list[str]], threshold: float):
                 names, lines, scores = [], [], []
                 for text in batch.column("text").to_pylist():
                     best: dict[str, tuple[float, int]] = {}
-                    for at, passage in passages(text or ""):
-                        hit = index.best(passage)
-                        if hit and hit[1] > best.get(hit[0], (0.0, 0))[0]:
-                            best[hit[0]] = (hit[1], at)
+                    for name, score, at in found_in(text or "", index, inside):
+                        if score > best.get(name, (0.0, 0))[0]:
+                            best[name] = (score, at)
                     order = sorted(best, key=lambda n: (-best[n][0], n))
                     names.append(order)
                     lines.append([best[n][1] for n in order])
@@ -197,9 +308,11 @@ def license_scan(
     threshold: float = 0.8,
     id_col: str = "doc_id",
     text_col: str = "text",
+    inside: bool = False,
 ) -> DataFrame:
     """(doc_id, licenses, lines, scores) for every row: licences found, best first, the
-    line where the best passage of each begins (from 0) and its Dice coefficient."""
+    line where the best passage of each begins (from 0) and its Dice coefficient.
+    ``inside`` takes every run of words as a passage, not only lines, paragraphs and texts."""
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = "doc_id long, licenses array<string>, lines array<int>, scores array<double>"
-    return source.mapInArrow(_scan(TEMPLATES if templates is None else templates, threshold), schema)
+    return source.mapInArrow(_scan(TEMPLATES if templates is None else templates, threshold, inside), schema)

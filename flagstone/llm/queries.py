@@ -62,7 +62,7 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = license_scan(_load(spark, sf_dir, "documents"), threshold=0.8)
+    found = license_scan(_load(spark, sf_dir, "documents"), threshold=0.8, inside=True)
     return found.select(
         "doc_id",
         F.get("licenses", F.lit(0)).alias("license"),

@@ -1,6 +1,8 @@
 """Mixing, quality, language, licence, page and vector operators."""
 
 import random
+import re
+import textwrap
 from collections import Counter
 
 import numpy as np
@@ -220,6 +222,61 @@ def test_own_templates(spark):
     assert got == {1: (["T"], [1.0]), 2: (["T"], [2 / 3]), 3: (["W"], [1.0])}
 
 
+def plain_runs(words, templates, threshold=0.8):
+    """(start, end, licence, Dice): the best of all runs of words, then those before and after it."""
+    found = []
+    for i in range(len(words)):
+        for j in range(i + 1, len(words) + 1):
+            grams = licences.bigrams(words[i:j])
+            for name, ts in templates.items():
+                for t in ts:
+                    other = licences.bigrams(licences.normalise(t))
+                    if (score := licences.dice(grams, other)) >= threshold:
+                        found.append((-score, -len(other), name, i, j))
+    if not found:
+        return []
+    score, _, name, i, j = min(found)
+    after = plain_runs(words[j:], templates, threshold)
+    return [*plain_runs(words[:i], templates, threshold), (i, j, name, -score), *((a + j, b + j, n, s) for a, b, n, s in after)]
+
+
+def test_runs_of_words_by_brute_force():
+    rng = random.Random(8)
+    templates = {"A": ["a b c d e f", "b a"], "B": ["a b c d x f", "c c c"], "C": ["w"], "D": ["e f a b a b c d"]}
+    for threshold in (0.5, 0.66, 0.8, 1.0):
+        index = licences.Templates(templates, threshold)
+        for _ in range(60):
+            words = [rng.choice("abcdefxyw") for _ in range(rng.randrange(8))]
+            for _ in range(rng.randrange(4)):
+                words += [w if rng.random() < 0.9 else "y" for w in rng.choice([t for ts in templates.values() for t in ts]).split()] + rng.choices("abcwyz", k=rng.randrange(3))
+            got = [(a, b, index.names[t], s) for t, a, b, s in sorted(index.runs(words), key=lambda r: r[1])]
+            assert got == plain_runs(words, templates, threshold)
+
+
+MIT_PARTS = re.split(r" (?=The above copyright|THE SOFTWARE IS PROVIDED)", licences.TEMPLATES["MIT"][2])
+
+
+def test_licences_inside_texts(spark):
+    bsd = re.sub(r" (?=[123]\. |THIS SOFTWARE IS)", "\n\n  * ", licences.TEMPLATES["BSD-3-Clause"][2])
+    code = "def f(x):\n    return x + 1\n\n" * 300
+    rows = [
+        (1, code + "\n\n".join(MIT_PARTS) + "\n\n" + code),
+        (2, "words before\n\n" + bsd + "\n\n" + code),
+        (3, "\n\n".join("\n".join("# " + x for x in textwrap.wrap(p, 60)) for p in MIT_PARTS) + "\n" + code),
+        (4, "Code here is licensed under the MIT License."),
+        (5, "One sentence first. Code here is licensed under the MIT License. And one after it."),
+        (6, "First.\nLicensed under the Apache License, Version 2.0. " * 30),
+        (7, "Licensed.under.CC.BY-SA.4.0"),
+        (8, "Copyright (c) 2020\n\nNo\nlicensed under the terms of nothing, released under the sky"),
+        (9, None),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.licenses, r.lines) for r in licences.license_scan(df, inside=True).collect()}
+    assert got[1] == (["MIT"], [900]) and got[2] == (["BSD-3-Clause"], [2]) and got[3] == (["MIT"], [0])
+    assert got[4] == got[5] == (["MIT"], [0]) and got[6] == (["Apache-2.0"], [1]) and got[7] == (["CC-BY-SA-4.0"], [0])
+    assert got[8] == got[9] == ([], [])
+
+
 # --- pages -------------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><header><h1>Site</h1></header>
