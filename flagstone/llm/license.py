@@ -11,7 +11,9 @@ highest Dice of all runs and templates is taken, and the words before it and
 after it are searched in the same way, so a word belongs to one licence at
 most. A best run begins and ends with a bigram of its template, and the lower
 bound must be met by shared bigrams: only such starts are tried, with every end
-within the upper bound.
+within the upper bound. A run for a notice (a template of up to 150 words) must
+name the licence as the template does and agree with it in version and variant
+words; longer texts are told apart by the highest Dice alone.
 
 Without it the passages are every line, every paragraph between blank lines and
 the whole text.
@@ -36,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import steps
+from .license_texts import FULL_TEXTS
 
 # Short notices and texts of common licences, by SPDX identifier.
 TEMPLATES: dict[str, list[str]] = {
@@ -107,6 +110,83 @@ TEMPLATES: dict[str, list[str]] = {
     ],
 }
 
+_ISC = (
+    "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED "
+    "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR "
+    "CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, "
+    "NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+)
+_PERMIT = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+
+
+def _more_templates():
+    """(licence, template) of further notices; the forms of a family differ in name and version only."""
+    begins = ("Licensed under", "Released under", "This work is licensed under")
+    notice = TEMPLATES["GPL-3.0"][2]
+    general, library = "GNU General Public License", notice.replace("This program", "This library").replace("this program", "this library")
+    for spdx, name, version in (
+        ("GPL-2.0", general, "2"),
+        ("GPL-3.0", general, "3"),
+        ("AGPL-3.0", "GNU Affero General Public License", "3"),
+        ("LGPL-2.0", "GNU Library General Public License", "2"),
+        ("LGPL-2.1", "GNU Lesser General Public License", "2.1"),
+        ("LGPL-3.0", "GNU Lesser General Public License", "3"),
+    ):
+        for begin in begins:
+            yield spdx, f"{begin} the {name}, version {version}."
+            yield spdx, f"{begin} the {name} v{version if '.' in version else version + '.0'}."
+        for text in (notice, library):
+            yield spdx, text.replace(general, name).replace("version 3", f"version {version}")
+    for version, end in (("4.0", "International"), ("3.0", "Unported"), ("2.5", "Generic"), ("2.0", "Generic")):
+        for code, name in (
+            ("BY", "Attribution"),
+            ("BY-SA", "Attribution-ShareAlike"),
+            ("BY-NC", "Attribution-NonCommercial"),
+            ("BY-ND", "Attribution-NoDerivatives" if version == "4.0" else "Attribution-NoDerivs"),
+            ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+            ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives" if version == "4.0" else "Attribution-NonCommercial-NoDerivs"),
+        ):
+            for begin in begins:
+                yield f"CC-{code}-{version}", f"{begin} CC {code} {version}."
+                yield f"CC-{code}-{version}", f"{begin} a Creative Commons {name} {version} {end} License."
+    for spdx, name in (
+        ("Apache-2.0", "Apache License 2.0"),
+        ("BSD-2-Clause", "BSD 2-Clause License"),
+        ("BSD-3-Clause", "BSD 3-Clause License"),
+        ("ISC", "ISC License"),
+        ("MIT", "MIT License"),
+        ("MPL-1.1", "Mozilla Public License, version 1.1"),
+        ("MPL-2.0", "Mozilla Public License, version 2.0"),
+    ):
+        for begin in begins:
+            yield spdx, f"{begin} the {name}."
+    bsd = TEMPLATES["BSD-3-Clause"][2]
+    yield "BSD-2-Clause", bsd[: bsd.index("3. Neither")] + bsd[bsd.index("THIS SOFTWARE IS") :]
+    yield "ISC", f"{_PERMIT}, provided that the above copyright notice and this permission notice appear in all copies. {_ISC}"
+    yield "0BSD", f"{_PERMIT}. {_ISC}"
+    yield "Unlicense", "This is released into the public domain under the Unlicense."
+    mit = TEMPLATES["MIT"][2]
+    yield "Unlicense", (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, "
+        "sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or "
+        "non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software "
+        "dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the "
+        "public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of "
+        "relinquishment in perpetuity of all present and future rights to this software under copyright law. "
+        + mit[mit.index("THE SOFTWARE IS") :].replace("AUTHORS OR COPYRIGHT HOLDERS", "AUTHORS")
+    )
+
+
+for _name, _text in _more_templates():
+    if _text not in TEMPLATES.setdefault(_name, []):
+        TEMPLATES[_name].append(_text)
+
+NOTICE_WORDS = 150
+NAMES = set("apache bsd gnu isc mit mozilla mpl unlicense".split())
+VARIANTS = {"nc": "nc", "noncommercial": "nc", "commercial": "nc", "sa": "sa", "sharealike": "sa", "alike": "sa", "nd": "nd", "noderivatives": "nd", "noderivs": "nd", "derivatives": "nd", "derivs": "nd"}
+LEADS = {"version", "v", "license", "licence", "attribution", "by", "cc", "cc0", "bsd", "mpl", "gpl", "lgpl", "agpl", *VARIANTS}
+_V = re.compile(r"v(\d+)$")
+
 _WORD = re.compile(r"[^\W_]+")
 _COPYRIGHT = re.compile(r"^\s*(?:copyright\b|\(c\)\s|©).*$", re.I | re.M)
 
@@ -125,6 +205,25 @@ def placed_words(text: str) -> tuple[list[str], list[int]]:
     return words, before
 
 
+def marks(words: list[str]) -> tuple[set[str], set[str]]:
+    """Licence names, and words that tell versions and variants apart."""
+    names, kinds = NAMES.intersection(words), set()
+    for i, w in enumerate(words):
+        if w in VARIANTS:
+            kinds.add(VARIANTS[w])
+        elif w == "gnu" and i + 1 < len(words):
+            kinds.add("gnu " + words[i + 1])
+        first = _V.match(w)
+        if first or (w.isdigit() and i and words[i - 1] in LEADS):
+            run = [first[1] if first else w]
+            for x in words[i + 1 :]:
+                if not x.isdigit():
+                    break
+                run.append(x)
+            kinds.add(".".join(run).removesuffix(".0"))
+    return names, kinds
+
+
 def bigrams(words: list[str]) -> list[tuple[str, ...]]:
     return list(zip(words, words[1:], strict=False)) if len(words) > 1 else [tuple(words)] if words else []
 
@@ -151,6 +250,8 @@ class Templates:
         for t, c in enumerate(self.counts):
             for g in c:
                 self.with_gram.setdefault(g, []).append(t)
+        placed = [normalise(t) for name in sorted(templates) for t in templates[name]]
+        self.marks = [marks(w) if len(w) <= NOTICE_WORDS else None for w in placed]
         self.pairs, self.singles = (any(len(g) == n for g in self.with_gram) for n in (2, 1))
 
     def best(self, text: str) -> tuple[str, float] | None:
@@ -170,6 +271,13 @@ class Templates:
         return found
 
 
+    def agrees(self, t: int, words: list[str]) -> bool:
+        """Whether a run for a notice has its name, version and variant."""
+        if self.marks[t] is None:
+            return True
+        names, kinds = marks(words)
+        return self.marks[t][0] <= names and self.marks[t][1] == kinds
+
     def runs(self, words: list[str]) -> list[tuple[int, int, int, float]]:
         """(template, first word, end, Dice) of the best runs of words that do not overlap."""
         grams = list(zip(words, words[1:], strict=False)) if self.pairs else []
@@ -191,17 +299,17 @@ class Templates:
         hits = {t: _Hits(by_gram, self.counts[t], self.sizes[t], self.bounds[t], self.threshold) for t, by_gram in found.items()}
         width = {t: 1 if len(next(iter(by_gram))) == 1 else 2 for t, by_gram in found.items()}
 
-        def entry(t, k, limit):
-            best = hits[t].best_end(k, limit)
+        def entry(t, k, limit, skip=0):
+            best = hits[t].best_end(k, limit, skip)
             at = hits[t].at
-            return best and (-best[0], -self.sizes[t], self.names[t], int(at[k]), int(at[best[1]]) + width[t], t, k)
+            return best and (-best[0], -self.sizes[t], self.names[t], int(at[k]), int(at[best[1]]) + width[t], t, k, limit, skip)
 
         heap = [e for t in hits for k in hits[t].starts() if (e := entry(t, int(k), len(words) - width[t]))]
         heapify(heap)
         taken: list[tuple[int, int]] = []
         out = []
         while heap:
-            score, _, _, start, end, t, k = heappop(heap)
+            score, _, _, start, end, t, k, limit, skip = heappop(heap)
             i = bisect_left(taken, (start + 1,))
             if i and taken[i - 1][1] > start:
                 continue
@@ -209,6 +317,10 @@ class Templates:
                 if e := entry(t, k, taken[i][0] - width[t]):
                     heappush(heap, e)
                 continue
+            if not self.agrees(t, words[start:end]):
+                if e := entry(t, k, limit, skip + 1):
+                    heappush(heap, e)
+                continue
             insort(taken, (start, end))
             out.append((t, start, end, -score))
         return out
@@ -231,8 +343,8 @@ class _Hits:
         reach = np.searchsorted(self.at, self.at + self.high, side="right")
         return np.flatnonzero(reach - np.arange(len(self.at)) >= self.low - 1e-9)
 
-    def best_end(self, k: int, limit: int) -> tuple[float, int] | None:
-        """(Dice, last place) of the best run from place ``k`` whose last place lies up to ``limit``."""
+    def best_end(self, k: int, limit: int, skip: int = 0) -> tuple[float, int] | None:
+        """(Dice, last place) of the best run but ``skip`` from place ``k`` whose last place lies up to ``limit``."""
         stop = min(self.at[k] + self.high - 1, limit)
         end = int(np.searchsorted(self.at, stop, side="right"))
         if end - k < self.low - 1e-9:
@@ -242,7 +354,9 @@ class _Hits:
         first[gram[::-1]] = nth[::-1]
         shared = np.cumsum(nth - first[gram] < self.cap[gram])
         score = 2 * shared / (self.at[k:end] - self.at[k] + 1 + self.size)
-        j = int(np.argmax(score))
+        if skip >= len(score):
+            return None
+        j = int(np.argsort(-score, kind="stable")[skip] if skip else np.argmax(score))
         return (float(score[j]), k + j) if score[j] >= self.threshold else None
 
 
@@ -274,9 +388,14 @@ def found_in(text: str, index: Templates, inside: bool):
         yield index.names[t], score, bisect_left(before, start + 1) - 1
 
 
-def _scan(templates: dict[str, list[str]], threshold: float, inside: bool):
+def all_templates() -> dict[str, list[str]]:
+    """Notices and full texts."""
+    return {n: [*TEMPLATES.get(n, []), *([FULL_TEXTS[n]] if n in FULL_TEXTS else [])] for n in {*TEMPLATES, *FULL_TEXTS}}
+
+
+def _scan(templates: dict[str, list[str]] | None, threshold: float, inside: bool):
     def run(batches):
-        index = Templates(templates, threshold)
+        index = Templates(all_templates() if templates is None else templates, threshold)
         for whole in batches:
             for batch in steps([whole], "text"):
                 names, lines, scores = [], [], []
@@ -315,4 +434,4 @@ def license_scan(
     ``inside`` takes every run of words as a passage, not only lines, paragraphs and texts."""
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = "doc_id long, licenses array<string>, lines array<int>, scores array<double>"
-    return source.mapInArrow(_scan(TEMPLATES if templates is None else templates, threshold, inside), schema)
+    return source.mapInArrow(_scan(templates, threshold, inside), schema)

@@ -277,6 +277,31 @@ def test_licences_inside_texts(spark):
     assert got[8] == got[9] == ([], [])
 
 
+def test_near_relatives_and_full_texts():
+    index = licences.Templates(licences.all_templates(), 0.8)
+
+    def names(text):
+        return {n for n, _, _ in licences.found_in(text, index, True)}
+
+    notice = licences.TEMPLATES["GPL-3.0"][2]
+    assert names(notice) == {"GPL-3.0"} and names(notice.replace("version 3", "version 2")) == {"GPL-2.0"}
+    assert names(notice.replace("version 3", "version 7")) == set()
+    assert names(notice.replace("GNU General", "GNU Affero General")) == {"AGPL-3.0"}
+    assert names(notice.replace("GNU General", "GNU Lesser General")) == {"LGPL-3.0"}
+    assert names(notice.replace("GNU General", "GNU Lesser General").replace("version 3", "version 2.1").replace("program", "library")) == {"LGPL-2.1"}
+    cc = "See: this work is licensed under a Creative Commons {} License. Thanks."
+    assert names(cc.format("Attribution 3.0 Unported")) == {"CC-BY-3.0"} and names(cc.format("Attribution-NoDerivatives 4.0 International")) == {"CC-BY-ND-4.0"}
+    assert names(cc.format("Attribution 9.0 International")) == set() and names("Licensed under CC BY-NC 9.0.") == set()
+    assert names("Licensed under the BSD 2-Clause License, licensed under the ISC License.") == {"BSD-2-Clause", "ISC"}
+    assert names("Licensed under the sky, released into the public domain under the law.") == set()
+    for name, text in licences.FULL_TEXTS.items():
+        words = text.split()
+        assert names("Our file.\n" + " ".join(words[5:1500] + ["edited"] + words[1500:]) + "\nEnd of it.") == {name}
+    for name, ts in licences.TEMPLATES.items():
+        for t in ts:
+            assert names("Some words, then: " + t + "\nAnd more words.") == {name}, t
+
+
 # --- pages -------------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><header><h1>Site</h1></header>
