@@ -7,7 +7,16 @@ lines. Text starts where the sum surges and ends where it dives to nothing.
 
 A page that marks its article (``article``, ``main`` or ``role=main``) counts
 only lines inside it, and any text there is a surge. Without such a mark, lines
-that are mostly links count nothing and a surge needs ``surge`` characters.
+that are mostly links count nothing and a surge needs more than ``surge``
+characters or a third of the page's largest window, whichever is less; the text
+lines right before a surge, and those in one container with kept lines, belong
+to it.
+
+Elements around ``main`` never make it chrome. An ``article`` inside a sidebar,
+header, form or the like counts if the page has no article outside of them.
+Class and id tokens are chrome by their last part, or by their first before a
+part like ``-list``; tokens such as ``has-sidebar`` say nothing, and headers
+inside an article are text.
 
 Defined cases: a null, empty or text-less page gives an empty text; unclosed
 and stray tags are tolerated; repeated pages give repeated rows; ``url`` and
@@ -38,6 +47,12 @@ CHROME_NAMES = set(
     "disqus footer header masthead menu modal nav navbar navigation newsletter notice overlay pager pagination popup promo promoted "
     "related replies reply respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget widgets".split()
 )
+# Chrome that may also be a wrapper of the whole page, and chrome that is text inside an article.
+SOFT = {"form", "header", "masthead", "banner", "sidebar", "modal", "overlay", "notice", "toolbar", "menu", "widget", "widgets"}
+HEADINGS = {"header", "masthead", "banner"}
+CONDITIONS = {"no", "not", "non", "without", "with", "has", "have", "hide", "show", "hidden", "is", "layout"}
+ENDINGS = set("area bar block box buttons count form icons inner item items left link links list posts right section slot text title top bottom".split())
+CONTAINERS = {"body", "div", "section", "td"}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 
 _TOKEN = re.compile(
@@ -46,49 +61,85 @@ _TOKEN = re.compile(
     r"|<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.I | re.S,
 )
-_ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_ATTR = re.compile(r"([^\s\"'=<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME_PARTS = re.compile(r"[a-z0-9]+")
 
 
 class Line:
-    __slots__ = ("article", "chrome", "linked", "text")
+    __slots__ = ("article", "chrome", "container", "linked", "text", "wrapped")
+
+    def __init__(self, text: str, chrome: bool, article: bool, wrapped: bool, linked: int, container: int):
+        self.text, self.chrome, self.article, self.wrapped, self.linked, self.container = text, chrome, article, wrapped, linked, container
+
 
-    def __init__(self, text: str, chrome: bool, article: bool, linked: int):
-        self.text, self.chrome, self.article, self.linked = text, chrome, article, linked
+def _chrome_name(token: str) -> str:
+    """The part that makes a class or id token chrome, or nothing."""
+    parts = _NAME_PARTS.findall(token)
+    if not parts or CONDITIONS.intersection(parts):
+        return ""
+    if parts[-1] in CHROME_NAMES:
+        return parts[-1]
+    return parts[0] if parts[0] in CHROME_NAMES and ENDINGS.issuperset(parts[1:]) else ""
 
 
 def _kind(tag: str, attrs: str, in_article: bool) -> str:
-    """``chrome``, ``article`` or nothing special."""
+    """``chrome``, ``soft`` chrome, ``article``, ``main`` or nothing special."""
     if tag in CHROME or (tag == "header" and not in_article):
-        return "chrome"
+        return "soft" if tag in SOFT else "chrome"
     names: set[str] = set()
+    seen = set()
     for name, a, b, c in _ATTR.findall(attrs) if attrs else ():
-        parts = _NAME_PARTS.findall((a or b or c).lower())
-        if name.lower() == "role":
-            if CHROME_ROLES.intersection(parts):
+        name = name.lower()
+        if name not in ("class", "id", "role") or name in seen:
+            continue
+        seen.add(name)
+        tokens = (a or b or c).lower().split()
+        if name == "role":
+            if CHROME_ROLES.intersection(tokens):
                 return "chrome"
-            if "main" in parts:
-                return "article"
+            if "main" in tokens:
+                return "main"
         else:
-            names.update(parts)
-    if tag in ("article", "main"):
+            names.update(_chrome_name(t) for t in tokens)
+    names.discard("")
+    if tag == "main":
+        return "main"
+    if tag == "article":
         return "chrome" if names & {"comment", "comments", "reply"} else "article"
-    return "chrome" if names & CHROME_NAMES and tag not in ("body", "html") else ""
+    if in_article:
+        names -= HEADINGS
+    if not names or tag in ("body", "html"):
+        return ""
+    return "soft" if names <= SOFT else "chrome"
+
+
+def _inside(state: tuple[int, int, int, bool], kind: str) -> tuple[int, int, int, bool]:
+    """(chrome, soft chrome, articles, article in soft chrome) inside an element of a kind."""
+    chrome, soft, article, wrapped = state
+    if kind == "main":
+        return 0, 0, article + 1, False
+    if kind == "article":
+        return (chrome, 0, 1, True) if soft and not chrome and not article else (chrome, soft, article + 1, wrapped)
+    return chrome + (kind == "chrome"), soft + (kind == "soft"), article, wrapped
 
 
 def page_lines(html: str) -> list[Line]:
     """Text of each block element in page order, with what surrounds it."""
     lines: list[Line] = []
-    stack: list[tuple[str, str]] = []  # open elements that are of a kind, and those nested in them by the same name
+    # Open elements that are of a kind, and those nested in them by the same name, with the state outside of them.
+    stack: list[tuple[str, tuple[int, int, int, bool]]] = []
+    boxes: list[tuple[str, int]] = [("", 0)]  # open containers, by number
+    open_boxes = dict.fromkeys(CONTAINERS, 0)
     held: list[str] = []
-    chrome = article = anchors = linked = at = 0
+    state = (0, 0, 0, False)
+    anchors = linked = at = n_boxes = 0
 
     def flush():
         nonlocal linked
         text = " ".join(unescape("".join(held)).split())
         held.clear()
         if text:
-            lines.append(Line(text, chrome > 0, article > 0, linked))
+            lines.append(Line(text, state[0] + state[1] > 0, state[2] > 0, state[3], linked, boxes[-1][1]))
         linked = 0
 
     for m in _TOKEN.finditer(html):
@@ -113,23 +164,28 @@ def page_lines(html: str) -> list[Line]:
             if tag in BLOCKS or depth is not None:
                 flush()
             if depth is not None:
-                for _, kind in stack[depth:]:
-                    chrome -= kind == "chrome"
-                    article -= kind == "article"
+                state = stack[depth][1]
                 del stack[depth:]
+            if open_boxes.get(tag):
+                while True:
+                    name, _ = boxes.pop()
+                    open_boxes[name] -= 1
+                    if name == tag:
+                        break
             continue
         if tag in BLOCKS and stack and stack[-1][0] == "p":  # a block ends an open paragraph
             flush()
-            kind = stack.pop()[1]
-            chrome -= kind == "chrome"
-            article -= kind == "article"
-        kind = _kind(tag, m["attrs"], article > 0)
+            state = stack.pop()[1]
+        kind = _kind(tag, m["attrs"], state[2] > 0)
         if tag in BLOCKS or kind:
             flush()
         if tag not in VOID and not m["attrs"].endswith("/") and (kind or any(tag == t for t, _ in stack)):
-            stack.append((tag, kind))
-            chrome += kind == "chrome"
-            article += kind == "article"
+            stack.append((tag, state))
+            state = _inside(state, kind)
+        if tag in CONTAINERS and not m["attrs"].endswith("/"):
+            n_boxes += 1
+            boxes.append((tag, n_boxes))
+            open_boxes[tag] += 1
     held.append(html[at:])
     flush()
     return lines
@@ -138,13 +194,14 @@ def page_lines(html: str) -> list[Line]:
 def main_text(html: str | None, window: int = 3, surge: int = 80) -> str:
     """Blocks between surge and dive points, joined by an empty line."""
     lines = page_lines(html or "")
-    marked = any(x.article and not x.chrome for x in lines)
+    articles = [x for x in lines if x.article and not x.chrome]
+    marked, outside = bool(articles), any(not x.wrapped for x in articles)
     lengths = []
     for x in lines:
-        skip = x.chrome or (marked and not x.article) or (not marked and 2 * x.linked > len(x.text))
+        skip = x.chrome or (marked and not x.article) or (outside and x.wrapped) or (not marked and 2 * x.linked > len(x.text))
         lengths.append(0 if skip else len(x.text))
-    least = 0 if marked else surge
     sums = [sum(lengths[i : i + window]) for i in range(len(lengths))]
+    least = 0 if marked else min(surge, max(sums, default=0) // 3)
     keep, i = [False] * len(lines), 0
     while i < len(sums):
         if sums[i] <= least:
@@ -155,7 +212,12 @@ def main_text(html: str | None, window: int = 3, surge: int = 80) -> str:
             end += 1
         for j in range(i, min(end + window - 1, len(lines))):
             keep[j] = keep[j] or lengths[j] > 0
+        while i > 0 and lengths[i - 1] > 0 and not keep[i - 1]:
+            i -= 1
+            keep[i] = True
         i = end
+    kept = {x.container for x, k in zip(lines, keep, strict=True) if k}
+    keep = [k or (n > 0 and x.container in kept) for x, k, n in zip(lines, keep, lengths, strict=True)]
     return "\n\n".join(x.text for x, k in zip(lines, keep, strict=True) if k)
 
 

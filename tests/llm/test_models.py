@@ -324,6 +324,31 @@ def test_unmarked_page_by_line_blocks():
     assert got.split("\n\n")[-3:] == [long, "Short end.", long] and "Home" not in got and "More" not in got
 
 
+@pytest.mark.parametrize("name", ["site no-sidebar", "has-sidebar", "page--with-sidebar", "left-sidebar", "modal", "header"])
+@pytest.mark.parametrize("tag", ["main", "article"])
+def test_article_inside_a_wrapper(name, tag):
+    aside = "<div class='sidebar'><p>Aside</p></div><div id='site-footer'>Foot</div><div class='comment-list'><p>First!</p></div>"
+    page = f"<body><div class='{name}'><div>Lead</div><{tag}><header class='entry-header'><h1>Head</h1></header><p>Short.</p>{aside}</{tag}></div></body>"
+    assert html.main_text(page) == "Head\n\nShort."
+    assert html.main_text(page.replace("<div class=", "<form class=", 1).replace("</div></body>", "</form></body>")) == "Head\n\nShort."
+
+
+def test_chrome_by_real_attributes():
+    page = "<article><p data-id='footer' data-role='banner' title=\"x class='ad'\">One.</p><p id='ad'>No</p><div class='related-posts'><article>Other</article></div><p CLASS=promo>No</p></article>"
+    assert html.main_text(page) == "One."
+    teaser = "<div class='sidebar'><article><p>Teaser</p></article></div>"
+    assert html.main_text(teaser + "<article><p>One.</p></article>" + teaser) == "One."
+
+
+def test_short_articles_without_a_mark():
+    menu = "<div><a href=x>Home</a> <a href=y>News</a></div>"
+    assert html.main_text(f"<body>{menu}<div><h1>Title</h1><p>Short text.</p></div>{menu}</body>") == "Title\n\nShort text."
+    long = "This paragraph has enough characters to count as a surge of text on its own, and then some. " * 4
+    lead = "<h1>Title</h1><p>By me</p><p>Today</p><p>Summary</p>"
+    page = f"<body>{menu}<div>{lead}<p>{long}</p><p>{long}</p>{menu * 4}<p>It ends here.</p></div>{menu}</body>"
+    assert html.main_text(page).split("\n\n") == ["Title", "By me", "Today", "Summary", long.strip(), long.strip(), "It ends here."]
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "plain text"), (4, "u", "<article>open"), (5, "u", "<nav>only"), (6, "u", "<article></article>"), (7, "u", "a < b & c &amp d"), (8, "u", "<article>" + "<p>y</p>" * 20000), (1, "u", PAGE), (None, "u", PAGE)]
     got = table(html.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS text")))
