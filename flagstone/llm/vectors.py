@@ -5,7 +5,7 @@
    taken from a bounded sample of its points; every point joins the shards of
    its ``overlap`` nearest centres, and large shards are split again. Where no
    separated centres exist (points all alike), the shard is cut into pieces and
-   every pair of pieces is searched, so dense groups are not split apart.
+   every pair of pieces is compared in full, so dense groups are not split apart.
 3. Each piece builds a graph: nearest neighbours and some far points, kept by
    the robust-prune rule (a neighbour goes if a kept one is nearer to it by the
    factor ``ALPHA`` than the node is), made mutual and connected. The adjacency
@@ -13,12 +13,14 @@
 4. Each shard is searched for each of its points: greedily from the medoid over
    the joined lists, a beam of the best so far, and on through every point
    within the threshold (range expansion).
-5. Cosines are computed in double precision; a pair found in several shards is
-   counted in the first shard that both belong to. A task returns one row per
+5. Cosines are computed in double precision; a pair that shares several shards
+   is counted in the first of them, where it is compared directly, so that no
+   later shard finds a pair that is not counted. A task returns one row per
    point: its links and the centre of its local group.
 6. Recall is audited: for a bounded sample of points all links are counted
-   exactly over all rows; below ``min_recall`` the shards are built again with
-   twice the overlap.
+   exactly over all rows, and the lower of the recall of links and the mean recall
+   of points holds; below ``min_recall`` the shards are built again with twice the
+   overlap, and where that does not suffice all pairs of a label are compared.
 
 Defined cases: a null label, and vectors that are null, empty, zero or hold
 null or non-finite components, link with nothing; vectors of different lengths
@@ -296,41 +298,37 @@ def _local(near: pa.Array, pid: np.ndarray) -> np.ndarray:
     return out
 
 
-def _shared_before(cells: list[list[int]], cell: int) -> np.ndarray:
-    """Points by smaller shards they belong to, as a 0/1 matrix."""
-    smaller = sorted({c for row in cells for c in row if c < cell})
-    number = {c: i for i, c in enumerate(smaller)}
-    out = np.zeros((len(cells), max(1, len(smaller))), dtype=np.float32)
+def _memberships(cells: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Points by the shards they belong to, as a 0/1 matrix, and the numbers of the shards."""
+    number = np.array(sorted({c for row in cells for c in row}), dtype=np.int64)
+    place = {c: i for i, c in enumerate(number.tolist())}
+    out = np.zeros((len(cells), len(number)), dtype=np.float32)
     for i, row in enumerate(cells):
         for c in row:
-            if c < cell:
-                out[i, number[c]] = 1
-    return out
+            out[i, place[c]] = 1
+    return out, number
 
 
-def _search(threshold: float):
+def _search(threshold: float, exact: bool = False):
     """Task over (cell, low, high) runs: links and local group of every point."""
 
     def block(part: pa.Table) -> pa.RecordBatch:
         low, high = part.column("low")[0].as_py(), part.column("high")[0].as_py()
         piece, pid = np.asarray(part.column("piece")), np.asarray(part.column("pid"))
         x, times = _unit(part.column("vec")), np.asarray(part.column("times"))
-        member = _shared_before(part.column("cells").to_pylist(), part.column("cell")[0].as_py())
-        near = part.column("near")
+        member, number = _memberships(part.column("cells").to_pylist())
+        before = member[:, number < part.column("cell")[0].as_py()]
         a, b = np.flatnonzero(piece == low), np.flatnonzero(piece == high)
-        rows = [pa.array(a), pa.array(b)]
+        found = x[a] @ x[b].T >= threshold
         if low == high:
-            found = range_search(x, _local(near, pid), x, threshold, np.arange(len(x))) >= threshold
+            if not exact:
+                found &= member @ member.T > 1
+                found |= range_search(x, _local(part.column("near"), pid), x, threshold, np.arange(len(x))) >= threshold
             found |= found.T
             np.fill_diagonal(found, False)
-        elif not len(a) or not len(b):
-            found = np.zeros((len(a), len(b)), dtype=bool)
-        else:
-            found = range_search(x[b], _local(near.take(rows[1]), pid[b]), x[a], threshold) >= threshold
-            found |= (range_search(x[a], _local(near.take(rows[0]), pid[a]), x[b], threshold) >= threshold).T
         i, j = np.nonzero(found)
         label = merge_labels(np.arange(len(pid)), a[i], b[j])
-        counted = found & ~((member[a] @ member[b].T) > 0)
+        counted = found if exact else found & ~((before[a] @ before[b].T) > 0)
         links = np.zeros(len(pid), dtype=np.int64)
         links[a] += counted @ times[b]
         if low != high:
@@ -346,9 +344,15 @@ def _search(threshold: float):
     return run
 
 
-def _found(points: DataFrame, overlap: int, threshold: float) -> DataFrame:
+def _whole_cells(points: DataFrame) -> DataFrame:
+    """(pid, cell, pieces) with every label as one shard."""
+    sizes = points.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(SHARD))).cast("int").alias("pieces"))
+    return points.select("pid", "cell").join(save(sizes, "vec-pieces"), "cell").select("pid", "cell", "pieces")
+
+
+def _found(points: DataFrame, overlap: int, threshold: float, exact: bool = False) -> DataFrame:
     """(pid, links, centre) rows, one per point and searched block."""
-    members = save(shards(points, overlap), "vec-shards")
+    members = save(_whole_cells(points) if exact else shards(points, overlap), "vec-shards")
     piece = F.pmod(F.xxhash64(F.lit("piece"), F.col("pid")), F.col("pieces")).cast("int").alias("piece")
     placed = members.select("pid", "cell", "pieces", piece)
     graph_in = placed.join(points.select("pid", "vec"), "pid").select("cell", "piece", "pid", "vec")
@@ -361,7 +365,7 @@ def _found(points: DataFrame, overlap: int, threshold: float) -> DataFrame:
     asked = placed.select("pid", "cell", "piece", other.alias("other"))
     asked = asked.select("pid", "cell", F.least("piece", "other").alias("low"), F.greatest("piece", "other").alias("high"), "piece")
     dealt = asked.join(full, "pid").repartition(*BLOCK).sortWithinPartitions(*BLOCK, "pid")
-    return save(dealt.mapInArrow(_search(threshold), "pid long, links long, centre long"), "vec-found")
+    return save(dealt.mapInArrow(_search(threshold, exact), "pid long, links long, centre long"), "vec-found")
 
 
 def _exact_links(sample, threshold: float):
@@ -388,7 +392,8 @@ def _exact_links(sample, threshold: float):
 
 
 def audit(points: DataFrame, links: DataFrame, threshold: float, queries: int = 256) -> float:
-    """Share of the exact links of about ``queries`` sampled points that were found (1 if there are none)."""
+    """Share of the exact links of about ``queries`` sampled points that were found, or its mean over
+    the points that have links if that is lower (1 if there are none)."""
     n = points.count()
     chosen = points.where(F.pmod(F.xxhash64(F.lit("audit"), F.col("pid")), F.lit(max(1, n // queries))) == 0)
     sample = [(r["pid"], r["cell"], np.array(r["vec"]) / np.linalg.norm(r["vec"])) for r in chosen.limit(4 * queries).select("pid", "cell", "vec").collect()]
@@ -396,20 +401,23 @@ def audit(points: DataFrame, links: DataFrame, threshold: float, queries: int =
     # within a task the rows of one label come together
     exact = points.select("cell", "pid", "vec", "times").sortWithinPartitions("cell").mapInArrow(_exact_links(shared, threshold), "pid long, exact long")
     exact = exact.groupBy("pid").agg(F.sum("exact").alias("exact"))
-    r = exact.join(links, "pid", "left").agg(F.sum("exact").alias("exact"), F.sum(F.least("exact", F.coalesce("links", F.lit(0)))).alias("found")).first()
-    return r["found"] / r["exact"] if r["exact"] else 1.0
+    got = exact.where("exact > 0").join(links, "pid", "left").select("exact", F.least("exact", F.coalesce("links", F.lit(0))).alias("found"))
+    r = got.agg(F.sum("exact").alias("exact"), F.sum("found").alias("found"), F.avg(F.col("found") / F.col("exact")).alias("mean")).first()
+    return min(r["found"] / r["exact"], r["mean"]) if r["exact"] else 1.0
 
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.93, overlap: int = 3, min_recall: float = 0.9) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors`` (vec_id, embedding, label)."""
     points, rows = points_of(vectors)
+    exact = False
     while True:
-        found = _found(points, overlap, threshold)
+        found = _found(points, overlap, threshold, exact)
         links = save(found.groupBy("pid").agg(F.sum("links").alias("links")), "vec-links")
         recall = audit(points, links, threshold)
         logging.getLogger(__name__).info("overlap %d: recall %.4f", overlap, recall)
-        if recall >= min_recall or overlap > CENTRES // 8:
+        if exact or recall >= min_recall:
             break
+        exact = overlap > CENTRES // 8
         overlap *= 2
     linked = components(found.select("pid", "centre"), "pid", "centre")
     grouped = points.select("pid", "label", "vec", "times", "rep").join(linked, F.col("pid") == F.col("node"), "left")

@@ -6,6 +6,7 @@ import textwrap
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from flagstone.llm import html, langid, license as licences, mixing, quality, vectors
@@ -436,3 +437,33 @@ def test_graph_is_connected_and_bounded():
     while new:
         new = [j for i in new for j in near[i] if j not in reach and not reach.add(j)]
     assert len(reach) == len(x) and all(i != j for i, j in zip(a, b, strict=True))
+
+
+def test_pairs_of_several_shards_are_counted(monkeypatch):
+    """A pair that the search of its first shard misses counts there if another shard can find it."""
+    monkeypatch.setattr(vectors, "range_search", lambda x, near, queries, *_: np.full((len(queries), len(x)), -np.inf))
+    cells = [[1, 2], [1, 2], [1]]
+    for cell, want in ((1, [1, 1, 0]), (2, [0, 0, 0])):
+        rows = [(cell, 0, 0, i, 0, [1.0, 0.01 * i], 1, cells[i], []) for i in range(3) if cell in cells[i]]
+        part = pa.RecordBatch.from_pylist([dict(zip(("cell", "low", "high", "pid", "piece", "vec", "times", "cells", "near"), r, strict=True)) for r in rows], BLOCK_SCHEMA)
+        (out,) = vectors._search(0.93)([part])
+        assert out.column("links").to_pylist() == want[: len(rows)]
+
+
+BLOCK_SCHEMA = pa.schema([(n, pa.int64()) for n in ("cell", "low", "high", "pid", "piece")] + [("vec", pa.list_(pa.float64())), ("times", pa.int64()), ("cells", pa.list_(pa.int64())), ("near", pa.list_(pa.int64()))])
+
+
+def test_audit_below_the_bound_ends_in_exact_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(i, v.tolist(), 1) for i, v in enumerate((rng.normal(size=(6, 8)).repeat(20, axis=0) + 0.05 * rng.normal(size=(120, 8))).astype(np.float32))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    calls, real = [], vectors._found
+
+    def losing(points, overlap, threshold, exact=False):
+        calls.append(exact)
+        found = real(points, overlap, threshold, exact)
+        return found if exact else found.withColumn("links", found.links * 0).withColumn("centre", found.pid)
+
+    monkeypatch.setattr(vectors, "_found", losing)
+    got = Counter(tuple(r) for r in vectors.near_vectors(df, overlap=128).collect())
+    assert calls == [False, True] and got == Counter(plain_links(rows))
