@@ -1,4 +1,4 @@
-"""Substring dedup by level-wise doubling.
+"""Substring dedup by winnowed windows, in three levels (no doubling of lengths).
 
 Words covered by a window of ``window`` words that also starts anywhere else
 (same document included) are removed. Windows are judged on the input.
