@@ -7,16 +7,19 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .centroids import cluster, with_totals
 from .decontam import contamination, with_verdict
 from .html import extract_main_text
 from .langid import identify, train
 from .license import license_scan
 from .linededup import line_dedup
 from .mixing import mix
+from .packing import pack
 from .quality import quality_scores
 from .simhash import simhash_classes
 from .substring import substring_dedup
 from .vectors import near_vectors
+from .whitening import by_component, whiten
 
 
 def _load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,6 +92,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, made = whiten(_load(spark, sf_dir, "embeddings"), components=32, scale=64.0, offset=1_000_000)
+    return by_component(rows, made)
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = pack(_load(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2, max_tokens=4096)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_totals(cluster(_load(spark, sf_dir, "embeddings"), k=16, rounds=3, dim=64, scale=64, seed="1"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_language_id": op2_language_id,
@@ -100,8 +119,45 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_html_extraction": op9_html_extraction,
     "op10_decontamination": op10_decontamination,
+    "op11_whitening": op11_whitening,
+    "op12_packing": op12_packing,
+    "op13_centroids": op13_centroids,
 }
 
+
+def _centroid_sql(k: int = 16, rounds: int = 3) -> str:
+    """Every round as a common table: centroids, nearest centroid of each vector, new centroids."""
+    near = """near{r} AS MATERIALIZED (
+  SELECT vec_id, min({{'d': d, 'c': c}}) AS m FROM (
+    SELECT x.vec_id, c.c, CAST(sum((x.x - c.x) * (x.x - c.x)) AS BIGINT) AS d
+    FROM x JOIN cent{r} c ON x.i = c.i GROUP BY x.vec_id, c.c) GROUP BY vec_id)"""
+    move = """sums{r} AS (
+  SELECT m.c AS c, i, CAST(floor(CAST(sum(x) AS DOUBLE) / count(*)) AS BIGINT) AS about, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+  FROM near{r} JOIN x USING (vec_id) GROUP BY m.c, i),
+cent{next} AS MATERIALIZED (
+  SELECT c.c, c.i, CASE WHEN s.n IS NULL THEN c.x WHEN s.about * s.n > s.s THEN s.about - 1
+         WHEN (s.about + 1) * s.n <= s.s THEN s.about + 1 ELSE s.about END AS x
+  FROM cent{r} c LEFT JOIN sums{r} s ON c.c = s.c AND c.i = s.i)"""
+    steps = [f"{near.format(r=r)},\n{move.format(r=r, next=r + 1)}" for r in range(rounds)]
+    return f"""
+WITH kept AS (
+  SELECT vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len([e FOR e IN embedding IF e IS NOT NULL AND isfinite(e)]) = 64),
+x AS MATERIALIZED (
+  SELECT vec_id, i, CAST(floor(64 * CAST(embedding[i + 1] AS DOUBLE)) AS BIGINT) AS x FROM kept, range(64) AS t(i)),
+first AS (SELECT vec_id, row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR))) - 1 AS c FROM kept ORDER BY c LIMIT {k}),
+cent0 AS MATERIALIZED (SELECT f.c, x.i, x.x FROM first f JOIN x USING (vec_id)),
+{", ".join(steps)},
+{near.format(r=rounds)},
+a AS (SELECT vec_id, CAST(m.c AS INTEGER) AS cluster, m.d AS distance FROM near{rounds}),
+t AS (SELECT cluster, CAST(sum(distance) AS BIGINT) AS cluster_inertia FROM a GROUP BY cluster),
+h AS (SELECT c AS cluster, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM cent{rounds} GROUP BY c)
+SELECT a.vec_id, a.cluster, a.distance, t.cluster_inertia,
+       CAST((SELECT sum(distance) FROM a) AS BIGINT) AS inertia, h.centroid_sha256
+FROM a JOIN t USING (cluster) JOIN h USING (cluster)
+"""
+
+
 ORACLE_SQL = {
     "op3_mixing": r"""
 WITH d AS (
@@ -154,4 +210,5 @@ SELECT d.doc_id, CAST(coalesce(len(string_split(d.text, chr(10))), 0) AS BIGINT)
        CAST(coalesce(n.n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
 """,
+    "op13_centroids": _centroid_sql(),
 }

@@ -34,14 +34,15 @@ def found(spark, name, *columns):
 def test_every_operator_is_registered():
     names = set(entry.queries())
     assert set(queries.QUERIES) | {"pipeline"} <= names
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES} == set(range(1, 14))
     assert set(queries.ORACLE_SQL) <= names
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     res = con.execute(queries.ORACLE_SQL[name])
     cols = [d[0] for d in res.description]
     assert found(spark, name, *cols) == Counter(res.fetchall())
