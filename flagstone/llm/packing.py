@@ -19,16 +19,16 @@ Defined cases: a null text is empty and has the end id alone; an empty table
 gives no rows; a document of any length is cut, never dropped; rows equal in
 every column are packed one by one; a null ``doc_id`` is kept; other columns are
 ignored. Strings of special tokens in a text are ordinary text unless
-``specials`` is set. Texts are encoded between ASCII white space, which the
-vocabulary drops, so that the words of a task are encoded once; a text without
-white space is encoded whole.
+``specials`` is set. A text without white space is encoded whole.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterable, Iterator
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 from .common import by_shuffle, raw_texts, save, steps
 
 ID = np.dtype("<u4")
-# Encoded words kept by a task, and the longest kept, in bytes.
-KEPT_WORDS, KEPT_BYTES = 200_000, 64
+# Encoded words kept by a task (the last so many, and as many before), and the longest kept, in bytes.
+KEPT_WORDS, KEPT_BYTES = 400_000, 64
 # Text encoded at once, in bytes.
 ENCODE_BYTES = 1 << 20
 # Sequence ids of whole stretches begin here: task number times SPAN on top.
@@ -201,10 +201,29 @@ class Places:
 # --- tokens ----------------------------------------------------------------------
 
 
+# Places between a letter and an ASCII sign or digit (the apostrophe aside).
+_SIGN = r"[!-&(-/0-9:-@\[-`{-~]"
+CUT = re.compile(rf"(?<=[^\W\d_])(?={_SIGN})|(?<={_SIGN})(?=[^\W\d_])")
+
+
+@lru_cache(maxsize=2)
+def encoder_of(path: str, specials: bool, end_id: int) -> Encoder:
+    """The encoder of this Python worker, with the words of its earlier tasks."""
+    return Encoder(path, specials, end_id)
+
+
 class Encoder:
-    """Ids of texts, as little-endian bytes, with the words of a task encoded once."""
+    """Ids of texts, as little-endian bytes of the narrowest width that holds the
+    vocabulary.
 
-    def __init__(self, path: str, specials: bool):
+    Where the vocabulary keeps words apart and drops the white space between
+    them, words are encoded once for many texts; where it also keeps letters
+    apart from ASCII signs and digits (the apostrophe aside), so are the parts
+    of a word; where it ignores the case of ASCII letters, so do the kept words.
+    All three are tried out on every ASCII sign before use; other vocabularies
+    encode whole texts."""
+
+    def __init__(self, path: str, specials: bool, end_id: int):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -212,33 +231,61 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not specials
-        self.known: dict[bytes, bytes] = {}
-
-    def _encode(self, words: list[bytes]) -> Iterator[bytes]:
-        start, size = 0, 0
-        for i, w in enumerate([*words, b""]):
+        largest = max(end_id, self.tokenizer.get_vocab_size(with_added_tokens=True) - 1)
+        self.width = np.dtype("<u2") if largest < 1 << 16 else ID
+        signs = [bytes([c]) for c in range(33, 127) if not bytes([c]).isalpha() and c != 39]
+        self.words_apart = self._same([b"ab" + w + b"Cd" for w in (b" ", b"\n", b"\t ", b"\r\n", b"\x0b", b"\x0c")], bytes.split) and self._same(
+            [c + w + c for c in [*signs, b"'", b"a"] for w in (b" ", b"\n")], bytes.split
+        )
+        self.signs_apart = not specials and self.words_apart and self._same(
+            [x for c in signs for x in (b"ab" + c + b"Cd", c + c + b"ab" + c, b"a" + c + b"1" + c + b"b", b"'s" + c + b"it's" + c)], self._cut
+        )
+        letters = bytes(range(65, 91))
+        self.any_case = not specials and all(self._same([w], lambda x: [x.lower()]) for w in (letters, *(bytes([c]) for c in letters), b"aBbA'S"))
+        self.recent: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def _same(self, samples: list[bytes], cut) -> bool:
+        """Whether the parts of each sample have the ids of the whole."""
+        return all(b"".join(self._encode(cut(x))) == b"".join(self._encode([x])) for x in samples)
+
+    def _encode(self, words: list[bytes]) -> list[bytes]:
+        out, start, size = [], 0, 0
+        for i, w in enumerate(words):
             size += len(w)
-            if i == len(words) or size > ENCODE_BYTES:
+            if i + 1 == len(words) or size > ENCODE_BYTES:
                 part = [x.decode("utf-8", "replace") for x in words[start : i + 1]]
-                for e in self.tokenizer.encode_batch(part, add_special_tokens=False):
-                    yield np.array(e.ids, dtype=ID).tobytes()
+                found = self.tokenizer.encode_batch(part, add_special_tokens=False)
+                out += [np.array(e.ids, dtype=self.width).tobytes() for e in found]
                 start, size = i + 1, 0
+        return out
 
-    def ids(self, texts: Iterable[bytes | None]) -> Iterator[bytes]:
-        for text in texts:
-            words = text.split() if text else []
-            if len(self.known) > KEPT_WORDS:
-                self.known = {}
-            known = self.known
-            new = [w for w in set(words) if w not in known]
-            if new:
-                fresh = dict(zip(new, self._encode(new), strict=True))
-                long = {w: fresh.pop(w) for w in new if len(w) > KEPT_BYTES}
-                known.update(fresh)
-                if long:
-                    yield b"".join([long[w] if w in long else known[w] for w in words])
-                    continue
-            yield b"".join([known[w] for w in words])
+    @staticmethod
+    def _cut(word: bytes) -> list[bytes]:
+        return [x.encode() for x in CUT.split(word.decode("utf-8", "replace"))]
+
+    def ids(self, texts: list[bytes | None]) -> list[bytes]:
+        if not self.words_apart:
+            return self._encode([t or b"" for t in texts])
+        split = [(t.lower() if self.any_case else t).split() if t else [] for t in texts]
+        if len(self.recent) > KEPT_WORDS:
+            self.older, self.recent = self.recent, {}
+        recent, older = self.recent, self.older
+        new = set().union(*split).difference(recent)
+        recent.update({w: older[w] for w in new if w in older})
+        cut = {w: self._cut(w) if self.signs_apart else [w] for w in new if w not in recent}
+        parts = {x for p in cut.values() for x in p}.difference(recent)
+        recent.update({x: older[x] for x in parts if x in older})
+        unknown = [x for x in parts if x not in recent]
+        recent.update(zip(unknown, self._encode(unknown), strict=True))
+        for w, p in cut.items():
+            if len(p) > 1:
+                recent[w] = b"".join([recent[x] for x in p])
+        out = [b"".join(map(recent.__getitem__, words)) for words in split]
+        for w in {*cut, *unknown}:
+            if len(w) > KEPT_BYTES:
+                del recent[w]
+        return out
 
 
 def _tokens(path: str, end_id: int, max_tokens: int, specials: bool):
@@ -248,13 +295,14 @@ def _tokens(path: str, end_id: int, max_tokens: int, specials: bool):
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        encoder, end = Encoder(path, specials), np.array([end_id], dtype=ID).tobytes()
+        encoder = encoder_of(path, specials, end_id)
+        end, width = np.array([end_id], dtype=encoder.width).tobytes(), encoder.width.itemsize
         seen = np.zeros(max_tokens, dtype=np.int64)
         stretches = 0
         for whole in batches:
             for batch in steps([whole], "text"):
                 ids = [x + end for x in encoder.ids(raw_texts(batch, "text"))]
-                n = np.array([len(x) // ID.itemsize for x in ids], dtype=np.int64)
+                n = np.array([len(x) // width for x in ids], dtype=np.int64)
                 full, last = n // max_tokens, n % max_tokens
                 nth = np.zeros(len(n), dtype=np.int64)
                 for i, r in enumerate(last):
@@ -290,9 +338,9 @@ def _pieces(plan, max_tokens: int):
                     cuts = [(SPAN * (part + 1) + ahead + i, 0, max_tokens) for i in range(n // max_tokens)]
                     if last:
                         cuts += places.find(last, earlier + nth)
-                    start = 0
+                    start, wide = 0, np.frombuffer(ids, dtype=f"<u{len(ids) // n}").astype(ID).tobytes()
                     for sequence, offset, length in cuts:
-                        piece = ids[start * ID.itemsize : (start + length) * ID.itemsize]
+                        piece = wide[start * ID.itemsize : (start + length) * ID.itemsize]
                         for column, v in zip(out, (row, start, length, piece, n, sequence, offset), strict=True):
                             column.append(v)
                         start += length
