@@ -22,13 +22,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ..sinks.writers import QC_SUFFIX, RAW_SUFFIX, ensure_database, replace_table, sanitize_table_name, write_delimited
-from ..sources.delivery import delivery_paths, read_delimited, read_delivery
+from ..operators.summary import union_all
+from ..sources.delivery import delivery_misfits, delivery_paths, read_delimited, read_delivery
 from .runner import RuleFn, RunOptions, run_rules, vendor_registry
 
 log = logging.getLogger(__name__)
 
 # Fixed value: name of the summary output.
 SUMMARY_NAME = "qc_summary"
+# Cells that the given schemas cannot hold.
+MISFIT_NAME = "qc_misfit"
 
 
 @dataclass
@@ -92,7 +95,10 @@ def run_delivery(
     ``project`` locate the delivery (without ``project``: the older layout);
     ``database`` holds the ``_RAW`` and ``_QC`` tables (argument ``database``
     goes first; ``""`` stores Parquet below the output folder); ``flavour``
-    chooses the rule set; ``stamp`` true puts the UTC time behind output names."""
+    chooses the rule set; ``stamp`` true puts the UTC time behind output names;
+    ``on_misfit`` says what a cell means that its type in ``schemas`` cannot hold:
+    ``fail`` (default) ends the run, ``report`` makes it null and lists it in
+    ``qc_misfit``."""
     for k in ("rules", "rule_sequence"):
         if k not in vendor:
             raise ValueError(f"vendor configuration needs '{k}'")
@@ -105,7 +111,13 @@ def run_delivery(
         output_loc = output_loc or default_out
     database = vendor.get("database") if database is None else database
     stamp = time.strftime("_%Y%m%d%H%M%S", time.gmtime()) if vendor.get("stamp") else ""
-    inputs = read_delivery(spark, input_loc, schemas=schemas, multi_line=multi_line)
+    on_misfit = vendor.get("on_misfit", "fail")
+    if on_misfit not in ("fail", "report"):
+        raise ValueError(f"on_misfit must be 'fail' or 'report', got {on_misfit!r}")
+    report_misfits = bool(schemas) and on_misfit == "report"
+    inputs = read_delivery(
+        spark, input_loc, schemas=schemas, multi_line=multi_line, on_misfit="null" if on_misfit == "report" else "fail"
+    )
     _check_names(inputs)
     if database:
         ensure_database(spark, database)
@@ -116,7 +128,7 @@ def run_delivery(
     stage_dir = os.path.join(output_loc, "_stage")
     opts = replace(options or RunOptions(), stage=lambda name, df: store(spark, df, name, "", None, stage_dir))
     res = run_rules(raw, vendor["rules"], vendor["rule_sequence"], registry=registry or vendor_registry(vendor), options=opts)
-    _check_names([*inputs, *res.reports, SUMMARY_NAME])
+    _check_names([*inputs, *res.reports, SUMMARY_NAME, MISFIT_NAME])
     flagged = _run_all(
         {n: (lambda n=n, df=df: store(spark, df, n, QC_SUFFIX, database, output_loc)) for n, df in res.tables.items()},
         parallel_jobs,
@@ -130,6 +142,10 @@ def run_delivery(
         report = res.report(name, flagged)
         if report is not None:
             writes[name] = (report, os.path.join(output_loc, sanitize_table_name(name) + stamp + ".csv"), single_file)
+    if report_misfits:
+        found = union_all(delivery_misfits(spark, input_loc, schemas, multi_line=multi_line))
+        if found is not None:
+            writes[MISFIT_NAME] = (found, os.path.join(output_loc, MISFIT_NAME + stamp + ".csv"), single_file)
     summary = res.summary(flagged)
     if summary is not None:
         writes[SUMMARY_NAME] = (summary, os.path.join(output_loc, SUMMARY_NAME + stamp + ".csv"), True)

@@ -553,6 +553,34 @@ def q_delivery_text_roundtrip(spark, d):
     return back.groupBy(F.md5("text").alias("digest")).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"))
 
 
+def lines_wide(spark, d):
+    """Line items under keys of 18, 19 and 25 digits and keys padded with zeros."""
+    li, k = load(spark, d, "lineitem"), "CAST(l_orderkey AS STRING)"
+    return li.selectExpr(
+        f"concat('123456', lpad({k}, 12, '0')) AS key18",
+        f"concat('1234567', lpad({k}, 12, '0')) AS key19",
+        f"concat('9234567', lpad({k}, 12, '0')) AS key_over",
+        f"concat('1234567890123', lpad({k}, 12, '0')) AS key25",
+        f"lpad({k}, 12, '0') AS padded",
+        "concat(CAST(l_linenumber AS STRING), '.123456789012345678') AS fine",
+        "concat(CAST(l_linenumber AS STRING), '.25') AS plain",
+        "date_format(l_shipdate, 'yyyy-MM-dd') AS ship_day",
+        "CASE WHEN l_orderkey % 1000 = 0 THEN 'abc' ELSE CAST(l_linenumber AS STRING) END AS value_mixed",
+        "CAST(l_linenumber AS STRING) AS l_linenumber",
+    )
+
+
+def q_delivery_wide_ids(spark, d):
+    """Keys too long for a double, read from a delivery without a schema: types
+    found, every cell as written, duplicates by the longest key."""
+    folder = scratch_path(spark, "wide")
+    write_delimited(lines_wide(spark, d), folder + "/lines.txt", sep="|", encoding="ISO-8859-1")
+    lines = read_delivery(spark, folder)["lines"]
+    found = flag_duplicates(lines, ["key25", "l_linenumber"])
+    types = ", ".join(f"typeof({c})" for c in lines.columns)
+    return found.selectExpr(*[f"CAST({c} AS STRING) AS {c}" for c in lines.columns], f"concat_ws(' ', {types}) AS types", "dup_count", "dup_flag")
+
+
 def q_table_append(spark, d):
     """Line item counts of a delimited output written, then appended to."""
     path = scratch_path(spark, "append")
@@ -680,6 +708,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_summary": q_rule_summary,
     "rule_events": q_rule_events,
     "delivery_roundtrip_dups": q_delivery_roundtrip_dups,
+    "delivery_wide_ids": q_delivery_wide_ids,
     "table_replace": q_table_replace,
     "frequency": q_frequency,
     "dup_text_keys": q_dup_text_keys,
@@ -709,7 +738,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 # Checks that write files or tables as part of building their DataFrame.
 SIDE_EFFECTS = frozenset(
-    "delivery_roundtrip_dups table_replace table_upload delivery_text_roundtrip table_append "
+    "delivery_roundtrip_dups delivery_wide_ids table_replace table_upload delivery_text_roundtrip table_append "
     "delivery_run_flags delivery_run_summary delivery_run_reports".split()
 )
 
@@ -963,6 +992,14 @@ def oracle_sql() -> dict[str, str]:
         "rule_summary": _sql_rule_summary(),
         "rule_events": _sql_rule_events(),
         "delivery_roundtrip_dups": _dup_flags_sql("lineitem", LINE_KEYS),
+        "delivery_wide_ids": f"""WITH w AS (SELECT '123456' || lpad(k, 12, '0') AS key18, '1234567' || lpad(k, 12, '0') AS key19,
+            '9234567' || lpad(k, 12, '0') AS key_over, '1234567890123' || lpad(k, 12, '0') AS key25, lpad(k, 12, '0') AS padded,
+            l_linenumber || '.123456789012345678' AS fine, l_linenumber || '.25' AS plain, strftime(l_shipdate, '%Y-%m-%d') AS ship_day,
+            CASE WHEN l_orderkey % 1000 = 0 THEN 'abc' ELSE CAST(l_linenumber AS VARCHAR) END AS value_mixed,
+            CAST(l_linenumber AS VARCHAR) AS l_linenumber,
+            'bigint bigint decimal(38,0) decimal(38,0) string decimal(19,18) double date string bigint' AS types
+            FROM (SELECT *, CAST(l_orderkey AS VARCHAR) AS k FROM lineitem))
+            {_dup_flags_sql("w", ["key25", "l_linenumber"])}""",
         "table_replace": _with("customer_d")
         + f"""SELECT *, {_flag(_missing_str("c_mktsegment") + " OR " + _missing_dbl("c_acctbal"), "missing_flag")}
         FROM customer_d""",

@@ -3,7 +3,7 @@
 Listing uses the Hadoop FileSystem of the path (HDFS, S3A, local — whatever
 URI scheme the cluster supports), so only file *names* reach the driver; the
 data is read by one parallel CSV scan per file. Pass ``schemas`` to skip the
-extra full pass that schema inference costs on large files.
+pass over the files that finding types costs (:mod:`.types`).
 """
 
 from __future__ import annotations
@@ -12,12 +12,13 @@ import json
 import os
 import re
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.columns import ident, sql_str
+from .types import column_facts, in_schema, misfits, typed
 
 # Delivery layout.
 DELIVERY_GLOB = "*txt"
@@ -30,8 +31,6 @@ NA_MARKERS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN",
     "None", "n/a", "nan", "null",
 )
-_INTEGER = r"^[+-]?\d{1,18}$"
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
 def delivery_paths(project: str | None, folder: str, refresh_dt: str) -> tuple[str, str]:
@@ -62,78 +61,61 @@ def list_files(spark: SparkSession, folder: str, pattern: str = DELIVERY_GLOB) -
     return sorted(str(st.getPath().toString()) for st in found)
 
 
-def _typed(text: DataFrame, schema: StructType | None, sampling_ratio: float | None) -> DataFrame:
-    """Text columns in the types of ``schema``, or in the narrowest of bigint,
-    double and text that holds every cell (one aggregate)."""
-    names = text.columns
-    quoted = [ident(c) for c in names]
-    if schema is None:
-        seen = text.sample(sampling_ratio, seed=1) if sampling_ratio else text
-        tests = []
-        for i, c in enumerate(quoted):
-            tests.append(F.expr(f"coalesce(min({c} RLIKE {sql_str(_INTEGER)}), false) AS i{i}"))
-            tests.append(F.expr(f"coalesce(min({c} RLIKE {sql_str(_NUMBER)}), false) AS n{i}"))
-        found = seen.agg(*tests).first()
-        types = ["bigint" if found[f"i{i}"] else "double" if found[f"n{i}"] else "string" for i in range(len(names))]
-    else:
-        types = [schema[c].dataType.simpleString() for c in names]
-    return text.selectExpr(*[c if t == "string" else f"try_cast({c} AS {t}) AS {c}" for c, t in zip(quoted, types, strict=True)])
-
-
-def read_delimited(
+def read_text(
     spark: SparkSession,
     path: str,
     sep: str = DELIVERY_SEP,
     header: bool = True,
     schema: StructType | None = None,
     encoding: str | None = None,
-    infer_schema: bool = True,
-    sampling_ratio: float | None = None,
     na_values: Sequence[str] = (),
     multi_line: bool = False,
 ) -> DataFrame:
-    """One delimited file (or folder / glob) as a DataFrame.
+    """One delimited file (or folder / glob) with all cells as text.
 
     A quote inside a quoted cell is doubled; white space is kept. Cells equal
-    to one of ``na_values`` are null, before types are found. Without a schema,
-    types are inferred — an extra pass over the file, limited to a sample when
-    ``sampling_ratio`` is given. ``multi_line`` allows line breaks inside quoted
-    cells; a file is then read by one task, so leave it off otherwise."""
+    to one of ``na_values`` are null. ``schema`` only gives the column names."""
     r = spark.read.option("header", header).option("sep", sep).option("escape", '"').option("multiLine", multi_line)
     r = r.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     if encoding:
         r = r.option("encoding", encoding)
-    if na_values:
-        if schema is not None:
-            r = r.schema(StructType([StructField(f.name, StringType()) for f in schema.fields]))
-        text = r.csv(path)
-        absent = ", ".join(sql_str(v) for v in na_values)
-        text = text.selectExpr(*[f"CASE WHEN {ident(c)} NOT IN ({absent}) THEN {ident(c)} END AS {ident(c)}" for c in text.columns])
-        return _typed(text, schema, sampling_ratio) if schema is not None or infer_schema else text
     if schema is not None:
-        r = r.schema(schema)
-    else:
-        r = r.option("inferSchema", infer_schema)
-        if infer_schema and sampling_ratio:
-            r = r.option("samplingRatio", sampling_ratio)
-    return r.csv(path)
+        r = r.schema(StructType([StructField(f.name, StringType()) for f in schema.fields]))
+    text = r.csv(path)
+    if not na_values:
+        return text
+    absent = ", ".join(sql_str(v) for v in na_values)
+    return text.selectExpr(*[f"CASE WHEN {ident(c)} NOT IN ({absent}) THEN {ident(c)} END AS {ident(c)}" for c in text.columns])
 
 
-def read_delivery(
+def read_delimited(
     spark: SparkSession,
-    folder: str,
-    pattern: str = DELIVERY_GLOB,
+    path: str,
     sep: str = DELIVERY_SEP,
-    encoding: str | None = DELIVERY_ENCODING,
-    schemas: Mapping[str, StructType] | None = None,
+    header: bool = True,
+    schema: StructType | None = None,
+    encoding: str | None = None,
     infer_schema: bool = True,
-    sampling_ratio: float | None = None,
-    na_values: Sequence[str] = NA_MARKERS,
+    na_values: Sequence[str] = (),
     multi_line: bool = False,
-) -> dict[str, DataFrame]:
-    """``{table name: DataFrame}`` for every matching file of ``folder``.
+    on_misfit: str = "fail",
+) -> DataFrame:
+    """One delimited file (or folder / glob) as a DataFrame, see :func:`read_text`.
+
+    Without a schema, types are found by a pass over the file in which no cell
+    is lost (:mod:`.types`); with one, a cell that its type cannot hold is an
+    error, or null with ``on_misfit="null"``. ``multi_line`` allows line breaks inside quoted
+    cells; a file is then read by one task, so leave it off otherwise."""
+    text = read_text(spark, path, sep, header, schema, encoding, na_values, multi_line)
+    if schema is not None:
+        return in_schema(text, schema, table_name(path), on_misfit)
+    if not infer_schema:
+        return text
+    return typed(text, [f.type() for f in column_facts({"": text})[""]])
+
 
-    An empty delivery and two files with one table name are errors."""
+def _delivery_texts(spark, folder, pattern, sep, encoding, schemas, na_values, multi_line) -> dict[str, DataFrame]:
+    """``{table name: text columns}``; the header lines are read side by side."""
     paths: dict[str, str] = {}
     for path in list_files(spark, folder, pattern):
         name = table_name(path)
@@ -142,12 +124,55 @@ def read_delivery(
         paths[name] = path
     if not paths:
         raise FileNotFoundError(f"no files {pattern} in {folder}")
-    return {
-        name: read_delimited(
-            spark, path, sep, True, (schemas or {}).get(name), encoding, infer_schema, sampling_ratio, na_values, multi_line
-        )
-        for name, path in paths.items()
-    }
+
+    def read(name: str) -> DataFrame:
+        return read_text(spark, paths[name], sep, True, (schemas or {}).get(name), encoding, na_values, multi_line)
+
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        return dict(zip(paths, pool.map(read, paths), strict=True))
+
+
+def read_delivery(
+    spark: SparkSession,
+    folder: str,
+    pattern: str = DELIVERY_GLOB,
+    sep: str = DELIVERY_SEP,
+    encoding: str | None = DELIVERY_ENCODING,
+    schemas: Mapping[str, StructType] | None = None,
+    infer_schema: bool = True,
+    na_values: Sequence[str] = NA_MARKERS,
+    multi_line: bool = False,
+    on_misfit: str = "fail",
+) -> dict[str, DataFrame]:
+    """``{table name: DataFrame}`` for every matching file of ``folder``.
+
+    The types of all tables without a schema come from one job over the
+    delivery. An empty delivery and two files with one table name are errors."""
+    texts = _delivery_texts(spark, folder, pattern, sep, encoding, schemas, na_values, multi_line)
+    known = schemas or {}
+    facts = column_facts({n: df for n, df in texts.items() if n not in known}) if infer_schema else {}
+    out = {}
+    for name, text in texts.items():
+        if name in known:
+            out[name] = in_schema(text, known[name], name, on_misfit)
+        else:
+            out[name] = typed(text, [f.type() for f in facts[name]]) if infer_schema else text
+    return out
+
+
+def delivery_misfits(
+    spark: SparkSession,
+    folder: str,
+    schemas: Mapping[str, StructType],
+    pattern: str = DELIVERY_GLOB,
+    sep: str = DELIVERY_SEP,
+    encoding: str | None = DELIVERY_ENCODING,
+    na_values: Sequence[str] = NA_MARKERS,
+    multi_line: bool = False,
+) -> list[DataFrame]:
+    """Per table with a schema: its cells that the schema cannot hold."""
+    texts = _delivery_texts(spark, folder, pattern, sep, encoding, schemas, na_values, multi_line)
+    return [misfits(text, schemas[name], name) for name, text in texts.items() if name in schemas]
 
 
 def read_table(spark: SparkSession, uri: str, fmt: str = "csv", **options) -> DataFrame:
