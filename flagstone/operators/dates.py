@@ -35,6 +35,7 @@ from ..functions.columns import (
     sql_str,
     to_time_value_sql,
     unparsed_sql,
+    with_clean_dates,
 )
 from .skew import key_counts, keyed_join
 
@@ -93,9 +94,10 @@ def anchor_dates(anchor_table: DataFrame, spec: DateBoundSpec, on_bad: str = "nu
     for c in (spec.id_column, spec.dt_column):
         if c not in anchor_table.columns:
             raise ValueError(f"anchor table {spec.table!r} has no column {c!r}")
-    value = to_time_value_sql(anchor_table, spec.dt_column, spec.dt_type, on_bad)
+    rows, clean = with_clean_dates(anchor_table, [spec.dt_column], spec.dt_type)
+    value = to_time_value_sql(anchor_table, spec.dt_column, spec.dt_type, on_bad, clean)
     return (
-        anchor_table.selectExpr(f"{ident(spec.id_column)} AS {ANCHOR_ID}", f"{value} AS {ANCHOR}")
+        rows.selectExpr(f"{ident(spec.id_column)} AS {ANCHOR_ID}", f"{value} AS {ANCHOR}")
         .groupBy(ANCHOR_ID)
         .agg(F.expr(f"min({ANCHOR}) AS {ANCHOR}"))
     )
@@ -130,11 +132,13 @@ def join_anchor(
     """
     if _untouched(df, spec, name):
         return None
-    values = [to_time_value_sql(df, c, spec.dt_type, on_bad) for c in compared_columns(df, spec)]
-    cond = any_sql([f"{ANCHOR} < ({v})" for v in values])
+    cols = compared_columns(df, spec)
     flag = added_name(df, flag_col)
     base = [c for c in df.columns if c != flag]
     joined = keyed_join(df.select(*[ident(c) for c in base]), anchor, [spec.id_column], [ANCHOR_ID], "left", side_out=[ANCHOR])
+    joined, clean = with_clean_dates(joined, cols, spec.dt_type)
+    values = [to_time_value_sql(df, c, spec.dt_type, on_bad, clean) for c in cols]
+    cond = any_sql([f"{ANCHOR} < ({v})" for v in values])
     out = mark_added(joined.selectExpr(*[ident(c) for c in base], ANCHOR, f"{flag_sql(cond)} AS {ident(flag)}"), flag)
     if not keep_unmatched_anchor:
         return out
@@ -177,11 +181,13 @@ def unparsed_dates(df: DataFrame, spec: DateBoundSpec, table: str) -> DataFrame
         cols = [*cols, spec.dt_column]
     if not cols:
         return None
-    cells = ", ".join(
-        f"struct({sql_str(c)} AS column, CASE WHEN {unparsed_sql(df, c, spec.dt_type)} THEN CAST({ident(c)} AS STRING) END AS value)"
-        for c in cols
+    # parsed in a projection of their own, which is compiled; a generator's input is not
+    rows, clean = with_clean_dates(df, cols, spec.dt_type)
+    found = rows.selectExpr(
+        *[f"CASE WHEN {unparsed_sql(df, c, spec.dt_type, clean)} THEN CAST({ident(c)} AS STRING) END AS __dq_v{i}" for i, c in enumerate(cols)]
     )
-    found = df.selectExpr(f"inline(array({cells}))").where("value IS NOT NULL")
+    cells = ", ".join(f"struct({sql_str(c)} AS column, __dq_v{i} AS value)" for i, c in enumerate(cols))
+    found = found.selectExpr(f"inline(array({cells}))").where("value IS NOT NULL")
     return found.selectExpr(f"{sql_str(table)} AS tbl", "column", "value").distinct()
 
 

@@ -153,6 +153,22 @@ def labs_x(spark, d):
     return li.select("l_orderkey", "l_linenumber", text.alias("ship_date_txt"), F.date_format(t, "yyyyMMdd").cast("int").alias("ship_date_int"))
 
 
+def labs_y(spark, d):
+    """Ship dates as clinical files write them: two-digit years, halves of the
+    day, week days, months alone; every tenth order has text that is no date."""
+    li, t, m = load(spark, d, "lineitem"), F.col("l_shipdate"), F.col("l_orderkey") % 10
+    layouts = [
+        "dd-MMM-yy", "MM/dd/yy", "MM/dd/yyyy hh:mm a", "yyyyMMdd'T'HHmmss", "MMM yyyy", "E MMM d yyyy", "yyyy-MM-dd hh:mm:ss a",
+        "yyyy-MMM-dd", "d/M/yy H:mm",
+    ]
+    later = F.expr("l_shipdate + make_dt_interval(0, l_linenumber * 5, 7)")
+    text = F.when(F.col("l_linenumber") == 1, F.lit("not done")).otherwise(F.date_format(t, "yy/MM"))
+    for i, layout in enumerate(layouts):
+        text = F.when(m == i, F.date_format(F.when(m == 8, F.expr("date_trunc('MONTH', l_shipdate) + INTERVAL 14 DAYS")).otherwise(later), layout)).otherwise(text)
+    number = F.date_format(F.expr("l_shipdate - INTERVAL 400 DAYS"), "yyyyMMdd").cast("double")
+    return li.select("l_orderkey", "l_linenumber", text.alias("ship_date_txt"), number.alias("ship_date_num"))
+
+
 def events_r(spark, d):
     """Events with data columns that have names the rules use themselves."""
     e = load(spark, d, "events")
@@ -200,6 +216,19 @@ VIEWS_SQL = {
         WHEN 8 THEN strftime(l_shipdate, '%Y-%m-%d')
         ELSE CASE WHEN l_linenumber = 1 THEN 'unknown' ELSE strftime(l_shipdate, '%Y-13-%d') END END AS ship_date_txt,
         CAST(strftime(l_shipdate, '%Y%m%d') AS INTEGER) AS ship_date_int FROM lineitem""",
+    "labs_y": """SELECT l_orderkey, l_linenumber, l_shipdate, CASE l_orderkey % 10
+        WHEN 0 THEN date_trunc('day', later) WHEN 1 THEN date_trunc('day', later) WHEN 2 THEN date_trunc('minute', later)
+        WHEN 3 THEN later WHEN 4 THEN date_trunc('month', later) WHEN 5 THEN date_trunc('day', later) WHEN 6 THEN later
+        WHEN 7 THEN date_trunc('day', later) WHEN 8 THEN middle END AS parsed,
+        CASE l_orderkey % 10 WHEN 0 THEN strftime(later, '%d-%b-%y') WHEN 1 THEN strftime(later, '%m/%d/%y')
+        WHEN 2 THEN strftime(later, '%m/%d/%Y %I:%M %p') WHEN 3 THEN strftime(later, '%Y%m%dT%H%M%S') WHEN 4 THEN strftime(later, '%b %Y')
+        WHEN 5 THEN strftime(later, '%a %b %-d %Y') WHEN 6 THEN strftime(later, '%Y-%m-%d %I:%M:%S %p')
+        WHEN 7 THEN strftime(later, '%Y-%b-%d') WHEN 8 THEN strftime(middle, '%-d/%-m/%y %-H:%M')
+        ELSE CASE WHEN l_linenumber = 1 THEN 'not done' ELSE strftime(l_shipdate, '%y/%m') END END AS ship_date_txt,
+        date_trunc('day', l_shipdate - INTERVAL 400 DAY) AS earlier,
+        CAST(strftime(l_shipdate - INTERVAL 400 DAY, '%Y%m%d') AS DOUBLE) AS ship_date_num
+        FROM (SELECT *, l_shipdate + to_hours(5 * l_linenumber) + INTERVAL 7 MINUTE AS later,
+              date_trunc('month', l_shipdate) + INTERVAL 14 DAY AS middle FROM lineitem)""",
     "events_r": """SELECT event_id, user_id, CASE WHEN event_id % 7 = 0 THEN NULL ELSE event_type END AS result,
         value AS dup_count FROM events""",
     "labels_n": """SELECT * REPLACE (CASE WHEN doc_id % 5 = 0 THEN NULL ELSE doc_id END AS doc_id) FROM labels""",
@@ -445,6 +474,11 @@ def q_last_dt_ignored_columns(spark, d):
     return last_date({"rows": rows, "orders_a": orders_a(spark, d)}, spec)[0]["rows"]
 
 
+def q_last_dt_short_years(spark, d):
+    tables, _ = last_date({"labs_y": labs_y(spark, d), "orders_a": orders_a(spark, d)}, LAST_SPEC)
+    return tables["labs_y"]
+
+
 def q_last_dt_unparsed(spark, d):
     return unparsed_dates(labs_x(spark, d), LAST_SPEC, "labs_x")
 
@@ -716,6 +750,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "missing_result_column": q_missing_result_column,
     "nonnumeric_null_ok": q_nonnumeric_null_ok,
     "last_dt_layouts": q_last_dt_layouts,
+    "last_dt_short_years": q_last_dt_short_years,
     "last_dt_integer_dates": q_last_dt_integer_dates,
     "last_dt_ignored_columns": q_last_dt_ignored_columns,
     "last_dt_unparsed": q_last_dt_unparsed,
@@ -1016,6 +1051,10 @@ def oracle_sql() -> dict[str, str]:
         "last_dt_layouts": f"""{_with("orders_a", "labs_x")}, a AS (SELECT l_orderkey AS aid, min(o_orderdate) AS anchor FROM orders_a GROUP BY 1)
         SELECT t.l_orderkey, t.l_linenumber, t.ship_date_txt, {_flag("t.l_orderkey % 10 <> 9 AND a.anchor < t.l_shipdate", "last_dt_flag")}
         FROM labs_x t LEFT JOIN a ON t.l_orderkey = a.aid""",
+        "last_dt_short_years": f"""{_with("orders_a", "labs_y")}, a AS (SELECT l_orderkey AS aid, min(o_orderdate) AS anchor FROM orders_a GROUP BY 1)
+        SELECT t.l_orderkey, t.l_linenumber, t.ship_date_txt, t.ship_date_num,
+        {_flag("a.anchor < t.parsed OR a.anchor < t.earlier", "last_dt_flag")}
+        FROM labs_y t LEFT JOIN a ON t.l_orderkey = a.aid""",
         "last_dt_integer_dates": f"""{_with("orders_a", "labs_x")}, a AS (SELECT l_orderkey AS aid, min(o_orderdate) AS anchor FROM orders_a GROUP BY 1)
         SELECT t.l_orderkey, t.l_linenumber, t.ship_date_int, {_flag("a.anchor < t.l_shipdate", "last_dt_flag")}
         FROM labs_x t LEFT JOIN a ON t.l_orderkey = a.aid""",

@@ -87,6 +87,39 @@ DATES = [
     ("2018.02.05", "2018-02-05 00:00:00"),
     (" 2018-02-15 ", "2018-02-15 00:00:00"),
     ("2018/11/04", "2018-11-04 00:00:00"),
+    ("15-FEB-18", "2018-02-15 00:00:00"),
+    ("01-jan-69", "1969-01-01 00:00:00"),
+    ("31/12/68", "2068-12-31 00:00:00"),
+    ("02/15/18", "2018-02-15 00:00:00"),
+    ("2/5/18 7:05", "2018-02-05 07:05:00"),
+    ("02/15/2018 10:05 PM", "2018-02-15 22:05:00"),
+    ("02/15/2018 12:05:30 a.m.", "2018-02-15 00:05:30"),
+    ("2018-02-15 12:00PM", "2018-02-15 12:00:00"),
+    ("15-FEB-18 1:05 pm", "2018-02-15 13:05:00"),
+    ("20180215T101500", "2018-02-15 10:15:00"),
+    ("20180215T1015Z", "2018-02-15 10:15:00"),
+    ("20180215 10:15", "2018-02-15 10:15:00"),
+    ("Feb 2018", "2018-02-01 00:00:00"),
+    ("September, 2018", "2018-09-01 00:00:00"),
+    ("Thu Feb 15 2018", "2018-02-15 00:00:00"),
+    ("Thursday, 15 Feb 2018 10:05:30.25 +0100", "2018-02-15 10:05:30.25"),
+    ("Feb 3rd, 2018", "2018-02-03 00:00:00"),
+    ("2018-Feb-15", "2018-02-15 00:00:00"),
+    ("15FEB2018", "2018-02-15 00:00:00"),
+    ("UK-FEB-18", "2018-02-15 00:00:00"),
+    ("2018-02-15T10:00:00+05:30", "2018-02-15 10:00:00"),
+    ("2018-02", "2018-02-01 00:00:00"),
+    ("2018", "2018-01-01 00:00:00"),
+    ("201802151", None),
+    ("13/13/2018", None),
+    ("20181315", None),
+    ("02/15/2018 10:75 PM", None),
+    ("15-FEB-1", None),
+    ("Sunday", None),
+    ("a.m.", None),
+    ("12:30 PM", None),
+    ("1/2", None),
+    ("x" * 5000 + " 2018", None),
     ("2018-02-30", None),
     ("15-Foo-2018", None),
     ("not a date", None),
@@ -108,6 +141,19 @@ def test_dates_in_any_layout_and_zone(spark, zone):
     assert [r.bad for r in got] == [v is None and bool((t or "").strip()) for t, v in DATES]
 
 
+def test_number_dates(spark):
+    df = spark.createDataFrame([(0, 20190101.0), (1, 20190101.5), (2, float("nan")), (3, None), (4, 1e300)], "rid int, t double")
+    exprs = [f"CAST({to_time_value_sql(df, 't')} AS STRING) AS v", f"{unparsed_sql(df, 't')} AS bad", "CAST(t AS DECIMAL(12,1)) AS x"]
+    got = df.where("rid < 4").selectExpr("rid", *exprs[:2]).orderBy("rid").collect()
+    assert [(r.v, r.bad) for r in got] == [("2019-01-01 00:00:00", False), (None, True), (None, False), (None, False)]
+    assert df.where("rid = 4").selectExpr(exprs[0]).first().v is None
+    exact = df.where("rid < 2").selectExpr("rid", exprs[2])
+    got = [r.v for r in exact.selectExpr("rid", f"CAST({to_time_value_sql(exact, 'x')} AS STRING) AS v").orderBy("rid").collect()]
+    assert got == ["2019-01-01 00:00:00", None]
+    strict = df.where("rid IN (0, 2, 3)").selectExpr(f"{to_time_value_sql(df, 't', on_bad='fail')} AS v")
+    assert sum(r.v is not None for r in strict.collect()) == 1
+
+
 def test_integer_dates(spark):
     df = spark.createDataFrame([(0, 20190101), (1, 20191345), (2, 7), (3, None)], "rid int, t int")
     got = [r.v for r in df.selectExpr("rid", f"CAST({to_time_value_sql(df, 't')} AS STRING) AS v").orderBy("rid").collect()]
