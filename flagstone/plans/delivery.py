@@ -21,7 +21,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ..sinks.writers import QC_SUFFIX, RAW_SUFFIX, ensure_database, replace_table, sanitize_table_name, write_delimited
+from ..sinks.writers import QC_SUFFIX, RAW_SUFFIX, ensure_database, replace_folder, replace_table, sanitize_table_name, write_delimited
 from ..operators.summary import union_all
 from ..sources.delivery import delivery_misfits, delivery_paths, read_delimited, read_delivery
 from .runner import RuleFn, RunOptions, run_rules, vendor_registry
@@ -49,7 +49,7 @@ def store(spark: SparkSession, df: DataFrame, name: str, suffix: str, database:
     if database:
         return spark.table(replace_table(df, database, name, suffix))
     path = os.path.join(folder, sanitize_table_name(name) + suffix)
-    df.write.mode("overwrite").parquet(path)
+    replace_folder(df, path, lambda writer, folder: writer.parquet(folder))
     return spark.read.parquet(path)
 
 
@@ -98,7 +98,8 @@ def run_delivery(
     chooses the rule set; ``stamp`` true puts the UTC time behind output names;
     ``on_misfit`` says what a cell means that its type in ``schemas`` cannot hold:
     ``fail`` (default) ends the run, ``report`` makes it null and lists it in
-    ``qc_misfit``."""
+    ``qc_misfit``. Reports and the summary are one file each; flagged tables are
+    folders of parts unless ``single_file``."""
     for k in ("rules", "rule_sequence"):
         if k not in vendor:
             raise ValueError(f"vendor configuration needs '{k}'")
@@ -141,11 +142,11 @@ def run_delivery(
     for name in res.reports:
         report = res.report(name, flagged)
         if report is not None:
-            writes[name] = (report, os.path.join(output_loc, sanitize_table_name(name) + stamp + ".csv"), single_file)
+            writes[name] = (report, os.path.join(output_loc, sanitize_table_name(name) + stamp + ".csv"), True)
     if report_misfits:
         found = union_all(delivery_misfits(spark, input_loc, schemas, multi_line=multi_line))
         if found is not None:
-            writes[MISFIT_NAME] = (found, os.path.join(output_loc, MISFIT_NAME + stamp + ".csv"), single_file)
+            writes[MISFIT_NAME] = (found, os.path.join(output_loc, MISFIT_NAME + stamp + ".csv"), True)
     summary = res.summary(flagged)
     if summary is not None:
         writes[SUMMARY_NAME] = (summary, os.path.join(output_loc, SUMMARY_NAME + stamp + ".csv"), True)

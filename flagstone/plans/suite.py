@@ -705,6 +705,22 @@ def q_table_replace(spark, d):
     return spark.table(name)
 
 
+def q_table_swap(spark, d):
+    """Customers stored, then replaced by a flagged copy that reads the stored table itself."""
+    db = "flagstone_swap"
+    ensure_database(spark, db, scratch_path(spark, "warehouse-swap"))
+    name = replace_table(customer_d(spark, d), db, "customers")
+    return spark.table(replace_table(flag_missing(spark.table(name), ["c_mktsegment", "c_acctbal"]), db, "customers"))
+
+
+def q_report_single_file(spark, d):
+    """The duplicate report as one file of the given name, read back as text."""
+    path = scratch_path(spark, "report") + "/qc_dup_lines.csv"
+    write_delimited(duplicate_report(lineitem_d(spark, d), LINE_KEYS).select(*LINE_KEYS, "counts", "l_partkey"), path, single_file=True)
+    rows = spark.read.text(path)
+    return rows.groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_frequency(spark, d):
     return frequency(load(spark, d, "lineitem"), ["l_returnflag", "l_linestatus"], "lineitem", "1")
 
@@ -744,6 +760,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delivery_roundtrip_dups": q_delivery_roundtrip_dups,
     "delivery_wide_ids": q_delivery_wide_ids,
     "table_replace": q_table_replace,
+    "table_swap": q_table_swap,
+    "report_single_file": q_report_single_file,
     "frequency": q_frequency,
     "dup_text_keys": q_dup_text_keys,
     "dup_reserved_names": q_dup_reserved_names,
@@ -773,7 +791,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 # Checks that write files or tables as part of building their DataFrame.
 SIDE_EFFECTS = frozenset(
-    "delivery_roundtrip_dups delivery_wide_ids table_replace table_upload delivery_text_roundtrip table_append "
+    "delivery_roundtrip_dups delivery_wide_ids table_swap report_single_file table_replace table_upload delivery_text_roundtrip table_append "
     "delivery_run_flags delivery_run_summary delivery_run_reports".split()
 )
 
@@ -1027,6 +1045,10 @@ def oracle_sql() -> dict[str, str]:
         "rule_summary": _sql_rule_summary(),
         "rule_events": _sql_rule_events(),
         "delivery_roundtrip_dups": _dup_flags_sql("lineitem", LINE_KEYS),
+        "report_single_file": f"""{_with("lineitem_d")}, r AS (SELECT t.l_orderkey || ',' || t.l_linenumber || ',' || g.n || ',' || t.l_partkey AS line
+            FROM lineitem_d t JOIN ({_dup_groups_sql("lineitem_d", LINE_KEYS)}) g ON {dup_on}
+            UNION ALL SELECT 'l_orderkey,l_linenumber,counts,l_partkey')
+            SELECT line, COUNT(*) AS n FROM r GROUP BY line""",
         "delivery_wide_ids": f"""WITH w AS (SELECT '123456' || lpad(k, 12, '0') AS key18, '1234567' || lpad(k, 12, '0') AS key19,
             '9234567' || lpad(k, 12, '0') AS key_over, '1234567890123' || lpad(k, 12, '0') AS key25, lpad(k, 12, '0') AS padded,
             l_linenumber || '.123456789012345678' AS fine, l_linenumber || '.25' AS plain, strftime(l_shipdate, '%Y-%m-%d') AS ship_day,
@@ -1095,4 +1117,5 @@ def oracle_sql() -> dict[str, str]:
         FROM lineitem GROUP BY l_returnflag, l_linestatus""",
     }
     sql["last_dt_strict"] = sql["last_dt_partial_dates"]
+    sql["table_swap"] = sql["table_replace"]
     return sql
