@@ -11,12 +11,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import RESULT, ident, is_added, sql_str
 
 SUMMARY_COLUMNS = ("rule", "tbl", "total", "count", "percent")
+_PERCENT = "CAST(CASE WHEN total = 0 THEN 0.0D ELSE round(`count` * 100.0D / total, 2) END AS DOUBLE) AS percent"
 
 
 def flag_summary(flagged: DataFrame, rule: str, table: str, flag_col: str) -> DataFrame:
@@ -38,13 +39,20 @@ def flags_summary(flagged: DataFrame, table: str, rule_flags: Sequence[tuple[str
     per_rule = ", ".join(
         f"struct({sql_str(rule)} AS rule, __dq_s{i} AS `count`)" for i, (rule, _) in enumerate(rule_flags)
     )
-    return agg.selectExpr("total", f"inline(array({per_rule}))").selectExpr(
-        "rule",
-        f"{sql_str(table)} AS tbl",
-        "total",
-        "`count`",
-        "CAST(CASE WHEN total = 0 THEN 0.0D ELSE round(`count` * 100.0D / total, 2) END AS DOUBLE) AS percent",
-    )
+    return agg.selectExpr("total", f"inline(array({per_rule}))").selectExpr("rule", f"{sql_str(table)} AS tbl", "total", "`count`", _PERCENT)
+
+
+def observed_flags(flagged: DataFrame, flag_cols: Sequence[str]) -> tuple[DataFrame, Observation]:
+    """``flagged``, which counts its rows (``total``) and the sum of each flag
+    (``s0``, ``s1``, …) while it is written."""
+    counts = Observation()
+    sums = [F.expr(f"sum({ident(c)})").alias(f"s{i}") for i, c in enumerate(flag_cols)]
+    return flagged.observe(counts, F.expr("count(1)").alias("total"), *sums), counts
+
+
+def summary_of_counts(spark: SparkSession, rows: Sequence[tuple[str, str, int, int]]) -> DataFrame:
+    """Summary of ``(rule, tbl, total, count)`` rows, one per rule and table."""
+    return spark.createDataFrame(list(rows), "rule string, tbl string, total long, count long").selectExpr("*", _PERCENT)
 
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame | None:

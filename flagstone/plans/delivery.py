@@ -5,8 +5,9 @@ Stored tables are the lineage cuts. The raw copy (``<name>_RAW`` in a
 catalog database, or Parquet under the output folder) is read back before the
 rules run, so CSV parsing happens once and a lost executor never sends Spark
 back to the text files; the flagged copy (``<name>_QC``) is read back before
-the reports and summaries, which therefore scan stored columns (a summary
-reads only the flag columns) instead of re-running every rule.
+the reports, which therefore scan stored columns instead of re-running every
+rule. Rows and flags are counted while the flagged copy is written, so the
+summary reads no table at all.
 """
 
 from __future__ import annotations
@@ -130,8 +131,9 @@ def run_delivery(
     opts = replace(options or RunOptions(), stage=lambda name, df: store(spark, df, name, "", None, stage_dir))
     res = run_rules(raw, vendor["rules"], vendor["rule_sequence"], registry=registry or vendor_registry(vendor), options=opts)
     _check_names([*inputs, *res.reports, SUMMARY_NAME, MISFIT_NAME])
+    counting, counts = res.observed()
     flagged = _run_all(
-        {n: (lambda n=n, df=df: store(spark, df, n, QC_SUFFIX, database, output_loc)) for n, df in res.tables.items()},
+        {n: (lambda n=n, df=df: store(spark, df, n, QC_SUFFIX, database, output_loc)) for n, df in counting.items()},
         parallel_jobs,
     )
 
@@ -147,7 +149,7 @@ def run_delivery(
         found = union_all(delivery_misfits(spark, input_loc, schemas, multi_line=multi_line))
         if found is not None:
             writes[MISFIT_NAME] = (found, os.path.join(output_loc, MISFIT_NAME + stamp + ".csv"), True)
-    summary = res.summary(flagged)
+    summary = res.observed_summary(spark, counts)
     if summary is not None:
         writes[SUMMARY_NAME] = (summary, os.path.join(output_loc, SUMMARY_NAME + stamp + ".csv"), True)
     _run_all(

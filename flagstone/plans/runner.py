@@ -12,10 +12,10 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
-from functools import partial
+from functools import cache, partial
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ..functions.columns import (
     DEATH_DT_FLAG,
@@ -31,7 +31,7 @@ from ..functions.columns import (
 )
 from ..operators.dates import DateBoundSpec, date_bound, unparsed_dates
 from ..operators.duplicates import flag_duplicates, flag_duplicates_first_key, report_from_flags
-from ..operators.frequency import frequency
+from ..operators.frequency import frequencies, frequency_of
 from ..operators.missing import flag_missing, flag_missing_null_only, missing_by_column
 from ..operators.numeric import (
     flag_negative,
@@ -41,7 +41,7 @@ from ..operators.numeric import (
     offending_values,
     value_columns,
 )
-from ..operators.summary import flags_summary, union_all
+from ..operators.summary import flags_summary, observed_flags, summary_of_counts, union_all
 
 log = logging.getLogger(__name__)
 
@@ -138,10 +138,33 @@ class QcResult:
         copies of the flagged tables instead of recomputing them.
         """
         tables = self.tables if tables is None else tables
+        return union_all(flags_summary(tables[name], name, pairs) for name, pairs in self._by_table().items())
+
+    def _by_table(self) -> dict[str, list[tuple[str, str]]]:
         by_table: dict[str, list[tuple[str, str]]] = {}
         for rule, name, flag_col in self.flags:
             by_table.setdefault(name, []).append((rule, flag_col))
-        return union_all(flags_summary(tables[name], name, pairs) for name, pairs in by_table.items())
+        return by_table
+
+    def observed(self) -> tuple[dict[str, DataFrame], dict[str, Observation]]:
+        """The flagged tables, each counting its rows and flags while it is
+        written, and the counts; :meth:`observed_summary` reads them afterwards.
+
+        The counts are taken by the tasks that write, and of each partition only
+        those of the task that counts as done: a task that is tried again, or
+        twice at a time, counts once."""
+        tables, counts = dict(self.tables), {}
+        for name, pairs in self._by_table().items():
+            tables[name], counts[name] = observed_flags(tables[name], [flag for _, flag in pairs])
+        return tables, counts
+
+    def observed_summary(self, spark: SparkSession, counts: Mapping[str, Observation]) -> DataFrame | None:
+        """The summary from the counts of the written tables: no table is read again."""
+        rows = []
+        for name, pairs in self._by_table().items():
+            found = counts[name].get
+            rows += [(rule, name, found["total"], found[f"s{i}"] or 0) for i, (rule, _) in enumerate(pairs)]
+        return summary_of_counts(spark, rows) if rows else None
 
 
 RuleFn = Callable[[dict[str, DataFrame], Any, RunOptions], RuleOutput]
@@ -246,13 +269,22 @@ def _date_report_from(name: str, make: Callable[..., DataFrame], tables: Mapping
     return make(tables[name])
 
 
+def _frequencies(name: str, source: DataFrame, groups: Mapping[str, Sequence[str]], opts: RunOptions) -> DataFrame:
+    found = frequencies(source, groups)
+    return opts.stage(f"frequency_{name}", found) if opts.stage else found
+
+
 def _frequency(dfs, cfg: Mapping[str, Mapping[str, Sequence[str]]], opts: RunOptions) -> RuleOutput:
+    """All labels of a table come from one pass over it (stored, in a delivery run)."""
     out = RuleOutput(dict(dfs))
     for name, groups in cfg.items():
-        if name not in dfs:
+        if name not in dfs or not groups:
             continue
+        counted = cache(partial(_frequencies, name, _source(opts, name, dfs[name]), groups, opts))
         for label, cols in groups.items():
-            out.reports[FREQUENCY_REPORT.format(name, label)] = partial(frequency, _source(opts, name, dfs[name]), cols, name, label)
+            out.reports[FREQUENCY_REPORT.format(name, label)] = (
+                lambda counted=counted, cols=cols, name=name, label=label: frequency_of(counted(), cols, name, label)
+            )
     return out
 
 

@@ -24,7 +24,7 @@ from ..operators.duplicates import (
     flag_duplicates_first_key,
     unique_key,
 )
-from ..operators.frequency import frequency
+from ..operators.frequency import frequencies, frequency, frequency_rows
 from ..operators.membership import mappable_id, unmapped_rows
 from ..operators.missing import flag_missing, flag_missing_null_only, missing_by_column
 from ..operators.numeric import flag_negative, flag_non_numeric, flag_non_numeric_spark, negative_rows, offending_values
@@ -725,6 +725,21 @@ def q_frequency(spark, d):
     return frequency(load(spark, d, "lineitem"), ["l_returnflag", "l_linestatus"], "lineitem", "1")
 
 
+FREQUENCY_LABELS = {
+    "1": ["l_returnflag", "l_linestatus"],
+    "2": ["l_linenumber"],
+    "3": ["l_linenumber", "l_returnflag"],
+    "4": ["l_shipdate", "l_linestatus"],
+    "5": ["l_suppkey"],
+}
+
+
+def q_frequency_labels(spark, d):
+    """Five frequency tables of one table from one pass; values as text in one column."""
+    rows = frequency_rows(frequencies(lineitem_d(spark, d), FREQUENCY_LABELS), FREQUENCY_LABELS, "lineitem_d")
+    return rows.selectExpr("tbl", "label", "concat_ws('|', transform(value, v -> coalesce(v, 'null'))) AS value", "`count` AS n")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dup_flags": q_dup_flags,
     "dup_null_keys": q_dup_null_keys,
@@ -763,6 +778,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_swap": q_table_swap,
     "report_single_file": q_report_single_file,
     "frequency": q_frequency,
+    "frequency_labels": q_frequency_labels,
     "dup_text_keys": q_dup_text_keys,
     "dup_reserved_names": q_dup_reserved_names,
     "missing_result_column": q_missing_result_column,
@@ -1045,6 +1061,13 @@ def oracle_sql() -> dict[str, str]:
         "rule_summary": _sql_rule_summary(),
         "rule_events": _sql_rule_events(),
         "delivery_roundtrip_dups": _dup_flags_sql("lineitem", LINE_KEYS),
+        "frequency_labels": _with("lineitem_d")
+        + " UNION ALL ".join(
+            f"""SELECT 'lineitem_d' AS tbl, '{label}' AS label, concat_ws('|', {", ".join(f"coalesce(CAST({c} AS VARCHAR), 'null')" for c in cols)}) AS value,
+            COUNT(*) AS n
+            FROM lineitem_d GROUP BY {", ".join(cols)}"""
+            for label, cols in FREQUENCY_LABELS.items()
+        ),
         "report_single_file": f"""{_with("lineitem_d")}, r AS (SELECT t.l_orderkey || ',' || t.l_linenumber || ',' || g.n || ',' || t.l_partkey AS line
             FROM lineitem_d t JOIN ({_dup_groups_sql("lineitem_d", LINE_KEYS)}) g ON {dup_on}
             UNION ALL SELECT 'l_orderkey,l_linenumber,counts,l_partkey')
