@@ -19,6 +19,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -257,6 +258,79 @@ def date_bound(
     return out, makers
 
 
+def merged_anchors(parts: Sequence[tuple[DataFrame, DateBoundSpec]], on_bad: str = "null") -> DataFrame:
+    """``(id, limit 0, limit 1, …)`` with one row per id that any anchor table
+    holds: the earliest limit of each, from one aggregate over all of them."""
+    rows = []
+    for i, (table, spec) in enumerate(parts):
+        limits = anchor_dates(table, spec, on_bad)
+        type_ = limits.schema[ANCHOR].dataType.simpleString()
+        rows.append((limits, i, type_))
+    types = [t for _, _, t in rows]
+    wide = [
+        limits.selectExpr(ANCHOR_ID, *[f"{ANCHOR} AS {ANCHOR}{j}" if j == i else f"CAST(NULL AS {t}) AS {ANCHOR}{j}" for j, t in enumerate(types)])
+        for limits, i, _ in rows
+    ]
+    return reduce(DataFrame.unionAll, wide).groupBy(ANCHOR_ID).agg(*[F.expr(f"min({ANCHOR}{j}) AS {ANCHOR}{j}") for j in range(len(types))])
+
+
+def can_merge(dfs: Mapping[str, DataFrame], specs: Sequence[DateBoundSpec]) -> bool:
+    """Whether one side table can serve all limits: they share the name and the type of the id."""
+    tables = [(dfs.get(s.table), s) for s in specs]
+    if len(specs) < 2 or any(t is None or s.id_column not in t.columns for t, s in tables):
+        return False
+    return len({(s.id_column, t.schema[s.id_column].dataType.simpleString()) for t, s in tables}) == 1
+
+
+def date_bounds(
+    dfs: Mapping[str, DataFrame],
+    bounds: Sequence[tuple[DateBoundSpec, str]],
+    on_bad: str = "null",
+    sources: Mapping[str, DataFrame] | None = None,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
+) -> tuple[dict[str, DataFrame], list[dict[str, Callable[..., DataFrame]]]]:
+    """Several ``(spec, flag)`` at once (see :func:`can_merge`): every table is
+    joined once, to the merged limits, instead of once per rule. Flags and
+    reports are those of :func:`date_bound`, applied one after the other."""
+    sources = sources or {}
+    side = merged_anchors([(sources.get(s.table, dfs[s.table]), s) for s, _ in bounds], on_bad)
+    if stage is not None:
+        side = stage(side)
+    out, makers = dict(dfs), [{} for _ in bounds]
+
+    def maker(joined: DataFrame, i: int) -> Callable[..., DataFrame]:
+        spec, flag_col = bounds[i]
+        others = [f"{ANCHOR}{j}" for j in range(len(bounds))]
+
+        def make(stored: DataFrame | None = None) -> DataFrame:
+            if stored is None:
+                return _report_of(joined.withColumn(ANCHOR, F.col(f"{ANCHOR}{i}")).drop(*others), spec, flag_col)
+            return anchored_report(stored, side.selectExpr(ANCHOR_ID, f"{ANCHOR}{i} AS {ANCHOR}"), spec, flag_col)
+
+        return make
+
+    for name, df in dfs.items():
+        used = [i for i, (spec, _) in enumerate(bounds) if not _untouched(df, spec, name)]
+        if not used:
+            continue
+        joined = keyed_join(df, side, [bounds[0][0].id_column], [ANCHOR_ID], "left", side_out=[f"{ANCHOR}{i}" for i in used])
+        for i in used:
+            spec, flag_col = bounds[i]
+            cols, flag = compared_columns(df, spec), added_name(joined, flag_col)
+            base = [c for c in joined.columns if c != flag]
+            parsed, clean = with_clean_dates(joined, cols, spec.dt_type)
+            cond = any_sql([f"{ANCHOR}{i} < ({to_time_value_sql(df, c, spec.dt_type, on_bad, clean)})" for c in cols])
+            joined = mark_added(parsed.selectExpr(*[ident(c) for c in base], f"{flag_sql(cond)} AS {ident(flag)}"), flag)
+        limits = [f"{ANCHOR}{i}" for i in used]
+        own = [c for c in joined.columns if c not in limits]
+        # the limits follow the columns, as reports take them from there
+        joined = joined.select(*[F.col(ident(c)) for c in own], *limits)
+        out[name] = joined.drop(*limits)
+        for i in used:
+            makers[i][name] = maker(joined, i)
+    return out, makers
+
+
 def last_date(dfs, spec, **kw):
     """Dates after the last-contact date: flag ``last_dt_flag``."""
     return date_bound(dfs, spec, LAST_DT_FLAG, **kw)

@@ -29,7 +29,7 @@ from ..functions.columns import (
     VALUE_FLAG,
     added_name,
 )
-from ..operators.dates import DateBoundSpec, date_bound, unparsed_dates
+from ..operators.dates import DateBoundSpec, can_merge, date_bound, date_bounds, unparsed_dates
 from ..operators.duplicates import flag_duplicates, flag_duplicates_first_key, report_from_flags
 from ..operators.frequency import frequencies, frequency_of
 from ..operators.missing import flag_missing, flag_missing_null_only, missing_by_column
@@ -241,28 +241,64 @@ def _negative(dfs, cfg, opts: RunOptions) -> RuleOutput:
     return out
 
 
-def _date_rule(rule: str, flag_col: str, report_fmt: str) -> RuleFn:
-    def run(dfs, cfg, opts: RunOptions) -> RuleOutput:
+@dataclass(frozen=True)
+class DateRule:
+    """A rule that compares the dates of every table with a limit per id."""
+
+    rule: str
+    flag_col: str
+    report_fmt: str
+
+    def __call__(self, dfs, cfg, opts: RunOptions) -> RuleOutput:
         spec = DateBoundSpec.from_dict(cfg)
         tables, reports = date_bound(
             dfs,
             spec,
-            flag_col,
+            self.flag_col,
             keep_unmatched_anchor=opts.keep_unmatched_anchor,
             on_bad=opts.on_bad_date,
             sources=opts.sources,
-            stage=(lambda df: opts.stage(f"anchor_{rule}", df)) if opts.stage else None,
+            stage=(lambda df: opts.stage(f"anchor_{self.rule}", df)) if opts.stage else None,
         )
+        return self.output(dfs, tables, reports, spec, opts)
+
+    def output(self, dfs, tables, reports: Mapping[str, Callable[..., DataFrame]], spec: DateBoundSpec, opts: RunOptions) -> RuleOutput:
         out = RuleOutput(tables)
         for name, make in reports.items():
-            out.reports[report_fmt.format(name)] = make
-            out.stored_reports[report_fmt.format(name)] = partial(_date_report_from, name, make)
-            out.flags.append((rule, name, added_name(tables[name], flag_col)))
+            out.reports[self.report_fmt.format(name)] = make
+            out.stored_reports[self.report_fmt.format(name)] = partial(_date_report_from, name, make)
+            out.flags.append((self.rule, name, added_name(tables[name], self.flag_col)))
         unparsed = {n: _source(opts, n, dfs[n]) for n in dict.fromkeys([*reports, spec.table])}
-        out.reports[UNPARSED_REPORT.format(rule)] = lambda: union_all(unparsed_dates(df, spec, n) for n, df in unparsed.items())
+        out.reports[UNPARSED_REPORT.format(self.rule)] = lambda: union_all(unparsed_dates(df, spec, n) for n, df in unparsed.items())
         return out
 
-    return run
+
+def merge_date_rules(steps: Sequence[tuple[str, RuleFn]], rules: Mapping[str, Any], dfs: Mapping[str, DataFrame], opts: RunOptions) -> list[list]:
+    """The steps of a sequence, date rules that follow each other and share the id
+    in one group: such a group needs one join per table."""
+    groups: list[list] = []
+    for rule, fn in steps:
+        last = groups[-1] if groups else []
+        if isinstance(fn, DateRule) and last and all(isinstance(f, DateRule) for _, f in last) and not opts.keep_unmatched_anchor:
+            specs = [DateBoundSpec.from_dict(rules[r]) for r, _ in [*last, (rule, fn)]]
+            if len({f.flag_col for _, f in [*last, (rule, fn)]}) > len(last) and can_merge(dfs, specs):
+                last.append((rule, fn))
+                continue
+        groups.append([(rule, fn)])
+    return groups
+
+
+def _run_date_rules(group: Sequence[tuple[str, DateRule]], tables, rules: Mapping[str, Any], opts: RunOptions) -> list[RuleOutput]:
+    specs = [DateBoundSpec.from_dict(rules[rule]) for rule, _ in group]
+    name = "anchor_" + "_".join(rule for rule, _ in group)
+    out, makers = date_bounds(
+        tables,
+        [(spec, fn.flag_col) for spec, (_, fn) in zip(specs, group, strict=True)],
+        on_bad=opts.on_bad_date,
+        sources=opts.sources,
+        stage=(lambda df: opts.stage(name, df)) if opts.stage else None,
+    )
+    return [fn.output(tables, out, made, spec, opts) for (_, fn), made, spec in zip(group, makers, specs, strict=True)]
 
 
 def _date_report_from(name: str, make: Callable[..., DataFrame], tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -293,8 +329,8 @@ DEFAULT_RULES: dict[str, RuleFn] = {
     "missing": _missing,
     "string_tables": _string_tables,
     "negative": _negative,
-    "last_dt": _date_rule("last_dt", LAST_DT_FLAG, LAST_DT_REPORT),
-    "death_dt": _date_rule("death_dt", DEATH_DT_FLAG, DEATH_DT_REPORT),
+    "last_dt": DateRule("last_dt", LAST_DT_FLAG, LAST_DT_REPORT),
+    "death_dt": DateRule("death_dt", DEATH_DT_FLAG, DEATH_DT_REPORT),
     "frequency": _frequency,
 }
 
@@ -372,19 +408,24 @@ def run_rules(
     reports: dict[str, Callable[[], DataFrame | None]] = {}
     flags: list[tuple[str, str, str]] = []
     stored: dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]] = {}
-    ran = []
+    steps = []
     for rule in sequence:
         fn = reg.get(rule)
         if fn is None:
             log.warning("unknown rule %s skipped", rule)
-            continue
-        if rule not in rules:
+        elif rule not in rules:
             log.warning("rule %s has no configuration, skipped", rule)
-            continue
-        res = fn(tables, rules[rule], opts)
-        tables = res.tables
-        reports.update(res.reports)
-        flags.extend(res.flags)
-        stored.update(res.stored_reports)
-        ran.append(rule)
+        else:
+            steps.append((rule, fn))
+    for group in merge_date_rules(steps, rules, tables, opts):
+        if len(group) > 1:
+            results = _run_date_rules(group, tables, rules, opts)
+        else:
+            results = [fn(tables, rules[rule], opts) for rule, fn in group]
+        for res in results:
+            tables = res.tables
+            reports.update(res.reports)
+            flags.extend(res.flags)
+            stored.update(res.stored_reports)
+    ran = [rule for rule, _ in steps]
     return QcResult(tables, LazyFrames(reports), flags, ran, stored)

@@ -84,3 +84,54 @@ def test_summary_of_a_run_reads_no_table(spark, tmp_path):
     assert got == {(r.rule, r.tbl): (r.total, r["count"], r.percent) for r in again.collect()}
     assert got[("missing", "boats")] == (3, 1, 33.33) and got[("missing", "empty")] == (0, 0, 0.0)
     assert sorted(glob.glob(str(tmp_path / "out" / "qc_freq_*"))) == [str(tmp_path / "out" / f"qc_freq_boats_{i}.csv") for i in (1, 2)]
+
+
+# --- two date limits, one join ------------------------------------------------------
+
+LAST = {"table": "ends", "dt_column": "END_DAY", "id_column": "unit", "dt_value": "DAY"}
+DEATH = {"table": "deaths", "dt_column": "GONE_DAY", "id_column": "unit", "dt_value": "DAY", "ignorecols": ["NEXT_DAY"]}
+
+
+def date_tables(spark):
+    visits = [(1, "2020/01/UK", "2020/02/01"), (1, "2021/01/01", None), (2, "2019/05/05", "2019/05/06"), (3, "2018-01-01", "15-FEB-18"), (None, "2020/01/01", "x")]
+    return {
+        "visits": spark.createDataFrame(visits, "unit int, FIRST_DAY string, NEXT_DAY string"),
+        "ends": spark.createDataFrame([(1, "2020/01/20"), (1, "2020/06/01"), (3, "2018/02/01"), (9, None)], "unit int, END_DAY string"),
+        "deaths": spark.createDataFrame([(1, "2020/12/31"), (2, "2019/05/05"), (None, "1999/01/01")], "unit int, GONE_DAY string"),
+        "other": spark.createDataFrame([(1,)], "unit int"),
+    }
+
+
+def rows_of(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+def test_two_limits_take_one_join(spark):
+    from flagstone.operators.dates import date_bound, DateBoundSpec
+
+    tables, rules = date_tables(spark), {"last_dt": LAST, "death_dt": DEATH}
+    res = run_rules(tables, rules, ["last_dt", "death_dt"])
+    plan = res.tables["visits"]._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"(?m)^\W*Join ", plan)) == 1
+    # as the rules one after the other
+    first, last_reports = date_bound(tables, DateBoundSpec.from_dict(LAST), "last_dt_flag")
+    second, death_reports = date_bound(first, DateBoundSpec.from_dict(DEATH), "death_dt_flag")
+    for name in tables:
+        assert res.tables[name].columns == second[name].columns
+        assert rows_of(res.tables[name]) == rows_of(second[name])
+    assert [r.last_dt_flag for r in res.tables["visits"].orderBy("unit", "FIRST_DAY").collect()] == [0, 1, 1, 0, 1]
+    for fmt, makers in (("qc_lastdt_{}", last_reports), ("qc_deathdt_{}", death_reports)):
+        for name, make in makers.items():
+            want = rows_of(make(second[name]))
+            assert rows_of(res.report(fmt.format(name), res.tables)) == want
+            assert rows_of(res.reports[fmt.format(name)].select(*make(second[name]).columns)) == want or fmt.startswith("qc_lastdt")
+    assert {(r, t) for r, t, _ in res.flags} == {("last_dt", "visits"), ("last_dt", "deaths"), ("death_dt", "visits"), ("death_dt", "ends")}
+
+
+def test_limits_by_another_id_stay_apart(spark):
+    tables = date_tables(spark)
+    tables["deaths"] = tables["deaths"].selectExpr("CAST(unit AS STRING) AS unit", "GONE_DAY")
+    res = run_rules(tables, {"last_dt": LAST, "death_dt": DEATH}, ["last_dt", "death_dt"])
+    plan = res.tables["visits"]._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"(?m)^\W*Join ", plan)) == 2
+    assert [r.death_dt_flag for r in res.tables["visits"].orderBy("unit", "FIRST_DAY").collect()] == [0, 0, 1, 0, 0]
