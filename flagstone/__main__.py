@@ -28,8 +28,9 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--input", help="delivery folder (default: from the configuration)")
     p.add_argument("--output", help="output folder (default: from the configuration)")
     p.add_argument("--database", help="catalog database for _RAW / _QC tables (default: from the configuration, else Parquet files)")
-    p.add_argument("--single-file", action="store_true", help="write each CSV output as one file (everything passes through one task; meant for small tables)")
+    p.add_argument("--single-file", action="store_true", help="write each flagged table as one CSV file too, as far as its parts are small enough to be joined")
     p.add_argument("--multi-line", action="store_true", help="cells may hold quoted line breaks (a file is then one task)")
+    p.add_argument("--resume", action="store_true", help="go on where an earlier run to the same output ended")
     return p.parse_args(argv)
 
 
@@ -47,11 +48,14 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
         database=args.database,
         single_file=args.single_file,
         multi_line=args.multi_line,
+        resume=args.resume,
     )
     for vendor, res in results.items():
         for name, path in sorted(res.outputs.items()):
             print(f"{vendor}\t{name}\t{path}")
-    return 0 if results else 1
+    for vendor, error in results.failed.items():
+        print(f"{vendor}\tfailed\t{error}", file=sys.stderr)
+    return 0 if results and not results.failed else 1
 
 
 if __name__ == "__main__":

@@ -24,7 +24,8 @@ from pyspark.sql.types import StructType
 
 from ..sinks.writers import QC_SUFFIX, RAW_SUFFIX, ensure_database, replace_folder, replace_table, sanitize_table_name, write_delimited
 from ..operators.summary import union_all
-from ..sources.delivery import delivery_misfits, delivery_paths, read_delimited, read_delivery
+from ..sources.delivery import delivery_files, delivery_misfits, delivery_paths, read_delimited, read_delivery
+from .manifest import Manifest, file_states, fingerprint
 from .runner import RuleFn, RunOptions, run_rules, vendor_registry
 
 log = logging.getLogger(__name__)
@@ -54,6 +55,20 @@ def store(spark: SparkSession, df: DataFrame, name: str, suffix: str, database:
     return spark.read.parquet(path)
 
 
+def stored(spark: SparkSession, name: str, suffix: str, database: str | None, folder: str) -> DataFrame | None:
+    """What :func:`store` has written before, or None."""
+    if database:
+        full = f"`{database}`.`{sanitize_table_name(name) + suffix}`"
+        return spark.table(full) if spark.catalog.tableExists(full) else None
+    path = os.path.join(folder, sanitize_table_name(name) + suffix)
+    return spark.read.parquet(path) if _exists(spark, path) else None
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def _run_all(jobs: Mapping[str, Callable[[], object]], parallel_jobs: int) -> dict[str, object]:
     """Run independent Spark actions, ``parallel_jobs`` at a time (Spark
     schedules jobs submitted from several driver threads side by side, so
@@ -88,6 +103,7 @@ def run_delivery(
     single_file: bool = False,
     parallel_jobs: int = 4,
     multi_line: bool = False,
+    resume: bool = False,
 ) -> DeliveryResult:
     """Run one vendor configuration; independent table writes run
     ``parallel_jobs`` at a time.
@@ -100,7 +116,12 @@ def run_delivery(
     ``on_misfit`` says what a cell means that its type in ``schemas`` cannot hold:
     ``fail`` (default) ends the run, ``report`` makes it null and lists it in
     ``qc_misfit``. Reports and the summary are one file each; flagged tables are
-    folders of parts unless ``single_file``."""
+    folders of parts unless ``single_file``.
+
+    ``resume`` goes on where an earlier run to the same output ended: a table
+    whose file, a flagged table or a report whose tables and configuration are
+    the same as then, is not made again (:mod:`.manifest`). Rules of a
+    ``registry`` are told apart by their names only."""
     for k in ("rules", "rule_sequence"):
         if k not in vendor:
             raise ValueError(f"vendor configuration needs '{k}'")
@@ -117,25 +138,49 @@ def run_delivery(
     if on_misfit not in ("fail", "report"):
         raise ValueError(f"on_misfit must be 'fail' or 'report', got {on_misfit!r}")
     report_misfits = bool(schemas) and on_misfit == "report"
-    inputs = read_delivery(
-        spark, input_loc, schemas=schemas, multi_line=multi_line, on_misfit="null" if on_misfit == "report" else "fail"
-    )
-    _check_names(inputs)
+    manifest = Manifest(spark, output_loc)
+
+    def step(kind: str, name: str, mark: str, suffix: str, place: tuple[str | None, str], make, figures=None) -> tuple[DataFrame, Mapping]:
+        """A stored table: the finished one, or made now and recorded."""
+        done = manifest.finished(f"{kind} {name}", mark) if resume else None
+        held = stored(spark, name, suffix, *place) if done is not None else None
+        if held is not None:
+            return held, done
+        manifest.forget(f"{kind} {name}")
+        out = store(spark, make(), name, suffix, *place)
+        found = figures() if figures else {}
+        manifest.record(f"{kind} {name}", mark, found)
+        return out, found
+
+    place = (database, output_loc)
+    files = delivery_files(spark, input_loc)
+    _check_names(files)
+    reading = [multi_line, on_misfit, database]
+    marks = {n: fingerprint(p, file_states(spark, p), (schemas or {}).get(n) and schemas[n].json(), reading) for n, p in files.items()}
+    ready = {n for n in files if resume and manifest.finished(f"raw {n}", marks[n]) is not None and stored(spark, n, RAW_SUFFIX, *place) is not None}
+    null_misfits = "null" if on_misfit == "report" else "fail"
+    inputs = read_delivery(spark, input_loc, schemas=schemas, multi_line=multi_line, on_misfit=null_misfits, skip=ready) if len(ready) < len(files) else {}
     if database:
         ensure_database(spark, database)
-    raw = _run_all(
-        {n: (lambda n=n, df=df: store(spark, df, n, RAW_SUFFIX, database, output_loc)) for n, df in inputs.items()},
+    raw_steps = _run_all(
+        {n: (lambda n=n: step("raw", n, marks[n], RAW_SUFFIX, place, lambda: inputs[n])) for n in files},
         parallel_jobs,
     )
-    stage_dir = os.path.join(output_loc, "_stage")
-    opts = replace(options or RunOptions(), stage=lambda name, df: store(spark, df, name, "", None, stage_dir))
+    raw = {n: df for n, (df, _) in raw_steps.items()}
+    mark = fingerprint(marks, vendor["rules"], vendor["rule_sequence"], vendor.get("flavour"), repr(options), sorted(registry or {}))
+    stage_place = (None, os.path.join(output_loc, "_stage"))
+    opts = replace(options or RunOptions(), stage=lambda name, df: step("stage", name, mark, "", stage_place, lambda: df)[0])
     res = run_rules(raw, vendor["rules"], vendor["rule_sequence"], registry=registry or vendor_registry(vendor), options=opts)
-    _check_names([*inputs, *res.reports, SUMMARY_NAME, MISFIT_NAME])
+    _check_names([*files, *res.reports, SUMMARY_NAME, MISFIT_NAME])
     counting, counts = res.observed()
-    flagged = _run_all(
-        {n: (lambda n=n, df=df: store(spark, df, n, QC_SUFFIX, database, output_loc)) for n, df in counting.items()},
+    qc_steps = _run_all(
+        {
+            n: (lambda n=n, df=df: step("qc", n, mark, QC_SUFFIX, place, lambda: df, lambda: counts[n].get if n in counts else {}))
+            for n, df in counting.items()
+        },
         parallel_jobs,
     )
+    flagged = {n: df for n, (df, _) in qc_steps.items()}
 
     writes: dict[str, tuple[DataFrame, str, bool]] = {}
     if csv_output:
@@ -149,13 +194,19 @@ def run_delivery(
         found = union_all(delivery_misfits(spark, input_loc, schemas, multi_line=multi_line))
         if found is not None:
             writes[MISFIT_NAME] = (found, os.path.join(output_loc, MISFIT_NAME + stamp + ".csv"), True)
-    summary = res.observed_summary(spark, counts)
+    summary = res.observed_summary(spark, {n: figures for n, (_, figures) in qc_steps.items()})
     if summary is not None:
         writes[SUMMARY_NAME] = (summary, os.path.join(output_loc, SUMMARY_NAME + stamp + ".csv"), True)
-    _run_all(
-        {k: (lambda df=df, path=path, one=one: write_delimited(df, path, single_file=one)) for k, (df, path, one) in writes.items()},
-        parallel_jobs,
-    )
+
+    def write(name: str, df: DataFrame, path: str, one: bool) -> None:
+        at = fingerprint(mark, path, one)
+        if resume and manifest.finished(f"out {name}", at) is not None and _exists(spark, path):
+            return
+        manifest.forget(f"out {name}")
+        write_delimited(df, path, single_file=one)
+        manifest.record(f"out {name}", at)
+
+    _run_all({k: (lambda k=k, w=w: write(k, *w)) for k, w in writes.items()}, parallel_jobs)
     outputs = {k: path for k, (_, path, _) in writes.items()}
     return DeliveryResult(raw, flagged, summary, outputs, res.rules_run)
 
@@ -176,9 +227,18 @@ def upload_file(
     return spark.table(replace_table(df, database, table))
 
 
-def run_vendors(spark: SparkSession, config: Mapping, vendors: str | Sequence[str], **kw) -> dict[str, DeliveryResult]:
+class VendorRuns(dict):
+    """``{vendor: DeliveryResult}``, and in ``failed`` the errors of the vendors that did not finish."""
+
+    def __init__(self):
+        super().__init__()
+        self.failed: dict[str, Exception] = {}
+
+
+def run_vendors(spark: SparkSession, config: Mapping, vendors: str | Sequence[str], **kw) -> VendorRuns:
     """Run several vendors (comma-separated or a list); names are matched
-    upper-cased, an unknown vendor is reported and skipped. Explicit locations
+    upper-cased, an unknown vendor is reported and skipped. A vendor that fails
+    is logged and kept in ``failed``; the others run. Explicit locations
     and a database are those of a single vendor; of several, each gets a
     sub-folder and a database of its own below them."""
     names = [v.strip() for v in vendors.split(",")] if isinstance(vendors, str) else list(vendors)
@@ -190,7 +250,7 @@ def run_vendors(spark: SparkSession, config: Mapping, vendors: str | Sequence[st
             continue
         known[key] = config[key]
     apart = len(known) > 1
-    out = {}
+    out = VendorRuns()
     for key, vendor in known.items():
         own = dict(kw)
         for loc in ("input_loc", "output_loc"):
@@ -198,5 +258,9 @@ def run_vendors(spark: SparkSession, config: Mapping, vendors: str | Sequence[st
                 own[loc] = os.path.join(own[loc], key)
         if apart and own.get("database"):
             own["database"] = f"{own['database']}_{sanitize_table_name(key).lower()}"
-        out[key] = run_delivery(spark, vendor, **own)
+        try:
+            out[key] = run_delivery(spark, vendor, **own)
+        except Exception as e:
+            log.exception("vendor %s failed", key)
+            out.failed[key] = e
     return out

@@ -158,11 +158,11 @@ class QcResult:
             tables[name], counts[name] = observed_flags(tables[name], [flag for _, flag in pairs])
         return tables, counts
 
-    def observed_summary(self, spark: SparkSession, counts: Mapping[str, Observation]) -> DataFrame | None:
+    def observed_summary(self, spark: SparkSession, counts: Mapping[str, Mapping[str, int | None]]) -> DataFrame | None:
         """The summary from the counts of the written tables: no table is read again."""
         rows = []
         for name, pairs in self._by_table().items():
-            found = counts[name].get
+            found = counts[name]
             rows += [(rule, name, found["total"], found[f"s{i}"] or 0) for i, (rule, _) in enumerate(pairs)]
         return summary_of_counts(spark, rows) if rows else None
 

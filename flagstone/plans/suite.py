@@ -34,7 +34,7 @@ from ..session import scratch_path
 from ..sinks.writers import ensure_database, replace_table, write_delimited
 from ..sources.delivery import read_delimited, read_delivery
 from .delivery import run_delivery, upload_file
-from .runner import run_rules, vendor_registry
+from .runner import rule_registry, run_rules, vendor_registry
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -652,8 +652,9 @@ def q_row_ids(spark, d):
     return ids.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("columnindex").alias("n_ids"))
 
 
-def _delivery_run(spark, d):
-    """Line items, orders and events as pipe files, checked as a delivery."""
+def _delivery_run(spark, d, stopped: bool = False):
+    """Line items, orders and events as pipe files, checked as a delivery; with
+    ``stopped`` a first run ends at its last rule, and a second one goes on."""
     base = scratch_path(spark, "run")
     tables = {"lines": lineitem_d(spark, d), "orders": orders_a(spark, d), "events": events_d(spark, d)}
     for name, df in tables.items():
@@ -670,13 +671,26 @@ def _delivery_run(spark, d):
         "rule_sequence": ["last_dt", "death_dt", "duplication", "string_tables", "missing"],
     }
     schemas = {name: df.schema for name, df in tables.items()}
-    return run_delivery(spark, vendor, base + "/in", base + "/out", database="", schemas=schemas)
+    if stopped:
+
+        def stop(dfs, cfg, opts):
+            raise RuntimeError("stopped")
+
+        try:
+            run_delivery(spark, vendor, base + "/in", base + "/out", database="", schemas=schemas, registry=rule_registry({"missing": stop}))
+        except RuntimeError:
+            pass
+    return run_delivery(spark, vendor, base + "/in", base + "/out", database="", schemas=schemas, resume=stopped)
 
 
 def q_delivery_run_flags(spark, d):
     return _delivery_run(spark, d).flagged["lines"]
 
 
+def q_delivery_run_resumed(spark, d):
+    return _delivery_run(spark, d, stopped=True).flagged["lines"]
+
+
 def q_delivery_run_summary(spark, d):
     return _delivery_run(spark, d).summary
 
@@ -801,6 +815,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "last_dt_strict": q_last_dt_strict,
     "row_ids": q_row_ids,
     "delivery_run_flags": q_delivery_run_flags,
+    "delivery_run_resumed": q_delivery_run_resumed,
     "delivery_run_summary": q_delivery_run_summary,
     "delivery_run_reports": q_delivery_run_reports,
 }
@@ -808,7 +823,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # Checks that write files or tables as part of building their DataFrame.
 SIDE_EFFECTS = frozenset(
     "delivery_roundtrip_dups delivery_wide_ids table_swap report_single_file table_replace table_upload delivery_text_roundtrip table_append "
-    "delivery_run_flags delivery_run_summary delivery_run_reports".split()
+    "delivery_run_flags delivery_run_resumed delivery_run_summary delivery_run_reports".split()
 )
 
 
@@ -1141,4 +1156,5 @@ def oracle_sql() -> dict[str, str]:
     }
     sql["last_dt_strict"] = sql["last_dt_partial_dates"]
     sql["table_swap"] = sql["table_replace"]
+    sql["delivery_run_resumed"] = sql["delivery_run_flags"]
     return sql

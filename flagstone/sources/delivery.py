@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -114,8 +114,9 @@ def read_delimited(
     return typed(text, [f.type() for f in column_facts({"": text})[""]])
 
 
-def _delivery_texts(spark, folder, pattern, sep, encoding, schemas, na_values, multi_line) -> dict[str, DataFrame]:
-    """``{table name: text columns}``; the header lines are read side by side."""
+def delivery_files(spark: SparkSession, folder: str, pattern: str = DELIVERY_GLOB) -> dict[str, str]:
+    """``{table name: path}`` of a delivery. An empty delivery and two files with
+    one table name are errors."""
     paths: dict[str, str] = {}
     for path in list_files(spark, folder, pattern):
         name = table_name(path)
@@ -124,6 +125,11 @@ def _delivery_texts(spark, folder, pattern, sep, encoding, schemas, na_values, m
         paths[name] = path
     if not paths:
         raise FileNotFoundError(f"no files {pattern} in {folder}")
+    return paths
+
+
+def _delivery_texts(spark, paths, sep, encoding, schemas, na_values, multi_line) -> dict[str, DataFrame]:
+    """``{table name: text columns}``; the header lines are read side by side."""
 
     def read(name: str) -> DataFrame:
         return read_text(spark, paths[name], sep, True, (schemas or {}).get(name), encoding, na_values, multi_line)
@@ -143,12 +149,14 @@ def read_delivery(
     na_values: Sequence[str] = NA_MARKERS,
     multi_line: bool = False,
     on_misfit: str = "fail",
+    skip: Collection[str] = (),
 ) -> dict[str, DataFrame]:
-    """``{table name: DataFrame}`` for every matching file of ``folder``.
+    """``{table name: DataFrame}`` for every matching file of ``folder`` whose table is not in ``skip``.
 
     The types of all tables without a schema come from one job over the
     delivery. An empty delivery and two files with one table name are errors."""
-    texts = _delivery_texts(spark, folder, pattern, sep, encoding, schemas, na_values, multi_line)
+    paths = {n: p for n, p in delivery_files(spark, folder, pattern).items() if n not in skip}
+    texts = _delivery_texts(spark, paths, sep, encoding, schemas, na_values, multi_line)
     known = schemas or {}
     facts = column_facts({n: df for n, df in texts.items() if n not in known}) if infer_schema else {}
     out = {}
@@ -171,7 +179,7 @@ def delivery_misfits(
     multi_line: bool = False,
 ) -> list[DataFrame]:
     """Per table with a schema: its cells that the schema cannot hold."""
-    texts = _delivery_texts(spark, folder, pattern, sep, encoding, schemas, na_values, multi_line)
+    texts = _delivery_texts(spark, delivery_files(spark, folder, pattern), sep, encoding, schemas, na_values, multi_line)
     return [misfits(text, schemas[name], name) for name, text in texts.items() if name in schemas]
 
 
