@@ -290,7 +290,7 @@ def merge_date_rules(steps: Sequence[tuple[str, RuleFn]], rules: Mapping[str, An
 
 def _run_date_rules(group: Sequence[tuple[str, DateRule]], tables, rules: Mapping[str, Any], opts: RunOptions) -> list[RuleOutput]:
     specs = [DateBoundSpec.from_dict(rules[rule]) for rule, _ in group]
-    name = "anchor_" + "_".join(rule for rule, _ in group)
+    name = f"anchor_{group[-1][0]}"  # holds the limits of the whole group
     out, makers = date_bounds(
         tables,
         [(spec, fn.flag_col) for spec, (_, fn) in zip(specs, group, strict=True)],
