@@ -19,13 +19,16 @@ part like ``-list``; tokens such as ``has-sidebar`` say nothing, and headers
 inside an article are text.
 
 Defined cases: a null, empty or text-less page gives an empty text; unclosed
-and stray tags are tolerated; repeated pages give repeated rows; ``url`` and
+and stray tags are tolerated (an unclosed script, style, textarea or title takes
+the rest of the page, any other raw element only its tag), in time that grows
+with the length of the page; repeated pages give repeated rows; ``url`` and
 extra columns are not read.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 import pyarrow as pa
@@ -55,16 +58,84 @@ ENDINGS = set("area bar block box buttons count form icons inner item items left
 CONTAINERS = {"body", "div", "section", "td"}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(?P<raw>" + "|".join(RAW) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.I | re.S,
-)
+# Raw elements whose text ends only with their end tag, or the page; those that ``/>`` closes.
+ENDLESS = {"script", "style", "textarea", "title"}
+FOREIGN = {"svg", "math"}
+
+_OPEN = re.compile(r"<(?:(?P<comment>!--)|(?P<cdata>!\[CDATA\[)|(?P<other>[!?])|(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:_.-]*))")
+_QUOTED = re.compile(r"=\s*([\"'])")
+_RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 _ATTR = re.compile(r"([^\s\"'=<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME_PARTS = re.compile(r"[a-z0-9]+")
 
 
+def _tokens(html: str):
+    """(start, end, end tag, name, attributes) of comments (name empty), raw elements
+    (name empty) and tags, in page order.
+
+    A quoted attribute value may hold ``>``. What is found to be missing from
+    some place on (an end sign, a closing quote, the end tag of a raw element) is
+    looked for only once, so the time grows with the page, however broken."""
+    missing: set[str] = set()
+    at = 0
+
+    def find(what: str, start: int) -> int:
+        if what in missing:
+            return -1
+        found = html.find(what, start)
+        if found < 0:
+            missing.add(what)
+        return found
+
+    def tag_end(start: int) -> int:
+        """The place of the ``>`` that ends a tag, or -1."""
+        first = end = find(">", start)
+        while end >= 0:
+            quoted = _QUOTED.search(html, start, end)
+            closing = find(quoted[1], quoted.end()) if quoted else -1
+            if closing < 0:
+                return end
+            start = closing + 1
+            if end < start:
+                end = find(">", start)
+        return first
+
+    while True:
+        m = _OPEN.search(html, at)
+        if not m:
+            return
+        start, tag = m.start(), m["tag"]
+        if m["comment"] or m["cdata"]:
+            mark = "-->" if m["comment"] else "]]>"
+            end = find(mark, m.end())
+            at = len(html) if end < 0 else end + len(mark)
+            yield start, at, False, "", ""
+            continue
+        end = find(">", m.end()) if m["other"] else tag_end(m.end())
+        if end < 0:
+            if m["other"] or ">" in missing:
+                return  # no tag ends from here on: the rest is text
+            at = m.end()
+            continue
+        at = end + 1
+        if m["other"]:
+            yield start, at, False, "", ""
+            continue
+        name, attrs = tag.lower(), html[m.end() : end]
+        if name in _RAW_END and not m["close"] and not (name in FOREIGN and attrs.endswith("/")):
+            close = None if name in missing else _RAW_END[name].search(html, at)
+            if close:
+                at = close.end()
+            else:
+                missing.add(name)
+                if name in ENDLESS:
+                    at = len(html)
+            name = ""
+        elif name in _RAW_END:
+            name = ""
+        yield start, at, bool(m["close"]), name, attrs
+
+
 class Line:
     __slots__ = ("article", "chrome", "container", "linked", "text", "wrapped")
 
@@ -128,6 +199,7 @@ def page_lines(html: str) -> list[Line]:
     lines: list[Line] = []
     # Open elements that are of a kind, and those nested in them by the same name, with the state outside of them.
     stack: list[tuple[str, tuple[int, int, int, bool]]] = []
+    opened: Counter[str] = Counter()  # names on the stack
     boxes: list[tuple[str, int]] = [("", 0)]  # open containers, by number
     open_boxes = dict.fromkeys(CONTAINERS, 0)
     held: list[str] = []
@@ -142,29 +214,28 @@ def page_lines(html: str) -> list[Line]:
             lines.append(Line(text, state[0] + state[1] > 0, state[2] > 0, state[3], linked, boxes[-1][1]))
         linked = 0
 
-    for m in _TOKEN.finditer(html):
-        piece = html[at : m.start()]
-        at = m.end()
+    for start, end, close, tag, attrs in _tokens(html):
+        piece = html[at:start]
+        at = end
         if piece:
             held.append(piece)
             if anchors:
                 linked += len(piece)
-        tag = m["tag"]
         if not tag:
             continue
-        tag = tag.lower()
         if tag == "br":
             held.append(" ")
             continue
         if tag == "a":
-            anchors = 0 if m["close"] else 1
+            anchors = 0 if close else 1
             continue
-        if m["close"]:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+        if close:
+            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None) if opened[tag] else None
             if tag in BLOCKS or depth is not None:
                 flush()
             if depth is not None:
                 state = stack[depth][1]
+                opened.subtract(name for name, _ in stack[depth:])
                 del stack[depth:]
             if open_boxes.get(tag):
                 while True:
@@ -176,13 +247,15 @@ def page_lines(html: str) -> list[Line]:
         if tag in BLOCKS and stack and stack[-1][0] == "p":  # a block ends an open paragraph
             flush()
             state = stack.pop()[1]
-        kind = _kind(tag, m["attrs"], state[2] > 0)
+            opened["p"] -= 1
+        kind = _kind(tag, attrs, state[2] > 0)
         if tag in BLOCKS or kind:
             flush()
-        if tag not in VOID and not m["attrs"].endswith("/") and (kind or any(tag == t for t, _ in stack)):
+        if tag not in VOID and not attrs.endswith("/") and (kind or opened[tag]):
             stack.append((tag, state))
+            opened[tag] += 1
             state = _inside(state, kind)
-        if tag in CONTAINERS and not m["attrs"].endswith("/"):
+        if tag in CONTAINERS and not attrs.endswith("/"):
             n_boxes += 1
             boxes.append((tag, n_boxes))
             open_boxes[tag] += 1
