@@ -2,8 +2,8 @@
 
 Intermediate tables are written below the folder that ``spark.checkpoint.dir``
 names (every executor can read them again, so a lost executor costs a task and
-not a result). Row identity inside a job is the pair (``doc_id``, hash of the
-text), compared null-safe: rows that share an id but not a text stay apart.
+not a result). Row identity inside a job is the pair (``doc_id``, 128-bit digest of
+the text), compared null-safe: rows that share an id, or have none, but not a text stay apart.
 """
 
 from __future__ import annotations
@@ -51,8 +51,9 @@ def arrow_schema(fields: list[StructField], added: str) -> StructType:
 
 
 def text_key(text: str | Column) -> Column:
-    """32-bit hash that tells apart rows with one ``doc_id`` (null text: its own value)."""
-    return F.hash(text)
+    """128-bit digest that tells apart rows with one ``doc_id`` or none (null text: no bytes)."""
+    text = F.col(text) if isinstance(text, str) else text
+    return F.coalesce(F.unhex(F.md5(text.cast("string").cast("binary"))), F.lit(b""))
 
 
 def steps(batches: Iterable[pa.RecordBatch], column: str, limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:

@@ -34,7 +34,7 @@ from .common import arrow_schema, by_shuffle, mix64, put_back, raw_texts, save,
 # ASCII letters in lower case, digits and every byte from 0x80 on stay; the rest parts words.
 _KEEP = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256)).lower()
 SPANS = "n_words long, starts array<int>, ends array<int>, items array<string>"
-RESULT = f"doc_id long, text_key int, {SPANS}"
+RESULT = f"doc_id long, text_key binary, {SPANS}"
 
 
 def item_words(text: bytes | None) -> list[bytes]:

@@ -43,7 +43,7 @@ def _line_windows(window: int):
                                 column.append(v)
                 hi, lo = (np.array(x, dtype=np.uint64).view(np.int64) for x in out[:2])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(hi), pa.array(lo), pa.array(out[2], pa.int64()), pa.array(out[3], pa.int32()), pa.array(out[4], pa.int32())],
+                    [pa.array(hi), pa.array(lo), pa.array(out[2], pa.int64()), pa.array(out[3], pa.binary()), pa.array(out[4], pa.int32())],
                     ["hi", "lo", "doc_id", "text_key", "pos"],
                 )
 
@@ -82,7 +82,7 @@ def later_windows(docs: DataFrame, window: int = 3) -> DataFrame:
 
     ``docs`` has doc_id (long) and text."""
     source = docs.select("doc_id", text_key("text").alias("text_key"), "text")
-    schema = "hi long, lo long, doc_id long, text_key int, pos int"
+    schema = "hi long, lo long, doc_id long, text_key binary, pos int"
     windows = save(source.mapInArrow(_line_windows(window), schema), "line-windows")
     place = F.struct("doc_id", "text_key", "pos")
     firsts = windows.groupBy("hi", "lo").agg(F.min(place).alias(FIRST), F.max(place).alias("last"))

@@ -73,7 +73,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
     """(doc_id, text_key, fp): one row per document, ``fp`` as a signed long."""
     text = F.col(text_col).cast("string").alias("text")
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(F.col(text_col).cast("string")).alias("text_key"), text)
-    return source.mapInArrow(_fingerprints(shingle), "doc_id long, text_key int, fp long")
+    return source.mapInArrow(_fingerprints(shingle), "doc_id long, text_key binary, fp long")
 
 
 # --- BK-trees ---------------------------------------------------------------

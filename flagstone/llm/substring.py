@@ -169,7 +169,7 @@ def repeated_spans(docs: DataFrame, window: int = 35, seed: int = 9) -> DataFram
 
     ``docs`` has doc_id (long) and text."""
     source = docs.select("doc_id", text_key("text").alias("text_key"), "text")
-    schema = "h long, kind long, doc_id long, text_key int, first int, more int"
+    schema = "h long, kind long, doc_id long, text_key binary, first int, more int"
     level1 = save(source.mapInArrow(_seeds(window, seed), schema), "sub-seeds")
     repeated = save(level1.groupBy("h").count().where("count > 1").select("h"), "sub-repeated")
     level2 = save(level1.join(by_shuffle(repeated), "h"), "sub-stretches")
@@ -181,15 +181,15 @@ def repeated_spans(docs: DataFrame, window: int = 35, seed: int = 9) -> DataFram
 
     several = save(kinds.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "sub-open")
     open_ = kinds.join(by_shuffle(several), "h").select("one.doc_id", "one.text_key", F.struct("one.first", "one.more", "times").alias("s"))
-    open_ = save(open_.groupBy("doc_id", "text_key").agg(F.collect_list("s").alias("open")), "sub-open-docs")
+    open_ = save(open_.groupBy("doc_id", "text_key").agg(F.collect_set("s").alias("open")), "sub-open-docs")
     texts = open_.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), "open")
     same = source["doc_id"].eqNullSafe(texts["_doc"]) & (source["text_key"] == texts["_key"])
     cut = source.join(by_shuffle(texts), same).select("doc_id", "text_key", "text", "open")
-    schema = "a long, b long, times long, doc_id long, text_key int, first int"
+    schema = "a long, b long, times long, doc_id long, text_key binary, first int"
     windows = save(cut.mapInArrow(_windows(window), schema), "sub-windows")
     counted = save(windows.groupBy("a", "b").agg(F.sum("times").alias("n")).where("n > 1").select("a", "b"), "sub-counted")
     single = windows.join(by_shuffle(counted), ["a", "b"]).where("times = 1").select("doc_id", "text_key", "first", F.lit(0).alias("more"))
-    return whole.union(single).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("first", "more")).alias("found"))
+    return whole.union(single).groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("first", "more")).alias("found"))
 
 
 def _keep(window: int, text_col: str):
