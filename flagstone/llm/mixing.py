@@ -9,7 +9,9 @@ times.
 
 Prefix sums never pass through one task: a source is cut into hash ranges of
 about ``slice_rows`` documents, running sums are taken inside a slice and the
-slice totals are added on top.
+slice totals are added on top. The order of the sources, the order in which they
+fill up and the range where the budget is spent are cut into ranges of about
+20,000 rows in the same way.
 
 Defined cases: a null or blank text has size 0 and is never taken; a null
 source is a source of its own, last in order; rows equal in every column count
@@ -26,39 +28,56 @@ from .common import broadcast_if_small, by_shuffle, partitions_for, put_back, sa
 WORDS = r"[^\x20\x09-\x0D]+"
 # Sources are broadcast up to this many rows (about 10 MB), else joined by shuffle.
 MAX_BROADCAST_SOURCES = 100_000
+# Rows that a running sum over a whole order takes in one task.
+RANGE_ROWS = 20_000
 
 
 def word_count(text: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORDS)), F.lit(0)).cast("long")
 
 
-def cycle_weights(sizes: DataFrame, cycle: tuple[float, ...] = (5, 2, 1)) -> DataFrame:
+def before_all(df: DataFrame, order: list[Column], sums: dict[str, str], rows: int, per_range: int = RANGE_ROWS) -> DataFrame:
+    """Add for every name in ``sums`` the sum of its column over all rows ahead in ``order``.
+
+    The rows are range-sorted and written; sums run inside a range, and the totals
+    of the ranges ahead come on top, so no task holds more than one range."""
+    ranged = df.repartitionByRange(-(-max(rows, 1) // per_range), *order).select("*", F.spark_partition_id().alias("range"))
+    ranged = save(ranged, "mix-ranges")
+    ahead = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("range").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    totals = totals.select("range", *[F.coalesce(F.sum(n).over(ahead), F.lit(0)).alias(f"{n}_ahead") for n in sums])
+    ranged = ranged.select("*", *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"{n}_inside") for n, c in sums.items()])
+    return ranged.join(totals, "range").select(
+        *[f"`{c}`" for c in df.columns], *[(F.col(f"{n}_ahead") + F.col(f"{n}_inside")).alias(n) for n in sums]
+    )
+
+
+def cycle_weights(sizes: DataFrame, rows: int, cycle: tuple[float, ...] = (5, 2, 1)) -> DataFrame:
     """Give sources, ordered by code point with null last, the weights of ``cycle`` in turn."""
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
+    ranked = before_all(sizes.withColumn("one", F.lit(1)), [F.col("source").asc_nulls_last()], {"sid": "one"}, rows)
     weights = F.array(*[F.lit(float(w)) for w in cycle])
-    return sizes.select("*", rank.alias("sid")).withColumn("weight", F.get(weights, (F.col("sid") - 1) % len(cycle)))
+    return ranked.drop("one").withColumn("weight", F.get(weights, (F.col("sid") % len(cycle)).cast("int")))
 
 
-def targets(sizes: DataFrame, max_epochs: int = 3) -> DataFrame:
+def targets(sizes: DataFrame, rows: int, max_epochs: int = 3) -> DataFrame:
     """Add ``target``: the share of the summed ``source_size`` by ``weight``, no source
     above ``max_epochs`` times its size, the excess reshared by weight.
 
     Sources are ordered by the unit of weight at which they fill up. The first
     one that does not fill fixes the unit of all that follow it."""
     cap = F.col("source_size") * F.lit(float(max_epochs))
-    whole = Window.partitionBy()
-    before = Window.orderBy("fills_at", "sid").rowsBetween(Window.unboundedPreceding, -1)
-    left = F.col("total") - F.coalesce(F.sum("cap").over(before), F.lit(0.0))
-    weights = F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
     s = sizes.select("*", cap.alias("cap"), (cap / F.col("weight")).alias("fills_at"))
-    s = s.select("*", F.sum("source_size").over(whole).cast("double").alias("total"))
-    s = s.select("*", (left / weights).alias("unit"))
-    open_ = F.when(F.col("cap") > F.col("unit") * F.col("weight"), F.struct("fills_at", "sid", "unit"))
-    s = s.select("*", F.min(open_).over(whole).alias("first_open"))
-    target = F.when(
-        F.col("first_open").isNull() | (F.struct("fills_at", "sid") < F.struct("first_open.fills_at", "first_open.sid")),
-        F.col("cap"),
-    ).otherwise(F.col("first_open.unit") * F.col("weight"))
+    whole = s.agg(F.sum("source_size").cast("double").alias("total"), F.sum("weight").alias("weight")).first()
+    s = before_all(s, [F.col("fills_at"), F.col("sid")], {"caps": "cap", "weights": "weight"}, rows)
+    unit = (F.lit(whole["total"]) - F.col("caps")) / (F.lit(whole["weight"]) - F.col("weights"))
+    s = save(s.select("*", unit.alias("unit")), "mix-units")
+    place = F.struct("fills_at", "sid", "unit")
+    edge = s.where(F.col("cap") > F.col("unit") * F.col("weight")).agg(F.min(place).alias("first")).first()["first"]
+    target = F.col("cap")
+    if edge is not None:
+        full = F.struct("fills_at", "sid") < F.struct(F.lit(edge["fills_at"]).alias("fills_at"), F.lit(edge["sid"]).alias("sid"))
+        target = F.when(full, F.col("cap")).otherwise(F.lit(edge["unit"]) * F.col("weight"))
     return s.select("source", "sid", "source_size", "n_docs", "weight", target.alias("target"))
 
 
@@ -92,11 +111,21 @@ def _finish(epoch: Column) -> Column:
     return F.try_divide((epoch - 1) * F.col("source_size") + F.col("upto"), F.col("target"))
 
 
-def _cut(queued: DataFrame, max_epochs: int, per_partition: int = 2_000_000):
-    """Finish time and source of the last copy within the budget, or None.
+def _edge(ranges: DataFrame, budget: int):
+    """The first range whose running total exceeds ``budget``: its number, rows, words
+    and the words ahead of it, or None."""
+    totals = ranges.groupBy("range").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n"))
+    upto = F.sum("words").over(Window.orderBy("range"))
+    totals = totals.select("range", "words", "n", upto.alias("upto"))
+    return totals.where(F.col("upto") > F.lit(budget)).orderBy("range").first()
+
+
+def _cut(queued: DataFrame, max_epochs: int, per_partition: int = 2_000_000, leaf: int = RANGE_ROWS):
+    """Finish time and source of the first copy beyond the budget, or None.
 
     The copies are range-sorted once and written; the budget is followed over
-    the totals of the sorted ranges, and inside one range only."""
+    the totals of the sorted ranges. The range where it is spent is cut into
+    ranges again, until one holds at most ``leaf`` copies or copies of one place."""
     spark = queued.sparkSession
     copies = (
         queued.where("size > 0 AND target > 0")
@@ -105,21 +134,25 @@ def _cut(queued: DataFrame, max_epochs: int, per_partition: int = 2_000_000):
     stats = queued.agg(F.count(F.lit(1)), F.sum("size")).first()
     if not stats[1]:
         return None
-    parts = partitions_for(spark, stats[0] * max_epochs, per_partition)
-    ranges = copies.repartitionByRange(parts, "finish", "sid").select("*", F.spark_partition_id().alias("range"))
-    ranges = save(ranges, "mix-sorted")
-    totals = ranges.groupBy("range").agg(F.sum("size").alias("range_size"))
-    upto = F.sum("range_size").over(Window.orderBy("range"))
-    totals = totals.select("range", "range_size", upto.alias("upto"))
-    edge = totals.where(F.col("upto") > F.lit(stats[1])).orderBy("range").first()
-    if edge is None:
-        return float("inf"), 0
-    spent = edge["upto"] - edge["range_size"]
-    inside = ranges.where(F.col("range") == edge["range"])
+    budget, parts = stats[1], partitions_for(spark, stats[0] * max_epochs, per_partition)
+    while True:
+        ranges = copies.repartitionByRange(parts, "finish", "sid").select("*", F.spark_partition_id().alias("range"))
+        ranges = save(ranges, "mix-sorted")
+        edge = _edge(ranges, budget)
+        if edge is None:
+            return float("inf"), 0
+        budget -= edge["upto"] - edge["words"]
+        copies = ranges.where(F.col("range") == edge["range"]).drop("range")
+        place = F.struct("finish", "sid")
+        ends = copies.agg(F.min(place).alias("first"), F.max(place).alias("last")).first()
+        if ends["first"] == ends["last"]:
+            return tuple(ends["first"])
+        if edge["n"] <= leaf:
+            break
+        parts = max(2, -(-edge["n"] // leaf))
     running = F.sum("size").over(Window.orderBy("finish", "sid").rowsBetween(Window.unboundedPreceding, 0))
-    last = inside.select("finish", "sid", running.alias("upto")).where(F.col("upto") > F.lit(stats[1] - spent))
-    first_out = last.orderBy("finish", "sid").first()
-    return first_out["finish"], first_out["sid"]
+    last = copies.select("finish", "sid", running.alias("upto")).where(F.col("upto") > F.lit(budget))
+    return tuple(last.orderBy("finish", "sid").first()[:2])
 
 
 def mix(
@@ -138,8 +171,10 @@ def mix(
     ``taken`` the words that makes. The same input and seed give the same mix."""
     queue = save(_queue(docs, id_col, source_col, text_col, seed), "mix-queue")
     sizes = queue.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
-    sources = save(targets(cycle_weights(sizes, cycle), max_epochs), "mix-sources")
-    sources = broadcast_if_small(sources, sources.count(), MAX_BROADCAST_SOURCES)
+    sizes = save(sizes, "mix-sizes")
+    n_sources = sizes.count()
+    sources = save(targets(cycle_weights(sizes, n_sources, cycle), n_sources, max_epochs), "mix-sources")
+    sources = broadcast_if_small(sources, n_sources, MAX_BROADCAST_SOURCES)
     queued = save(_running_sums(queue, sources, slice_rows), "mix-queued")
     cut = _cut(queued, max_epochs)
     epochs = F.lit(0)

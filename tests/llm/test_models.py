@@ -68,6 +68,16 @@ def test_mix_meets_targets(spark):
     assert all(abs(taken[s] - target[s]) <= 41 for s in target)
 
 
+def test_mix_in_many_ranges(spark, monkeypatch):
+    """Sources, their order of filling and the range where the budget ends, cut into ranges of a few rows."""
+    rows = [(i, "w " * (1 + i * 7 % 23), f"s{i * i % 40:02d}" if i % 11 else None) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = {(r["doc_id"], r["target"], r["epochs"]) for r in table(mixing.mix(df))}
+    monkeypatch.setattr(mixing.before_all, "__defaults__", (7,))
+    monkeypatch.setattr(mixing._cut, "__defaults__", (100, 5))
+    assert {(r["doc_id"], r["target"], r["epochs"]) for r in table(mixing.mix(df))} == want
+
+
 def test_mix_without_words(spark):
     df = spark.createDataFrame([(1, None, "a"), (2, "", None)], "doc_id long, text string, source string")
     assert {(r["size"], r["taken"], r["target"]) for r in table(mixing.mix(df))} == {(0, 0, 0.0)}
