@@ -1,5 +1,6 @@
 """The rules and their reports, as lazy DataFrame transformations."""
 
+from .cells import CellTest, cell_counts, counted_report, listed_report  # noqa: F401
 from .dates import DateBoundSpec, anchor_dates, date_bound, death_date, flag_date_bound, last_date  # noqa: F401
 from .duplicates import (  # noqa: F401
     duplicate_groups,

@@ -38,6 +38,7 @@ from ..functions.columns import (
     unparsed_sql,
     with_clean_dates,
 )
+from .cells import CellTest
 from .skew import key_counts, keyed_join
 
 log = logging.getLogger(__name__)
@@ -173,13 +174,22 @@ def anchored_report(flagged: DataFrame, anchor: DataFrame, spec: DateBoundSpec,
     return joined.selectExpr(*[ident(c) for c in own], f"{ANCHOR} AS {ident(spec.dt_column)}", ident(flag))
 
 
+def _read_columns(df: DataFrame, spec: DateBoundSpec, table: str) -> list[str]:
+    """Compared columns, and the limit column of its table."""
+    limit = [spec.dt_column] if table == spec.table and spec.dt_column in df.columns else []
+    return [*compared_columns(df, spec), *limit]
+
+
+def unparsed_tests(df: DataFrame, report: str, spec: DateBoundSpec, table: str) -> list[CellTest]:
+    """The cells that :func:`unparsed_dates` lists."""
+    return [CellTest(report, c, dt_type=spec.dt_type) for c in dict.fromkeys(_read_columns(df, spec, table))]
+
+
 def unparsed_dates(df: DataFrame, spec: DateBoundSpec, table: str) -> DataFrame | None:
     """Report ``(tbl, column, value)``: the distinct cells of compared columns
     (and of the limit column) that hold something but read as no date, as
     text. None when the table has no such column."""
-    cols = compared_columns(df, spec)
-    if table == spec.table and spec.dt_column in df.columns:
-        cols = [*cols, spec.dt_column]
+    cols = _read_columns(df, spec, table)
     if not cols:
         return None
     # parsed in a projection of their own, which is compiled; a generator's input is not

@@ -24,6 +24,7 @@ from ..functions.columns import (
     mark_added,
     sql_str,
 )
+from .cells import CellTest
 
 
 def _columns(df: DataFrame, columns: Sequence[str] | None) -> list[str]:
@@ -54,6 +55,11 @@ def flag_missing_null_only(df: DataFrame, columns: Sequence[str] | None = None)
     return flag_missing(df, columns, blank_is_missing=False, flag_col=FLAG_MISSING)
 
 
+def missing_tests(df: DataFrame, report: str, columns: Sequence[str] | None = None, blank_is_missing: bool = True) -> list[CellTest]:
+    """The cells that :func:`missing_by_column` counts."""
+    return [CellTest(report, c, is_missing_sql(df, c, blank_is_missing), listed=False) for c in _columns(df, columns)]
+
+
 def missing_by_column(
     df: DataFrame,
     table: str,

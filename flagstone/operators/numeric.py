@@ -31,6 +31,7 @@ from ..functions.columns import (
     sql_str,
     to_number_sql,
 )
+from .cells import CellTest
 
 
 def value_columns(df: DataFrame, token: str = "value", columns: Sequence[str] | None = None) -> list[str]:
@@ -73,6 +74,15 @@ def flag_non_numeric_spark(df: DataFrame, token: str = "value", columns: Sequenc
     return flag_non_numeric(df, token, columns, null_is_bad=True, flag_col=FLAG_VALUES)
 
 
+def _offending(df: DataFrame, name: str) -> str:
+    return f"{_bad(df, name, null_is_bad=False)} AND NOT {is_nan_sql(df, name)}"
+
+
+def offending_tests(df: DataFrame, report: str, token: str = "value", columns: Sequence[str] | None = None) -> list[CellTest]:
+    """The cells that :func:`offending_values` lists."""
+    return [CellTest(report, c, _offending(df, c)) for c in value_columns(df, token, columns)]
+
+
 def offending_values(
     df: DataFrame,
     table: str,
@@ -86,9 +96,7 @@ def offending_values(
     if not cols:
         return None
     cells = ", ".join(
-        f"struct({sql_str(c)} AS column, CASE WHEN {_bad(df, c, null_is_bad=False)} AND NOT {is_nan_sql(df, c)} "
-        f"THEN CAST({ident(c)} AS STRING) END AS value)"
-        for c in cols
+        f"struct({sql_str(c)} AS column, CASE WHEN {_offending(df, c)} THEN CAST({ident(c)} AS STRING) END AS value)" for c in cols
     )
     return (
         df.selectExpr(f"inline(array({cells}))")

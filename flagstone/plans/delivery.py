@@ -6,7 +6,7 @@ catalog database, or Parquet under the output folder) is read back before the
 rules run, so CSV parsing happens once and a lost executor never sends Spark
 back to the text files; the flagged copy (``<name>_QC``) is read back before
 the reports, which therefore scan stored columns instead of re-running every
-rule. Rows and flags are counted while the flagged copy is written, so the
+rule. All reports on single cells of a table come from one scan of it. Rows and flags are counted while the flagged copy is written, so the
 summary reads no table at all.
 """
 
@@ -182,6 +182,7 @@ def run_delivery(
     )
     flagged = {n: df for n, (df, _) in qc_steps.items()}
 
+    _run_all({n: (lambda n=n: res.cells[n]) for n in res.cells}, parallel_jobs)
     writes: dict[str, tuple[DataFrame, str, bool]] = {}
     if csv_output:
         for n, df in flagged.items():

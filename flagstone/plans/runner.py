@@ -29,15 +29,17 @@ from ..functions.columns import (
     VALUE_FLAG,
     added_name,
 )
-from ..operators.dates import DateBoundSpec, can_merge, date_bound, date_bounds, unparsed_dates
+from ..operators.cells import CellTest, cell_counts, counted_report, listed_report
+from ..operators.dates import DateBoundSpec, can_merge, date_bound, date_bounds, unparsed_dates, unparsed_tests
 from ..operators.duplicates import flag_duplicates, flag_duplicates_first_key, report_from_flags
 from ..operators.frequency import frequencies, frequency_of
-from ..operators.missing import flag_missing, flag_missing_null_only, missing_by_column
+from ..operators.missing import flag_missing, flag_missing_null_only, missing_by_column, missing_tests
 from ..operators.numeric import (
     flag_negative,
     flag_non_numeric,
     flag_non_numeric_spark,
     negative_rows,
+    offending_tests,
     offending_values,
     value_columns,
 )
@@ -110,6 +112,8 @@ class RuleOutput:
     flags: list[tuple[str, str, str]] = field(default_factory=list)
     # reports that can be derived from the final flagged tables alone
     stored_reports: dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]] = field(default_factory=dict)
+    # reports on single cells: per table their tests, which one scan answers for all of them
+    cell_tests: dict[str, dict[str, list[CellTest]]] = field(default_factory=dict)
 
 
 @dataclass
@@ -119,6 +123,8 @@ class QcResult:
     flags: list[tuple[str, str, str]]
     rules_run: list[str]
     stored_reports: dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]] = field(default_factory=dict)
+    # hit cells per table, staged, for all reports on single cells; empty without a stage
+    cells: LazyFrames = field(default_factory=LazyFrames)
 
     def report(self, name: str, tables: Mapping[str, DataFrame] | None = None) -> DataFrame | None:
         """Report ``name``; with ``tables`` (stored copies of the flagged
@@ -191,13 +197,15 @@ def _dup_report_from(name: str, keys: Sequence[str], order: bool, tables: Mappin
 def _missing(dfs, cfg: Mapping[str, Sequence[str]] | None, opts: RunOptions) -> RuleOutput:
     cfg = cfg or {}
     out = RuleOutput(dict(dfs))
-    reports = []
+    reports, tests = [], {}
     for name, df in dfs.items():
         cols = cfg.get(name) or None
         out.tables[name] = flag_missing(df, cols, opts.blank_is_missing)
         reports.append(partial(missing_by_column, _source(opts, name, df), name, cols, opts.blank_is_missing))
         out.flags.append(("missing", name, added_name(out.tables[name], MISSING_FLAG)))
+        tests[name] = missing_tests(_source(opts, name, df), MISSING_REPORT, cols, opts.blank_is_missing)
     if reports:
+        out.cell_tests[MISSING_REPORT] = tests
         out.reports[MISSING_REPORT] = lambda: union_all(make() for make in reports)
     return out
 
@@ -213,7 +221,7 @@ def _value_config(cfg) -> tuple[str, list[str] | None]:
 def _string_tables(dfs, cfg, opts: RunOptions) -> RuleOutput:
     token, tables = _value_config(cfg)
     out = RuleOutput(dict(dfs))
-    reports = []
+    reports, tests = [], {}
     for name in tables or list(dfs):
         if name not in dfs:
             log.warning("string_tables: table %s not in delivery, skipped", name)
@@ -224,7 +232,9 @@ def _string_tables(dfs, cfg, opts: RunOptions) -> RuleOutput:
         out.tables[name] = flag_non_numeric(df, token, null_is_bad=opts.null_is_bad)
         reports.append(partial(offending_values, _source(opts, name, df), name, token))
         out.flags.append(("string_tables", name, added_name(out.tables[name], VALUE_FLAG)))
+        tests[name] = offending_tests(_source(opts, name, df), VALUE_REPORT, token)
     if reports:
+        out.cell_tests[VALUE_REPORT] = tests
         out.reports[VALUE_REPORT] = lambda: union_all(make() for make in reports)
     return out
 
@@ -269,7 +279,9 @@ class DateRule:
             out.stored_reports[self.report_fmt.format(name)] = partial(_date_report_from, name, make)
             out.flags.append((self.rule, name, added_name(tables[name], self.flag_col)))
         unparsed = {n: _source(opts, n, dfs[n]) for n in dict.fromkeys([*reports, spec.table])}
-        out.reports[UNPARSED_REPORT.format(self.rule)] = lambda: union_all(unparsed_dates(df, spec, n) for n, df in unparsed.items())
+        report = UNPARSED_REPORT.format(self.rule)
+        out.reports[report] = lambda: union_all(unparsed_dates(df, spec, n) for n, df in unparsed.items())
+        out.cell_tests[report] = {n: unparsed_tests(df, report, spec, n) for n, df in unparsed.items()}
         return out
 
 
@@ -408,6 +420,7 @@ def run_rules(
     reports: dict[str, Callable[[], DataFrame | None]] = {}
     flags: list[tuple[str, str, str]] = []
     stored: dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]] = {}
+    tests: dict[str, dict[str, list[CellTest]]] = {}
     steps = []
     for rule in sequence:
         fn = reg.get(rule)
@@ -425,7 +438,38 @@ def run_rules(
         for res in results:
             tables = res.tables
             reports.update(res.reports)
+            tests = {k: v for k, v in tests.items() if k not in res.reports} | res.cell_tests
             flags.extend(res.flags)
             stored.update(res.stored_reports)
     ran = [rule for rule, _ in steps]
-    return QcResult(tables, LazyFrames(reports), flags, ran, stored)
+    cells = LazyFrames()
+    if opts.stage and opts.sources:
+        cells = _cells(opts, tests)
+        reports.update({name: partial(_cell_report, cells, name, by_table) for name, by_table in tests.items()})
+    return QcResult(tables, LazyFrames(reports), flags, ran, stored, cells)
+
+
+def _cells(opts: RunOptions, tests: Mapping[str, Mapping[str, Sequence[CellTest]]]) -> LazyFrames:
+    """Per table the hit cells of all its tests, staged when they are first read."""
+    by_table: dict[str, list[CellTest]] = {}
+    for of_report in tests.values():
+        for name, found in of_report.items():
+            by_table.setdefault(name, []).extend(found)
+    return LazyFrames(
+        {
+            name: (lambda name=name, found=found: opts.stage(f"cells_{name}", cell_counts(opts.sources[name], found)))
+            for name, found in by_table.items()
+            if found
+        }
+    )
+
+
+def _cell_report(cells: LazyFrames, report: str, by_table: Mapping[str, Sequence[CellTest]]) -> DataFrame | None:
+    """One report of all its tables from their hit cells."""
+    parts = []
+    for name, tests in by_table.items():
+        if tests and tests[0].listed:
+            parts.append(listed_report(cells[name], report, name))
+        elif tests:
+            parts.append(counted_report(cells[name], report, name, [t.column for t in tests]))
+    return union_all(parts)

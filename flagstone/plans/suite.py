@@ -34,7 +34,7 @@ from ..session import scratch_path
 from ..sinks.writers import ensure_database, replace_table, write_delimited
 from ..sources.delivery import read_delimited, read_delivery
 from .delivery import run_delivery, upload_file
-from .runner import rule_registry, run_rules, vendor_registry
+from .runner import RunOptions, rule_registry, run_rules, vendor_registry
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -711,6 +711,42 @@ def q_delivery_run_reports(spark, d):
     )
 
 
+def q_cell_reports(spark, d):
+    """Missing counts, offending values and unparsed dates of a rule sequence, each
+    table scanned once for all of them."""
+
+    def stage(name, df):
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    tables = {
+        "labs_x": labs_x(spark, d),
+        "orders_a": orders_a(spark, d).select("l_orderkey", "o_orderdate"),
+        "events_d": events_d(spark, d),
+        "customer_d": customer_d(spark, d),
+    }
+    rules = {
+        "last_dt": {"table": "orders_a", "dt_column": "o_orderdate", "id_column": "l_orderkey", "dt_value": "date"},
+        "string_tables": {"value": "value", "tables": ["events_d"]},
+        "missing": {
+            "labs_x": ["ship_date_txt"],
+            "orders_a": ["l_orderkey"],
+            "events_d": ["value", "value_txt"],
+            "customer_d": ["c_mktsegment", "c_acctbal"],
+        },
+    }
+    res = run_rules(tables, rules, ["last_dt", "string_tables", "missing"], options=RunOptions(stage=stage))
+    value, missing, unparsed = (res.report(n) for n in ("qc_value", "qc_missing", "qc_unparsed_last_dt"))
+    return union_all(
+        [
+            value.selectExpr("'qc_value' AS report", "tbl", "column", "value"),
+            unparsed.selectExpr("'qc_unparsed_last_dt' AS report", "tbl", "column", "value"),
+            missing.selectExpr("'qc_missing' AS report", "tbl", "column", "CAST(missing AS STRING) AS value"),
+        ]
+    )
+
+
 def q_table_replace(spark, d):
     """Flagged customers saved as ``<db>.customer_d_QC`` and read back."""
     db = "flagstone_qc"
@@ -818,12 +854,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delivery_run_resumed": q_delivery_run_resumed,
     "delivery_run_summary": q_delivery_run_summary,
     "delivery_run_reports": q_delivery_run_reports,
+    "cell_reports": q_cell_reports,
 }
 
 # Checks that write files or tables as part of building their DataFrame.
 SIDE_EFFECTS = frozenset(
     "delivery_roundtrip_dups delivery_wide_ids table_swap report_single_file table_replace table_upload delivery_text_roundtrip table_append "
-    "delivery_run_flags delivery_run_resumed delivery_run_summary delivery_run_reports".split()
+    "delivery_run_flags delivery_run_resumed delivery_run_summary delivery_run_reports cell_reports".split()
 )
 
 
@@ -1154,6 +1191,21 @@ def oracle_sql() -> dict[str, str]:
         "frequency": """SELECT l_returnflag, l_linestatus, CAST(COUNT(*) AS BIGINT) AS count, '1' AS label, 'lineitem' AS tbl
         FROM lineitem GROUP BY l_returnflag, l_linestatus""",
     }
+    miss = [
+        miss_col("labs_x", "ship_date_txt", _missing_str("ship_date_txt")),
+        miss_col("orders_a", "l_orderkey", "l_orderkey IS NULL"),
+        miss_col("events_d", "value", _missing_dbl("value")),
+        miss_col("events_d", "value_txt", _missing_str("value_txt")),
+        miss_col("customer_d", "c_mktsegment", _missing_str("c_mktsegment")),
+        miss_col("customer_d", "c_acctbal", _missing_dbl("c_acctbal")),
+    ]
+    sql["cell_reports"] = _with("labs_x", "orders_a", "events_d", "customer_d") + f"""
+      SELECT 'qc_missing' AS report, tbl, "column", CAST(missing AS VARCHAR) AS value FROM ({" UNION ALL ".join(miss)})
+      UNION ALL SELECT DISTINCT 'qc_unparsed_last_dt', 'labs_x', 'ship_date_txt', ship_date_txt FROM labs_x WHERE l_orderkey % 10 = 9
+      UNION ALL SELECT DISTINCT 'qc_value', 'events_d', 'value', CAST(value AS VARCHAR) FROM events_d
+        WHERE value IS NOT NULL AND NOT isnan(value) AND {_bad_double("value")}
+      UNION ALL SELECT DISTINCT 'qc_value', 'events_d', 'value_txt', value_txt FROM events_d
+        WHERE value_txt IS NOT NULL AND {_bad_text("value_txt")}"""
     sql["last_dt_strict"] = sql["last_dt_partial_dates"]
     sql["table_swap"] = sql["table_replace"]
     sql["delivery_run_resumed"] = sql["delivery_run_flags"]

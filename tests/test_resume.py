@@ -77,7 +77,7 @@ def test_a_restart_reads_no_finished_file(spark, tmp_path, made, database):
     assert sorted(made["stored"]) == ["boats_RAW", "crews_RAW"]
     clear(made)
     first = run_delivery(*where, database=database, resume=True)
-    assert made["read"] == [] and sorted(made["stored"]) == ["boats_QC", "crews_QC"]
+    assert made["read"] == [] and sorted(made["stored"]) == ["boats_QC", "cells_boats", "cells_crews", "crews_QC"]
     assert sorted(made["written"]) == ["boats.csv", "crews.csv", "qc_dup_boats.csv", "qc_missing.csv", "qc_summary.csv"]
     clear(made)
     # all is finished: nothing is read or written, the result is the same
@@ -95,11 +95,11 @@ def test_a_restart_reads_no_finished_file(spark, tmp_path, made, database):
     # another configuration: tables stay, flags and reports are made again
     other = {**VENDOR, "rule_sequence": ["missing"]}
     again = run_delivery(spark, other, *where[2:], database=database, resume=True)
-    assert made["read"] == [] and sorted(made["stored"]) == ["boats_QC", "crews_QC"] and "dup_flag" not in again.flagged["boats"].columns
+    assert made["read"] == [] and sorted(made["stored"]) == ["boats_QC", "cells_boats", "cells_crews", "crews_QC"] and "dup_flag" not in again.flagged["boats"].columns
     clear(made)
     # without resume everything is made
     run_delivery(spark, other, *where[2:], database=database)
-    assert made["read"] == ["boats", "crews"] and len(made["stored"]) == 4
+    assert made["read"] == ["boats", "crews"] and len(made["stored"]) == 6
 
 
 def test_manifest(spark, tmp_path):
