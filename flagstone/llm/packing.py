@@ -29,6 +29,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
@@ -231,8 +232,10 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not specials
+        # the same ids, without the places of tokens in the text
+        self.encode_batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         largest = max(end_id, self.tokenizer.get_vocab_size(with_added_tokens=True) - 1)
-        self.width = np.dtype("<u2") if largest < 1 << 16 else ID
+        self.width, self.code = (np.dtype("<u2"), "H") if largest < 1 << 16 else (ID, "I")
         signs = [bytes([c]) for c in range(33, 127) if not bytes([c]).isalpha() and c != 39]
         self.words_apart = self._same([b"ab" + w + b"Cd" for w in (b" ", b"\n", b"\t ", b"\r\n", b"\x0b", b"\x0c")], bytes.split) and self._same(
             [c + w + c for c in [*signs, b"'", b"a"] for w in (b" ", b"\n")], bytes.split
@@ -255,8 +258,8 @@ class Encoder:
             size += len(w)
             if i + 1 == len(words) or size > ENCODE_BYTES:
                 part = [x.decode("utf-8", "replace") for x in words[start : i + 1]]
-                found = self.tokenizer.encode_batch(part, add_special_tokens=False)
-                out += [np.array(e.ids, dtype=self.width).tobytes() for e in found]
+                found = self.encode_batch(part, add_special_tokens=False)
+                out += [pack_ids(f"<{len(ids)}{self.code}", *ids) for ids in (e.ids for e in found)]
                 start, size = i + 1, 0
         return out
 
@@ -271,9 +274,19 @@ class Encoder:
         if len(self.recent) > KEPT_WORDS:
             self.older, self.recent = self.recent, {}
         recent, older = self.recent, self.older
-        new = set().union(*split).difference(recent)
+        # one lookup a word; where a text has unknown words, joining fails
+        known, out, gaps = recent.get, [], []
+        for words in split:
+            found = list(map(known, words))
+            try:
+                out.append(b"".join(found))
+            except TypeError:
+                places = [i for i, x in enumerate(found) if x is None]
+                gaps.append((len(out), words, found, places))
+                out.append(b"")
+        new = {words[i] for _, words, _, places in gaps for i in places}
         recent.update({w: older[w] for w in new if w in older})
-        cut = {w: self._cut(w) if self.signs_apart else [w] for w in new if w not in recent}
+        cut = {w: self._cut(w) if self.signs_apart and not w.isalpha() else [w] for w in new if w not in recent}
         parts = {x for p in cut.values() for x in p}.difference(recent)
         recent.update({x: older[x] for x in parts if x in older})
         unknown = [x for x in parts if x not in recent]
@@ -281,7 +294,10 @@ class Encoder:
         for w, p in cut.items():
             if len(p) > 1:
                 recent[w] = b"".join([recent[x] for x in p])
-        out = [b"".join(map(recent.__getitem__, words)) for words in split]
+        for at, words, found, places in gaps:
+            for i in places:
+                found[i] = recent[words[i]]
+            out[at] = b"".join(found)
         for w in {*cut, *unknown}:
             if len(w) > KEPT_BYTES:
                 del recent[w]

@@ -283,3 +283,17 @@ def test_centroid_cases(spark):
         assert Counter(tuple(r[c] for c in COLUMNS) for r in got.collect()) == plain_clusters(rows, k=5, dim=3)
     large = spark.createDataFrame([(1, [1e30, 0.0, 0.0], 1, "", 0.0), (2, [1.0, 0.0, 0.0], 1, "", 0.0)], schema)
     assert [r.vec_id for r in centroids.cluster(large, k=5, dim=3).rows.collect()] == [2]
+
+
+def test_packing_encodes_only_what_is_new():
+    """Words of letters alone are not searched for cuts, known words not again; ids are those of whole texts."""
+    encoder, cut = packing.Encoder(VOCABULARY, False, 2), []
+    own = encoder._cut
+    encoder._cut = lambda w: cut.append(w) or own(w)
+    long_word = b"x" * (packing.KEPT_BYTES + 1)
+    texts = [b"Plain words", b"plain x-y words " + long_word, None, b"", b"plain caf\xc3\xa9 x-y"]
+    want = encoder._encode([t or b"" for t in texts])
+    assert encoder.ids(texts) == want
+    assert sorted(cut) == sorted([b"x-y", "café".encode()])
+    cut.clear()
+    assert encoder.ids(texts[::-1]) == want[::-1] and not cut
