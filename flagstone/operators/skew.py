@@ -17,7 +17,8 @@ broadcast.
 
 Keys of two types are brought to one declared type before anything else
 (:func:`common_key_type`): the same expression is shuffled, compared and
-matched.
+matched. Decimals of more than 64 bits sort slowly, as long ids agree in the
+digits that a sort compares first; a hash of the key goes before them.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from ..functions.columns import ident
 
 _N = "__dq_key_rows"
 _KEY = "__dq_join_key"
+_HASH = "__dq_join_hash"
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FLOATS = (T.FloatType, T.DoubleType)
 _TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -118,5 +120,11 @@ def keyed_join(
     out = [] if how == "left_anti" else [c for c in (side.columns if side_out is None else side_out)]
     keyed = side.selectExpr(*side_sql, *[ident(c) for c in out])
     condition = " AND ".join(f"{r} {op} {k}" for r, k in zip(row_sql, keys, strict=True))
-    joined = rows.join(keyed.hint("rebalance"), F.expr(condition), how)
+    if any(isinstance(t, T.DecimalType) and t.precision > 18 for t in types):
+        condition = f"{_HASH} = {_HASH}_side AND {condition}"
+        rows_in = rows.selectExpr(*[ident(c) for c in rows.columns], f"xxhash64({', '.join(row_sql)}) AS {_HASH}")
+        keyed = keyed.selectExpr(f"xxhash64({', '.join(keys)}) AS {_HASH}_side", *keys, *[ident(c) for c in out])
+    else:
+        rows_in = rows
+    joined = rows_in.join(keyed.hint("rebalance"), F.expr(condition), how)
     return joined.selectExpr(*[ident(c) for c in rows.columns], *[ident(c) for c in out])

@@ -160,10 +160,10 @@ def write_delimited(
     spark = df.sparkSession
     out = flatten_arrays(df)
     if encoding and encoding.upper() not in ("UTF-8", "UTF8"):
-        # encode() fails on characters outside the charset
+        # encode() fails on characters outside the charset; every charset holds ASCII
         out = out.selectExpr(
             *[
-                f"CASE WHEN encode({ident(f.name)}, {sql_str(encoding)}) IS NOT NULL THEN {ident(f.name)} END AS {ident(f.name)}"
+                f"CASE WHEN octet_length({ident(f.name)}) = length({ident(f.name)}) OR encode({ident(f.name)}, {sql_str(encoding)}) IS NOT NULL THEN {ident(f.name)} END AS {ident(f.name)}"
                 if isinstance(f.dataType, T.StringType)
                 else ident(f.name)
                 for f in out.schema.fields

@@ -27,6 +27,8 @@ from ..functions.columns import ident, sql_str
 _INTEGER = r"^[+-]?\d+$"
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 _DATE = r"^\d{4}-\d{2}-\d{2}$"
+# The largest whole number within 64 bits, and the digits of the least.
+_LONG, _LEAST = str(2**63 - 1), str(2**63)
 # Significant digits that a double holds whatever they are, and the digits of a decimal.
 DOUBLE_DIGITS, DECIMAL_DIGITS = 15, 38
 
@@ -90,28 +92,40 @@ def column_facts(tables: Mapping[str, DataFrame]) -> dict[str, list[Facts]]:
         "at",
         "c",
         "number",
-        "CASE WHEN number > 0 THEN split(ltrim('+-', substring_index(lower(c), 'e', 1)), '[.]') END AS parts",
-        "CASE WHEN number > 0 THEN try_cast(c AS DOUBLE) END AS d",
+        "CASE WHEN number = 2 THEN ltrim('+-', c) WHEN number = 1 THEN ltrim('+-', substring_index(lower(c), 'e', 1)) END AS plain",
     )
+    rows = rows.selectExpr("tbl", "at", "c", "number", "plain", "CASE WHEN number = 2 THEN plain ELSE substring_index(plain, '.', 1) END AS head")
     rows = rows.selectExpr(
         "tbl",
         "at",
         "c",
         "number",
-        "d",
-        "coalesce(length(ltrim('0', parts[0])), 0) AS whole",
-        "coalesce(length(get(parts, 1)), 0) AS scale",
-        "coalesce(length(parts[0]) > 1 AND parts[0] LIKE '0%', false) AS padded",
+        "ltrim('0', head) AS digits",
+        "coalesce(length(ltrim('0', head)), 0) AS whole",
+        "coalesce(greatest(length(plain) - length(head) - 1, 0), 0) AS scale",
+        "coalesce(length(head) > 1 AND head LIKE '0%', false) AS padded",
+    )
+    # compared as text: a cast that fails throws, which costs more than all the rest of a cell;
+    # only a line break behind the digits, which the patterns allow, is left to the cast
+    long = (
+        f"CASE WHEN right(c, 1) NOT BETWEEN '0' AND '9' THEN try_cast(c AS BIGINT) IS NOT NULL WHEN whole < {len(_LONG)} THEN true "
+        f"ELSE whole = {len(_LONG)} AND digits <= CASE WHEN c LIKE '-%' THEN '{_LEAST}' ELSE '{_LONG}' END END"
+    )
+    # a double is printed with a point and at most 17 digits: longer numbers are never the same
+    few = f"whole + scale <= {DOUBLE_DIGITS}"
+    power = "lower(c) LIKE '%e%'"
+    same = (
+        f"CASE WHEN number = 2 THEN {few} WHEN NOT {power} AND {few} THEN true WHEN NOT {power} AND whole > 0 AND whole + scale > 17 THEN false "
+        f"ELSE abs(try_cast(c AS DOUBLE)) < double('infinity') AND ({few} OR CAST(try_cast(c AS DOUBLE) AS STRING) = c) END"
     )
-    same = f"abs(d) < double('infinity') AND (whole + scale <= {DOUBLE_DIGITS} OR CAST(d AS STRING) = c)"
     found = rows.groupBy("tbl", "at").agg(
         F.expr("count(1) AS cells"),
         F.expr("count_if(number = 2) AS whole_numbers"),
         F.expr("count_if(number > 0) AS numbers"),
         F.expr(f"count_if(number = 0 AND c RLIKE {sql_str(_DATE)} AND try_cast(c AS DATE) IS NOT NULL) AS dates"),
-        F.expr("count_if(number = 2 AND try_cast(c AS BIGINT) IS NOT NULL) AS longs"),
+        F.expr(f"count_if(number = 2 AND ({long})) AS longs"),
         F.expr("count_if(padded) AS padded"),
-        F.expr("count_if(number = 1 AND lower(c) LIKE '%e%') AS powers"),
+        F.expr(f"count_if(number = 1 AND {power}) AS powers"),
         F.expr(f"count_if(number > 0 AND {same}) AS exact"),
         F.expr("max(whole) AS whole"),
         F.expr("max(scale) AS scale"),

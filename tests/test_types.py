@@ -1,5 +1,6 @@
 """Types of delivered text columns: no cell changes its value."""
 
+import re
 from decimal import Decimal
 
 import pytest
@@ -100,3 +101,44 @@ def test_run_reports_cells_that_a_schema_cannot_hold(spark, tmp_path):
     assert [tuple(r) for r in rows] == [("boats", "id", "abc")]
     with pytest.raises(Exception, match="column id"):
         run_delivery(spark, {**vendor, "on_misfit": "fail"}, str(tmp_path / "in"), str(tmp_path / "out2"), database="", schemas={"boats": SCHEMA})
+
+
+EDGES = {
+    "9223372036854775807": 1, "9223372036854775808": 0, "-9223372036854775808": 1, "-9223372036854775809": 0, "+9223372036854775807": 1,
+    "0009223372036854775807": 1, "0009223372036854775808": 0, "-0": 1, "1234567890123456789012345": 0, "9223372036854775807\n": 1, "7 ": 0,
+    "1.5": 0, "abc": 0,
+}
+EXACT = {"1.123456789012345678": 0, "0.0012345678901234567": 1, "123456789.0123456": 0, "1.7976931348623157E308": 1, "1e400": 0, "12345678901234567": 0, "5.\n": 1}
+
+
+@pytest.mark.parametrize("fact, cells", [("longs", EDGES), ("exact", EXACT)])
+def test_facts_at_the_edges_without_casts_that_fail(spark, fact, cells):
+    """Whole numbers are compared with the 64-bit limits as text: no cell costs an exception."""
+    tables = {str(i): spark.createDataFrame([(c,)], "c string") for i, c in enumerate(cells)}
+    found = column_facts(tables)
+    assert {c: getattr(found[str(i)][0], fact) for i, c in enumerate(cells)} == cells
+
+
+def test_facts_cast_no_long_ids(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    plans, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or collect(df))
+    column_facts({"t": spark.createDataFrame([("1" * 25,)], "c string")})
+    casts = re.findall(r"(.{20})try_cast\(c#\d+ as bigint\)", plans[0])
+    assert casts and all(before.endswith("THEN isnotnull(") for before in casts)
+
+
+def test_long_decimal_keys_are_sorted_by_a_hash(spark):
+    from flagstone.operators.skew import keyed_join
+
+    rows = spark.createDataFrame([("1" * 25, 1), ("1" * 24 + "2", 2), (None, 3)], "k string, v int").selectExpr("CAST(k AS decimal(38,0)) AS k", "v")
+    side = spark.createDataFrame([("1" * 25, 7), (None, 8)], "s string, n int").selectExpr("CAST(s AS decimal(38,0)) AS s", "n")
+    out = keyed_join(rows, side, ["k"], ["s"], "left", side_out=["n"])
+    assert out.columns == ["k", "v", "n"]
+    assert sorted((r.v, r.n) for r in out.collect()) == [(1, 7), (2, None), (3, None)]
+    assert "xxhash64" in out._jdf.queryExecution().optimizedPlan().toString()
+    safe = keyed_join(rows, side, ["k"], ["s"], "left", null_safe=True, side_out=["n"])
+    assert sorted((r.v, r.n) for r in safe.collect()) == [(1, 7), (2, None), (3, 8)]
+    anti = keyed_join(rows, side, ["k"], ["s"], "left_anti")
+    assert anti.columns == ["k", "v"] and sorted(r.v for r in anti.collect()) == [2, 3]
