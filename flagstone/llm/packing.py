@@ -33,16 +33,19 @@ from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import by_shuffle, raw_texts, save, steps
+from .common import by_shuffle, save, steps
 
 ID = np.dtype("<u4")
 # Encoded words kept by a task (the last so many, and as many before), and the longest kept, in bytes.
 KEPT_WORDS, KEPT_BYTES = 400_000, 64
 # Text encoded at once, in bytes.
 ENCODE_BYTES = 1 << 20
+# Text whose words are looked up at once, in bytes, and words of letters encoded as one line.
+WORDS_BYTES, LINE_WORDS = 16 << 20, 1000
 # Sequence ids of whole stretches begin here: task number times SPAN on top.
 SPAN = 1 << 36
 
@@ -205,6 +208,10 @@ class Places:
 # Places between a letter and an ASCII sign or digit (the apostrophe aside).
 _SIGN = r"[!-&(-/0-9:-@\[-`{-~]"
 CUT = re.compile(rf"(?<=[^\W\d_])(?={_SIGN})|(?<={_SIGN})(?=[^\W\d_])")
+SIGNS = bytes(c for c in range(33, 127) if not chr(c).isalpha() and c != 39)
+# Words that may be encoded as one line: Latin letters alone, not the I with a dot (two signs when lower-cased).
+LETTERS = "a-zÀ-ÖØ-öø-įı-ɏ"
+LETTERS_ONLY = re.compile(f"[{LETTERS}]+")
 
 
 @lru_cache(maxsize=2)
@@ -222,7 +229,9 @@ class Encoder:
     apart from ASCII signs and digits (the apostrophe aside), so are the parts
     of a word; where it ignores the case of ASCII letters, so do the kept words.
     All three are tried out on every ASCII sign before use; other vocabularies
-    encode whole texts."""
+    encode whole texts. Where the vocabulary marks the last token of a word, new
+    words of Latin letters are encoded a line at a time and told apart by the mark;
+    that is tried out on every letter."""
 
     def __init__(self, path: str, specials: bool, end_id: int):
         import os
@@ -236,7 +245,7 @@ class Encoder:
         self.encode_batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         largest = max(end_id, self.tokenizer.get_vocab_size(with_added_tokens=True) - 1)
         self.width, self.code = (np.dtype("<u2"), "H") if largest < 1 << 16 else (ID, "I")
-        signs = [bytes([c]) for c in range(33, 127) if not bytes([c]).isalpha() and c != 39]
+        signs = [bytes([c]) for c in SIGNS]
         self.words_apart = self._same([b"ab" + w + b"Cd" for w in (b" ", b"\n", b"\t ", b"\r\n", b"\x0b", b"\x0c")], bytes.split) and self._same(
             [c + w + c for c in [*signs, b"'", b"a"] for w in (b" ", b"\n")], bytes.split
         )
@@ -245,6 +254,13 @@ class Encoder:
         )
         letters = bytes(range(65, 91))
         self.any_case = not specials and all(self._same([w], lambda x: [x.lower()]) for w in (letters, *(bytes([c]) for c in letters), b"aBbA'S"))
+        mark = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(largest + 1, dtype=bool)
+        if mark and self.words_apart and self.any_case:
+            self.ends[[i for token, i in self.tokenizer.get_vocab(False).items() if token.endswith(mark)]] = True
+        letters = [chr(c) for c in range(0x250) if LETTERS_ONLY.fullmatch(chr(c))]
+        tried = [x for c in letters for x in (c, c + "a", "b" + c, c + c)]
+        self.by_line = bool(self.ends.any()) and self._encode_line(tried) == self._encode([x.encode() for x in tried])
         self.recent: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
@@ -263,46 +279,85 @@ class Encoder:
                 start, size = i + 1, 0
         return out
 
+    def _encode_line(self, words: list[str]) -> list[bytes] | None:
+        """Ids of words that are encoded as one text, None where the marks do not tell them apart."""
+        ids = np.array(self.encode_batch([" ".join(words)], add_special_tokens=False)[0].ids, dtype=self.width)
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(words) or ends[-1] != len(ids):
+            return None
+        whole, places = ids.tobytes(), (ends * self.width.itemsize).tolist()
+        return [whole[i:j] for i, j in zip([0, *places], places)]
+
+    def _encode_words(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """(word, ids) of every word."""
+        apart, line = [], {}
+        for w in words if self.by_line else []:
+            text = w.decode("utf-8", "replace")
+            if len(w) <= KEPT_BYTES and LETTERS_ONLY.fullmatch(text):
+                line[w] = text
+            else:
+                apart.append(w)
+        joined = list(line)
+        for start in range(0, len(joined), LINE_WORDS):
+            part = joined[start : start + LINE_WORDS]
+            found = self._encode_line([line[w] for w in part])
+            if found is None:
+                apart += part
+            else:
+                yield from zip(part, found, strict=True)
+        if not self.by_line:
+            apart = words
+        yield from zip(apart, self._encode(apart), strict=True)
+
     @staticmethod
     def _cut(word: bytes) -> list[bytes]:
+        core = word.rstrip(SIGNS)
+        if core.decode("utf-8", "replace").isalpha():  # letters, and signs behind them
+            return [core, word[len(core) :]] if len(core) < len(word) else [word]
         return [x.encode() for x in CUT.split(word.decode("utf-8", "replace"))]
 
-    def ids(self, texts: list[bytes | None]) -> list[bytes]:
-        if not self.words_apart:
-            return self._encode([t or b"" for t in texts])
-        split = [(t.lower() if self.any_case else t).split() if t else [] for t in texts]
+    def _ids_of_words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of different words: kept ones, or encoded now and kept."""
         if len(self.recent) > KEPT_WORDS:
             self.older, self.recent = self.recent, {}
         recent, older = self.recent, self.older
-        # one lookup a word; where a text has unknown words, joining fails
-        known, out, gaps = recent.get, [], []
-        for words in split:
-            found = list(map(known, words))
-            try:
-                out.append(b"".join(found))
-            except TypeError:
-                places = [i for i, x in enumerate(found) if x is None]
-                gaps.append((len(out), words, found, places))
-                out.append(b"")
-        new = {words[i] for _, words, _, places in gaps for i in places}
+        out = list(map(recent.get, words))
+        gaps = [i for i, x in enumerate(out) if x is None]
+        new = [words[i] for i in gaps]
         recent.update({w: older[w] for w in new if w in older})
-        cut = {w: self._cut(w) if self.signs_apart and not w.isalpha() else [w] for w in new if w not in recent}
+        cut = {w: self._cut(w) if self.signs_apart and w and not w.isalpha() else [w] for w in new if w not in recent}
         parts = {x for p in cut.values() for x in p}.difference(recent)
         recent.update({x: older[x] for x in parts if x in older})
         unknown = [x for x in parts if x not in recent]
-        recent.update(zip(unknown, self._encode(unknown), strict=True))
+        recent.update(self._encode_words(unknown))
         for w, p in cut.items():
-            if len(p) > 1:
+            if p != [w]:
                 recent[w] = b"".join([recent[x] for x in p])
-        for at, words, found, places in gaps:
-            for i in places:
-                found[i] = recent[words[i]]
-            out[at] = b"".join(found)
-        for w in {*cut, *unknown}:
-            if len(w) > KEPT_BYTES:
-                del recent[w]
+        for i, w in zip(gaps, new, strict=True):
+            out[i] = recent[w]
+        for w in [w for found in (cut, unknown) for w in found if len(w) > KEPT_BYTES]:
+            recent.pop(w, None)
         return out
 
+    def ids(self, texts: pa.Array | list[bytes | None]) -> list[bytes]:
+        """Ids of every text; a null text has none."""
+        raw = pa.array(texts, pa.binary()) if isinstance(texts, list) else texts.cast(pa.binary())
+        if not self.words_apart:
+            return self._encode([t or b"" for t in raw.to_pylist()])
+        plain = raw.view(pa.string())
+        # a word is a place in the dictionary of the step, so that it is looked up once
+        split = pc.ascii_split_whitespace(pc.ascii_lower(plain) if self.any_case else plain)
+        coded = split.values.dictionary_encode()
+        if not len(coded):
+            return [b""] * len(raw)
+        known = pa.array(self._ids_of_words(coded.dictionary.cast(pa.binary()).to_pylist()), pa.binary())
+        joined = known.take(coded.indices)
+        # the ids of the words of a text lie side by side
+        places = np.frombuffer(joined.buffers()[1], dtype=np.int32)[np.asarray(split.offsets)].tolist()
+        whole = joined.buffers()[2]
+        whole = memoryview(whole) if whole is not None else b""
+        return [bytes(whole[i:j]) for i, j in zip(places, places[1:])]
+
 
 def _tokens(path: str, end_id: int, max_tokens: int, specials: bool):
     """Task: one row per document: its ids, and the rank of its last piece among those of the task."""
@@ -316,8 +371,8 @@ def _tokens(path: str, end_id: int, max_tokens: int, specials: bool):
         seen = np.zeros(max_tokens, dtype=np.int64)
         stretches = 0
         for whole in batches:
-            for batch in steps([whole], "text"):
-                ids = [x + end for x in encoder.ids(raw_texts(batch, "text"))]
+            for batch in steps([whole], "text", WORDS_BYTES):
+                ids = [x + end for x in encoder.ids(batch.column("text"))]
                 n = np.array([len(x) // width for x in ids], dtype=np.int64)
                 full, last = n // max_tokens, n % max_tokens
                 nth = np.zeros(len(n), dtype=np.int64)

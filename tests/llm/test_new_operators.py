@@ -297,3 +297,22 @@ def test_packing_encodes_only_what_is_new():
     assert sorted(cut) == sorted([b"x-y", "café".encode()])
     cut.clear()
     assert encoder.ids(texts[::-1]) == want[::-1] and not cut
+
+
+def test_packing_looks_up_a_word_once_a_step():
+    """Words are looked up once among many texts, new words of letters share a line; ids are those of whole texts."""
+    encoder, asked, lines = packing.Encoder(VOCABULARY, False, 2), [], []
+    of_words, of_line = encoder._ids_of_words, encoder._encode_line
+    encoder._ids_of_words = lambda words: asked.append(words) or of_words(words)
+    encoder._encode_line = lambda words: lines.append(words) or of_line(words)
+    odd = ["İstanbul ıI ŉ ÀB àb ǅ é́ ª²", "it's we'll, ok!! 4.0.", "漢字 Σίς −x", " \t\x0b\x0c\r\n", "\x1c\x85\xa0a", "-é- é-- --é"]
+    texts = [t.encode() for t in odd] + [None, b"", b"a\xff! \xc3 b!\xc3"] + [b" one Two,  two three\n"] * 500
+    want = encoder._encode([t or b"" for t in texts])
+    import pyarrow as pa
+
+    column = pa.array([b"left out", *texts], pa.binary()).view(pa.string()).slice(1)
+    assert encoder.ids(column) == want and encoder.ids(texts) == want
+    assert len(asked) == 2 and len(asked[0]) == len(set(asked[0])) < 60
+    assert len(lines) == 1 and {"one", "two", "three"} <= set(lines[0])
+    assert encoder._encode_line(["áb", "x,y"]) is None
+    assert packing.Encoder(VOCABULARY, True, 2).ids(texts[:9]) == packing.Encoder(VOCABULARY, True, 2)._encode([t or b"" for t in texts[:9]])
