@@ -15,14 +15,15 @@ from __future__ import annotations
 import logging
 import os
 import time
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ..sinks.writers import QC_SUFFIX, RAW_SUFFIX, ensure_database, replace_folder, replace_table, sanitize_table_name, write_delimited
+from ..sinks.writers import COMPRESSED_END, QC_SUFFIX, RAW_SUFFIX, ensure_database, replace_folder, replace_table, sanitize_table_name, write_delimited
 from ..operators.summary import union_all
 from ..sources.delivery import delivery_files, delivery_misfits, delivery_paths, read_delimited, read_delivery
 from .manifest import Manifest, file_states, fingerprint
@@ -34,6 +35,9 @@ log = logging.getLogger(__name__)
 SUMMARY_NAME = "qc_summary"
 # Cells that the given schemas cannot hold.
 MISFIT_NAME = "qc_misfit"
+# While flagged tables are written: rows that a join has brought together by some of the
+# keys of the next one are not shuffled again, unless a skewed key has to be split.
+FLAG_CONF = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}
 
 
 @dataclass
@@ -51,7 +55,7 @@ def store(spark: SparkSession, df: DataFrame, name: str, suffix: str, database:
     if database:
         return spark.table(replace_table(df, database, name, suffix))
     path = os.path.join(folder, sanitize_table_name(name) + suffix)
-    replace_folder(df, path, lambda writer, folder: writer.parquet(folder))
+    replace_folder(df, path, lambda writer, folder: writer.option("compression", "zstd").parquet(folder))
     return spark.read.parquet(path)
 
 
@@ -80,6 +84,22 @@ def _run_all(jobs: Mapping[str, Callable[[], object]], parallel_jobs: int) -> di
         return {k: f.result() for k, f in futures.items()}
 
 
+@contextmanager
+def _session_conf(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for the time of a block."""
+    former = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in former.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def _check_names(names) -> None:
     """Tables and reports must differ in the names they are stored under."""
     stored: dict[str, str] = {}
@@ -116,7 +136,8 @@ def run_delivery(
     ``on_misfit`` says what a cell means that its type in ``schemas`` cannot hold:
     ``fail`` (default) ends the run, ``report`` makes it null and lists it in
     ``qc_misfit``. Reports and the summary are one file each; flagged tables are
-    folders of parts unless ``single_file``.
+    folders of parts unless ``single_file``. ``compression`` (``gzip`` or ``bzip2``)
+    compresses all of these; the name of a single file then ends with ``.gz`` or ``.bz2``.
 
     ``resume`` goes on where an earlier run to the same output ended: a table
     whose file, a flagged table or a report whose tables and configuration are
@@ -137,6 +158,10 @@ def run_delivery(
     on_misfit = vendor.get("on_misfit", "fail")
     if on_misfit not in ("fail", "report"):
         raise ValueError(f"on_misfit must be 'fail' or 'report', got {on_misfit!r}")
+    compression = vendor.get("compression") or None
+    if compression is not None and compression not in COMPRESSED_END:
+        raise ValueError(f"compression must be one of {sorted(COMPRESSED_END)}, got {compression!r}")
+    packed = COMPRESSED_END.get(compression, "")
     report_misfits = bool(schemas) and on_misfit == "report"
     manifest = Manifest(spark, output_loc)
 
@@ -173,38 +198,39 @@ def run_delivery(
     res = run_rules(raw, vendor["rules"], vendor["rule_sequence"], registry=registry or vendor_registry(vendor), options=opts)
     _check_names([*files, *res.reports, SUMMARY_NAME, MISFIT_NAME])
     counting, counts = res.observed()
-    qc_steps = _run_all(
-        {
-            n: (lambda n=n, df=df: step("qc", n, mark, QC_SUFFIX, place, lambda: df, lambda: counts[n].get if n in counts else {}))
-            for n, df in counting.items()
-        },
-        parallel_jobs,
-    )
+    with _session_conf(spark, FLAG_CONF):
+        qc_steps = _run_all(
+            {
+                n: (lambda n=n, df=df: step("qc", n, mark, QC_SUFFIX, place, lambda: df, lambda: counts[n].get if n in counts else {}))
+                for n, df in counting.items()
+            },
+            parallel_jobs,
+        )
     flagged = {n: df for n, (df, _) in qc_steps.items()}
 
     _run_all({n: (lambda n=n: res.cells[n]) for n in res.cells}, parallel_jobs)
     writes: dict[str, tuple[DataFrame, str, bool]] = {}
     if csv_output:
         for n, df in flagged.items():
-            writes[n] = (df, os.path.join(output_loc, sanitize_table_name(n) + stamp + ".csv"), single_file)
+            writes[n] = (df, os.path.join(output_loc, sanitize_table_name(n) + stamp + ".csv" + (packed if single_file else "")), single_file)
     for name in res.reports:
         report = res.report(name, flagged)
         if report is not None:
-            writes[name] = (report, os.path.join(output_loc, sanitize_table_name(name) + stamp + ".csv"), True)
+            writes[name] = (report, os.path.join(output_loc, sanitize_table_name(name) + stamp + ".csv" + packed), True)
     if report_misfits:
         found = union_all(delivery_misfits(spark, input_loc, schemas, multi_line=multi_line))
         if found is not None:
-            writes[MISFIT_NAME] = (found, os.path.join(output_loc, MISFIT_NAME + stamp + ".csv"), True)
+            writes[MISFIT_NAME] = (found, os.path.join(output_loc, MISFIT_NAME + stamp + ".csv" + packed), True)
     summary = res.observed_summary(spark, {n: figures for n, (_, figures) in qc_steps.items()})
     if summary is not None:
-        writes[SUMMARY_NAME] = (summary, os.path.join(output_loc, SUMMARY_NAME + stamp + ".csv"), True)
+        writes[SUMMARY_NAME] = (summary, os.path.join(output_loc, SUMMARY_NAME + stamp + ".csv" + packed), True)
 
     def write(name: str, df: DataFrame, path: str, one: bool) -> None:
-        at = fingerprint(mark, path, one)
+        at = fingerprint(mark, path, one, *([compression] if compression else []))
         if resume and manifest.finished(f"out {name}", at) is not None and _exists(spark, path):
             return
         manifest.forget(f"out {name}")
-        write_delimited(df, path, single_file=one)
+        write_delimited(df, path, single_file=one, compression=compression)
         manifest.record(f"out {name}", at)
 
     _run_all({k: (lambda k=k, w=w: write(k, *w)) for k, w in writes.items()}, parallel_jobs)

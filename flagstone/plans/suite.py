@@ -653,13 +653,14 @@ def q_row_ids(spark, d):
 
 
 def _delivery_run(spark, d, stopped: bool = False):
-    """Line items, orders and events as pipe files, checked as a delivery; with
-    ``stopped`` a first run ends at its last rule, and a second one goes on."""
+    """Line items, orders and events as pipe files, checked as a delivery (text
+    compressed); with ``stopped`` a first run ends at its last rule, and a second one goes on."""
     base = scratch_path(spark, "run")
     tables = {"lines": lineitem_d(spark, d), "orders": orders_a(spark, d), "events": events_d(spark, d)}
     for name, df in tables.items():
-        write_delimited(df, f"{base}/in/{name}.txt", sep="|", encoding="ISO-8859-1")
+        write_delimited(df, f"{base}/in/{name}.txt", sep="|", encoding="ISO-8859-1", compression="gzip")
     vendor = {
+        "compression": "gzip",
         "rules": {
             **sequence_rules(),
             "last_dt": {**sequence_rules()["last_dt"], "table": "orders"},

@@ -26,6 +26,11 @@ QC_SUFFIX = "_QC"
 FORMER_SUFFIX = "__former"
 # Parts up to this many bytes in sum are joined into one file.
 JOIN_BYTES = 256 << 20
+# Compressed ones up to a part of that, as they are unpacked and packed again.
+JOIN_COMPRESSED_BYTES = 64 << 20
+# End of the names of compressed files: readers know them by it.
+COMPRESSED_END = {"gzip": ".gz", "bzip2": ".bz2"}
+FAST_GZIP = ("zlib.compress.level", "BEST_SPEED")
 
 
 def sanitize_table_name(name: str) -> str:
@@ -114,17 +119,35 @@ def _append_batch(df: DataFrame, path: str, batch: str, write) -> None:
         fs.delete(staged, True)
 
 
-def _join_parts(spark: SparkSession, fs, staged) -> object:
+def _join_parts(spark: SparkSession, fs, staged, header: bool = True, compressed: bool = False) -> object:
     """The parts of ``staged`` as one file with the header of the first; ``staged``
     itself where they are too large together to pass through one stream."""
     parts = _parts(fs, staged)
     if len(parts) == 1:
         return parts[0].getPath()
-    if sum(st.getLen() for st in parts) > JOIN_BYTES:
+    if sum(st.getLen() for st in parts) > (JOIN_COMPRESSED_BYTES if compressed else JOIN_BYTES):
         log.warning("%s: %d parts stay a folder, too large for one file", staged, len(parts))
         return staged
     whole = _hadoop_path(spark, staged, "_whole")
     out, copy = fs.create(whole), spark.sparkContext._jvm.org.apache.hadoop.io.IOUtils.copyBytes
+    if compressed:
+        jvm = spark.sparkContext._jvm
+        conf = jvm.org.apache.hadoop.conf.Configuration(spark.sparkContext._jsc.hadoopConfiguration())
+        conf.set(*FAST_GZIP)
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(parts[0].getPath())
+        out = codec.createOutputStream(out)
+        try:
+            for i, st in enumerate(parts):
+                source = jvm.java.io.DataInputStream(codec.createInputStream(fs.open(st.getPath())))
+                try:
+                    if i and header:
+                        source.readLine()
+                    copy(source, out, 1 << 20, False)
+                finally:
+                    source.close()
+        finally:
+            out.close()
+        return whole
     try:
         for i, st in enumerate(parts):
             source = fs.open(st.getPath())
@@ -148,6 +171,7 @@ def write_delimited(
     single_file: bool = False,
     encoding: str | None = None,
     batch: str | None = None,
+    compression: str | None = None,
 ) -> None:
     """Delimited text output (``mode`` overwrite or append). White space is kept
     and quotes are doubled, so that :func:`read_delimited` reads the same text;
@@ -156,8 +180,14 @@ def write_delimited(
     An overwritten output is whole or as it was. An append with a ``batch``
     name can be tried again: it replaces what the batch has written before.
     ``single_file`` makes ``path`` one file, joined from parts written in
-    parallel; parts of more than :data:`JOIN_BYTES` stay a folder."""
+    parallel; parts of more than :data:`JOIN_BYTES` stay a folder.
+    ``compression`` (``gzip`` or ``bzip2``) compresses every file; the name of a
+    single one must end with ``.gz`` or ``.bz2``, as readers know it by that."""
     spark = df.sparkSession
+    if compression is not None and compression not in COMPRESSED_END:
+        raise ValueError(f"compression must be one of {sorted(COMPRESSED_END)}, got {compression!r}")
+    if compression and single_file and not path.endswith(COMPRESSED_END[compression]):
+        raise ValueError(f"a single file of {compression} must end with {COMPRESSED_END[compression]}: {path!r}")
     out = flatten_arrays(df)
     if encoding and encoding.upper() not in ("UTF-8", "UTF8"):
         # encode() fails on characters outside the charset; every charset holds ASCII
@@ -175,6 +205,8 @@ def write_delimited(
         w = w.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         if encoding:
             w = w.option("encoding", encoding)
+        if compression:
+            w = w.option("compression", compression).option(*FAST_GZIP)
         w.csv(folder)
 
     if mode == "append" and batch is not None:
@@ -192,7 +224,7 @@ def write_delimited(
         fs, staged = _file_system(spark, target), _staging(spark, target)
         try:
             write(out.write, str(staged.toString()))
-            _swap_in(spark, _join_parts(spark, fs, staged), target)
+            _swap_in(spark, _join_parts(spark, fs, staged, header, bool(compression)), target)
         finally:
             fs.delete(staged, True)
 

@@ -1,5 +1,6 @@
 """Outputs are whole or as they were; batches can be tried again; reports are one file."""
 
+import gzip
 import os
 
 import pytest
@@ -9,6 +10,7 @@ from flagstone.plans.delivery import run_delivery, store
 from flagstone.session import scratch_path
 from flagstone.sinks import writers
 from flagstone.sinks.writers import ensure_database, replace_table, write_delimited
+from flagstone.sources.delivery import read_delimited
 
 
 @pytest.fixture
@@ -122,3 +124,46 @@ def test_reports_of_a_run_are_files(spark, tmp_path):
         assert sorted(reports) == ["qc_dup_boats", "qc_missing", "qc_summary", "qc_value"]
         assert all(os.path.isfile(res.outputs[n]) for n in reports) and os.path.isdir(res.outputs["boats"])
     assert open(res.outputs["qc_missing"]).read() == "column,missing,tbl\nid,0,boats\nvalue_n,1,boats\n"
+
+
+def test_compressed_text_is_whole(spark, tmp_path, monkeypatch):
+    """Compressed parts and single files hold every row under one header; names tell the readers."""
+    rows = spark.range(0, 500, numPartitions=5).selectExpr("id", "concat('a \"q\" ', id % 7, CASE WHEN id % 3 = 0 THEN ',' END) AS `t,\"x`")
+    want = sorted(tuple(r) for r in rows.selectExpr("CAST(id AS STRING)", "`t,\"x`").collect())
+    for encoding in (None, "ISO-8859-1"):
+        folder, one = str(tmp_path / f"f{encoding}.txt"), str(tmp_path / f"one{encoding}.csv.gz")
+        write_delimited(rows, folder, sep="|", encoding=encoding, compression="gzip")
+        assert all(f.endswith(".csv.gz") for f in os.listdir(folder) if f.startswith("part-"))
+        write_delimited(rows, one, encoding=encoding, compression="gzip", single_file=True)
+        lines = gzip.open(one, "rt").read().splitlines()
+        assert os.path.isfile(one) and len(lines) == 501 and sum(x.startswith("id,") for x in lines) == 1
+        for path, sep in ((folder, "|"), (one, ",")):
+            assert sorted(tuple(r) for r in read_delimited(spark, path, sep=sep, infer_schema=False).collect()) == want
+    monkeypatch.setattr(writers, "JOIN_COMPRESSED_BYTES", 10)
+    write_delimited(rows, one, compression="gzip", single_file=True)
+    assert os.path.isdir(one) and read_delimited(spark, one, sep=",", infer_schema=False).count() == 500
+    for bad in ({"compression": "zip"}, {"compression": "gzip", "single_file": True}):
+        with pytest.raises(ValueError):
+            write_delimited(rows, str(tmp_path / "bad.csv"), **bad)
+
+
+def test_compressed_run(spark, tmp_path):
+    """A run of compressed files writes compressed ones, with the rows of a plain run."""
+    rows = spark.range(0, 60, numPartitions=3).selectExpr("id % 20 AS id", "id % 3 AS n", "date_add(DATE'2024-01-01', CAST(id AS INT)) AS a_dt")
+    limits = spark.range(0, 20, numPartitions=2).selectExpr("id", "DATE'2024-01-20' AS end_dt")
+    rules = {
+        "last_dt": {"table": "limits", "dt_column": "end_dt", "id_column": "id", "dt_value": "_dt"},
+        "duplication": {"lines": ["id"]},
+    }
+    found = []
+    for compression in (None, "gzip"):
+        base = str(tmp_path / str(compression))
+        for name, df in (("lines", rows), ("limits", limits)):
+            write_delimited(df, f"{base}/in/{name}.txt", sep="|", compression=compression)
+        vendor = {"rules": rules, "rule_sequence": list(rules), **({"compression": compression} if compression else {})}
+        out = run_delivery(spark, vendor, base + "/in", base + "/out", database="").outputs
+        assert {k: v.rsplit("/", 1)[1] for k, v in out.items() if k != "lines"}["qc_dup_lines"] == "qc_dup_lines.csv" + (".gz" if compression else "")
+        found.append({k: sorted(map(str, read_delimited(spark, v, sep=",", infer_schema=False).collect())) for k, v in out.items()})
+    assert found[0] == found[1] and len(found[0]["lines"]) == 60
+    with pytest.raises(ValueError):
+        run_delivery(spark, {**vendor, "compression": "zip"}, base + "/in", base + "/out2", database="")

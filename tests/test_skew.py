@@ -168,3 +168,29 @@ def test_nested_map_columns_pass(spark):
     df = spark.sql("SELECT id % 3 AS k, array(map('a', id)) AS m FROM range(9)")
     assert flag_duplicates(df, ["k"]).where("dup_count = 3").count() == 9
     assert duplicate_report(df, ["k"]).count() == 9
+
+
+def test_flags_share_a_shuffle_and_a_hot_id_is_split(spark):
+    """Rows joined by id are not shuffled again to be joined by id and another key, but where one id has too many."""
+    from flagstone.plans.delivery import FLAG_CONF, _session_conf
+    from flagstone.plans.runner import run_rules
+
+    old = _force_shuffle_join(spark)
+    try:
+        rows = _hot_table(spark).selectExpr("k", "v % 1000 AS n", "v", "CAST(v % 10 AS DOUBLE) AS obs_time")
+        limits = spark.range(N).selectExpr("id AS k", "5D AS end_time")
+        rules = {"last_dt": {"table": "a", "dt_column": "end_time", "id_column": "k", "dt_value": "time", "dt_type": "float"}, "duplication": {"r": ["k", "n"]}}
+
+        def flagged():
+            return run_rules({"a": limits, "r": rows}, rules, list(rules)).tables["r"]
+
+        shuffles = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+        want = flagged().groupBy("last_dt_flag", "dup_flag", "dup_count").count().collect()
+        apart = shuffles(flagged())
+        with _session_conf(spark, FLAG_CONF):
+            assert shuffles(flagged()) == apart - 1
+            assert sorted(flagged().groupBy("last_dt_flag", "dup_flag", "dup_count").count().collect()) == sorted(want)
+            assert _max_task_rows(flagged()) < N // 6
+        assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+    finally:
+        _restore(spark, old)
