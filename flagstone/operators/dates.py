@@ -124,6 +124,7 @@ def join_anchor(
     on_bad: str = "null",
     source: DataFrame | None = None,
     name: str = "",
+    stored_anchor: bool = False,
 ) -> DataFrame | None:
     """Rows of ``df`` with the anchor (column ``__dq_anchor``) and the flag.
 
@@ -137,7 +138,7 @@ def join_anchor(
     cols = compared_columns(df, spec)
     flag = added_name(df, flag_col)
     base = [c for c in df.columns if c != flag]
-    joined = keyed_join(df.select(*[ident(c) for c in base]), anchor, [spec.id_column], [ANCHOR_ID], "left", side_out=[ANCHOR])
+    joined = keyed_join(df.select(*[ident(c) for c in base]), anchor, [spec.id_column], [ANCHOR_ID], "left", side_out=[ANCHOR], side_stored=stored_anchor)
     joined, clean = with_clean_dates(joined, cols, spec.dt_type)
     values = [to_time_value_sql(df, c, spec.dt_type, on_bad, clean) for c in cols]
     cond = any_sql([f"{ANCHOR} < ({v})" for v in values])
@@ -162,7 +163,7 @@ def join_anchor(
     return mark_added(out.unionByName(extra_rows), flag)
 
 
-def anchored_report(flagged: DataFrame, anchor: DataFrame, spec: DateBoundSpec, flag_col: str) -> DataFrame:
+def anchored_report(flagged: DataFrame, anchor: DataFrame, spec: DateBoundSpec, flag_col: str, stored_anchor: bool = False) -> DataFrame:
     """The violating rows of a flagged table with the limit date under the name
     of the limit column (replacing the table's own column of that name) and the
     flag. Only rows with flag 1 are joined; on a stored table nothing else is
@@ -170,7 +171,7 @@ def anchored_report(flagged: DataFrame, anchor: DataFrame, spec: DateBoundSpec,
     flag = added_name(flagged, flag_col)
     own = [c for c in flagged.columns if c not in (spec.dt_column, flag)]
     rows = flagged.where(f"{ident(flag)} = 1")
-    joined = keyed_join(rows, anchor, [spec.id_column], [ANCHOR_ID], "left", side_out=[ANCHOR])
+    joined = keyed_join(rows, anchor, [spec.id_column], [ANCHOR_ID], "left", side_out=[ANCHOR], side_stored=stored_anchor)
     return joined.selectExpr(*[ident(c) for c in own], f"{ANCHOR} AS {ident(spec.dt_column)}", ident(flag))
 
 
@@ -239,7 +240,7 @@ def date_bound(
 
     ``sources`` may hold, per table, a copy with the same rows and data
     columns (the input before earlier rules added flags); the anchor is then
-    computed from it. Returns the new table dict and ``{table: make_report}``
+    computed from it. ``stage`` stores the anchor and returns the stored copy. Returns the new table dict and ``{table: make_report}``
     for tables that have compared columns; ``make_report(stored)`` reads a
     stored copy of the flagged table instead of joining the whole table again.
     """
@@ -256,12 +257,12 @@ def date_bound(
 
     def maker(joined: DataFrame) -> Callable[..., DataFrame]:
         def make(stored: DataFrame | None = None) -> DataFrame:
-            return _report_of(joined, spec, flag_col) if stored is None else anchored_report(stored, anchor, spec, flag_col)
+            return _report_of(joined, spec, flag_col) if stored is None else anchored_report(stored, anchor, spec, flag_col, stage is not None)
 
         return make
 
     for name in tables or list(dfs):
-        joined = join_anchor(dfs[name], anchor, spec, flag_col, keep_unmatched_anchor, on_bad, sources.get(name), name)
+        joined = join_anchor(dfs[name], anchor, spec, flag_col, keep_unmatched_anchor, on_bad, sources.get(name), name, stage is not None)
         if joined is not None:
             out[name] = joined.drop(ANCHOR)
             makers[name] = maker(joined)
@@ -315,7 +316,7 @@ def date_bounds(
         def make(stored: DataFrame | None = None) -> DataFrame:
             if stored is None:
                 return _report_of(joined.withColumn(ANCHOR, F.col(f"{ANCHOR}{i}")).drop(*others), spec, flag_col)
-            return anchored_report(stored, side.selectExpr(ANCHOR_ID, f"{ANCHOR}{i} AS {ANCHOR}"), spec, flag_col)
+            return anchored_report(stored, side.selectExpr(ANCHOR_ID, f"{ANCHOR}{i} AS {ANCHOR}"), spec, flag_col, stage is not None)
 
         return make
 
@@ -323,7 +324,7 @@ def date_bounds(
         used = [i for i, (spec, _) in enumerate(bounds) if not _untouched(df, spec, name)]
         if not used:
             continue
-        joined = keyed_join(df, side, [bounds[0][0].id_column], [ANCHOR_ID], "left", side_out=[f"{ANCHOR}{i}" for i in used])
+        joined = keyed_join(df, side, [bounds[0][0].id_column], [ANCHOR_ID], "left", side_out=[f"{ANCHOR}{i}" for i in used], side_stored=stage is not None)
         for i in used:
             spec, flag_col = bounds[i]
             cols, flag = compared_columns(df, spec), added_name(joined, flag_col)

@@ -101,13 +101,15 @@ def keyed_join(
     how: str = "left",
     null_safe: bool = False,
     side_out: Sequence[str] | None = None,
+    side_stored: bool = False,
 ) -> DataFrame:
     """``rows`` joined (``left``, ``inner`` or ``left_anti``) to ``side`` on
     ``row_keys == side_keys`` (null-safe equality if ``null_safe``).
 
     ``side`` has one row per key. Side columns must not share names with row
     columns. The output holds the row columns plus, unless ``left_anti``,
-    ``side_out`` (default: every side column)."""
+    ``side_out`` (default: every side column). ``side_stored``: ``side`` is read
+    from storage, so its shuffle is a bare one without a rebalance before it."""
     if how not in ("left", "inner", "left_anti"):
         raise ValueError("keyed_join supports left, inner and left_anti joins")
     row_types = {f.name: f.dataType for f in rows.schema.fields}
@@ -126,5 +128,5 @@ def keyed_join(
         keyed = keyed.selectExpr(f"xxhash64({', '.join(keys)}) AS {_HASH}_side", *keys, *[ident(c) for c in out])
     else:
         rows_in = rows
-    joined = rows_in.join(keyed.hint("rebalance"), F.expr(condition), how)
+    joined = rows_in.join(keyed if side_stored else keyed.hint("rebalance"), F.expr(condition), how)
     return joined.selectExpr(*[ident(c) for c in rows.columns], *[ident(c) for c in out])

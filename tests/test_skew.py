@@ -194,3 +194,26 @@ def test_flags_share_a_shuffle_and_a_hot_id_is_split(spark):
         assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
     finally:
         _restore(spark, old)
+
+
+def test_stored_limits_are_shuffled_once(spark, tmp_path):
+    """Limits read from storage need no rebalance before the join; a hot id is split all the same."""
+
+    def stage(df):
+        df.write.parquet(str(tmp_path / "limits"))
+        return spark.read.parquet(str(tmp_path / "limits"))
+
+    old = _force_shuffle_join(spark)
+    try:
+        anchor = spark.range(N).select(F.col("id").alias("k"), F.lit(5).cast("double").alias("end_time"))
+        rel = _hot_table(spark).select("k", (F.col("v") % 10).cast("double").alias("obs_time"))
+        spec = DateBoundSpec("a", "end_time", "k", "time", dt_type="float")
+        plain, _ = last_date({"a": anchor, "r": rel}, spec)
+        tables, reports = last_date({"a": anchor, "r": rel}, spec, stage=stage)
+        plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+        assert "REBALANCE" in plan(plain["r"]) and "REBALANCE" not in plan(tables["r"]) and "REBALANCE" not in plan(reports["r"](tables["r"]))
+        sums = [t["r"].agg(F.sum("last_dt_flag"), F.count("*"), F.sum("obs_time")).first() for t in (plain, tables)]
+        assert sums[0] == sums[1] and sums[1][1] == N and reports["r"](tables["r"]).count() == sums[1][0]
+        assert _max_task_rows(tables["r"]) < N // 6
+    finally:
+        _restore(spark, old)
