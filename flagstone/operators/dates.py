@@ -31,6 +31,7 @@ from ..functions.columns import (
     any_sql,
     flag_sql,
     ident,
+    is_added,
     mark_added,
     match_columns,
     sql_str,
@@ -45,6 +46,8 @@ log = logging.getLogger(__name__)
 
 ANCHOR = "__dq_anchor"
 ANCHOR_ID = "__dq_anchor_id"
+# Followed by the name of a flag: the limit that the flagged rows were compared with.
+LIMIT = "__dq_limit_"
 
 
 @dataclass(frozen=True)
@@ -115,6 +118,26 @@ def _untouched(df: DataFrame, spec: DateBoundSpec, name: str) -> bool:
     return not cols
 
 
+def limit_columns(df: DataFrame) -> list[str]:
+    """The limits that a date rule has left beside its flag."""
+    return [f.name for f in df.schema.fields if is_added(f) and f.name.startswith(LIMIT)]
+
+
+def without_limits(df: DataFrame) -> DataFrame:
+    """``df`` without them."""
+    held = limit_columns(df)
+    return df.drop(*held) if held else df
+
+
+def _with_limits(joined: DataFrame, limits: Mapping[str, str]) -> DataFrame:
+    """``joined``, and for each ``{limit: flag}`` the limit of the rows that the flag
+    marks, null in all others, in place of the limit; reports on the flagged rows
+    need no other join then."""
+    found = {LIMIT + flag: f"CASE WHEN {ident(flag)} = 1 THEN {ident(limit)} END" for limit, flag in limits.items()}
+    own = [c for c in joined.columns if c not in limits and c not in found]
+    return mark_added(joined.selectExpr(*[ident(c) for c in own], *[f"{e} AS {ident(c)}" for c, e in found.items()]), *found)
+
+
 def join_anchor(
     df: DataFrame,
     anchor: DataFrame,
@@ -166,11 +189,14 @@ def join_anchor(
 def anchored_report(flagged: DataFrame, anchor: DataFrame, spec: DateBoundSpec, flag_col: str, stored_anchor: bool = False) -> DataFrame:
     """The violating rows of a flagged table with the limit date under the name
     of the limit column (replacing the table's own column of that name) and the
-    flag. Only rows with flag 1 are joined; on a stored table nothing else is
-    computed again."""
+    flag. A table that has kept its limits is only filtered. Else rows with flag 1 are
+    joined; on a stored table nothing else is computed again."""
     flag = added_name(flagged, flag_col)
-    own = [c for c in flagged.columns if c not in (spec.dt_column, flag)]
+    held = limit_columns(flagged)
+    own = [c for c in flagged.columns if c not in (spec.dt_column, flag, *held)]
     rows = flagged.where(f"{ident(flag)} = 1")
+    if LIMIT + flag in held:
+        return rows.selectExpr(*[ident(c) for c in own], f"{ident(LIMIT + flag)} AS {ident(spec.dt_column)}", ident(flag))
     joined = keyed_join(rows, anchor, [spec.id_column], [ANCHOR_ID], "left", side_out=[ANCHOR], side_stored=stored_anchor)
     return joined.selectExpr(*[ident(c) for c in own], f"{ANCHOR} AS {ident(spec.dt_column)}", ident(flag))
 
@@ -222,7 +248,7 @@ def flag_date_bound(
 
 def _report_of(joined: DataFrame, spec: DateBoundSpec, flag_col: str) -> DataFrame:
     flag = added_name(joined, flag_col)
-    own = [c for c in joined.columns if c not in (spec.dt_column, flag, ANCHOR)]
+    own = [c for c in joined.columns if c not in (spec.dt_column, flag, ANCHOR, *limit_columns(joined))]
     return joined.where(f"{ident(flag)} = 1").selectExpr(*[ident(c) for c in own], f"{ANCHOR} AS {ident(spec.dt_column)}", ident(flag))
 
 
@@ -235,12 +261,14 @@ def date_bound(
     tables: Sequence[str] | None = None,
     sources: Mapping[str, DataFrame] | None = None,
     stage: Callable[[DataFrame], DataFrame] | None = None,
+    keep_limits: bool = False,
 ) -> tuple[dict[str, DataFrame], dict[str, Callable[..., DataFrame]]]:
     """Apply the rule to every table of ``dfs`` (or ``tables``).
 
     ``sources`` may hold, per table, a copy with the same rows and data
     columns (the input before earlier rules added flags); the anchor is then
-    computed from it. ``stage`` stores the anchor and returns the stored copy. Returns the new table dict and ``{table: make_report}``
+    computed from it. ``stage`` stores the anchor and returns the stored copy. ``keep_limits``
+    leaves the limits of flagged rows in the tables (:func:`without_limits` takes them out). Returns the new table dict and ``{table: make_report}``
     for tables that have compared columns; ``make_report(stored)`` reads a
     stored copy of the flagged table instead of joining the whole table again.
     """
@@ -264,7 +292,7 @@ def date_bound(
     for name in tables or list(dfs):
         joined = join_anchor(dfs[name], anchor, spec, flag_col, keep_unmatched_anchor, on_bad, sources.get(name), name, stage is not None)
         if joined is not None:
-            out[name] = joined.drop(ANCHOR)
+            out[name] = _with_limits(joined, {ANCHOR: added_name(joined, flag_col)}) if keep_limits else joined.drop(ANCHOR)
             makers[name] = maker(joined)
     return out, makers
 
@@ -299,6 +327,7 @@ def date_bounds(
     on_bad: str = "null",
     sources: Mapping[str, DataFrame] | None = None,
     stage: Callable[[DataFrame], DataFrame] | None = None,
+    keep_limits: bool = False,
 ) -> tuple[dict[str, DataFrame], list[dict[str, Callable[..., DataFrame]]]]:
     """Several ``(spec, flag)`` at once (see :func:`can_merge`): every table is
     joined once, to the merged limits, instead of once per rule. Flags and
@@ -336,7 +365,7 @@ def date_bounds(
         own = [c for c in joined.columns if c not in limits]
         # the limits follow the columns, as reports take them from there
         joined = joined.select(*[F.col(ident(c)) for c in own], *limits)
-        out[name] = joined.drop(*limits)
+        out[name] = _with_limits(joined, {f"{ANCHOR}{i}": added_name(joined, bounds[i][1]) for i in used}) if keep_limits else joined.drop(*limits)
         for i in used:
             makers[i][name] = maker(joined, i)
     return out, makers

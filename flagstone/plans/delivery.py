@@ -6,7 +6,10 @@ catalog database, or Parquet under the output folder) is read back before the
 rules run, so CSV parsing happens once and a lost executor never sends Spark
 back to the text files; the flagged copy (``<name>_QC``) is read back before
 the reports, which therefore scan stored columns instead of re-running every
-rule. All reports on single cells of a table come from one scan of it. Rows and flags are counted while the flagged copy is written, so the
+rule. All reports on single cells of a table come from one scan of it. A flagged
+copy in Parquet also holds the limits that date rules found for the flagged rows
+(columns ``__dq_limit_…``, null elsewhere, taken out of all that is handed out), so
+date reports only filter it. Rows and flags are counted while the flagged copy is written, so the
 summary reads no table at all.
 """
 
@@ -24,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ..sinks.writers import COMPRESSED_END, QC_SUFFIX, RAW_SUFFIX, ensure_database, replace_folder, replace_table, sanitize_table_name, write_delimited
+from ..operators.dates import without_limits
 from ..operators.summary import union_all
 from ..sources.delivery import delivery_files, delivery_misfits, delivery_paths, read_delimited, read_delivery
 from .manifest import Manifest, file_states, fingerprint
@@ -38,6 +42,13 @@ MISFIT_NAME = "qc_misfit"
 # While flagged tables are written: rows that a join has brought together by some of the
 # keys of the next one are not shuffled again, unless a skewed key has to be split.
 FLAG_CONF = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}
+# While the steps run: shuffled rows leave the disk with the step that has read them.
+RUN_CONF = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+# Stored copies are compressed so closely that a task with as many bytes of them as of other
+# files would hold too many rows to count or shuffle them without spilling.
+SCAN_KEY = "spark.sql.files.maxPartitionBytes"
+SCAN_BYTES = 16 << 20
+STORED = {"compression": "zstd", "parquet.block.size": 2 * SCAN_BYTES}
 
 
 @dataclass
@@ -55,7 +66,7 @@ def store(spark: SparkSession, df: DataFrame, name: str, suffix: str, database:
     if database:
         return spark.table(replace_table(df, database, name, suffix))
     path = os.path.join(folder, sanitize_table_name(name) + suffix)
-    replace_folder(df, path, lambda writer, folder: writer.option("compression", "zstd").parquet(folder))
+    replace_folder(df, path, lambda writer, folder: writer.options(**STORED).parquet(folder))
     return spark.read.parquet(path)
 
 
@@ -100,6 +111,12 @@ def _session_conf(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None
                 spark.conf.set(k, v)
 
 
+def _scan_conf(spark: SparkSession) -> dict[str, str]:
+    """Fewer bytes a task than the session reads, where that is more than :data:`SCAN_BYTES`."""
+    size = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(SCAN_KEY))
+    return {SCAN_KEY: str(min(size, SCAN_BYTES))}
+
+
 def _check_names(names) -> None:
     """Tables and reports must differ in the names they are stored under."""
     stored: dict[str, str] = {}
@@ -187,53 +204,56 @@ def run_delivery(
     inputs = read_delivery(spark, input_loc, schemas=schemas, multi_line=multi_line, on_misfit=null_misfits, skip=ready) if len(ready) < len(files) else {}
     if database:
         ensure_database(spark, database)
-    raw_steps = _run_all(
-        {n: (lambda n=n: step("raw", n, marks[n], RAW_SUFFIX, place, lambda: inputs[n])) for n in files},
-        parallel_jobs,
-    )
-    raw = {n: df for n, (df, _) in raw_steps.items()}
-    mark = fingerprint(marks, vendor["rules"], vendor["rule_sequence"], vendor.get("flavour"), repr(options), sorted(registry or {}))
-    stage_place = (None, os.path.join(output_loc, "_stage"))
-    opts = replace(options or RunOptions(), stage=lambda name, df: step("stage", name, mark, "", stage_place, lambda: df)[0])
-    res = run_rules(raw, vendor["rules"], vendor["rule_sequence"], registry=registry or vendor_registry(vendor), options=opts)
-    _check_names([*files, *res.reports, SUMMARY_NAME, MISFIT_NAME])
-    counting, counts = res.observed()
-    with _session_conf(spark, FLAG_CONF):
-        qc_steps = _run_all(
-            {
-                n: (lambda n=n, df=df: step("qc", n, mark, QC_SUFFIX, place, lambda: df, lambda: counts[n].get if n in counts else {}))
-                for n, df in counting.items()
-            },
+    with _session_conf(spark, RUN_CONF):
+        raw_steps = _run_all(
+            {n: (lambda n=n: step("raw", n, marks[n], RAW_SUFFIX, place, lambda: inputs[n])) for n in files},
             parallel_jobs,
         )
-    flagged = {n: df for n, (df, _) in qc_steps.items()}
-
-    _run_all({n: (lambda n=n: res.cells[n]) for n in res.cells}, parallel_jobs)
-    writes: dict[str, tuple[DataFrame, str, bool]] = {}
-    if csv_output:
-        for n, df in flagged.items():
-            writes[n] = (df, os.path.join(output_loc, sanitize_table_name(n) + stamp + ".csv" + (packed if single_file else "")), single_file)
-    for name in res.reports:
-        report = res.report(name, flagged)
-        if report is not None:
-            writes[name] = (report, os.path.join(output_loc, sanitize_table_name(name) + stamp + ".csv" + packed), True)
-    if report_misfits:
-        found = union_all(delivery_misfits(spark, input_loc, schemas, multi_line=multi_line))
-        if found is not None:
-            writes[MISFIT_NAME] = (found, os.path.join(output_loc, MISFIT_NAME + stamp + ".csv" + packed), True)
-    summary = res.observed_summary(spark, {n: figures for n, (_, figures) in qc_steps.items()})
-    if summary is not None:
-        writes[SUMMARY_NAME] = (summary, os.path.join(output_loc, SUMMARY_NAME + stamp + ".csv" + packed), True)
-
-    def write(name: str, df: DataFrame, path: str, one: bool) -> None:
-        at = fingerprint(mark, path, one, *([compression] if compression else []))
-        if resume and manifest.finished(f"out {name}", at) is not None and _exists(spark, path):
-            return
-        manifest.forget(f"out {name}")
-        write_delimited(df, path, single_file=one, compression=compression)
-        manifest.record(f"out {name}", at)
-
-    _run_all({k: (lambda k=k, w=w: write(k, *w)) for k, w in writes.items()}, parallel_jobs)
+    raw = {n: df for n, (df, _) in raw_steps.items()}
+    with _session_conf(spark, {**RUN_CONF, **_scan_conf(spark)}):
+        mark = fingerprint(marks, vendor["rules"], vendor["rule_sequence"], vendor.get("flavour"), repr(options), sorted(registry or {}))
+        stage_place = (None, os.path.join(output_loc, "_stage"))
+        opts = replace(options or RunOptions(), stage=lambda name, df: step("stage", name, mark, "", stage_place, lambda: df)[0], keep_limits=not database)
+        res = run_rules(raw, vendor["rules"], vendor["rule_sequence"], registry=registry or vendor_registry(vendor), options=opts)
+        _check_names([*files, *res.reports, SUMMARY_NAME, MISFIT_NAME])
+        counting, counts = res.observed()
+        with _session_conf(spark, FLAG_CONF):
+            qc_steps = _run_all(
+                {
+                    n: (lambda n=n, df=df: step("qc", n, mark, QC_SUFFIX, place, lambda: df, lambda: counts[n].get if n in counts else {}))
+                    for n, df in counting.items()
+                },
+                parallel_jobs,
+            )
+        kept = {n: df for n, (df, _) in qc_steps.items()}
+        flagged = {n: without_limits(df) for n, df in kept.items()}
+
+        _run_all({n: (lambda n=n: res.cells[n]) for n in res.cells}, parallel_jobs)
+        writes: dict[str, tuple[DataFrame, str, bool]] = {}
+        if csv_output:
+            for n, df in flagged.items():
+                writes[n] = (df, os.path.join(output_loc, sanitize_table_name(n) + stamp + ".csv" + (packed if single_file else "")), single_file)
+        for name in res.reports:
+            report = res.report(name, kept)
+            if report is not None:
+                writes[name] = (report, os.path.join(output_loc, sanitize_table_name(name) + stamp + ".csv" + packed), True)
+        if report_misfits:
+            found = union_all(delivery_misfits(spark, input_loc, schemas, multi_line=multi_line))
+            if found is not None:
+                writes[MISFIT_NAME] = (found, os.path.join(output_loc, MISFIT_NAME + stamp + ".csv" + packed), True)
+        summary = res.observed_summary(spark, {n: figures for n, (_, figures) in qc_steps.items()})
+        if summary is not None:
+            writes[SUMMARY_NAME] = (summary, os.path.join(output_loc, SUMMARY_NAME + stamp + ".csv" + packed), True)
+
+        def write(name: str, df: DataFrame, path: str, one: bool) -> None:
+            at = fingerprint(mark, path, one, *([compression] if compression else []))
+            if resume and manifest.finished(f"out {name}", at) is not None and _exists(spark, path):
+                return
+            manifest.forget(f"out {name}")
+            write_delimited(df, path, single_file=one, compression=compression)
+            manifest.record(f"out {name}", at)
+
+        _run_all({k: (lambda k=k, w=w: write(k, *w)) for k, w in writes.items()}, parallel_jobs)
     outputs = {k: path for k, (_, path, _) in writes.items()}
     return DeliveryResult(raw, flagged, summary, outputs, res.rules_run)
 

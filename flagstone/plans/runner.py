@@ -30,7 +30,7 @@ from ..functions.columns import (
     added_name,
 )
 from ..operators.cells import CellTest, cell_counts, counted_report, listed_report
-from ..operators.dates import DateBoundSpec, can_merge, date_bound, date_bounds, unparsed_dates, unparsed_tests
+from ..operators.dates import DateBoundSpec, can_merge, date_bound, date_bounds, unparsed_dates, unparsed_tests, without_limits
 from ..operators.duplicates import flag_duplicates, flag_duplicates_first_key, report_from_flags
 from ..operators.frequency import frequencies, frequency_of
 from ..operators.missing import flag_missing, flag_missing_null_only, missing_by_column, missing_tests
@@ -75,6 +75,9 @@ class RunOptions:
     # rules' per-id anchor) and return the stored copy, so it is computed
     # once instead of once per table. Set by run_delivery.
     stage: Callable[[str, DataFrame], DataFrame] | None = None
+    # Date rules leave the limits of flagged rows in the tables (marked as
+    # appended), so that their reports join nothing. Set by run_delivery.
+    keep_limits: bool = False
 
 
 def _source(opts: RunOptions, name: str, current: DataFrame) -> DataFrame:
@@ -184,14 +187,14 @@ def _duplication(dfs, cfg: Mapping[str, Sequence[str]], opts: RunOptions) -> Rul
             continue
         flagged = flag_duplicates(dfs[name], keys, source=opts.sources.get(name))
         out.tables[name] = flagged
-        out.reports[DUP_REPORT.format(name)] = partial(report_from_flags, flagged, keys, order=opts.order_reports)
+        out.reports[DUP_REPORT.format(name)] = partial(_dup_report_from, name, keys, opts.order_reports, {name: flagged})
         out.stored_reports[DUP_REPORT.format(name)] = partial(_dup_report_from, name, keys, opts.order_reports)
         out.flags.append(("duplication", name, added_name(flagged, DUP_FLAG)))
     return out
 
 
 def _dup_report_from(name: str, keys: Sequence[str], order: bool, tables: Mapping[str, DataFrame]) -> DataFrame:
-    return report_from_flags(tables[name], keys, order=order)
+    return report_from_flags(without_limits(tables[name]), keys, order=order)
 
 
 def _missing(dfs, cfg: Mapping[str, Sequence[str]] | None, opts: RunOptions) -> RuleOutput:
@@ -269,6 +272,7 @@ class DateRule:
             on_bad=opts.on_bad_date,
             sources=opts.sources,
             stage=(lambda df: opts.stage(f"anchor_{self.rule}", df)) if opts.stage else None,
+            keep_limits=opts.keep_limits,
         )
         return self.output(dfs, tables, reports, spec, opts)
 
@@ -309,6 +313,7 @@ def _run_date_rules(group: Sequence[tuple[str, DateRule]], tables, rules: Mappin
         on_bad=opts.on_bad_date,
         sources=opts.sources,
         stage=(lambda df: opts.stage(name, df)) if opts.stage else None,
+        keep_limits=opts.keep_limits,
     )
     return [fn.output(tables, out, made, spec, opts) for (_, fn), made, spec in zip(group, makers, specs, strict=True)]
 
