@@ -45,10 +45,11 @@ FLAG_CONF = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sq
 # While the steps run: shuffled rows leave the disk with the step that has read them.
 RUN_CONF = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 # Stored copies are compressed so closely that a task with as many bytes of them as of other
-# files would hold too many rows to count or shuffle them without spilling.
-SCAN_KEY = "spark.sql.files.maxPartitionBytes"
-SCAN_BYTES = 16 << 20
-STORED = {"compression": "zstd", "parquet.block.size": 2 * SCAN_BYTES}
+# files would hold too many rows to count or shuffle them without spilling. So they are read
+# in small parts, of a row group each, but not in more parts than a driver can keep track of.
+SCAN_KEY, PARTS_KEY = "spark.sql.files.maxPartitionBytes", "spark.sql.files.maxPartitionNum"
+SCAN_BYTES, SCAN_PARTS = 8 << 20, 50_000
+STORED = {"compression": "zstd", "parquet.block.size": SCAN_BYTES}
 
 
 @dataclass
@@ -112,9 +113,9 @@ def _session_conf(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None
 
 
 def _scan_conf(spark: SparkSession) -> dict[str, str]:
-    """Fewer bytes a task than the session reads, where that is more than :data:`SCAN_BYTES`."""
+    """At most :data:`SCAN_BYTES` a task, and :data:`SCAN_PARTS` tasks, unless the session has its own number."""
     size = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(SCAN_KEY))
-    return {SCAN_KEY: str(min(size, SCAN_BYTES))}
+    return {SCAN_KEY: str(min(size, SCAN_BYTES)), PARTS_KEY: spark.conf.get(PARTS_KEY, None) or str(SCAN_PARTS)}
 
 
 def _check_names(names) -> None:
